@@ -20,6 +20,7 @@ from graphmill.operators.skew import number_within, top_n_within
 
 KEY_COLS = ["job_name", "operation", "arguments"]
 PAYLOAD = "payload"
+SCHEMA = "schema"  # JSON of the payload's struct type; one dictionary entry per key in parquet
 
 
 class MissingKeyError(LookupError):
@@ -35,16 +36,20 @@ def key_column() -> Column:
 
 
 def stage(df: DataFrame, job_name: str, operation: str, arguments: str) -> DataFrame:
-    """Rows of ``df`` as members of the set ``job_name:operation:arguments`` (payload = JSON with nulls)."""
+    """Rows of ``df`` as members of the set ``job_name:operation:arguments`` (payload = JSON with nulls,
+    plus the payload's schema so a reader can decode it without inference)."""
     if operation not in ("nodes_ingest", "edges_ingest"):
         raise ValueError(f"Operation {operation} is not supported.")
     if ":" in job_name or not job_name:
         raise ValueError(f"Job name {job_name!r} must be non-empty and free of ':'")
-    payload = F.to_json(payload_struct(df), {"ignoreNullFields": "false"})
+    st = payload_struct(df)
+    payload = F.to_json(st, {"ignoreNullFields": "false"})
+    shape = df.select(st.alias("s")).schema["s"].dataType.json()
     return df.select(
         F.lit(job_name).alias("job_name"),
         F.lit(operation).alias("operation"),
         F.lit(arguments).alias("arguments"),
+        F.lit(shape).alias(SCHEMA),
         payload.alias(PAYLOAD),
     )
 
@@ -64,7 +69,7 @@ def new_members(existing: DataFrame | None, new: DataFrame) -> DataFrame:
     fresh = new.distinct()
     if existing is None:
         return fresh
-    return fresh.join(existing, KEY_COLS + [PAYLOAD], "left_anti")
+    return fresh.join(existing.select(*KEY_COLS, PAYLOAD), KEY_COLS + [PAYLOAD], "left_anti")
 
 
 def publish_check(existing: DataFrame | None, items: DataFrame) -> DataFrame:
@@ -99,7 +104,7 @@ def read_staging(spark: SparkSession, path: str, must_exist: bool = True) -> Dat
         if must_exist:
             raise MissingKeyError(f"no staging at {path}")
         return None
-    return spark.read.option("basePath", path).parquet(path).select(*KEY_COLS, PAYLOAD)
+    return spark.read.option("basePath", path).parquet(path).select(*KEY_COLS, SCHEMA, PAYLOAD)
 
 
 def drop_keys(spark: SparkSession, path: str, keys: Iterable[tuple[str, str, str]]) -> int:
@@ -148,7 +153,17 @@ def purge(df: DataFrame) -> DataFrame:
 
 def cardinality(staged: DataFrame) -> DataFrame:
     """A1: members per key (distinct payloads)."""
-    return staged.distinct().groupBy(*KEY_COLS).agg(F.count(F.lit(1)).alias("cardinality"))
+    return staged.select(*KEY_COLS, PAYLOAD).distinct().groupBy(*KEY_COLS).agg(F.count(F.lit(1)).alias("cardinality"))
+
+
+def decode(members: DataFrame, schema_json: str) -> DataFrame:
+    """Staged members of one shape back into typed columns."""
+    import json
+
+    from pyspark.sql import types as T
+
+    st = T.StructType.fromJson(json.loads(schema_json))
+    return members.select(F.from_json(PAYLOAD, st).alias("_r")).select("_r.*")
 
 
 def keys_of(staged: DataFrame) -> DataFrame:
@@ -199,7 +214,7 @@ def batch_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], batc
 def key_sample(staged: DataFrame, n: int) -> DataFrame:
     """Per key, type (Nodes / Edges), size, and the first ``n`` members by payload."""
     sizes = cardinality(staged)
-    sample = top_n_within(staged.distinct(), KEY_COLS, [PAYLOAD], n, out="sample_no")
+    sample = top_n_within(staged.select(*KEY_COLS, PAYLOAD).distinct(), KEY_COLS, [PAYLOAD], n, out="sample_no")
     kind = F.when(F.col("operation") == NODES_INGEST, "Nodes").otherwise("Edges")
     return sample.join(sizes, KEY_COLS, "inner").select(
         key_column(), kind.alias("type"), F.col("cardinality").alias("size"), "sample_no", PAYLOAD
@@ -233,6 +248,8 @@ __all__ = [
     "delete_prefix",
     "purge",
     "cardinality",
+    "decode",
+    "SCHEMA",
     "keys_of",
     "keys_by_pattern",
     "keys_of_translation",

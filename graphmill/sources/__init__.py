@@ -1 +1 @@
-"""sources."""
+"""Sources."""
