@@ -35,25 +35,42 @@ def key_column() -> Column:
     return build_key("job_name", "operation", "arguments").alias("key")
 
 
-def stage(df: DataFrame, job_name: str, operation: str, arguments: str) -> DataFrame:
+def stage(df: DataFrame, job_name: str, operation: str, arguments: str | Column) -> DataFrame:
     """Rows of ``df`` as members of the set ``job_name:operation:arguments`` (payload = JSON with nulls,
-    plus the payload's schema so a reader can decode it without inference)."""
+    plus the payload's schema so a reader can decode it without inference).  ``arguments`` may be a
+    column, spreading the rows over one key per value."""
     if operation not in ("nodes_ingest", "edges_ingest"):
         raise ValueError(f"Operation {operation} is not supported.")
     if ":" in job_name or not job_name:
         raise ValueError(f"Job name {job_name!r} must be non-empty and free of ':'")
+    args = arguments if isinstance(arguments, Column) else F.lit(arguments)
     st = payload_struct(df)
     payload = F.to_json(st, {"ignoreNullFields": "false"})
     shape = df.select(st.alias("s")).schema["s"].dataType.json()
     return df.select(
         F.lit(job_name).alias("job_name"),
         F.lit(operation).alias("operation"),
-        F.lit(arguments).alias("arguments"),
+        args.cast("string").alias("arguments"),
         F.lit(shape).alias(SCHEMA),
         payload.alias(PAYLOAD),
     )
 
 
+def stage_columns(df: DataFrame, job_name: str, operation: str, arguments: Column, payload_columns: list[str]) -> DataFrame:
+    """``stage`` where the key's arguments come from a column of ``df`` that is not part of the payload."""
+    if operation not in ("nodes_ingest", "edges_ingest"):
+        raise ValueError(f"Operation {operation} is not supported.")
+    st = payload_struct(df, payload_columns)
+    shape = df.select(st.alias("s")).schema["s"].dataType.json()
+    return df.select(
+        F.lit(job_name).alias("job_name"),
+        F.lit(operation).alias("operation"),
+        arguments.cast("string").alias("arguments"),
+        F.lit(shape).alias(SCHEMA),
+        F.to_json(st, {"ignoreNullFields": "false"}).alias(PAYLOAD),
+    )
+
+
 def union_frames(frames: Sequence[DataFrame]) -> DataFrame:
     """Several DataFrames under one key; columns missing in one become null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
