@@ -8,6 +8,7 @@ from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from graphmill.model import DELETE_BATCH_SIZE, FROM_UID, INDEXED_PROPERTIES, TO_UID, UID, Graph
 from graphmill.operators.skew import HOT_KEY_MIN_ROWS, split_join
@@ -17,11 +18,31 @@ class PropertyNotIndexedError(ValueError):
     pass
 
 
-def property_predicate(conditions: Sequence[tuple[str, object]]) -> Column:
-    """conjunction of ``property = value`` with typed literals (a quoted number never matches a number)."""
+def _same_kind(value: object, data_type: T.DataType) -> bool:
+    if isinstance(value, bool):
+        return isinstance(data_type, T.BooleanType)
+    if isinstance(value, str):
+        return isinstance(data_type, (T.StringType, T.VarcharType, T.CharType))
+    if isinstance(value, (int, float)):
+        return isinstance(data_type, T.NumericType)
+    return True
+
+
+def property_predicate(conditions: Sequence[tuple[str, object]], schema: T.StructType | None = None) -> Column:
+    """conjunction of ``property = value`` with typed comparison.
+
+    With the table's schema, a value of another kind than the column never matches (a quoted ``'5'``
+    does not match the number 5, as in the graph store of the reference), instead of Spark's implicit cast.
+    """
     if not conditions:
         raise ValueError("at least one (property, value) condition is required")
-    return reduce(lambda a, b: a & b, [F.col(name) == F.lit(value) for name, value in conditions])
+    parts = []
+    for name, value in conditions:
+        if schema is not None and name in schema.fieldNames() and not _same_kind(value, schema[name].dataType):
+            parts.append(F.lit(False))
+        else:
+            parts.append(F.col(name) == F.lit(value))
+    return reduce(lambda a, b: a & b, parts)
 
 
 def check_indexed(label: str, properties: Iterable[str], indexed: Mapping[str, Sequence[str]] = INDEXED_PROPERTIES) -> None:
@@ -56,7 +77,7 @@ def detach_delete(
     if indexed is not None:
         check_indexed(label, [c for c, _ in conditions], indexed)
     nodes = graph.nodes[label]
-    hit = F.coalesce(property_predicate(conditions), F.lit(False))
+    hit = F.coalesce(property_predicate(conditions, nodes.schema), F.lit(False))
     kept = nodes.where(~hit)
     deleted = nodes.where(hit).select(UID)
     gone = deleted.select(F.col(UID).alias("_gone"))

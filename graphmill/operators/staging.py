@@ -21,6 +21,7 @@ from graphmill.operators.skew import number_within, top_n_within
 KEY_COLS = ["job_name", "operation", "arguments"]
 PAYLOAD = "payload"
 SCHEMA = "schema"  # JSON of the payload's struct type; one dictionary entry per key in parquet
+STAGING_DDL = "job_name string, operation string, arguments string, schema string, payload string"
 
 
 class MissingKeyError(LookupError):
@@ -121,6 +122,8 @@ def read_staging(spark: SparkSession, path: str, must_exist: bool = True) -> Dat
         if must_exist:
             raise MissingKeyError(f"no staging at {path}")
         return None
+    if not any(st.getPath().getName().startswith("job_name=") for st in fs.listStatus(p)):
+        return spark.createDataFrame([], STAGING_DDL)  # every key dropped
     return spark.read.option("basePath", path).parquet(path).select(*KEY_COLS, SCHEMA, PAYLOAD)
 
 
@@ -136,6 +139,9 @@ def drop_keys(spark: SparkSession, path: str, keys: Iterable[tuple[str, str, str
         if fs.exists(p):
             fs.delete(p, True)
             n += 1
+        for parent in (p.getParent(), p.getParent().getParent()):  # empty operation / job folders go too
+            if fs.exists(parent) and len(fs.listStatus(parent)) == 0:
+                fs.delete(parent, False)
     return n
 
 

@@ -177,7 +177,8 @@ def load_staged(
     """Merge every staged key of ``translation_id`` (nodes first), then drop those keys.
 
     Members of one key with several shapes are merged shape by shape, so presence (absent column vs null
-    value) stays exact per row.
+    value) stays exact per row.  A set has no order, so neither does the reference; ours applies the shapes
+    in the order of their schema text, which makes reruns repeatable.
     """
     log = EventLog(request_id, as_of)
     staged = staging.read_staging(spark, staging_path)
