@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphmill.model import DELETE_BATCH_SIZE, FROM_UID, INDEXED_PROPERTIES, TO_UID, UID, Graph
-from graphmill.operators.skew import HOT_KEY_MIN_ROWS, split_join
+from graphmill.operators.skew import HOT_KEY_MIN_ROWS, hot_keys_by_column, split_join
 
 
 class PropertyNotIndexedError(ValueError):
@@ -87,10 +87,10 @@ def detach_delete(
     for key, edges in graph.edges.items():
         _, from_label, to_label = key
         out = edges
-        if from_label == label:
-            out = split_join(out, gone, FROM_UID, "_gone", "left_anti", min_rows=hot_min_rows)
-        if to_label == label:
-            out = split_join(out, gone, TO_UID, "_gone", "left_anti", min_rows=hot_min_rows)
+        sides = [c for c, l in ((FROM_UID, from_label), (TO_UID, to_label)) if l == label]
+        hot = hot_keys_by_column(edges, sides, hot_min_rows) if sides and hot_min_rows is not None else {c: [] for c in sides}
+        for c in sides:
+            out = split_join(out, gone, c, "_gone", "left_anti", hot=hot[c])
         new_edges[key] = out
         if out is not edges:
             removed_counts.append(edges.agg(F.count(F.lit(1)).alias("n")).unionByName(out.agg((-F.count(F.lit(1))).alias("n"))))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphmill.model import CREATED, FROM_UID, LAST_UPDATED, TO_UID, UID
-from graphmill.operators.skew import HOT_KEY_MIN_ROWS, latest_per_key, split_join
+from graphmill.operators.skew import HOT_KEY_MIN_ROWS, hot_keys_by_column, latest_per_key, split_join
 
 ACTION = "_action"
 CREATED_ACTION, UPDATED_ACTION, KEPT_ACTION = "created", "updated", "kept"
@@ -140,8 +140,10 @@ def valid_edges(
     """Distinct (from, to) pairs of ``incoming`` whose ends both exist.
 
     Repeats collapse first (partial aggregate), then each end is checked with a semi-join against the node
-    keys only; a supernode's edges take the broadcast path of ``split_join``.
+    keys only; a supernode's edges take the broadcast path of ``split_join``.  Hot ends are counted once,
+    on the raw input, for both ends in one pass.
     """
+    hot = _hot_ends(incoming, hot_min_rows)
     pairs = (
         incoming.select(FROM_UID, TO_UID)
         .where(F.col(FROM_UID).isNotNull() & F.col(TO_UID).isNotNull())
@@ -149,11 +151,17 @@ def valid_edges(
     )
     fk = from_nodes.select(F.col(UID).alias("_fk"))
     tk = to_nodes.select(F.col(UID).alias("_tk"))
-    pairs = split_join(pairs, fk, FROM_UID, "_fk", "left_semi", min_rows=hot_min_rows)
-    pairs = split_join(pairs, tk, TO_UID, "_tk", "left_semi", min_rows=hot_min_rows)
+    pairs = split_join(pairs, fk, FROM_UID, "_fk", "left_semi", hot=hot[FROM_UID])
+    pairs = split_join(pairs, tk, TO_UID, "_tk", "left_semi", hot=hot[TO_UID])
     return pairs
 
 
+def _hot_ends(edges: DataFrame, hot_min_rows: int | None) -> dict[str, list]:
+    if hot_min_rows is None:
+        return {FROM_UID: [], TO_UID: []}
+    return hot_keys_by_column(edges, [FROM_UID, TO_UID], hot_min_rows)
+
+
 def merge_edges_flagged(
     existing: DataFrame | None,
     incoming: DataFrame,
@@ -197,10 +205,11 @@ def dangling_edges(
 ) -> DataFrame:
     """Incoming edges a merge would drop, with ``missing_from`` / ``missing_to`` flags."""
     e = incoming.select(FROM_UID, TO_UID)
+    hot = _hot_ends(e, hot_min_rows)
     fk = from_nodes.select(F.col(UID).alias("_fk"), F.lit(True).alias("_fhit"))
     tk = to_nodes.select(F.col(UID).alias("_tk"), F.lit(True).alias("_thit"))
-    e = split_join(e, fk, FROM_UID, "_fk", "left", min_rows=hot_min_rows)
-    e = split_join(e, tk, TO_UID, "_tk", "left", min_rows=hot_min_rows)
+    e = split_join(e, fk, FROM_UID, "_fk", "left", hot=hot[FROM_UID])
+    e = split_join(e, tk, TO_UID, "_tk", "left", hot=hot[TO_UID])
     out = e.select(
         FROM_UID,
         TO_UID,

@@ -41,23 +41,63 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_MIN_ROWS, max_keys
     return [r[0] for r in top.collect()]
 
 
+def hot_keys_by_column(
+    df: DataFrame, columns: Sequence[str], min_rows: int = HOT_KEY_MIN_ROWS, max_keys: int = HOT_KEY_MAX_KEYS
+) -> dict[str, list]:
+    """``hot_keys`` for several key columns with one scan and one partial aggregate.
+
+    Counting on the raw input over-counts keys that a later dedupe would shrink; that only sends a few more
+    keys down the (exact) broadcast path and keeps the bound of ``max_keys`` per column.
+    """
+    cols = list(columns)
+    packed = F.explode(F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).cast("string").alias("k")) for i, c in enumerate(cols)]))
+    counts = (
+        df.select(packed.alias("e"))
+        .select("e.side", "e.k")
+        .where(F.col("k").isNotNull())
+        .groupBy("side", "k")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") >= F.lit(min_rows))
+    )
+    w = Window.partitionBy("side").orderBy(F.desc("_n"))
+    top = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_keys).collect()
+    out: dict[str, list] = {c: [] for c in cols}
+    for r in top:
+        c = cols[r["side"]]
+        out[c].append(_typed(r["k"], df.schema[c].dataType))
+    return out
+
+
+def _typed(v: str, data_type):
+    from pyspark.sql import types as T
+
+    if isinstance(data_type, T.IntegralType):
+        return int(v)
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        return float(v)
+    return v
+
+
 def split_join(
     big: DataFrame,
     small_unique: DataFrame,
     big_key: str,
     small_key: str,
     how: str = "inner",
-    min_rows: int = HOT_KEY_MIN_ROWS,
+    min_rows: int | None = HOT_KEY_MIN_ROWS,
     max_keys: int = HOT_KEY_MAX_KEYS,
+    hot: list | None = None,
 ) -> DataFrame:
     """``big JOIN small_unique ON big.big_key = small_unique.small_key`` with hot keys of ``big`` split off.
 
     ``small_unique`` must hold each key at most once (node tables on ``_uid``), so its hot slice has at most
     ``max_keys`` rows and is safe to broadcast.  ``how`` is one of inner, left, left_semi, left_anti: all of
-    them decide each left row from rows with the same key only, so the split is exact.
+    them decide each left row from rows with the same key only, so the split is exact.  ``hot`` passes keys
+    found earlier (``hot_keys_by_column``); otherwise they are counted here (``min_rows=None``: no split).
     """
     cond = lambda l, r: l[big_key] == r[small_key]
-    hot = hot_keys(big, big_key, min_rows, max_keys) if min_rows is not None else []
+    if hot is None:
+        hot = hot_keys(big, big_key, min_rows, max_keys) if min_rows is not None else []
     if not hot:
         return big.join(small_unique, cond(big, small_unique), how)
     is_hot = F.col(big_key).isin(hot)
