@@ -46,8 +46,12 @@ def ts_text(column) -> Column:
 
 
 def unix_seconds(column) -> Column:
-    """Whole seconds since the epoch (session time zone, UTC in our sessions)."""
-    return F.unix_timestamp(_c(column).cast("timestamp"))
+    """Whole seconds since the epoch of a wall-clock (``TIMESTAMP_NTZ``) value, read as UTC.
+
+    A difference of two NTZ values, so the result does not depend on the session time zone.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
+    return F.timestamp_diff("SECOND", epoch, _c(column).cast(T.TimestampNTZType()))
 
 
 def to_json_without(df: DataFrame, ignored: list[str], column_name: str = "json") -> Column:
