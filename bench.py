@@ -11,7 +11,6 @@ import datetime as dt
 import json
 import os
 import sys
-import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -25,7 +24,7 @@ from graphmill.operators import merge as M  # noqa: E402
 from graphmill.plans import catalog as C  # noqa: E402
 from graphmill.plans.ingest import ingest  # noqa: E402
 from graphmill.plans.store import GraphStore  # noqa: E402
-from graphmill.session import local_session, table  # noqa: E402
+from graphmill.session import checkpoint_root, local_session, scratch_path, table  # noqa: E402
 from graphmill.sources.providers import Source  # noqa: E402
 
 
@@ -58,7 +57,7 @@ def detach_delete(spark, d):
 
 
 def whole_request(spark, d):
-    store = GraphStore(spark, tempfile.mkdtemp(prefix="bench-graph-"))
+    store = GraphStore(spark, scratch_path(spark, "bench-graph"), buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
     sources = [
         Source("nations", table(spark, d, "nation"), [C.NATION]),
         Source("customers", table(spark, d, "customer"), [C.CUSTOMER, C.CUSTOMER_IN]),
@@ -74,7 +73,7 @@ def delete_1m(spark, d):
     nodes = spark.range(1_000_000).select(
         F.col("id").alias("_uid"), F.lit("Arafat").alias("name"), F.col("id").alias("age"), F.format_string("Person%d@gmail.com", "id").alias("email")
     )
-    path = tempfile.mkdtemp(prefix="bench-1m-") + "/nodes"
+    path = scratch_path(spark, "bench-1m-nodes")
     nodes.write.parquet(path)
     g = Graph({"Person": spark.read.parquet(path)}, {})
     t0 = time.time()
@@ -99,7 +98,7 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, int(cpus) * 2, app="graphmill-bench")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bench-ckpt-"))
+    checkpoint_root(spark)  # the session's spark.checkpoint.dir; a temp folder only in local mode
     run(table(spark, sf_dir, "orders").groupBy("o_custkey").count())  # warm-up, not timed
     times = {}
     for name, fn in WORKLOADS.items():

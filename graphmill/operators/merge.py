@@ -173,9 +173,12 @@ def merge_edges_flagged(
     ok = valid_edges(incoming, from_nodes, to_nodes, hot_min_rows)
     if existing is None:
         return ok.withColumn(ACTION, F.lit(CREATED_ACTION))
-    old = existing.select(FROM_UID, TO_UID)
-    new = ok.join(old, [FROM_UID, TO_UID], "left_anti").withColumn(ACTION, F.lit(CREATED_ACTION))
-    return old.withColumn(ACTION, F.lit(KEPT_ACTION)).unionByName(new)
+    # 1:1 full outer join on the pair (both sides are unique on it): the output stays partitioned like a
+    # bucketed existing table, so the next version is written bucket by bucket without another shuffle.
+    old = existing.select(FROM_UID, TO_UID).withColumn("_old", F.lit(True))
+    j = old.join(ok.withColumn("_new", F.lit(True)), [FROM_UID, TO_UID], "full_outer")
+    action = F.when(F.col("_old").isNotNull(), F.lit(KEPT_ACTION)).otherwise(F.lit(CREATED_ACTION))
+    return j.select(FROM_UID, TO_UID, action.alias(ACTION))
 
 
 def merge_edges(existing, incoming, from_nodes, to_nodes, hot_min_rows: int | None = HOT_KEY_MIN_ROWS) -> DataFrame:

@@ -529,7 +529,7 @@ def _store_counts(store: GraphStore) -> DataFrame:
 
 
 def q_ingest_two_sources(spark, d):
-    store = GraphStore(spark, scratch_path(spark, "graph"))
+    store = GraphStore(spark, scratch_path(spark, "graph"), buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
     sources = [
         PR.Source("customers", _t(spark, d, "customer"), [CUSTOMER, CUSTOMER_IN]),
         PR.Source("suppliers", _t(spark, d, "supplier"), [SUPPLIER, SUPPLIER_IN]),

@@ -61,8 +61,9 @@ def _merge_key(store: GraphStore, key: StagingKey, frames: Sequence[DataFrame],
     parts = args.split(",")
     if op == NODES_INGEST:
         label = parts[0]
-        flagged = merge_nodes_flagged(store.nodes(label), incoming, as_of, order_by)
-        written = store.write_nodes(label, flagged)
+        existing = store.nodes(label)
+        flagged = merge_nodes_flagged(existing, incoming, as_of, order_by)
+        written = store.write_nodes(label, flagged, aligned=existing is not None)
         counts = store.action_counts(written)
         counters = {
             "nodes_created": counts.get(CREATED_ACTION, 0),
@@ -75,14 +76,15 @@ def _merge_key(store: GraphStore, key: StagingKey, frames: Sequence[DataFrame],
     empty_keys = lambda: store.spark.createDataFrame([], incoming.select("_fromUid").schema).withColumnRenamed("_fromUid", "_uid")
     from_nodes = store.nodes(from_label)
     to_nodes = store.nodes(to_label)
+    existing = store.edges((edge_type, from_label, to_label))
     flagged = merge_edges_flagged(
-        store.edges((edge_type, from_label, to_label)),
+        existing,
         incoming,
         from_nodes if from_nodes is not None else empty_keys(),
         to_nodes if to_nodes is not None else empty_keys(),
         hot_min_rows,
     )
-    written = store.write_edges((edge_type, from_label, to_label), flagged)
+    written = store.write_edges((edge_type, from_label, to_label), flagged, aligned=existing is not None)
     counts = store.action_counts(written)
     props = element_properties(edge_type, from_label, to_label)
     counters = {"relationships_created": counts.get(CREATED_ACTION, 0)}

@@ -4,22 +4,34 @@ versions ``v=000001, v=000002, ...``.
 A merge reads version n and writes n+1, so no job overwrites the files it reads, a failed job leaves no
 half table behind (a version counts only once its ``_SUCCESS`` marker exists), and an executor lost
 mid-merge is recomputed from version n, which is still there.  Paths work on any Hadoop file system.
+
+With ``buckets=B`` every version is also a catalog table bucketed (and sorted) on ``_uid`` for nodes and
+on ``(_fromUid, _toUid)`` for edges.  A merge then joins the bucketed existing table without shuffling
+it: only the incoming batch is shuffled into the B buckets, and the join's output partitions are the
+buckets of the next version.  On a cluster the catalog is the shared metastore; a version missing from
+the catalog is registered again over its folder.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphmill.model import Graph
+from graphmill.model import FROM_UID, TO_UID, UID, Graph
 from graphmill.operators.merge import ACTION
 
 
 class GraphStore:
-    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2):
+    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2, buckets: int | None = None, database: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep_versions = keep_versions
+        self.buckets = buckets
+        self.database = database
+        self._tag = hashlib.sha1(self.root.encode()).hexdigest()[:10]
         jvm = spark._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -44,22 +56,61 @@ class GraphStore:
                 out.append(int(name[2:]))
         return sorted(out)
 
+    def _table(self, folder: str, version: int) -> str:
+        name = "gm_" + self._tag + "_" + re.sub(r"[^0-9A-Za-z_]", "_", folder[len(self.root) + 1 :]) + f"_v{version}"
+        return f"{self.database}.{name}" if self.database else name
+
+    @staticmethod
+    def _keys(folder: str) -> list[str]:
+        return [UID] if "/nodes/" in folder else [FROM_UID, TO_UID]
+
+    def _read_version(self, folder: str, version: int) -> DataFrame:
+        path = f"{folder}/v={version:06d}"
+        if not self.buckets:
+            return self.spark.read.parquet(path)
+        name = self._table(folder, version)
+        if not self.spark.catalog.tableExists(name):
+            keys = ", ".join(f"`{k}`" for k in self._keys(folder))
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+                f"INTO {self.buckets} BUCKETS LOCATION '{path}'"
+            )
+        return self.spark.table(name)
+
     def _read(self, folder: str) -> DataFrame | None:
         v = self._versions(folder)
         if not v:
             return None
-        df = self.spark.read.parquet(f"{folder}/v={v[-1]:06d}")
+        df = self._read_version(folder, v[-1])
         return df.drop(ACTION) if ACTION in df.columns else df
 
-    def _write(self, folder: str, df: DataFrame) -> str:
+    def _write(self, folder: str, df: DataFrame, aligned: bool = False) -> str:
         v = self._versions(folder)
         nxt = (v[-1] if v else 0) + 1
         path = f"{folder}/v={nxt:06d}"
-        df.write.mode("error").parquet(path)
+        if self.buckets:
+            keys = self._keys(folder)
+            if not aligned:
+                df = df.repartition(self.buckets, *keys)  # one file per bucket
+            (
+                df.write.format("parquet")
+                .mode("error")
+                .bucketBy(self.buckets, *keys)
+                .sortBy(*keys)
+                .option("path", path)
+                .saveAsTable(self._table(folder, nxt))
+            )
+        else:
+            df.write.mode("error").parquet(path)
         for old in v[: max(0, len(v) + 1 - self.keep_versions)]:
+            if self.buckets:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._table(folder, old)}")
             self._fs.delete(self._Path(f"{folder}/v={old:06d}"), True)
         return path
 
+    def _written(self, folder: str, path: str) -> DataFrame:
+        return self._read_version(folder, int(path.rsplit("=", 1)[1]))
+
     # ------------------------------------------------------------------ API
     def labels(self) -> list[str]:
         return sorted(n for n in self._list(f"{self.root}/nodes") if self._versions(self._node_dir(n)))
@@ -78,14 +129,17 @@ class GraphStore:
     def edges(self, key: tuple[str, str, str]) -> DataFrame | None:
         return self._read(self._edge_dir(key))
 
-    def write_nodes(self, label: str, df: DataFrame) -> DataFrame:
-        """Write a new version; returns the written table read back (with ``_action`` when given)."""
-        path = self._write(self._node_dir(label), df)
-        return self.spark.read.parquet(path)
+    def write_nodes(self, label: str, df: DataFrame, aligned: bool = False) -> DataFrame:
+        """Write a new version; returns the written table read back (with ``_action`` when given).
+
+        ``aligned``: ``df`` comes out of a merge with the bucketed current version, so its partitions are
+        already the buckets (no repartition needed; only the number of files depends on it)."""
+        folder = self._node_dir(label)
+        return self._written(folder, self._write(folder, df, aligned))
 
-    def write_edges(self, key: tuple[str, str, str], df: DataFrame) -> DataFrame:
-        path = self._write(self._edge_dir(key), df)
-        return self.spark.read.parquet(path)
+    def write_edges(self, key: tuple[str, str, str], df: DataFrame, aligned: bool = False) -> DataFrame:
+        folder = self._edge_dir(key)
+        return self._written(folder, self._write(folder, df, aligned))
 
     def graph(self) -> Graph:
         return Graph({l: self.nodes(l) for l in self.labels()}, {k: self.edges(k) for k in self.edge_keys()})

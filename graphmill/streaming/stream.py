@@ -72,8 +72,8 @@ def merge_stream_into_store(stream: DataFrame, store, label: str, as_of, checkpo
         fs = marker.getFileSystem(conf)
         if fs.exists(marker):
             return  # replay of a batch already merged
-        flagged = merge_nodes_flagged(store.nodes(label), batch, as_of, order_by)
-        store.write_nodes(label, flagged)
+        existing = store.nodes(label)
+        store.write_nodes(label, merge_nodes_flagged(existing, batch, as_of, order_by), aligned=existing is not None)
         fs.create(marker, True).close()
 
     run_to_end(stream, sink, checkpoint)

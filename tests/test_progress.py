@@ -179,3 +179,28 @@ def test_dump_and_lookup(spark, tmp):
     live = P.request_state(e.where("request_id = 'a'"))
     got = {r["request_id"]: (r["status"], r["source"]) for r in P.progress_lookup(live, dumped).collect()}
     assert got == {"a": ("STARTED_PROCESSING_REQUEST", "memory"), "b": ("DONE_PROCESSING_REQUEST", "dump")}
+
+
+def test_bucketed_store_matches_plain(spark, tmp, persons, person_edges):
+    from graphmill.model import NodeMapping, EdgeMapping
+    from graphmill.sources.providers import Source
+
+    nodes = NodeMapping("Person", "_uid", {"name": "name", "age": "age"})
+    edges = EdgeMapping("EDGE_TYPE", "Person", "_fromUid", "Person", "_toUid")
+    out = {}
+    for b in (None, 4):
+        store = GraphStore(spark, os.path.join(tmp, f"g{b}"), buckets=b)
+        ingest(spark, [Source("p", persons, [nodes])], store, "r1", dt.datetime(2024, 1, 1))
+        ingest(spark, [Source("e", person_edges, [edges])], store, "r2", dt.datetime(2024, 1, 2))
+        upd = persons.where("_uid % 2 = 0").withColumn("name", F.upper("name"))
+        res = ingest(spark, [Source("p", upd, [nodes]), Source("e", person_edges.union(person_edges.limit(3)), [edges])], store, "r3", dt.datetime(2024, 1, 3))
+        out[b] = (
+            sorted(tuple(r) for r in store.nodes("Person").collect()),
+            sorted(tuple(r) for r in store.edges(("EDGE_TYPE", "Person", "Person")).collect()),
+            [(x["element_type"], x.get("nodes_created"), x.get("nodes_matched"), x.get("relationships_created")) for x in res.loaded],
+        )
+        if b:
+            files = [f for f in os.listdir(os.path.join(tmp, f"g{b}", "nodes", "Person", "v=000002")) if f.endswith(".parquet")]
+            assert len(files) == b  # the merge output partitions are the buckets
+    assert out[None] == out[4]
+    assert out[4][2] == [("NODES", 0, 525, None), ("EDGES", None, None, 0)]
