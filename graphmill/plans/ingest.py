@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -55,7 +56,38 @@ def _order_keys(keys: Sequence[StagingKey]) -> list[StagingKey]:
     return sorted(keys, key=lambda k: (k[1] != NODES_INGEST, ":".join(k).lower()))
 
 
-def _merge_key(store: GraphStore, key: StagingKey, frames: Sequence[DataFrame], as_of, log: EventLog, order_by, hot_min_rows) -> dict:
+def _target(key: StagingKey) -> tuple[str, str]:
+    """The table a key writes: a label for nodes, (type, from, to) for edges."""
+    _, op, args = key
+    return (op, args.split(",")[0] if op == NODES_INGEST else args)
+
+
+def _run_keys(store: GraphStore, work: list[tuple[StagingKey, Sequence[DataFrame]]], as_of, order_by, hot_min_rows, parallel: int) -> list[dict]:
+    """Merge every key; all node keys first, then the edge keys.  Within a phase, keys that write different
+    tables run as concurrent Spark jobs (driver threads only submit them); keys of one table run in order."""
+    results: list[dict | None] = [None] * len(work)
+
+    def run_group(positions: list[int]) -> None:
+        for pos in positions:
+            key, frames = work[pos]
+            results[pos] = _merge_key(store, key, frames, as_of, order_by, hot_min_rows)
+
+    for phase in (NODES_INGEST, EDGES_INGEST):
+        groups: dict[tuple[str, str], list[int]] = {}
+        for pos, (key, _) in enumerate(work):
+            if key[1] == phase:
+                groups.setdefault(_target(key), []).append(pos)
+        if parallel > 1 and len(groups) > 1:
+            with ThreadPoolExecutor(max_workers=min(parallel, len(groups))) as pool:
+                for f in [pool.submit(run_group, positions) for positions in groups.values()]:
+                    f.result()
+        else:
+            for positions in groups.values():
+                run_group(positions)
+    return results  # type: ignore[return-value]
+
+
+def _merge_key(store: GraphStore, key: StagingKey, frames: Sequence[DataFrame], as_of, order_by, hot_min_rows) -> dict:
     _, op, args = key
     incoming = staging.union_frames(frames)
     parts = args.split(",")
@@ -70,7 +102,6 @@ def _merge_key(store: GraphStore, key: StagingKey, frames: Sequence[DataFrame],
             "labels_added": counts.get(CREATED_ACTION, 0),
             "nodes_matched": counts.get(UPDATED_ACTION, 0),
         }
-        log.emit("PUSHED_GRAPH_ELEMENTS_INTO_NEO", f"Pushed nodes: {label}", element_type="NODES", element_properties=label, **counters)
         return {"key": ":".join(key), "element_type": "NODES", "element_properties": label, **counters}
     edge_type, from_label, to_label = parts
     empty_keys = lambda: store.spark.createDataFrame([], incoming.select("_fromUid").schema).withColumnRenamed("_fromUid", "_uid")
@@ -88,7 +119,6 @@ def _merge_key(store: GraphStore, key: StagingKey, frames: Sequence[DataFrame],
     counts = store.action_counts(written)
     props = element_properties(edge_type, from_label, to_label)
     counters = {"relationships_created": counts.get(CREATED_ACTION, 0)}
-    log.emit("PUSHED_GRAPH_ELEMENTS_INTO_NEO", f"Pushed edges: {props}", element_type="EDGES", element_properties=props, **counters)
     return {"key": ":".join(key), "element_type": "EDGES", "element_properties": props, **counters}
 
 
@@ -109,6 +139,7 @@ def ingest(
     translator=None,
     order_by: Sequence[str] | None = None,
     hot_min_rows: int | None = HOT_KEY_MIN_ROWS,
+    parallel: int = 4,
 ) -> IngestResult:
     """Translate every source, (optionally) stage it, merge nodes then edges, drop the staged keys.
 
@@ -132,21 +163,24 @@ def ingest(
         per_source.append((src, translated))
     log.emit("REDIS_IS_READY_FOR_CONSUMPTION", f"Graph elements are ready [{stamped}]")
 
-    loaded = []
     # Node keys of every source before any edge key: an edge of source A may end at a node of source B.
     work = [(i, src, key, frames) for i, (src, tr) in enumerate(per_source) for key, frames in tr.items()]
     work.sort(key=lambda w: (w[2][1] != NODES_INGEST, w[0], ":".join(w[2]).lower()))
-    first = {}
-    last = {}
+    if staging_path:
+        work = [(i, src, key, _read_staged(spark, staging_path, key)) for i, src, key, _ in work]
+    results = _run_keys(store, [(key, frames) for _, _, key, frames in work], as_of, order_by, hot_min_rows, parallel)
+
+    loaded = []
+    first, last = {}, {}
     for pos, w in enumerate(work):
         first.setdefault(w[0], pos)
         last[w[0]] = pos
-    for pos, (i, src, key, frames) in enumerate(work):
+    for pos, (i, src, key, _) in enumerate(work):
         if first[i] == pos:
             log.emit("WRITING_FROM_REDIS_TO_NEO", f"Loading source {src.name}", source_name=src.name, processed_keys=[":".join(k) for k in per_source[i][1]])
-        if staging_path:
-            frames = _read_staged(spark, staging_path, key)
-        loaded.append({"source_name": src.name, **_merge_key(store, key, frames, as_of, log, order_by, hot_min_rows)})
+        r = results[pos]
+        log.emit("PUSHED_GRAPH_ELEMENTS_INTO_NEO", f"Pushed {r['element_type'].lower()}: {r['element_properties']}", **{k: v for k, v in r.items() if k != "key"})
+        loaded.append({"source_name": src.name, **r})
         if last[i] == pos:
             keys = list(per_source[i][1])
             log.emit("DELETING_REDIS_KEYS", f"Deleting done-with keys [{src.name}]", keys=[":".join(k) for k in keys])
@@ -194,7 +228,9 @@ def load_staged(
             raise ValueError(f"Operation {key[1]} is not supported.")
         frames = _read_staged(spark, staging_path, key)
         for f in frames:
-            loaded.append(_merge_key(store, key, [f], as_of, log, order_by, hot_min_rows))
+            r = _merge_key(store, key, [f], as_of, order_by, hot_min_rows)
+            log.emit("PUSHED_GRAPH_ELEMENTS_INTO_NEO", f"Pushed {r['element_type'].lower()}: {r['element_properties']}", **{k: v for k, v in r.items() if k != "key"})
+            loaded.append(r)
     if delete_after:
         log.emit("DELETING_REDIS_KEYS", "Deleting done-with keys", keys=[":".join(k) for k in keys])
         staging.drop_keys(spark, staging_path, keys)
