@@ -144,6 +144,28 @@ class GraphStore:
     def graph(self) -> Graph:
         return Graph({l: self.nodes(l) for l in self.labels()}, {k: self.edges(k) for k in self.edge_keys()})
 
+    def delete_nodes(self, label: str, conditions, indexed=None, batch_size: int | None = None, hot_min_rows=None) -> dict:
+        """J4 on storage: write new versions of ``label`` and of every edge table touching it.
+
+        Returns ``{label, total, batches, edges_deleted}``; the counts come from the old and new versions
+        (parquet footers), so no extra pass over the data.
+        """
+        from graphmill.model import DELETE_BATCH_SIZE
+        from graphmill.operators import delete as D
+        from graphmill.operators.skew import HOT_KEY_MIN_ROWS
+
+        g = self.graph()
+        kw = {"hot_min_rows": HOT_KEY_MIN_ROWS if hot_min_rows is None else hot_min_rows}
+        res = D.detach_delete(g, label, conditions, indexed=indexed, batch_size=batch_size or DELETE_BATCH_SIZE, **kw)
+        before_nodes = g.nodes[label].count()
+        touched = [k for k in g.edges if label in (k[1], k[2])]
+        before_edges = sum(g.edges[k].count() for k in touched)
+        after_nodes = self.write_nodes(label, res.graph.nodes[label], aligned=True).count()  # a filter keeps the buckets
+        after_edges = sum(self.write_edges(k, res.graph.edges[k]).count() for k in touched)
+        total = before_nodes - after_nodes
+        size = batch_size or DELETE_BATCH_SIZE
+        return {"label": label, "total": total, "batches": -(-total // size), "edges_deleted": before_edges - after_edges}
+
     def action_counts(self, written: DataFrame) -> dict[str, int]:
         """Counts per ``_action`` of a written version (reads one small column)."""
         return {r[0]: r[1] for r in written.groupBy(ACTION).agg(F.count(F.lit(1))).collect()}

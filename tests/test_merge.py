@@ -149,3 +149,18 @@ def test_delete_batches(spark):
     res = D.detach_delete(Graph({"Person": nodes}, {}), "Person", [("name", "Arafat")])
     s = res.summary.collect()[0]
     assert (s["total"], s["batches"], s["edges_deleted"]) == (2500, 3, 0)
+
+
+def test_store_delete_nodes(spark, tmp, persons, person_edges):
+    import os
+
+    from graphmill.plans.store import GraphStore
+
+    for b in (None, 4):
+        store = GraphStore(spark, os.path.join(tmp, f"s{b}"), buckets=b)
+        store.write_nodes("Person", persons)
+        store.write_edges(("EDGE_TYPE", "Person", "Person"), M.merge_edges(None, person_edges, persons, persons))
+        s = store.delete_nodes("Person", [("age", 10)])
+        assert s == {"label": "Person", "total": 1, "batches": 1, "edges_deleted": 2}
+        assert store.nodes("Person").count() == 1049
+        assert store.edges(("EDGE_TYPE", "Person", "Person")).where("_fromUid = 10 or _toUid = 10").count() == 0
