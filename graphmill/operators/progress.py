@@ -88,6 +88,27 @@ def request_errors(events: DataFrame, hot_min_rows: int | None = HOT_KEY_MIN_ROW
     return number_within(ev, ["request_id"], ["timestamp", "seq"], out="error_no")
 
 
+def sequence_check(events: DataFrame, expected: Sequence[str], spark: SparkSession | None = None) -> DataFrame:
+    """T5: does each request's ordered event sequence equal ``expected``?
+
+    Events are numbered per request (skew-safe, ``number_within``) and joined to the expected
+    (position, type) list, which is a fixed, small table and so broadcast.  No list per request is built.
+    Returns request_id, n_events, n_matching, first_mismatch (position, or null) and ``matches``.
+    """
+    spark = spark or events.sparkSession
+    exp = F.broadcast(spark.createDataFrame([(i + 1, t) for i, t in enumerate(expected)], "pos long, expected string"))
+    n = number_within(events.select("request_id", "timestamp", "seq", "event_type"), ["request_id"], ["timestamp", "seq"], out="pos")
+    j = n.join(exp, "pos", "left")
+    hit = F.col("event_type").eqNullSafe(F.col("expected"))
+    g = j.groupBy("request_id").agg(
+        F.count(F.lit(1)).alias("n_events"),
+        F.count(F.when(hit, 1)).alias("n_matching"),
+        F.min(F.when(~hit, F.col("pos"))).alias("first_mismatch"),
+    )
+    k = len(expected)
+    return g.withColumn("matches", (F.col("n_events") == k) & (F.col("n_matching") == k))
+
+
 def counter_rollup(counters: DataFrame) -> DataFrame:
     """A5: sum each counter per (request, ``element_type_element_properties``) over all batches."""
     key = F.concat_ws("_", "element_type", "element_properties")

@@ -61,6 +61,28 @@ def copy_to_sink(path: str, mode: str = "append") -> Callable[[DataFrame, int],
     return sink
 
 
+def fan_out_batches(sinks: Sequence[tuple[str, Callable[[DataFrame, int], None]]], outcomes_path: str) -> Callable[[DataFrame, int], None]:
+    """X4 for streams: one ``foreachBatch`` that hands each (persisted) micro-batch to several sinks; a failing
+    sink does not stop the others, and every outcome is appended as a row (batch_id, sink, ok, error)."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        rows = []
+        try:
+            for name, fn in sinks:
+                try:
+                    fn(batch, batch_id)
+                    rows.append((batch_id, name, True, None))
+                except Exception as exc:  # noqa: BLE001 - reported as a row, never fatal to the others
+                    rows.append((batch_id, name, False, str(exc)[:1000]))
+        finally:
+            batch.unpersist()
+        out = batch.sparkSession.createDataFrame(rows, "batch_id long, sink string, ok boolean, error string")
+        out.write.mode("overwrite").parquet(f"{outcomes_path}/batch={batch_id}")
+
+    return sink
+
+
 def merge_stream_into_store(stream: DataFrame, store, label: str, as_of, checkpoint: str, order_by: Sequence[str] | None = None) -> None:
     """Upsert every micro-batch of nodes into ``store`` under ``label``."""
     spark = stream.sparkSession

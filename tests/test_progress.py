@@ -204,3 +204,14 @@ def test_bucketed_store_matches_plain(spark, tmp, persons, person_edges):
             assert len(files) == b  # the merge output partitions are the buckets
     assert out[None] == out[4]
     assert out[4][2] == [("NODES", 0, 525, None), ("EDGES", None, None, 0)]
+
+
+def test_sequence_check(spark, tmp):
+    store = GraphStore(spark, os.path.join(tmp, "graph"))
+    srcs = mock_sources(spark.range(10).withColumnRenamed("id", "i"))
+    res = ingest(spark, srcs, store, "seq", dt.datetime(2024, 5, 6), translator=IdentityTranslator())
+    expected = [r["event_type"] for r in res.events.orderBy("seq").collect()]
+    ok = P.sequence_check(res.events, expected).collect()[0]
+    assert ok["matches"] and ok["n_events"] == 13 and ok["first_mismatch"] is None
+    bad = P.sequence_check(res.events, expected[:5] + ["ERROR"] + expected[6:]).collect()[0]
+    assert not bad["matches"] and bad["first_mismatch"] == 6

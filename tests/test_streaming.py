@@ -56,3 +56,18 @@ def test_live_state_and_sessions(spark, tmp):
     sess = sorted((r["request_id"], r["n_events"]) for r in spark.read.parquet(out2).collect())
     # watermark = 400 min - 1 h: a's two sessions and b's first are closed; b's last one is still open
     assert sess == [("a", 1), ("a", 3), ("b", 1)]
+
+
+def test_fan_out_batches(spark, tmp, persons):
+    src = os.path.join(tmp, "src")
+    persons.repartition(3).write.parquet(src)
+    copy = os.path.join(tmp, "copy")
+
+    def broken(batch, batch_id):
+        raise ValueError("sink down")
+
+    sink = SS.fan_out_batches([("copy", SS.copy_to_sink(copy)), ("broken", broken)], os.path.join(tmp, "outcomes"))
+    SS.run_to_end(SS.read_stream(spark, src, persons.schema, max_files_per_trigger=1), sink, os.path.join(tmp, "ckpt"))
+    assert spark.read.schema(persons.schema).parquet(copy).count() == 1050
+    out = spark.read.parquet(os.path.join(tmp, "outcomes"))
+    assert out.where("sink = 'copy' and ok").count() == 3 and out.where("sink = 'broken' and not ok").count() == 3
