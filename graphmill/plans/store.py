@@ -64,16 +64,26 @@ class GraphStore:
     def _keys(folder: str) -> list[str]:
         return [UID] if "/nodes/" in folder else [FROM_UID, TO_UID]
 
+    def _bucket_count(self, path: str) -> int | None:
+        """The bucket count a version was written with, from its ``_buckets=N`` marker (None: plain)."""
+        p = self._Path(path)
+        for st in self._fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("_buckets="):
+                return int(name.split("=", 1)[1])
+        return None
+
     def _read_version(self, folder: str, version: int) -> DataFrame:
         path = f"{folder}/v={version:06d}"
-        if not self.buckets:
+        buckets = self._bucket_count(path)
+        if not buckets:
             return self.spark.read.parquet(path)
         name = self._table(folder, version)
         if not self.spark.catalog.tableExists(name):
             keys = ", ".join(f"`{k}`" for k in self._keys(folder))
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
-                f"INTO {self.buckets} BUCKETS LOCATION '{path}'"
+                f"INTO {buckets} BUCKETS LOCATION '{path}'"
             )
         return self.spark.table(name)
 
@@ -100,11 +110,12 @@ class GraphStore:
                 .option("path", path)
                 .saveAsTable(self._table(folder, nxt))
             )
+            # The bucket count travels with the files: any reader registers the version with it.
+            self._fs.create(self._Path(f"{path}/_buckets={self.buckets}"), True).close()
         else:
             df.write.mode("error").parquet(path)
         for old in v[: max(0, len(v) + 1 - self.keep_versions)]:
-            if self.buckets:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._table(folder, old)}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(folder, old)}")
             self._fs.delete(self._Path(f"{folder}/v={old:06d}"), True)
         return path
 

@@ -215,3 +215,17 @@ def test_sequence_check(spark, tmp):
     assert ok["matches"] and ok["n_events"] == 13 and ok["first_mismatch"] is None
     bad = P.sequence_check(res.events, expected[:5] + ["ERROR"] + expected[6:]).collect()[0]
     assert not bad["matches"] and bad["first_mismatch"] == 6
+
+
+def test_bucket_count_travels_with_the_files(spark, tmp, persons):
+    root = os.path.join(tmp, "g")
+    GraphStore(spark, root, buckets=4).write_nodes("Person", persons)
+    other = GraphStore(spark, root, buckets=8)  # a reader configured differently
+    df = other.nodes("Person")
+    assert df.count() == 1050
+    assert spark.catalog.getTable(other._table(other._node_dir("Person"), 1)).name
+    plain = GraphStore(spark, os.path.join(tmp, "p"))
+    plain.write_nodes("Person", persons)
+    assert plain.nodes("Person").count() == 1050
+    spec = spark.sql(f"DESCRIBE TABLE EXTENDED {other._table(other._node_dir('Person'), 1)}").where("col_name = 'Num Buckets'").collect()
+    assert spec and spec[0]["data_type"] == "4"
