@@ -162,11 +162,18 @@ def delete_keys(staged: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def delete_prefix(staged: DataFrame, prefix: str) -> tuple[DataFrame, DataFrame]:
-    """K5: (remaining rows, one-row count of distinct keys removed)."""
+    """K5: (remaining rows, one-row summary ``keys_deleted``, ``rows_remaining``).
+
+    The summary is one aggregation pass over the staged rows (distinct keys are few; ``count_distinct`` on
+    the key columns combines map-side).
+    """
     key = build_key("job_name", "operation", "arguments")
     hit = key.startswith(prefix)
-    removed = staged.where(hit).select(*KEY_COLS).distinct().agg(F.count(F.lit(1)).alias("keys_deleted"))
-    return staged.where(~hit), removed
+    summary = staged.agg(
+        F.count_distinct(F.when(hit, F.col("job_name")), F.col("operation"), F.col("arguments")).alias("keys_deleted"),
+        F.count(F.when(~hit, 1)).alias("rows_remaining"),
+    )
+    return staged.where(~hit), summary
 
 
 def purge(df: DataFrame) -> DataFrame:

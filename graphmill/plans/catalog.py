@@ -646,11 +646,9 @@ def q_delete_keys(spark, d):
 
 
 def q_delete_prefix(spark, d):
-    left, removed = ST.delete_prefix(_staged_customers(spark, d), "custjob:nodes_ingest:Customer_NATION_1")
-    remaining = left.agg(F.count(F.lit(1)).alias("rows_remaining"))
-    return removed.select(F.lit("custjob:nodes_ingest:Customer_NATION_1").alias("prefix"), "keys_deleted").join(
-        remaining.select(F.lit("custjob:nodes_ingest:Customer_NATION_1").alias("prefix"), "rows_remaining"), "prefix"
-    )
+    prefix = "custjob:nodes_ingest:Customer_NATION_1"
+    _, summary = ST.delete_prefix(_staged_customers(spark, d), prefix)
+    return summary.select(F.lit(prefix).alias("prefix"), "keys_deleted", "rows_remaining")
 
 
 def q_purge(spark, d):

@@ -97,8 +97,9 @@ def test_delete_keys_prefix_purge(spark, persons):
     ).unionByName(ST.stage(persons.limit(2), "keep", "nodes_ingest", "Person1"))
     gone = spark.createDataFrame([("test_table", "nodes_ingest", "Person1")], "job_name string, operation string, arguments string")
     assert ST.delete_keys(staged, gone).count() == 5
-    left, removed = ST.delete_prefix(staged, "test_table:")
-    assert removed.collect()[0]["keys_deleted"] == 2 and left.count() == 2
+    left, summary = ST.delete_prefix(staged, "test_table:")
+    s = summary.collect()[0]
+    assert s["keys_deleted"] == 2 and s["rows_remaining"] == 2 and left.count() == 2
     assert ST.purge(staged).count() == 0 and ST.purge(staged).columns == staged.columns
 
 
