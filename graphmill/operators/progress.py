@@ -173,10 +173,14 @@ class DuplicateJobError(ValueError):
     pass
 
 
+def is_small(df: DataFrame, max_rows: int = 100_000) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (counts at most ``max_rows + 1``)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast ``df`` only after checking it has at most ``max_rows`` rows; else leave it to a shuffle."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def check_registry(registry: DataFrame) -> None:
@@ -189,8 +193,11 @@ def check_registry(registry: DataFrame) -> None:
 def name_entries(entries: DataFrame, registry: DataFrame, max_broadcast_rows: int = 100_000) -> DataFrame:
     """Fill ``job_name`` of admin-log entries from the id -> name registry (unknown ids stay null)."""
     check_registry(registry)
-    reg = broadcast_if_small(registry.select("job_id", F.col("job_name").alias("_name")), max_broadcast_rows)
-    j = entries.join(reg, "job_id", "left")
+    reg = registry.select(F.col("job_id").alias("_jid"), F.col("job_name").alias("_name"))
+    if is_small(reg, max_broadcast_rows):
+        j = entries.join(F.broadcast(reg), entries["job_id"] == reg["_jid"], "left")
+    else:  # a large registry: shuffle join, with busy job ids split off
+        j = split_join(entries, reg, "job_id", "_jid", "left")
     name = F.coalesce(F.col("_name"), F.col("job_name")) if "job_name" in entries.columns else F.col("_name")
     cols = [name.alias("job_name") if c == "job_name" else F.col(c) for c in entries.columns]
     if "job_name" not in entries.columns:

@@ -156,9 +156,15 @@ def _escape(v: str) -> str:
     return "".join(out)
 
 
-def delete_keys(staged: DataFrame, keys: DataFrame) -> DataFrame:
-    """K4 as a DataFrame: staged rows whose key is not in ``keys`` (columns job_name, operation, arguments)."""
-    return staged.join(keys.select(*KEY_COLS).distinct(), KEY_COLS, "left_anti")
+def delete_keys(staged: DataFrame, keys: DataFrame, max_broadcast_keys: int = 100_000) -> DataFrame:
+    """K4 as a DataFrame: staged rows whose key is not in ``keys`` (columns job_name, operation, arguments).
+
+    The key list is broadcast after a size check, so a key holding most staged rows is no shuffle hot spot;
+    a very long list falls back to a shuffle join."""
+    k = keys.select(*KEY_COLS).distinct()
+    if k.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
+        k = F.broadcast(k)
+    return staged.join(k, KEY_COLS, "left_anti")
 
 
 def delete_prefix(staged: DataFrame, prefix: str) -> tuple[DataFrame, DataFrame]:
