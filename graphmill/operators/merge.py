@@ -220,3 +220,34 @@ def dangling_edges(
         F.col("_thit").isNull().alias("missing_to"),
     )
     return out.where(F.col("missing_from") | F.col("missing_to"))
+
+
+MAX_EDGE_TYPES = 10_000
+
+
+def merge_typed_edges(
+    graph,
+    incoming: DataFrame,
+    from_label: str,
+    to_label: str,
+    edge_type: str | None = None,
+    hot_min_rows: int | None = HOT_KEY_MIN_ROWS,
+):
+    """J2 with P15: each incoming edge's type is ``edge_type`` when given, else its own ``_edgeType``.
+
+    Returns a new ``Graph`` whose edge tables ``(type, from_label, to_label)`` hold the merged edges.  The
+    distinct types are read to the driver (a model has few; more than ``MAX_EDGE_TYPES`` is an error),
+    then every type is one merge.
+    """
+    from graphmill.model import EDGE_TYPE, Graph
+
+    typed = incoming.withColumn("_t", F.coalesce(F.lit(edge_type).cast("string"), F.col(EDGE_TYPE)))
+    types = [r[0] for r in typed.select("_t").where(F.col("_t").isNotNull()).distinct().limit(MAX_EDGE_TYPES + 1).collect()]
+    if len(types) > MAX_EDGE_TYPES:
+        raise ValueError(f"more than {MAX_EDGE_TYPES} edge types in one batch")
+    edges = dict(graph.edges)
+    for t in sorted(types):
+        key = (t, from_label, to_label)
+        batch = typed.where(F.col("_t") == t)
+        edges[key] = merge_edges(edges.get(key), batch, graph.nodes[from_label], graph.nodes[to_label], hot_min_rows)
+    return Graph(dict(graph.nodes), edges)

@@ -229,3 +229,38 @@ def test_bucket_count_travels_with_the_files(spark, tmp, persons):
     assert plain.nodes("Person").count() == 1050
     spec = spark.sql(f"DESCRIBE TABLE EXTENDED {other._table(other._node_dir('Person'), 1)}").where("col_name = 'Num Buckets'").collect()
     assert spec and spec[0]["data_type"] == "4"
+
+
+def test_handle_requests(spark, tmp):
+    from graphmill.plans.requests import handle_requests
+    from graphmill.sources.providers import Source
+
+    class Mock:
+        def get_data_and_model_for(self, names):
+            by_name = {s.name: s for s in mock_sources(spark.range(10).withColumnRenamed("id", "i"))}
+            return [by_name[n] for n in names]
+
+    wl = os.path.join(tmp, "white_list.txt")
+    with open(wl, "w") as f:
+        f.write("source-1\nsource-2\n")
+    reqs = spark.createDataFrame(
+        [("{}",), ('{"request_type": "white_list", "request_id": "123"}',), ('{"request_type": "white_list", "file_path": "' + wl + '", "request_id": "my_request_id"}',)],
+        "request string",
+    )
+    store = GraphStore(spark, os.path.join(tmp, "graph"))
+    res = handle_requests(spark, reqs, Mock(), store, dt.datetime(2024, 1, 2, 3, 4, 5), translator=IdentityTranslator())
+    assert res.checked.where("valid").count() == 1
+    assert [r.request_id for r in res.ingested] == ["my_request_id_2024_1_2_3_4_5"]
+    assert store.nodes("MockPerson").count() == 20
+    assert res.events.count() == 13
+
+
+def test_merge_typed_edges(spark, persons):
+    from graphmill.model import Graph
+    from graphmill.operators import merge as M
+
+    e = spark.createDataFrame([(1, 2, "A"), (2, 4, "B"), (3, 6, None), (1, 2, "A")], "_fromUid long, _toUid long, _edgeType string")
+    g = M.merge_typed_edges(Graph({"Person": persons}, {}), e, "Person", "Person")
+    assert sorted(k[0] for k in g.edges) == ["A", "B"] and g.edges[("A", "Person", "Person")].count() == 1
+    g2 = M.merge_typed_edges(g, e, "Person", "Person", edge_type="A")
+    assert g2.edges[("A", "Person", "Person")].count() == 3
