@@ -8,7 +8,15 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from graphmill.model import ARGUMENT_SEPARATOR, KEY_SEPARATOR, NODES_INGEST, SUPPORTED_OPERATIONS
+from graphmill.model import (
+    ARGUMENT_SEPARATOR,
+    KEY_SEPARATOR,
+    MSG_EMPTY_JOB,
+    MSG_KEY_PARTS,
+    MSG_UNSUPPORTED_OPERATION,
+    NODES_INGEST,
+    SUPPORTED_OPERATIONS,
+)
 
 
 def _c(x) -> Column:
@@ -47,9 +55,9 @@ def parse_key(key) -> Column:
     op = F.when(n == 3, F.element_at(parts, 2))
     args = F.when(n == 3, F.split(F.element_at(parts, 3), ARGUMENT_SEPARATOR, -1))
     error = (
-        F.when(n != 3, F.format_string("Expected 3 parts in %s but got %d", k, n))
-        .when(F.length(job) == 0, F.format_string("Job name must not be empty ! [%s]", k))
-        .when(~is_supported_operation(op), F.format_string("Operation %s is not supported.", op))
+        F.when(n != 3, F.format_string(MSG_KEY_PARTS, k, n))
+        .when(F.length(job) == 0, F.format_string(MSG_EMPTY_JOB, k))
+        .when(~is_supported_operation(op), F.format_string(MSG_UNSUPPORTED_OPERATION, op))
     )
     return F.struct(job.alias("job_name"), op.alias("operation"), args.alias("arguments"), error.alias("error"))
 

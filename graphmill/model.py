@@ -41,12 +41,27 @@ EVENT_TYPES = (
     "ERROR",
     "GENERAL_ERROR",
 )
+# Event types whose handler sets the request's status (the others only carry data).
+STATUS_EVENTS = (
+    "STARTED_PROCESSING_REQUEST",
+    "FETCHING_DATA_AND_MODELS",
+    "FINISHED_FETCHING_DATA_AND_MODELS",
+    "WRITING_GRAPH_ELEMENTS_INTO_REDIS",
+    "REDIS_IS_READY_FOR_CONSUMPTION",
+    "DELETING_REDIS_KEYS",
+    "DONE_PROCESSING_REQUEST",
+    "ERROR",
+)
+# Messages of the staging-key checks (format strings, arguments in order).
+MSG_KEY_PARTS = "Expected 3 parts in %s but got %d"
+MSG_EMPTY_JOB = "Job name must not be empty ! [%s]"
+MSG_UNSUPPORTED_OPERATION = "Operation %s is not supported."
 REQUEST_MANDATORY_FIELDS = ("request_type", "request_id")
 REQUIRED_REQUEST_FIELDS = {"white_list": {"file_path": "str"}}
 STATUS_CODES = {"PENDING": 0, "BEGAN": 1, "FINISHED": 2, "ERROR": 666}
 # ---------------------------------------------------------------------------------------------
 
-# Our names for the event steps (the reference's names mention its storage systems).
+# Short aliases of the event types the operators test for.
 STARTED = "STARTED_PROCESSING_REQUEST"
 DONE = "DONE_PROCESSING_REQUEST"
 ERROR = "ERROR"

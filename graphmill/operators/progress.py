@@ -15,22 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphmill.functions.rows import percent_done, ts_text, unix_seconds
-from graphmill.model import DONE, ERROR, STARTED
+from graphmill.model import DONE, ERROR, STARTED, STATUS_EVENTS  # noqa: F401 (re-exported)
 from graphmill.operators.skew import HOT_KEY_MIN_ROWS, number_within, split_join
 
-# Event types that change the status of a request (the others only carry data).
-STATUS_EVENTS = (
-    "STARTED_PROCESSING_REQUEST",
-    "FETCHING_DATA_AND_MODELS",
-    "FINISHED_FETCHING_DATA_AND_MODELS",
-    "WRITING_GRAPH_ELEMENTS_INTO_REDIS",
-    "REDIS_IS_READY_FOR_CONSUMPTION",
-    "DELETING_REDIS_KEYS",
-    "DONE_PROCESSING_REQUEST",
-    "ERROR",
-)
-
-
 def _order() -> Column:
     return F.struct(F.col("timestamp"), F.col("seq"))
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from graphmill.functions.keys import build_key, is_supported_operation, job_name_ok, matches_glob, parse_key
 from graphmill.functions.rows import payload_struct
-from graphmill.model import NODES_INGEST
+from graphmill.model import MSG_UNSUPPORTED_OPERATION, NODES_INGEST, SUPPORTED_OPERATIONS
 from graphmill.operators.skew import number_within, top_n_within
 
 KEY_COLS = ["job_name", "operation", "arguments"]
@@ -40,8 +40,8 @@ def stage(df: DataFrame, job_name: str, operation: str, arguments: str | Column)
     """Rows of ``df`` as members of the set ``job_name:operation:arguments`` (payload = JSON with nulls,
     plus the payload's schema so a reader can decode it without inference).  ``arguments`` may be a
     column, spreading the rows over one key per value."""
-    if operation not in ("nodes_ingest", "edges_ingest"):
-        raise ValueError(f"Operation {operation} is not supported.")
+    if operation not in SUPPORTED_OPERATIONS:
+        raise ValueError(MSG_UNSUPPORTED_OPERATION % operation)
     if ":" in job_name or not job_name:
         raise ValueError(f"Job name {job_name!r} must be non-empty and free of ':'")
     args = arguments if isinstance(arguments, Column) else F.lit(arguments)
@@ -59,8 +59,8 @@ def stage(df: DataFrame, job_name: str, operation: str, arguments: str | Column)
 
 def stage_columns(df: DataFrame, job_name: str, operation: str, arguments: Column, payload_columns: list[str]) -> DataFrame:
     """``stage`` where the key's arguments come from a column of ``df`` that is not part of the payload."""
-    if operation not in ("nodes_ingest", "edges_ingest"):
-        raise ValueError(f"Operation {operation} is not supported.")
+    if operation not in SUPPORTED_OPERATIONS:
+        raise ValueError(MSG_UNSUPPORTED_OPERATION % operation)
     st = payload_struct(df, payload_columns)
     shape = df.select(st.alias("s")).schema["s"].dataType.json()
     return df.select(

@@ -17,7 +17,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphmill.model import EDGES_INGEST, EVENT_SCHEMA, NODES_INGEST
+from graphmill.model import EDGES_INGEST, EVENT_SCHEMA, MSG_UNSUPPORTED_OPERATION, NODES_INGEST
 from graphmill.operators import staging
 from graphmill.operators.merge import (
     ACTION,
@@ -225,7 +225,7 @@ def load_staged(
     loaded = []
     for key in _order_keys(keys):
         if key[1] not in (NODES_INGEST, EDGES_INGEST):
-            raise ValueError(f"Operation {key[1]} is not supported.")
+            raise ValueError(MSG_UNSUPPORTED_OPERATION % key[1])
         frames = _read_staged(spark, staging_path, key)
         for f in frames:
             r = _merge_key(store, key, [f], as_of, order_by, hot_min_rows)

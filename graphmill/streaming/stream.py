@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphmill.model import DONE, ERROR
+from graphmill.model import DONE, ERROR, STATUS_EVENTS
 from graphmill.operators.merge import merge_nodes_flagged
-from graphmill.operators.progress import STATUS_EVENTS
+
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
