@@ -5,9 +5,9 @@ Nothing here puts such a key into one task:
 
 * ``hot_keys`` finds the heaviest keys with a partial (map-side) count and a distributed top-K; at most
   ``max_keys`` rows reach the driver, and any key left out holds at most ``1/max_keys`` of the rows.
-* ``split_join`` joins a large, possibly skewed side to a side that is unique on the key: rows with a hot
-  key take a broadcast path whose build side is at most ``max_keys`` rows (a proven bound), the rest a
-  normal shuffle join.
+* ``split_join`` joins a large, possibly skewed side to a side that is unique on the key: each hot key is
+  salted into slices of ordinary task size, its single row on the unique side repeated once per slice.
+  One scan, one shuffle, exact.
 * ``number_within`` gives exact ``row_number()`` per key: rows are range-partitioned on (key, order), so a
   hot key spreads over many tasks; per-(partition, key) counts are prefix-summed and joined back.
 * ``top_n_within`` keeps the first ``n`` rows per key in two rounds, each over a bounded group.
@@ -34,37 +34,41 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_MIN_ROWS, max_keys: int = HOT_KEY_MAX_KEYS) -> list:
-    """Values of ``key`` with at least ``min_rows`` rows, heaviest first, at most ``max_keys`` of them."""
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_MIN_ROWS, max_keys: int = HOT_KEY_MAX_KEYS) -> list[tuple]:
+    """(value, rows) of the values of ``key`` with at least ``min_rows`` rows, heaviest first, at most
+    ``max_keys`` of them (partial count, then a distributed top-K: at most ``max_keys`` rows reach the driver)."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     top = counts.where(F.col("_n") >= F.lit(min_rows)).orderBy(F.desc("_n")).limit(max_keys)
-    return [r[0] for r in top.collect()]
+    return [(r[0], r[1]) for r in top.collect()]
 
 
 def hot_keys_by_column(
     df: DataFrame, columns: Sequence[str], min_rows: int = HOT_KEY_MIN_ROWS, max_keys: int = HOT_KEY_MAX_KEYS
-) -> dict[str, list]:
+) -> dict[str, list[tuple]]:
     """``hot_keys`` for several key columns with one scan and one partial aggregate.
 
-    Counting on the raw input over-counts keys that a later dedupe would shrink; that only sends a few more
-    keys down the (exact) broadcast path and keeps the bound of ``max_keys`` per column.
+    Counting on the raw input over-counts keys that a later dedupe would shrink; that only gives a few keys
+    more salt than they need and keeps the bound of ``max_keys`` per column.  One job; each column is a
+    typed partial aggregate over its own (column-pruned) scan.
     """
     cols = list(columns)
-    packed = F.explode(F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).cast("string").alias("k")) for i, c in enumerate(cols)]))
-    counts = (
-        df.select(packed.alias("e"))
-        .select("e.side", "e.k")
-        .where(F.col("k").isNotNull())
-        .groupBy("side", "k")
+    # Typed partial counts per column (hash aggregate on the key's own type); only the few survivors of the
+    # threshold are cast to text to share one result table.
+    parts = [
+        df.where(F.col(c).isNotNull())
+        .groupBy(c)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") >= F.lit(min_rows))
-    )
+        .select(F.lit(i).alias("side"), F.col(c).cast("string").alias("k"), "_n")
+        for i, c in enumerate(cols)
+    ]
+    counts = reduce(DataFrame.unionByName, parts)
     w = Window.partitionBy("side").orderBy(F.desc("_n"))
     top = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_keys).collect()
-    out: dict[str, list] = {c: [] for c in cols}
+    out: dict[str, list[tuple]] = {c: [] for c in cols}
     for r in top:
         c = cols[r["side"]]
-        out[c].append(_typed(r["k"], df.schema[c].dataType))
+        out[c].append((_typed(r["k"], df.schema[c].dataType), r["_n"]))
     return out
 
 
@@ -86,26 +90,31 @@ def split_join(
     how: str = "inner",
     min_rows: int | None = HOT_KEY_MIN_ROWS,
     max_keys: int = HOT_KEY_MAX_KEYS,
-    hot: list | None = None,
+    hot: list[tuple] | None = None,
 ) -> DataFrame:
-    """``big JOIN small_unique ON big.big_key = small_unique.small_key`` with hot keys of ``big`` split off.
-
-    ``small_unique`` must hold each key at most once (node tables on ``_uid``), so its hot slice has at most
-    ``max_keys`` rows and is safe to broadcast.  ``how`` is one of inner, left, left_semi, left_anti: all of
-    them decide each left row from rows with the same key only, so the split is exact.  ``hot`` passes keys
-    found earlier (``hot_keys_by_column``); otherwise they are counted here (``min_rows=None``: no split).
+    """``big JOIN small_unique ON big.big_key = small_unique.small_key`` with hot keys of ``big`` salted.
+
+    A hot key with ``n`` rows is cut into ``ceil(n / min_rows)`` slices: its ``big`` rows get a slice
+    number from a hash of the row, and its (single) ``small_unique`` row is repeated once per slice, so the
+    join key ``(key, slice)`` spreads the hot key over tasks of ordinary size.  One scan and one shuffle;
+    ``small_unique`` grows by at most (rows of ``big``) / ``min_rows`` rows.  Exact for inner, left,
+    left_semi and left_anti: each ``big`` row meets exactly the copy with its slice.  ``hot`` passes
+    (key, rows) pairs found earlier (``hot_keys_by_column``); ``min_rows=None`` turns salting off.
     """
-    cond = lambda l, r: l[big_key] == r[small_key]
     if hot is None:
         hot = hot_keys(big, big_key, min_rows, max_keys) if min_rows is not None else []
     if not hot:
-        return big.join(small_unique, cond(big, small_unique), how)
-    is_hot = F.col(big_key).isin(hot)
-    big_hot, big_cold = big.where(is_hot), big.where(~is_hot | F.col(big_key).isNull())
-    small_hot = small_unique.where(F.col(small_key).isin(hot))
-    cold = big_cold.join(small_unique, cond(big_cold, small_unique), how)
-    warm = big_hot.join(F.broadcast(small_hot), cond(big_hot, small_hot), how)
-    return cold.unionByName(warm)
+        return big.join(small_unique, big[big_key] == small_unique[small_key], how)
+    per_slice = max(1, min_rows or HOT_KEY_MIN_ROWS)
+    slices = F.create_map(*[x for k, n in hot for x in (F.lit(k), F.lit(int(-(-n // per_slice))))])
+    n_big = F.coalesce(F.element_at(slices, F.col(big_key)), F.lit(1))
+    b = big.withColumn("_slice", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), n_big.cast("long")))
+    n_small = F.coalesce(F.element_at(slices, F.col(small_key)), F.lit(1))
+    s = small_unique.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), (n_small - 1).cast("long"))))
+    j = b.join(s, (b[big_key] == s[small_key]) & (b["_slice"] == s["_slice"]), how)
+    if how in ("left_semi", "left_anti"):
+        return j.drop("_slice")
+    return j.drop(b["_slice"]).drop(s["_slice"])
 
 
 def number_within(

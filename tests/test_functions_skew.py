@@ -106,7 +106,8 @@ def test_top_n_and_latest(spark):
 def test_split_join_all_kinds(spark):
     big = spark.range(0, 5000).select(F.when(F.col("id") < 2000, 0).otherwise(F.col("id") % 300).cast("long").alias("k"), F.col("id"))
     small = spark.range(0, 250).select(F.col("id").alias("sk"), (F.col("id") * 10).alias("payload"))
-    assert S.hot_keys(big, "k", min_rows=1000) == [0]
+    assert S.hot_keys(big, "k", min_rows=1000) == [(0, 2010)]
+    assert S.hot_keys_by_column(big, ["k", "id"], min_rows=1000) == {"k": [(0, 2010)], "id": []}
     for how in ("inner", "left", "left_semi", "left_anti"):
         a = S.split_join(big, small, "k", "sk", how, min_rows=1000)
         b = S.split_join(big, small, "k", "sk", how, min_rows=None)
