@@ -25,7 +25,6 @@ SUPPORTED_OPERATIONS = (NODES_INGEST, EDGES_INGEST)
 KEY_SEPARATOR = ":"
 ARGUMENT_SEPARATOR = ","
 DELETE_BATCH_SIZE = 1000
-MERGE_BATCH_SIZE = 50_000
 INDEXED_PROPERTIES = {"*": ["_uid", "_created", "_last_updated", "_table"]}
 EVENT_TYPES = (
     "RECEIVED_REQUEST",
@@ -58,7 +57,6 @@ MSG_EMPTY_JOB = "Job name must not be empty ! [%s]"
 MSG_UNSUPPORTED_OPERATION = "Operation %s is not supported."
 REQUEST_MANDATORY_FIELDS = ("request_type", "request_id")
 REQUIRED_REQUEST_FIELDS = {"white_list": {"file_path": "str"}}
-STATUS_CODES = {"PENDING": 0, "BEGAN": 1, "FINISHED": 2, "ERROR": 666}
 # ---------------------------------------------------------------------------------------------
 
 # Short aliases of the event types the operators test for.

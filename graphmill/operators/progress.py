@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphmill.functions.rows import percent_done, ts_text, unix_seconds
-from graphmill.model import DONE, ERROR, STARTED, STATUS_EVENTS  # noqa: F401 (re-exported)
+from graphmill.model import ADMIN_LOG_SCHEMA, DONE, ERROR, STARTED, STATUS_EVENTS  # noqa: F401 (re-exported)
 from graphmill.operators.skew import HOT_KEY_MIN_ROWS, number_within, split_join
 
 def _order() -> Column:
@@ -193,12 +193,11 @@ def name_entries(entries: DataFrame, registry: DataFrame, max_broadcast_rows: in
 
 
 def create_admin_table(spark: SparkSession, table: str, location: str | None = None) -> None:
-    """K8: the admin log table, if absent (``job_id`` is a string: ids such as ``Unique-123`` exist)."""
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} (timestamp TIMESTAMP_NTZ, job_name STRING, job_id STRING, "
-        f"category STRING, int_value BIGINT, string_value STRING) USING parquet{loc}"
-    )
+    """K8: the admin log table (``model.ADMIN_LOG_SCHEMA``), if absent; ``job_id`` is a string since ids
+    such as ``Unique-123`` exist."""
+    if spark.catalog.tableExists(table):
+        return
+    spark.catalog.createTable(table, path=location, source="parquet", schema=ADMIN_LOG_SCHEMA)
 
 
 def fan_out(df: DataFrame, writers: Iterable[tuple[str, Callable[[DataFrame], None]]]) -> list[tuple[str, bool, str | None]]:

@@ -28,10 +28,6 @@ class MissingKeyError(LookupError):
     pass
 
 
-class PublishError(AssertionError):
-    pass
-
-
 def key_column() -> Column:
     return build_key("job_name", "operation", "arguments").alias("key")
 

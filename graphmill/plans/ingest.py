@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from graphmill.model import EDGES_INGEST, EVENT_SCHEMA, MSG_UNSUPPORTED_OPERATION, NODES_INGEST
 from graphmill.operators import staging
 from graphmill.operators.merge import (
-    ACTION,
     CREATED_ACTION,
     UPDATED_ACTION,
     element_properties,

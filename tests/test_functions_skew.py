@@ -6,7 +6,6 @@ import os
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from graphmill.functions import keys as K
 from graphmill.functions import rows as R
