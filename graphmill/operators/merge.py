@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphmill.model import CREATED, FROM_UID, LAST_UPDATED, TO_UID, UID
-from graphmill.operators.skew import HOT_KEY_MIN_ROWS, hot_keys_by_column, latest_per_key, split_join
+from graphmill.operators.skew import HOT_KEY_MIN_ROWS, hot_keys_by_column, latest_per_key, orderable, split_join
 
 ACTION = "_action"
 CREATED_ACTION, UPDATED_ACTION, KEPT_ACTION = "created", "updated", "kept"
@@ -47,7 +47,7 @@ def _props(df: DataFrame) -> list[str]:
 def dedupe_incoming(incoming: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """One row per ``_uid`` (the last to apply), plus ``_n_in`` = rows of that uid in the batch."""
     inc = incoming.where(F.col(UID).isNotNull())
-    order = list(order_by) if order_by else [c for c in inc.columns if c != UID]
+    order = list(order_by) if order_by else [c for c in inc.columns if c != UID and orderable(inc.schema[c].dataType)]
     return latest_per_key(inc, [UID], order, count_as="_n_in")
 
 

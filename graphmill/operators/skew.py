@@ -183,17 +183,38 @@ def top_n_within(
     return survivors.withColumn(out, F.row_number().over(w2)).where(F.col(out) <= n)
 
 
+def orderable(data_type) -> bool:
+    """Whether Spark can order values of this type (maps cannot be compared)."""
+    from pyspark.sql import types as T
+
+    if isinstance(data_type, T.MapType):
+        return False
+    if isinstance(data_type, T.ArrayType):
+        return orderable(data_type.elementType)
+    if isinstance(data_type, T.StructType):
+        return all(orderable(f.dataType) for f in data_type.fields)
+    return True
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], count_as: str | None = None) -> DataFrame:
     """One row per key: the row with the greatest ``order`` tuple (ties broken by the other columns).
 
     ``max(struct(order..., rest...))`` is an ordinary aggregate, so Spark combines map-side and a hot key
-    costs one row per map task in the shuffle.  Optionally also returns the number of rows of the key.
+    costs one row per map task in the shuffle.  When a column cannot be ordered (a map), the row is
+    carried by ``max_by(struct(rest), struct(order))`` instead, also combined map-side; ties on ``order``
+    are then broken arbitrarily.  Optionally also returns the number of rows of the key.
     """
     keys = list(keys)
     order = list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in rest])
-    aggs = [F.max(packed).alias("_w")]
+    ordered = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    if all(orderable(df.schema[c].dataType) for c in rest):
+        packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in rest])
+        winner = F.max(packed)
+    else:
+        packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in rest])
+        winner = F.max_by(packed, ordered)
+    aggs = [winner.alias("_w")]
     if count_as:
         aggs.append(F.count(F.lit(1)).alias(count_as))
     g = df.groupBy(*keys).agg(*aggs)

@@ -164,3 +164,10 @@ def test_store_delete_nodes(spark, tmp, persons, person_edges):
         assert s == {"label": "Person", "total": 1, "batches": 1, "edges_deleted": 2}
         assert store.nodes("Person").count() == 1049
         assert store.edges(("EDGE_TYPE", "Person", "Person")).where("_fromUid = 10 or _toUid = 10").count() == 0
+
+
+def test_map_properties_merge(spark):
+    inc = spark.createDataFrame([(1, 1, {"a": "x"}), (1, 2, {"a": "y"}), (2, 1, None)], "_uid long, seq long, tags map<string,string>")
+    out = {r["_uid"]: r for r in M.merge_nodes(None, inc, T1, order_by=["seq"]).collect()}
+    assert out[1]["tags"] == {"a": "y"} and out[1]["_last_updated"] is not None
+    assert M.merge_nodes(None, inc, T1).count() == 2  # default order skips the map column
