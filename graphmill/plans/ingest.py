@@ -32,6 +32,7 @@ from graphmill.plans.translate import MappingTranslator, StagingKey
 from graphmill.sources.providers import Source
 
 MAX_KEYS_PER_TRANSLATION = 10_000
+MAX_SHAPES_PER_KEY = 1000
 
 
 @dataclass
@@ -194,7 +195,9 @@ def _read_staged(spark: SparkSession, staging_path: str, key: StagingKey) -> lis
     members = staging.read_staging(spark, staging_path).where(
         (F.col("job_name") == job) & (F.col("operation") == op) & (F.col("arguments") == args)
     )
-    shapes = [r[0] for r in members.select(staging.SCHEMA).distinct().limit(100).collect()]
+    shapes = [r[0] for r in members.select(staging.SCHEMA).distinct().limit(MAX_SHAPES_PER_KEY + 1).collect()]
+    if len(shapes) > MAX_SHAPES_PER_KEY:
+        raise ValueError(f"more than {MAX_SHAPES_PER_KEY} payload shapes under {':'.join(key)}")
     return [staging.decode(members.where(F.col(staging.SCHEMA) == s), s) for s in sorted(shapes)]
 
 

@@ -20,6 +20,7 @@ from graphmill.plans.store import GraphStore
 from graphmill.sources.whitelist import read_white_list
 
 MAX_REQUESTS_PER_CALL = 1000
+MAX_SOURCES_PER_REQUEST = 10_000
 
 
 @dataclass
@@ -50,7 +51,9 @@ def handle_requests(
         raise ValueError(f"more than {MAX_REQUESTS_PER_CALL} accepted requests in one call")
     results = []
     for r in todo:
-        names = [x[0] for x in read_white_list(spark, r["file_path"]).orderBy("source_name").limit(10_001).collect()]
+        names = [x[0] for x in read_white_list(spark, r["file_path"]).orderBy("source_name").limit(MAX_SOURCES_PER_REQUEST + 1).collect()]
+        if len(names) > MAX_SOURCES_PER_REQUEST:
+            raise ValueError(f"request {r['request_id']} names more than {MAX_SOURCES_PER_REQUEST} sources")
         sources = provider.get_data_and_model_for(names)
         results.append(ingest(spark, sources, store, r["request_id"], as_of, staging_path=staging_path, translator=translator))
     events = reduce(DataFrame.unionByName, [x.events for x in results]) if results else None
