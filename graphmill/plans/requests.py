@@ -27,7 +27,32 @@ MAX_SOURCES_PER_REQUEST = 10_000
 class RequestsResult:
     checked: DataFrame  # every request with ``problems`` and ``valid``
     ingested: list[IngestResult]
-    events: DataFrame | None
+    events: DataFrame  # RECEIVED_REQUEST / GENERAL_ERROR per request, then each ingest's events
+
+
+def received_events(checked: DataFrame, column: str, as_of: _dt.datetime) -> DataFrame:
+    """The front desk's events, one or two per request, computed over the requests table: RECEIVED_REQUEST
+    (request id as given, ``UNASSIGNED`` without one) and GENERAL_ERROR for a request that is not JSON."""
+    v = F.expr(f"try_parse_json(`{column}`)")
+    rid = F.coalesce(F.expr(f"variant_get(try_parse_json(`{column}`), '$.request_id', 'string')"), F.lit("UNASSIGNED"))
+    ts = F.lit(as_of).cast("timestamp_ntz")
+    got = checked.select(
+        ts.alias("timestamp"),
+        F.lit(-2).cast("long").alias("seq"),
+        rid.alias("request_id"),
+        F.lit("RECEIVED_REQUEST").alias("event_type"),
+        F.concat(F.lit("Received a request: "), F.col(column)).alias("message"),
+        F.create_map(F.lit("request_content"), F.col(column)).alias("arguments"),
+    )
+    bad = checked.where(v.isNull()).select(
+        ts.alias("timestamp"),
+        F.lit(-1).cast("long").alias("seq"),
+        F.lit(None).cast("string").alias("request_id"),
+        F.lit("GENERAL_ERROR").alias("event_type"),
+        F.lit("Failed parsing the request as a JSON string.").alias("message"),
+        F.create_map(F.lit("request_data"), F.col(column)).alias("arguments"),
+    )
+    return got.unionByName(bad)
 
 
 def handle_requests(
@@ -56,5 +81,5 @@ def handle_requests(
             raise ValueError(f"request {r['request_id']} names more than {MAX_SOURCES_PER_REQUEST} sources")
         sources = provider.get_data_and_model_for(names)
         results.append(ingest(spark, sources, store, r["request_id"], as_of, staging_path=staging_path, translator=translator))
-    events = reduce(DataFrame.unionByName, [x.events for x in results]) if results else None
+    events = reduce(DataFrame.unionByName, [received_events(checked, column, as_of)] + [x.events for x in results])
     return RequestsResult(checked, results, events)

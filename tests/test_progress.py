@@ -252,7 +252,26 @@ def test_handle_requests(spark, tmp):
     assert res.checked.where("valid").count() == 1
     assert [r.request_id for r in res.ingested] == ["my_request_id_2024_1_2_3_4_5"]
     assert store.nodes("MockPerson").count() == 20
-    assert res.events.count() == 13
+    mine = res.events.where(F.col("request_id").contains("my_request_id")).orderBy("seq").collect()
+    # the reference's integration test: 14 events in this order for two sources
+    assert [e["event_type"] for e in mine] == [
+        "RECEIVED_REQUEST",
+        "STARTED_PROCESSING_REQUEST",
+        "FETCHING_DATA_AND_MODELS",
+        "FINISHED_FETCHING_DATA_AND_MODELS",
+        "WRITING_GRAPH_ELEMENTS_INTO_REDIS",
+        "WRITING_GRAPH_ELEMENTS_INTO_REDIS",
+        "REDIS_IS_READY_FOR_CONSUMPTION",
+        "WRITING_FROM_REDIS_TO_NEO",
+        "PUSHED_GRAPH_ELEMENTS_INTO_NEO",
+        "DELETING_REDIS_KEYS",
+        "WRITING_FROM_REDIS_TO_NEO",
+        "PUSHED_GRAPH_ELEMENTS_INTO_NEO",
+        "DELETING_REDIS_KEYS",
+        "DONE_PROCESSING_REQUEST",
+    ]
+    assert "request_content" in mine[0]["arguments"] and "my_request_id" in mine[1]["message"]
+    assert res.events.where("event_type = 'RECEIVED_REQUEST'").count() == 3
 
 
 def test_merge_typed_edges(spark, persons):
