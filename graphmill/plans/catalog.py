@@ -719,6 +719,38 @@ def q_union_frames(spark, d):
     return ST.union_frames([c, s])
 
 
+def q_sequence_check(spark, d):
+    expected = [STEP_OF_EVENT[t] for t in ("signup", "view", "click")]
+    return P.sequence_check(_pev(spark, d), expected)
+
+
+def q_typed_edges(spark, d):
+    li = _t(spark, d, "lineitem").select(
+        F.col("l_partkey").alias(FROM_UID),
+        F.col("l_suppkey").alias(TO_UID),
+        F.when(F.col("l_returnflag") == "R", F.lit("RETURNED")).otherwise(F.lit("SUPPLIED_BY")).alias("_edgeType"),
+    )
+    g = Graph({"Part": _nodes(spark, d, PART, "part"), "Supplier": _nodes(spark, d, SUPPLIER, "supplier", "s_acctbal >= 0")}, {})
+    g = M.merge_typed_edges(g, li, "Part", "Supplier")
+    parts = [e.select(F.lit(k[0]).alias("_edgeType"), FROM_UID, TO_UID) for k, e in sorted(g.edges.items())]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def q_store_delete(spark, d):
+    store = GraphStore(spark, scratch_path(spark, "graph"), buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    g = _customer_graph(spark, d)
+    for label, df in g.nodes.items():
+        store.write_nodes(label, df)
+    for key, df in g.edges.items():
+        store.write_edges(key, df)
+    s = store.delete_nodes("Customer", [("segment", "MACHINERY")])
+    counts = _store_counts(store)
+    return counts.withColumn("deleted_nodes", F.lit(s["total"]).cast("long")).withColumn("deleted_edges", F.lit(s["edges_deleted"]).cast("long"))
+
+
 GRAPH_SQL = """
 SELECT c.segment AS segment, count(*) AS n_orders, round(sum(o.totalprice), 2) AS revenue
 FROM edges_PLACED_Customer_Order e

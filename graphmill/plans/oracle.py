@@ -381,6 +381,30 @@ SELECT s_name AS source_name, k AS key FROM supplier, (VALUES ('job:nodes_ingest
     "union_frames": """
 SELECT c_custkey AS _uid, c_name AS name, c_acctbal AS acctbal, c_mktsegment AS segment, CAST(NULL AS INTEGER) AS nation FROM customer
 UNION ALL SELECT s_suppkey, s_name, s_acctbal, NULL, s_nationkey FROM supplier""",
+    "sequence_check": f"""
+WITH ev AS ({_pev()}),
+n AS (SELECT request_id, event_type, row_number() OVER (PARTITION BY request_id ORDER BY timestamp, seq) AS pos FROM ev),
+e AS (SELECT * FROM (VALUES (1, 'STARTED_PROCESSING_REQUEST'), (2, 'FETCHING_DATA_AND_MODELS'), (3, 'PUSHED_GRAPH_ELEMENTS_INTO_NEO')) v(pos, expected)),
+j AS (SELECT n.*, e.expected, n.event_type IS NOT DISTINCT FROM e.expected AS hit FROM n LEFT JOIN e USING (pos))
+SELECT request_id, count(*) AS n_events, count(*) FILTER (WHERE hit) AS n_matching, min(pos) FILTER (WHERE NOT hit) AS first_mismatch,
+       count(*) = 3 AND count(*) FILTER (WHERE hit) = 3 AS matches
+FROM j GROUP BY request_id""",
+    "typed_edges": """
+SELECT DISTINCT CASE WHEN l_returnflag = 'R' THEN 'RETURNED' ELSE 'SUPPLIED_BY' END AS _edgeType, l_partkey AS _fromUid, l_suppkey AS _toUid
+FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part) AND l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0)""",
+    "store_delete": """
+WITH gone AS (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY'),
+keep AS (SELECT c_custkey, c_nationkey FROM customer WHERE c_mktsegment <> 'MACHINERY'),
+d AS (SELECT (SELECT count(*) FROM gone) AS deleted_nodes,
+             (SELECT count(*) FROM orders WHERE o_custkey IN (SELECT * FROM gone))
+             + (SELECT count(*) FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_nationkey IN (SELECT n_nationkey FROM nation)) AS deleted_edges)
+SELECT element_type, name, n, deleted_nodes, deleted_edges FROM (
+  SELECT 'NODES' AS element_type, 'Customer' AS name, (SELECT count(*) FROM keep) AS n
+  UNION ALL SELECT 'NODES', 'Nation', (SELECT count(*) FROM nation)
+  UNION ALL SELECT 'NODES', 'Order', (SELECT count(*) FROM orders)
+  UNION ALL SELECT 'EDGES', 'IN_NATION_Customer_Nation', (SELECT count(*) FROM keep WHERE c_nationkey IN (SELECT n_nationkey FROM nation))
+  UNION ALL SELECT 'EDGES', 'PLACED_Customer_Order', (SELECT count(*) FROM orders WHERE o_custkey IN (SELECT c_custkey FROM keep))
+), d""",
     "graph_sql": """
 SELECT c_mktsegment AS segment, count(*) AS n_orders, round(sum(o_totalprice), 2) AS revenue
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment""",
