@@ -79,6 +79,9 @@ def merge_nodes_flagged(
         )
 
     ex_props = _props(existing)
+    for c in SYSTEM_COLUMNS:  # a table written without a merge has no timestamps yet
+        if c not in existing.columns:
+            existing = existing.withColumn(c, F.lit(None).cast(T.TimestampNTZType()))
     e = existing.withColumn("_ex", F.lit(True)).alias("e")
     i = inc.withColumn("_in", F.lit(True)).alias("i")
     j = e.join(i, F.col(f"e.{UID}") == F.col(f"i.{UID}"), "full_outer")

@@ -171,3 +171,10 @@ def test_map_properties_merge(spark):
     out = {r["_uid"]: r for r in M.merge_nodes(None, inc, T1, order_by=["seq"]).collect()}
     assert out[1]["tags"] == {"a": "y"} and out[1]["_last_updated"] is not None
     assert M.merge_nodes(None, inc, T1).count() == 2  # default order skips the map column
+
+
+def test_merge_into_table_without_timestamps(spark, persons):
+    plain = persons.select("_uid", "name")
+    out = {r["_uid"]: r for r in M.merge_nodes(plain, persons.where("_uid < 3").select("_uid", "age"), T2).collect()}
+    assert out[1]["age"] == 1 and out[1]["name"] == "Person1" and out[1]["_created"] is None
+    assert out[1]["_last_updated"] == dt.datetime(2024, 2, 1) and out[5]["_last_updated"] is None
