@@ -80,12 +80,12 @@ def whole_request(spark, d):
 
 def delete_1m(spark, d):
     nodes = spark.range(1_000_000).select(
-        F.col("id").alias("_uid"), F.lit("Arafat").alias("name"), F.col("id").alias("age"), F.format_string("Person%d@gmail.com", "id").alias("email")
+        F.col("id").alias("_uid"), F.lit("Same Name").alias("name"), F.col("id").alias("age"), F.format_string("Person%d@gmail.com", "id").alias("email")
     )
     store = _store(spark)
     store.write_nodes("Person", nodes)
     t0 = time.time()
-    s = store.delete_nodes("Person", [("name", "Arafat")])
+    s = store.delete_nodes("Person", [("name", "Same Name")])
     assert s["total"] == 1_000_000 and s["batches"] == 1000
     return time.time() - t0
 

@@ -145,8 +145,8 @@ def test_delete_typed_literal_and_guard(persons, person_edges):
 
 
 def test_delete_batches(spark):
-    nodes = spark.range(2500).select(F.col("id").alias("_uid"), F.lit("Arafat").alias("name"))
-    res = D.detach_delete(Graph({"Person": nodes}, {}), "Person", [("name", "Arafat")])
+    nodes = spark.range(2500).select(F.col("id").alias("_uid"), F.lit("Same Name").alias("name"))
+    res = D.detach_delete(Graph({"Person": nodes}, {}), "Person", [("name", "Same Name")])
     s = res.summary.collect()[0]
     assert (s["total"], s["batches"], s["edges_deleted"]) == (2500, 3, 0)
 

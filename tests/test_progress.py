@@ -120,7 +120,7 @@ def test_validate_requests(spark):
     reqs = spark.createDataFrame(
         [
             (1, "{}"),
-            (2, '{"name": "boris"}'),
+            (2, '{"name": "someone"}'),
             (3, '{"request_type": "nothing", "request_id": "123"}'),
             (4, '{"request_type": "white_list", "request_id": "123"}'),
             (5, '{"request_type": "white_list", "file_path": 1, "request_id": "123"}'),
