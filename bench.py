@@ -115,7 +115,11 @@ def main():
         t0 = time.time()
         run(C.QUERIES[name](spark, sf_dir))
         times[f"q_{name}"] = round(time.time() - t0, 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sf_text = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf: float | str = float(sf_text)
+    except ValueError:
+        sf = sf_text
     print(json.dumps({"metric": "total_seconds", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": sf}))
     spark.stop()
 
