@@ -183,6 +183,15 @@ def purge(df: DataFrame) -> DataFrame:
     return df.limit(0)
 
 
+def purge_storage(spark: SparkSession, path: str) -> int:
+    """K6 on storage: drop every staged key folder; returns how many keys there were."""
+    staged = read_staging(spark, path, must_exist=False)
+    if staged is None:
+        return 0
+    keys = [tuple(r) for r in keys_of(staged).collect()]  # one row per staged key
+    return drop_keys(spark, path, keys)
+
+
 def cardinality(staged: DataFrame) -> DataFrame:
     """A1: members per key (distinct payloads)."""
     return staged.select(*KEY_COLS, PAYLOAD).distinct().groupBy(*KEY_COLS).agg(F.count(F.lit(1)).alias("cardinality"))
@@ -279,6 +288,7 @@ __all__ = [
     "delete_keys",
     "delete_prefix",
     "purge",
+    "purge_storage",
     "cardinality",
     "decode",
     "SCHEMA",

@@ -177,6 +177,18 @@ class GraphStore:
         size = batch_size or DELETE_BATCH_SIZE
         return {"label": label, "total": total, "batches": -(-total // size), "edges_deleted": before_edges - after_edges}
 
+    def purge(self) -> int:
+        """K6 on the graph (every node with its edges): a new, empty version of every table, so readers
+        of the previous version are not cut off; returns the number of tables emptied."""
+        n = 0
+        for label in self.labels():
+            self.write_nodes(label, self.nodes(label).limit(0), aligned=True)
+            n += 1
+        for key in self.edge_keys():
+            self.write_edges(key, self.edges(key).limit(0), aligned=True)
+            n += 1
+        return n
+
     def action_counts(self, written: DataFrame) -> dict[str, int]:
         """Counts per ``_action`` of a written version (reads one small column)."""
         return {r[0]: r[1] for r in written.groupBy(ACTION).agg(F.count(F.lit(1))).collect()}

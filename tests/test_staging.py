@@ -144,3 +144,28 @@ def test_keyed_overwrite(spark, tmp):
     KV.write_keyed(df.where("_uid = 2"), os.path.join(tmp, "kv"), ["seq"])
     assert sorted(tuple(r) for r in spark.read.parquet(os.path.join(tmp, "kv")).collect()) == [(2, 1, "c")]
     assert sorted(tuple(r) for r in KV.keyed_rows(df, ["seq"]).collect()) == [(1, 2, "b"), (2, 1, "c")]
+
+
+def test_purge_storage_and_graph(spark, tmp, persons, person_edges):
+    from graphmill.operators import merge as M
+    from graphmill.plans.store import GraphStore
+
+    path = os.path.join(tmp, "staging")
+    ST.write_set_add(spark, ST.stage(persons, "A", "nodes_ingest", "Person"), path)
+    ST.write_set_add(spark, ST.stage(person_edges, "A", "edges_ingest", "E,Person,Person"), path)
+    assert ST.purge_storage(spark, path) == 2 and ST.read_staging(spark, path).count() == 0
+    store = GraphStore(spark, os.path.join(tmp, "g"), buckets=2)
+    store.write_nodes("Person", persons)
+    store.write_edges(("E", "Person", "Person"), M.merge_edges(None, person_edges, persons, persons))
+    assert store.purge() == 2
+    assert store.nodes("Person").count() == 0 and store.edges(("E", "Person", "Person")).count() == 0
+    assert store.labels() == ["Person"]
+
+
+def test_table_provider(spark):
+    from graphmill.sources.providers import TableProvider
+
+    p = TableProvider(spark, "/root/testdata/sf0.001", {"customer": ["customer model"]})
+    got = p.get_data_and_model_for(["customer", "nation"])
+    assert [s.name for s in got] == ["customer", "nation"] and got[0].graph_model == ["customer model"] and got[1].graph_model is None
+    assert got[1].data.count() == 25
