@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from graphmill.functions.rows import percent_done, ts_text, unix_seconds
 from graphmill.model import ADMIN_LOG_SCHEMA, DONE, ERROR, STARTED, STATUS_EVENTS  # noqa: F401 (re-exported)
-from graphmill.operators.skew import HOT_KEY_MIN_ROWS, number_within, split_join
+from graphmill.operators.skew import HOT_KEY_MIN_ROWS, latest_per_key, number_within, split_join
 
 def _order() -> Column:
     return F.struct(F.col("timestamp"), F.col("seq"))
@@ -217,9 +217,24 @@ def fan_out(df: DataFrame, writers: Iterable[tuple[str, Callable[[DataFrame], No
     return out
 
 
-def dump_states(states: DataFrame, path: str) -> None:
-    """K9: one JSON document per request, in a folder per request id (only written requests replaced)."""
-    states.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("request_id").json(path)
+def dump_states(states: DataFrame, path: str, as_of) -> None:
+    """K9: append one JSON document per request (JSON lines), stamped ``dumped_at``.
+
+    Append-only: no folder per request (millions of small folders at scale), nothing overwritten, so a
+    failed dump leaves the earlier ones intact; ``read_dumped`` keeps the latest document per request.
+    """
+    from graphmill.operators.merge import as_of_literal
+
+    states.withColumn("dumped_at", as_of_literal(as_of)).write.mode("append").json(path)
+
+
+def read_dumped(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The latest dumped state per request (partial aggregate: a request dumped often stays cheap)."""
+    from pyspark.sql import types as T
+
+    full = T.StructType(list(schema.fields) + [T.StructField("dumped_at", T.TimestampNTZType())])
+    dumps = spark.read.schema(full).json(path)
+    return latest_per_key(dumps, ["request_id"], ["dumped_at"]).drop("dumped_at")
 
 
 def progress_lookup(live: DataFrame, dumped: DataFrame | None) -> DataFrame:

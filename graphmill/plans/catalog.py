@@ -692,8 +692,9 @@ def q_progress_lookup(spark, d):
     live = P.request_state(ev.where(F.col("timestamp") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")))
     full = P.request_state(ev)
     path = scratch_path(spark, "dump")
-    P.dump_states(full, path)
-    dumped = spark.read.schema(full.schema).json(path)
+    P.dump_states(live, path, AS_OF_1)  # an earlier dump, superseded by the next one
+    P.dump_states(full, path, AS_OF_2)
+    dumped = P.read_dumped(spark, path, full.schema)
     return P.progress_lookup(live, dumped).select("request_id", "status", "n_events", "source")
 
 

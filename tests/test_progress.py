@@ -174,8 +174,10 @@ def test_admin_log(spark, tmp):
 def test_dump_and_lookup(spark, tmp):
     e = ev(spark, [(0, "a", "STARTED_PROCESSING_REQUEST", ""), (1, "b", "STARTED_PROCESSING_REQUEST", ""), (2, "b", "DONE_PROCESSING_REQUEST", "")])
     full = P.request_state(e)
-    P.dump_states(full, os.path.join(tmp, "dump"))
-    dumped = spark.read.schema(full.schema).json(os.path.join(tmp, "dump"))
+    P.dump_states(P.request_state(e.where("seq < 2")), os.path.join(tmp, "dump"), "2024-01-01")
+    P.dump_states(full, os.path.join(tmp, "dump"), "2024-01-02")
+    dumped = P.read_dumped(spark, os.path.join(tmp, "dump"), full.schema)
+    assert dumped.count() == 2
     live = P.request_state(e.where("request_id = 'a'"))
     got = {r["request_id"]: (r["status"], r["source"]) for r in P.progress_lookup(live, dumped).collect()}
     assert got == {"a": ("STARTED_PROCESSING_REQUEST", "memory"), "b": ("DONE_PROCESSING_REQUEST", "dump")}
