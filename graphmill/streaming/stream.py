@@ -130,3 +130,14 @@ def closed_sessions(events: DataFrame, gap: str, delay: str) -> DataFrame:
         F.col("session.end").alias("session_end"),
         "n_events",
     )
+
+
+def dump_closed_sessions(events: DataFrame, path: str, gap: str, delay: str, checkpoint: str) -> None:
+    """T4 feeding K9: every session the watermark closes is appended once to the JSON-lines state log
+    (``dumped_at`` = the session's end), then leaves the state store."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        out = batch.withColumn("dumped_at", F.col("session_end").cast("timestamp_ntz"))
+        out.write.mode("append").json(path)
+
+    run_to_end(closed_sessions(events, gap, delay), sink, checkpoint)

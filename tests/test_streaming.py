@@ -71,3 +71,14 @@ def test_fan_out_batches(spark, tmp, persons):
     assert spark.read.schema(persons.schema).parquet(copy).count() == 1050
     out = spark.read.parquet(os.path.join(tmp, "outcomes"))
     assert out.where("sink = 'copy' and ok").count() == 3 and out.where("sink = 'broken' and not ok").count() == 3
+
+
+def test_closed_sessions_feed_the_dump(spark, tmp):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(minutes=m), m, rid, "FETCHING_DATA_AND_MODELS", "", {}) for m, rid in [(0, "a"), (10, "a"), (100, "b"), (300, "b")]]
+    src = os.path.join(tmp, "src")
+    spark.createDataFrame(rows, EVENT_SCHEMA).write.parquet(src)
+    out = os.path.join(tmp, "dump")
+    SS.dump_closed_sessions(SS.read_stream(spark, src, EVENT_SCHEMA), out, "1 hour", "1 hour", os.path.join(tmp, "ckpt"))
+    got = sorted((r["request_id"], r["n_events"]) for r in spark.read.json(out).collect())
+    assert got == [("a", 2), ("b", 1)]  # b's last session (300 min) is still open under the watermark
