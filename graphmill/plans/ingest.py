@@ -89,30 +89,37 @@ def _run_keys(store: GraphStore, work: list[tuple[StagingKey, Sequence[DataFrame
 
 def _merge_key(store: GraphStore, key: StagingKey, frames: Sequence[DataFrame], as_of, order_by, hot_min_rows) -> dict:
     _, op, args = key
-    incoming = staging.union_frames(frames)
     parts = args.split(",")
     if op == NODES_INGEST:
+        # Frames of one shape are one merge; different shapes are applied one after another, so a column
+        # that one frame lacks is "absent" for that frame (kept), never "null" (overwritten).
         label = parts[0]
-        existing = store.nodes(label)
-        flagged = merge_nodes_flagged(existing, incoming, as_of, order_by)
-        written = store.write_nodes(label, flagged, aligned=existing is not None)
-        counts = store.action_counts(written)
-        counters = {
-            "nodes_created": counts.get(CREATED_ACTION, 0),
-            "labels_added": counts.get(CREATED_ACTION, 0),
-            "nodes_matched": counts.get(UPDATED_ACTION, 0),
-        }
+        shapes: dict[str, list[DataFrame]] = {}
+        for f in frames:
+            shapes.setdefault(f.schema.simpleString(), []).append(f)
+        counters = {"nodes_created": 0, "labels_added": 0, "nodes_matched": 0}
+        for shape in sorted(shapes):
+            existing = store.nodes(label)
+            flagged = merge_nodes_flagged(existing, staging.union_frames(shapes[shape]), as_of, order_by)
+            counts = store.action_counts(store.write_nodes(label, flagged, aligned=existing is not None))
+            counters["nodes_created"] += counts.get(CREATED_ACTION, 0)
+            counters["labels_added"] += counts.get(CREATED_ACTION, 0)
+            counters["nodes_matched"] += counts.get(UPDATED_ACTION, 0)
         return {"key": ":".join(key), "element_type": "NODES", "element_properties": label, **counters}
+    incoming = staging.union_frames(frames)
     edge_type, from_label, to_label = parts
-    empty_keys = lambda: store.spark.createDataFrame([], incoming.select("_fromUid").schema).withColumnRenamed("_fromUid", "_uid")
+
+    def empty_keys(end: str) -> DataFrame:  # a label with no nodes yet: every edge into it dangles
+        return store.spark.createDataFrame([], incoming.select(F.col(end).alias("_uid")).schema)
+
     from_nodes = store.nodes(from_label)
     to_nodes = store.nodes(to_label)
     existing = store.edges((edge_type, from_label, to_label))
     flagged = merge_edges_flagged(
         existing,
         incoming,
-        from_nodes if from_nodes is not None else empty_keys(),
-        to_nodes if to_nodes is not None else empty_keys(),
+        from_nodes if from_nodes is not None else empty_keys("_fromUid"),
+        to_nodes if to_nodes is not None else empty_keys("_toUid"),
         hot_min_rows,
     )
     written = store.write_edges((edge_type, from_label, to_label), flagged, aligned=existing is not None)

@@ -285,3 +285,17 @@ def test_merge_typed_edges(spark, persons):
     assert sorted(k[0] for k in g.edges) == ["A", "B"] and g.edges[("A", "Person", "Person")].count() == 1
     g2 = M.merge_typed_edges(g, e, "Person", "Person", edge_type="A")
     assert g2.edges[("A", "Person", "Person")].count() == 3
+
+
+def test_two_mappings_one_label_keep_presence(spark, tmp, persons):
+    from graphmill.model import NodeMapping
+    from graphmill.sources.providers import Source
+
+    names = NodeMapping("Person", "_uid", {"name": "name"})
+    ages = NodeMapping("Person", "_uid", {"age": "age"})
+    for staged in (None, os.path.join(tmp, "stage")):
+        store = GraphStore(spark, os.path.join(tmp, f"g{bool(staged)}"))
+        res = ingest(spark, [Source("p", persons, [names, ages])], store, "r", dt.datetime(2024, 1, 1), staging_path=staged)
+        nodes = store.nodes("Person")
+        assert nodes.count() == 1050 and nodes.where("name is null or age is null").count() == 0
+        assert res.loaded[0]["nodes_created"] == 1050 and res.loaded[0]["nodes_matched"] == 1050
