@@ -28,7 +28,9 @@ class GraphStore:
     def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2, buckets: int | None = None, database: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.keep_versions = keep_versions
+        # A plan built on version n (an edge rewrite reading the deleted node ids, say) still reads it while
+        # n+1 is written, so at least two versions always stay.
+        self.keep_versions = max(2, keep_versions)
         self.buckets = buckets
         self.database = database
         self._tag = hashlib.sha1(self.root.encode()).hexdigest()[:10]
