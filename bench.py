@@ -97,7 +97,16 @@ WORKLOADS = {
     "whole_request": whole_request,
     "delete_1m_nodes": delete_1m,
 }
-QUERIES = ["graph_sql", "request_state", "merge_edges_dedup", "undirected_graph", "merge_nodes_duplicate_uid", "dangling_edges", "batch_numbers"]
+QUERIES = [
+    "graph_sql",
+    "request_state",
+    "merge_edges_dedup",
+    "undirected_graph",
+    "merge_nodes_duplicate_uid",
+    "dangling_edges",
+    "batch_numbers",
+    "stream_merge",
+]
 
 
 def main():

@@ -217,6 +217,16 @@ def fan_out(df: DataFrame, writers: Iterable[tuple[str, Callable[[DataFrame], No
     return out
 
 
+def jdbc_writer(url: str, table: str, properties: dict | None = None) -> Callable[[DataFrame], None]:
+    """K7: a ``fan_out`` writer appending to a relational table (driver jar on the classpath); the same
+    DataFrame can go to parquet, a catalog table and a database in one fan-out."""
+
+    def write(df: DataFrame) -> None:
+        df.write.mode("append").jdbc(url, table, properties=properties or {})
+
+    return write
+
+
 def dump_states(states: DataFrame, path: str, as_of) -> None:
     """K9: append one JSON document per request (JSON lines), stamped ``dumped_at``.
 
