@@ -177,9 +177,18 @@ def check_registry(registry: DataFrame) -> None:
         raise DuplicateJobError(f"Job-id {dup[0]['job_id']} is registered {dup[0]['n']} times")
 
 
-def name_entries(entries: DataFrame, registry: DataFrame, max_broadcast_rows: int = 100_000) -> DataFrame:
-    """Fill ``job_name`` of admin-log entries from the id -> name registry (unknown ids stay null)."""
+class UnknownJobError(LookupError):
+    pass
+
+
+def name_entries(entries: DataFrame, registry: DataFrame, max_broadcast_rows: int = 100_000, strict: bool = False) -> DataFrame:
+    """Fill ``job_name`` of admin-log entries from the id -> name registry.  Unknown ids stay null,
+    or with ``strict`` fail (one bounded probe for an entry whose id is not registered)."""
     check_registry(registry)
+    if strict:
+        unknown = entries.select("job_id").join(registry.select("job_id"), "job_id", "left_anti").limit(1).collect()
+        if unknown:
+            raise UnknownJobError(f"job id {unknown[0]['job_id']} is not registered")
     reg = registry.select(F.col("job_id").alias("_jid"), F.col("job_name").alias("_name"))
     if is_small(reg, max_broadcast_rows):
         j = entries.join(F.broadcast(reg), entries["job_id"] == reg["_jid"], "left")

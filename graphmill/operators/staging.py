@@ -103,6 +103,21 @@ def publish_check(existing: DataFrame | None, items: DataFrame) -> DataFrame:
     return out.select(*KEY_COLS, "n_items", "n_distinct", "n_new", ok.alias("ok"))
 
 
+class PublishError(ValueError):
+    pass
+
+
+def publish(spark: SparkSession, items: DataFrame, path: str) -> None:
+    """K2: add ``items`` to the stored sets only if, per key, all of them are new and distinct or none is
+    new; otherwise fail with the counts and write nothing (the reference checks after its write)."""
+    existing = read_staging(spark, path, must_exist=False)
+    bad = publish_check(existing, items).where(~F.col("ok")).limit(20).collect()
+    if bad:
+        detail = "; ".join(f"{r['job_name']}:{r['operation']}:{r['arguments']} items={r['n_items']} new={r['n_new']}" for r in bad)
+        raise PublishError(f"partial overlap with the stored set: {detail}")
+    new_members(existing, items).write.mode("append").partitionBy(*KEY_COLS).parquet(path)
+
+
 def write_set_add(spark: SparkSession, staged: DataFrame, path: str) -> None:
     """K1: add members to the stored sets; only members not yet stored are appended, so no file the
     plan reads is overwritten."""
@@ -262,9 +277,12 @@ def key_sample(staged: DataFrame, n: int) -> DataFrame:
     )
 
 
-def parse_keys(keys: DataFrame, key: str = "key") -> DataFrame:
-    """P5 over a column of key strings."""
+def parse_keys(keys: DataFrame, key: str = "key", strict: bool = False) -> DataFrame:
+    """P5 over a column of key strings; ``strict`` makes the first invalid key fail the job
+    (``raise_error``) instead of filling the ``error`` column."""
     p = parse_key(key)
+    if strict:
+        keys = keys.where(F.when(p["error"].isNotNull(), F.raise_error(p["error"])).otherwise(F.lit(True)))
     return keys.select(
         F.col(key),
         p["job_name"].alias("job_name"),
@@ -289,6 +307,8 @@ __all__ = [
     "delete_prefix",
     "purge",
     "purge_storage",
+    "publish",
+    "PublishError",
     "cardinality",
     "decode",
     "SCHEMA",

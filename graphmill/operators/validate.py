@@ -77,3 +77,20 @@ def uid_nulls(df: DataFrame, label: str, uid: str = UID) -> DataFrame:
 def uid_duplicates(df: DataFrame, uid: str = UID) -> DataFrame:
     """uids held by more than one row, with their row count (partial aggregate)."""
     return df.where(F.col(uid).isNotNull()).groupBy(uid).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+
+
+class MissingUidError(ValueError):
+    pass
+
+
+def require_uids(df: DataFrame, how: str = "raise", uid: str = UID) -> tuple[DataFrame, DataFrame | None]:
+    """F8: rows without a uid cannot be merged.  ``how='raise'`` fails when there is one (one bounded
+    probe); ``how='quarantine'`` returns (rows with a uid, rows without) for the caller to keep."""
+    missing = F.col(uid).isNull()
+    if how == "raise":
+        if df.where(missing).limit(1).count():
+            raise MissingUidError(f"rows without {uid}")
+        return df, None
+    if how == "quarantine":
+        return df.where(~missing), df.where(missing)
+    raise ValueError(f"unknown mode {how!r}")

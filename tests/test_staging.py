@@ -169,3 +169,34 @@ def test_table_provider(spark):
     got = p.get_data_and_model_for(["customer", "nation"])
     assert [s.name for s in got] == ["customer", "nation"] and got[0].graph_model == ["customer model"] and got[1].graph_model is None
     assert got[1].data.count() == 25
+
+
+def test_publish_strict_and_parse_strict(spark, tmp, persons):
+    path = os.path.join(tmp, "staging")
+    nodes = ST.stage(persons, "A", "nodes_ingest", "Person")
+    ST.publish(spark, nodes.where("payload like '%\"_uid\":1,%'"), path)
+    with pytest.raises(ST.PublishError):
+        ST.publish(spark, nodes, path)  # one old member among new ones: refused, nothing written
+    assert ST.read_staging(spark, path).count() == 1
+    ST.publish(spark, nodes.where("payload like '%\"_uid\":1,%'"), path)  # nothing new: accepted, no-op
+    assert ST.read_staging(spark, path).count() == 1
+    ok = ST.parse_keys(keys_df(spark, ["a:nodes_ingest:P"]), strict=True).collect()
+    assert ok[0]["error"] is None
+    with pytest.raises(Exception, match="Expected 3 parts"):
+        ST.parse_keys(keys_df(spark, ["a:nodes_ingest:P", "bad"]), strict=True).collect()
+
+
+def test_require_uids_and_strict_registry(spark):
+    from graphmill.operators import progress as P
+    from graphmill.operators import validate as V
+
+    df = spark.createDataFrame([(1,), (None,)], "_uid long")
+    with pytest.raises(V.MissingUidError):
+        V.require_uids(df)
+    good, bad = V.require_uids(df, "quarantine")
+    assert good.count() == 1 and bad.count() == 1
+    reg = spark.createDataFrame([("j1", "Job one")], "job_id string, job_name string")
+    entries = spark.createDataFrame([("j1", 1), ("j2", 2)], "job_id string, int_value long")
+    assert P.name_entries(entries, reg).where("job_name is null").count() == 1
+    with pytest.raises(P.UnknownJobError):
+        P.name_entries(entries, reg, strict=True)
