@@ -607,12 +607,14 @@ def q_index_scan(spark, d):
 
 
 def q_select_sources(spark, d):
-    nation, region = _t(spark, d, "nation"), _t(spark, d, "region")
+    """The white list (names of suppliers in ASIA, one per line, padded) selects among all suppliers."""
+    sup, nation, region = _t(spark, d, "supplier"), _t(spark, d, "nation"), _t(spark, d, "region")
     path = scratch_path(spark, "white-list")
-    wl = nation.join(region.where("r_name = 'ASIA'"), nation.n_regionkey == region.r_regionkey, "left_semi")
-    wl.select(F.concat(F.lit("  "), "n_name", F.lit(" ")).alias("value")).write.text(path)
-    srcs = nation.withColumnRenamed("n_name", "source_name")
-    return WL.select_sources(srcs, WL.read_white_list(spark, path)).withColumnRenamed("source_name", "n_name")
+    asia = nation.join(region.where("r_name = 'ASIA'"), nation.n_regionkey == region.r_regionkey, "left_semi")
+    wl = sup.join(asia, sup.s_nationkey == asia.n_nationkey, "left_semi")
+    wl.select(F.concat(F.lit("  "), "s_name", F.lit(" ")).alias("value")).write.text(path)
+    srcs = sup.withColumnRenamed("s_name", "source_name")
+    return WL.select_sources(srcs, WL.read_white_list(spark, path)).select("s_suppkey", F.col("source_name").alias("s_name"))
 
 
 def _staged_customers(spark, d) -> DataFrame:

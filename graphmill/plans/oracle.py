@@ -342,7 +342,8 @@ SELECT c_custkey AS pid, 'Name_' || CAST(c_custkey AS VARCHAR) AS name, c_custke
        CASE WHEN c_custkey % 2 = 0 THEN 2 ELSE 1 END::BIGINT AS n_long_text
 FROM customer""",
     "select_sources": """
-SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name = 'ASIA')""",
+SELECT s_suppkey, s_name FROM supplier
+WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name = 'ASIA'))""",
     "staged_scan": "SELECT c_custkey AS _uid, c_name AS name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name = 'NATION_7'",
     "delete_keys": _STAGED_CUSTOMERS + "\nSELECT job_name, operation, arguments, _uid FROM sc WHERE n_regionkey <> 0",
     "delete_prefix": _STAGED_CUSTOMERS + """
