@@ -19,13 +19,7 @@ from pyspark.sql import functions as F
 
 from graphmill.model import EDGES_INGEST, EVENT_SCHEMA, MSG_UNSUPPORTED_OPERATION, NODES_INGEST
 from graphmill.operators import staging
-from graphmill.operators.merge import (
-    CREATED_ACTION,
-    UPDATED_ACTION,
-    element_properties,
-    merge_edges_flagged,
-    merge_nodes_flagged,
-)
+from graphmill.operators.merge import CREATED_ACTION, UPDATED_ACTION, element_properties
 from graphmill.operators.skew import HOT_KEY_MIN_ROWS
 from graphmill.plans.store import GraphStore
 from graphmill.plans.translate import MappingTranslator, StagingKey
@@ -99,9 +93,7 @@ def _merge_key(store: GraphStore, key: StagingKey, frames: Sequence[DataFrame],
             shapes.setdefault(f.schema.simpleString(), []).append(f)
         counters = {"nodes_created": 0, "labels_added": 0, "nodes_matched": 0}
         for shape in sorted(shapes):
-            existing = store.nodes(label)
-            flagged = merge_nodes_flagged(existing, staging.union_frames(shapes[shape]), as_of, order_by)
-            counts = store.action_counts(store.write_nodes(label, flagged, aligned=existing is not None))
+            counts = store.merge_nodes(label, staging.union_frames(shapes[shape]), as_of, order_by)
             counters["nodes_created"] += counts.get(CREATED_ACTION, 0)
             counters["labels_added"] += counts.get(CREATED_ACTION, 0)
             counters["nodes_matched"] += counts.get(UPDATED_ACTION, 0)
@@ -114,16 +106,13 @@ def _merge_key(store: GraphStore, key: StagingKey, frames: Sequence[DataFrame],
 
     from_nodes = store.nodes(from_label)
     to_nodes = store.nodes(to_label)
-    existing = store.edges((edge_type, from_label, to_label))
-    flagged = merge_edges_flagged(
-        existing,
+    counts = store.merge_edges(
+        (edge_type, from_label, to_label),
         incoming,
         from_nodes if from_nodes is not None else empty_keys("_fromUid"),
         to_nodes if to_nodes is not None else empty_keys("_toUid"),
         hot_min_rows,
     )
-    written = store.write_edges((edge_type, from_label, to_label), flagged, aligned=existing is not None)
-    counts = store.action_counts(written)
     props = element_properties(edge_type, from_label, to_label)
     counters = {"relationships_created": counts.get(CREATED_ACTION, 0)}
     return {"key": ":".join(key), "element_type": "EDGES", "element_properties": props, **counters}

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from graphmill.model import FROM_UID, TO_UID, UID, Graph
 from graphmill.operators.merge import ACTION
+from graphmill.operators.skew import HOT_KEY_MIN_ROWS
 
 
 class GraphStore:
@@ -157,6 +158,24 @@ class GraphStore:
     def graph(self) -> Graph:
         return Graph({l: self.nodes(l) for l in self.labels()}, {k: self.edges(k) for k in self.edge_keys()})
 
+    def merge_nodes(self, label: str, incoming: DataFrame, as_of, order_by=None) -> dict[str, int]:
+        """J1 into the stored label: a new version; returns the counts per ``_action``."""
+        from graphmill.operators.merge import merge_nodes_flagged
+
+        existing = self.nodes(label)
+        flagged = merge_nodes_flagged(existing, incoming, as_of, order_by)
+        return self.action_counts(self.write_nodes(label, flagged, aligned=existing is not None))
+
+    def merge_edges(
+        self, key: tuple[str, str, str], incoming: DataFrame, from_nodes: DataFrame, to_nodes: DataFrame, hot_min_rows: int | None = HOT_KEY_MIN_ROWS
+    ) -> dict[str, int]:
+        """J2 into the stored edge table: a new version; returns the counts per ``_action``."""
+        from graphmill.operators.merge import merge_edges_flagged
+
+        existing = self.edges(key)
+        flagged = merge_edges_flagged(existing, incoming, from_nodes, to_nodes, hot_min_rows)
+        return self.action_counts(self.write_edges(key, flagged, aligned=existing is not None))
+
     def delete_nodes(self, label: str, conditions, indexed=None, batch_size: int | None = None, hot_min_rows=None) -> dict:
         """J4 on storage: write new versions of ``label`` and of every edge table touching it.
 

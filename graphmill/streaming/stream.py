@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphmill.model import DONE, ERROR, STATUS_EVENTS
-from graphmill.operators.merge import merge_nodes_flagged
 
 
 
@@ -94,8 +93,7 @@ def merge_stream_into_store(stream: DataFrame, store, label: str, as_of, checkpo
         fs = marker.getFileSystem(conf)
         if fs.exists(marker):
             return  # replay of a batch already merged
-        existing = store.nodes(label)
-        store.write_nodes(label, merge_nodes_flagged(existing, batch, as_of, order_by), aligned=existing is not None)
+        store.merge_nodes(label, batch, as_of, order_by)
         fs.create(marker, True).close()
 
     run_to_end(stream, sink, checkpoint)
