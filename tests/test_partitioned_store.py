@@ -1,0 +1,87 @@
+"""PartitionedGraphStore: same graph as the versioned store, but a batch rewrites only what it touches."""
+
+import datetime as dt
+import os
+
+from pyspark.sql import functions as F
+
+from graphmill.model import EdgeMapping, NodeMapping
+from graphmill.operators import merge as M
+from graphmill.plans.ingest import ingest
+from graphmill.plans.partitioned_store import PartitionedGraphStore
+from graphmill.plans.store import GraphStore
+from graphmill.sources.providers import Source
+
+NODES = NodeMapping("Person", "_uid", {"name": "name", "age": "age"})
+EDGES = EdgeMapping("EDGE_TYPE", "Person", "_fromUid", "Person", "_toUid")
+
+
+def snapshot(store):
+    return (
+        sorted(tuple(r) for r in store.nodes("Person").select("_uid", "name", "age", "_created", "_last_updated").collect()),
+        sorted(tuple(r) for r in store.edges(("EDGE_TYPE", "Person", "Person")).select("_fromUid", "_toUid").collect()),
+    )
+
+
+def files(folder):
+    out = {}
+    for d in sorted(os.listdir(folder)):
+        if d.startswith("_p="):
+            out[d] = sorted(f for f in os.listdir(os.path.join(folder, d)) if f.endswith(".parquet"))
+    return out
+
+
+def test_same_graph_as_versioned_store(spark, tmp, persons, person_edges):
+    stores = [GraphStore(spark, os.path.join(tmp, "v")), PartitionedGraphStore(spark, os.path.join(tmp, "p"), partitions=8)]
+    loaded = []
+    for store in stores:
+        ingest(spark, [Source("p", persons, [NODES])], store, "r1", dt.datetime(2024, 1, 1))
+        ingest(spark, [Source("e", person_edges, [EDGES])], store, "r2", dt.datetime(2024, 1, 2))
+        upd = persons.where("_uid % 2 = 0").withColumn("name", F.upper("name"))
+        res = ingest(spark, [Source("p", upd, [NODES]), Source("e", person_edges, [EDGES])], store, "r3", dt.datetime(2024, 1, 3))
+        loaded.append([(x["element_type"], x.get("nodes_created"), x.get("nodes_matched"), x.get("relationships_created")) for x in res.loaded])
+    assert snapshot(stores[0]) == snapshot(stores[1])
+    assert loaded[0] == loaded[1] == [("NODES", 0, 525, None), ("EDGES", None, None, 0)]
+
+
+def test_small_batch_rewrites_only_its_partitions(spark, tmp, persons):
+    store = PartitionedGraphStore(spark, os.path.join(tmp, "p"), partitions=16)
+    store.merge_nodes("Person", persons, "2024-01-01")
+    folder = os.path.join(tmp, "p", "nodes", "Person")
+    before = files(folder)
+    assert len(before) == 16
+    batch = persons.where("_uid in (3, 4, 5)").select("_uid", F.lit("new").alias("nickname"))
+    counts = store.merge_nodes("Person", batch, "2024-01-02")
+    after = files(folder)
+    changed = [p for p in before if before[p] != after[p]]
+    assert 1 <= len(changed) <= 3  # three uids: at most three partitions rewritten, the rest untouched
+    assert counts.get("updated") == 3 and counts.get("created") is None
+    nodes = store.nodes("Person")
+    assert nodes.count() == 1050 and nodes.where("nickname = 'new'").count() == 3  # the new column reads everywhere
+    assert nodes.where("_uid = 3").collect()[0]["name"] == "Person3"
+
+
+def test_partitioned_delete(spark, tmp, persons, person_edges):
+    out = []
+    for store in (GraphStore(spark, os.path.join(tmp, "v")), PartitionedGraphStore(spark, os.path.join(tmp, "p"), partitions=8)):
+        store.write_nodes("Person", persons)
+        store.write_edges(("EDGE_TYPE", "Person", "Person"), M.merge_edges(None, person_edges, persons, persons))
+        s = store.delete_nodes("Person", [("age", 10)])
+        out.append((s, snapshot_nodes_edges(store)))
+    assert out[0] == out[1]
+    assert out[0][0] == {"label": "Person", "total": 1, "batches": 1, "edges_deleted": 2}
+
+
+def snapshot_nodes_edges(store):
+    return (
+        sorted(r["_uid"] for r in store.nodes("Person").collect()),
+        sorted(tuple(r) for r in store.edges(("EDGE_TYPE", "Person", "Person")).select("_fromUid", "_toUid").collect()),
+    )
+
+
+def test_delete_empties_a_partition(spark, tmp):
+    nodes = spark.range(10).select(F.col("id").alias("_uid"), F.lit("x").alias("name"))
+    store = PartitionedGraphStore(spark, os.path.join(tmp, "p"), partitions=4)
+    store.write_nodes("N", nodes)
+    s = store.delete_nodes("N", [("name", "x")])
+    assert s["total"] == 10 and store.nodes("N") is None and store.labels() == []
