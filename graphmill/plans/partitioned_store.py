@@ -71,7 +71,8 @@ class PartitionedGraphStore:
         Returns the rows written per ``_action`` (and ``"_rows"``), counted on the scratch copy, which is
         then removed."""
         scratch = scratch_path(self.spark, "pgs")
-        rows.withColumn(PART, self.part_of(key)).write.partitionBy(PART).parquet(scratch)
+        # One task per partition, so each partition is one file (not one file per task and partition).
+        rows.withColumn(PART, self.part_of(key)).repartition(PART).write.partitionBy(PART).parquet(scratch)
         written = set(self._parts_on_disk(scratch))
         counts: dict[str, int] = {"_rows": 0}
         if written:
