@@ -127,7 +127,6 @@ QUERIES = [
     "merge_nodes_duplicate_uid",
     "dangling_edges",
     "batch_numbers",
-    "stream_merge",
 ]
 
 
