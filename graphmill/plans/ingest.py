@@ -118,6 +118,15 @@ def _merge_key(store: GraphStore, key: StagingKey, frames: Sequence[DataFrame],
     return {"key": ":".join(key), "element_type": "EDGES", "element_properties": props, **counters}
 
 
+class IngestError(RuntimeError):
+    """A key failed to load.  Staged keys are kept (a re-run converges); ``events`` holds the request's
+    events up to and including the ERROR event, so its state reads ERROR."""
+
+    def __init__(self, message: str, events: DataFrame):
+        super().__init__(message)
+        self.events = events
+
+
 @dataclass
 class IngestResult:
     request_id: str
@@ -148,40 +157,44 @@ def ingest(
     log.emit("STARTED_PROCESSING_REQUEST", f"Starting processing request id: {stamped}")
     log.emit("FETCHING_DATA_AND_MODELS", f"Fetching pairs of data/model [{stamped}]")
     log.emit("FINISHED_FETCHING_DATA_AND_MODELS", f"Finished fetching pairs of data/model [{stamped}]", sources=[s.name for s in sources])
-    per_source: list[tuple[Source, dict[StagingKey, list[DataFrame]]]] = []
-    for src in sources:
-        log.emit("WRITING_GRAPH_ELEMENTS_INTO_REDIS", f"Translating [{src.name}]", source_name=src.name)
-        translated = translator.translate(src.data, src.graph_model, f"{stamped}_{src.name}")
-        if staging_path:
-            for (job, op, args), frames in translated.items():
-                for f in frames:
-                    staging.write_set_add(spark, staging.stage(f, job, op, args), staging_path)
-        per_source.append((src, translated))
-    log.emit("REDIS_IS_READY_FOR_CONSUMPTION", f"Graph elements are ready [{stamped}]")
-
-    # Node keys of every source before any edge key: an edge of source A may end at a node of source B.
-    work = [(i, src, key, frames) for i, (src, tr) in enumerate(per_source) for key, frames in tr.items()]
-    work.sort(key=lambda w: (w[2][1] != NODES_INGEST, w[0], ":".join(w[2]).lower()))
-    if staging_path:
-        work = [(i, src, key, _read_staged(spark, staging_path, key)) for i, src, key, _ in work]
-    results = _run_keys(store, [(key, frames) for _, _, key, frames in work], as_of, order_by, hot_min_rows, parallel)
-
-    loaded = []
-    first, last = {}, {}
-    for pos, w in enumerate(work):
-        first.setdefault(w[0], pos)
-        last[w[0]] = pos
-    for pos, (i, src, key, _) in enumerate(work):
-        if first[i] == pos:
-            log.emit("WRITING_FROM_REDIS_TO_NEO", f"Loading source {src.name}", source_name=src.name, processed_keys=[":".join(k) for k in per_source[i][1]])
-        r = results[pos]
-        log.emit("PUSHED_GRAPH_ELEMENTS_INTO_NEO", f"Pushed {r['element_type'].lower()}: {r['element_properties']}", **{k: v for k, v in r.items() if k != "key"})
-        loaded.append({"source_name": src.name, **r})
-        if last[i] == pos:
-            keys = list(per_source[i][1])
-            log.emit("DELETING_REDIS_KEYS", f"Deleting done-with keys [{src.name}]", keys=[":".join(k) for k in keys])
+    try:
+        per_source: list[tuple[Source, dict[StagingKey, list[DataFrame]]]] = []
+        for src in sources:
+            log.emit("WRITING_GRAPH_ELEMENTS_INTO_REDIS", f"Translating [{src.name}]", source_name=src.name)
+            translated = translator.translate(src.data, src.graph_model, f"{stamped}_{src.name}")
             if staging_path:
-                staging.drop_keys(spark, staging_path, keys)
+                for (job, op, args), frames in translated.items():
+                    for f in frames:
+                        staging.write_set_add(spark, staging.stage(f, job, op, args), staging_path)
+            per_source.append((src, translated))
+        log.emit("REDIS_IS_READY_FOR_CONSUMPTION", f"Graph elements are ready [{stamped}]")
+
+        # Node keys of every source before any edge key: an edge of source A may end at a node of source B.
+        work = [(i, src, key, frames) for i, (src, tr) in enumerate(per_source) for key, frames in tr.items()]
+        work.sort(key=lambda w: (w[2][1] != NODES_INGEST, w[0], ":".join(w[2]).lower()))
+        if staging_path:
+            work = [(i, src, key, _read_staged(spark, staging_path, key)) for i, src, key, _ in work]
+        results = _run_keys(store, [(key, frames) for _, _, key, frames in work], as_of, order_by, hot_min_rows, parallel)
+
+        loaded = []
+        first, last = {}, {}
+        for pos, w in enumerate(work):
+            first.setdefault(w[0], pos)
+            last[w[0]] = pos
+        for pos, (i, src, key, _) in enumerate(work):
+            if first[i] == pos:
+                log.emit("WRITING_FROM_REDIS_TO_NEO", f"Loading source {src.name}", source_name=src.name, processed_keys=[":".join(k) for k in per_source[i][1]])
+            r = results[pos]
+            log.emit("PUSHED_GRAPH_ELEMENTS_INTO_NEO", f"Pushed {r['element_type'].lower()}: {r['element_properties']}", **{k: v for k, v in r.items() if k != "key"})
+            loaded.append({"source_name": src.name, **r})
+            if last[i] == pos:
+                keys = list(per_source[i][1])
+                log.emit("DELETING_REDIS_KEYS", f"Deleting done-with keys [{src.name}]", keys=[":".join(k) for k in keys])
+                if staging_path:
+                    staging.drop_keys(spark, staging_path, keys)
+    except Exception as exc:  # noqa: BLE001 - reported as an ERROR event, then raised with the events
+        log.emit("ERROR", str(exc)[:2000], exception=type(exc).__name__)
+        raise IngestError(f"request {stamped} failed: {exc}", log.frame(spark)) from exc
     log.emit("DONE_PROCESSING_REQUEST", f"Done processing request: {stamped}")
     return IngestResult(stamped, loaded, log.frame(spark))
 

@@ -299,3 +299,19 @@ def test_two_mappings_one_label_keep_presence(spark, tmp, persons):
         nodes = store.nodes("Person")
         assert nodes.count() == 1050 and nodes.where("name is null or age is null").count() == 0
         assert res.loaded[0]["nodes_created"] == 1050 and res.loaded[0]["nodes_matched"] == 1050
+
+
+def test_failed_key_raises_with_error_event(spark, tmp, persons):
+    import pytest
+
+    from graphmill.model import NodeMapping
+    from graphmill.plans.ingest import IngestError
+    from graphmill.sources.providers import Source
+
+    bad = NodeMapping("Person", F.col("_uid").cast("string"), {"x": F.raise_error(F.lit("source row rejected"))})
+    store = GraphStore(spark, os.path.join(tmp, "g"))
+    stage = os.path.join(tmp, "stage")
+    with pytest.raises(IngestError) as err:
+        ingest(spark, [Source("p", persons, [bad])], store, "bad", dt.datetime(2024, 1, 1), staging_path=stage)
+    st = P.request_state(err.value.events).collect()[0]
+    assert st["status"] == "ERROR" and st["n_errors"] == 1
