@@ -107,9 +107,9 @@ def split_join(
         return big.join(small_unique, big[big_key] == small_unique[small_key], how)
     per_slice = max(1, min_rows or HOT_KEY_MIN_ROWS)
     slices = F.create_map(*[x for k, n in hot for x in (F.lit(k), F.lit(int(-(-n // per_slice))))])
-    n_big = F.coalesce(F.element_at(slices, F.col(big_key)), F.lit(1))
+    n_big = F.coalesce(F.try_element_at(slices, F.col(big_key)), F.lit(1))
     b = big.withColumn("_slice", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), n_big.cast("long")))
-    n_small = F.coalesce(F.element_at(slices, F.col(small_key)), F.lit(1))
+    n_small = F.coalesce(F.try_element_at(slices, F.col(small_key)), F.lit(1))
     s = small_unique.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), (n_small - 1).cast("long"))))
     j = b.join(s, (b[big_key] == s[small_key]) & (b["_slice"] == s["_slice"]), how)
     if how in ("left_semi", "left_anti"):

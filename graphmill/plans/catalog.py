@@ -60,7 +60,7 @@ STEP_OF_EVENT = {
 
 
 def progress_events(events: DataFrame) -> DataFrame:
-    step = F.element_at(F.create_map(*[F.lit(x) for kv in STEP_OF_EVENT.items() for x in kv]), F.col("event_type"))
+    step = F.try_element_at(F.create_map(*[F.lit(x) for kv in STEP_OF_EVENT.items() for x in kv]), F.col("event_type"))
     return events.select(
         F.col("ts").alias("timestamp"),
         F.col("event_id").alias("seq"),
