@@ -24,6 +24,29 @@ RECOMMENDED_CONF = {
 }
 
 
+def sizing(largest_table_bytes: int, shuffle_bytes: int | None = None, target_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, from the data size: partitions of about ``target_bytes``.
+
+    * ``spark.sql.shuffle.partitions`` / AQE's initial number: the biggest shuffle over the target size
+      (AQE then coalesces small ones and splits skewed ones);
+    * ``spark.sql.files.maxPartitionBytes``: the scan split size;
+    * ``graph_buckets``: a bucket count for ``GraphStore(buckets=...)`` so one bucket of the largest label
+      is about the target size (rounded up to a power of two; keep it fixed for a label's life).
+    """
+    shuffle_bytes = shuffle_bytes or largest_table_bytes
+    parts = max(8, -(-shuffle_bytes // target_bytes))
+    buckets = 1
+    while buckets * target_bytes < largest_table_bytes:
+        buckets *= 2
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "graph_buckets": str(buckets),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "graphmill") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")

@@ -111,3 +111,11 @@ def test_split_join_all_kinds(spark):
         a = S.split_join(big, small, "k", "sk", how, min_rows=1000)
         b = S.split_join(big, small, "k", "sk", how, min_rows=None)
         assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect()), how
+
+
+def test_sizing():
+    from graphmill.session import sizing
+
+    s = sizing(10 * 2**40, 30 * 2**40)
+    assert s["spark.sql.shuffle.partitions"] == "122880" and s["graph_buckets"] == "65536"
+    assert sizing(1)["spark.sql.shuffle.partitions"] == "8" and sizing(1)["graph_buckets"] == "1"
