@@ -68,12 +68,14 @@ class GraphStore:
         return [UID] if "/nodes/" in folder else [FROM_UID, TO_UID]
 
     def _bucket_count(self, path: str) -> int | None:
-        """The bucket count a version was written with, from its ``_buckets=N`` marker (None: plain)."""
+        """The bucket count a version was written with, from its ``_buckets_N`` marker (None: plain).
+
+        (No ``=`` in the name: Spark reads ``_name=value`` entries as partition folders, not hidden files.)"""
         p = self._Path(path)
         for st in self._fs.listStatus(p):
             name = st.getPath().getName()
-            if name.startswith("_buckets="):
-                return int(name.split("=", 1)[1])
+            if name.startswith("_buckets_"):
+                return int(name.rsplit("_", 1)[1])
         return None
 
     def _read_version(self, folder: str, version: int) -> DataFrame:
@@ -84,8 +86,10 @@ class GraphStore:
         name = self._table(folder, version)
         if not self.spark.catalog.tableExists(name):
             keys = ", ".join(f"`{k}`" for k in self._keys(folder))
+            schema = self.spark.read.parquet(path).schema  # footers only; bucketing needs the column list
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {name} USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+                f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
                 f"INTO {buckets} BUCKETS LOCATION '{path}'"
             )
         return self.spark.table(name)
@@ -114,7 +118,7 @@ class GraphStore:
                 .saveAsTable(self._table(folder, nxt))
             )
             # The bucket count travels with the files: any reader registers the version with it.
-            self._fs.create(self._Path(f"{path}/_buckets={self.buckets}"), True).close()
+            self._fs.create(self._Path(f"{path}/_buckets_{self.buckets}"), True).close()
         else:
             df.write.mode("error").parquet(path)
         for old in v[: max(0, len(v) + 1 - self.keep_versions)]:

@@ -315,3 +315,17 @@ def test_failed_key_raises_with_error_event(spark, tmp, persons):
         ingest(spark, [Source("p", persons, [bad])], store, "bad", dt.datetime(2024, 1, 1), staging_path=stage)
     st = P.request_state(err.value.events).collect()[0]
     assert st["status"] == "ERROR" and st["n_errors"] == 1
+
+
+def test_bucketed_version_reregistered_after_catalog_loss(spark, tmp, persons):
+    store = GraphStore(spark, os.path.join(tmp, "g"), buckets=4)
+    store.write_nodes("Person", persons)
+    name = store._table(store._node_dir("Person"), 1)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external table: the files stay
+    assert not spark.catalog.tableExists(name)
+    again = GraphStore(spark, os.path.join(tmp, "g"))  # a reader that does not know the bucket count
+    df = again.nodes("Person")
+    assert df.count() == 1050
+    assert spark.catalog.tableExists(name)
+    spec = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Num Buckets'").collect()
+    assert spec[0]["data_type"] == "4"
