@@ -85,3 +85,13 @@ def test_delete_empties_a_partition(spark, tmp):
     store.write_nodes("N", nodes)
     s = store.delete_nodes("N", [("name", "x")])
     assert s["total"] == 10 and store.nodes("N") is None and store.labels() == []
+
+
+def test_partitioned_graph_listing_and_purge(spark, tmp, persons, person_edges):
+    store = PartitionedGraphStore(spark, os.path.join(tmp, "p"), partitions=4)
+    store.write_nodes("Person", persons)
+    store.merge_edges(("E", "Person", "Person"), person_edges, persons, persons)
+    g = store.graph()
+    assert store.labels() == ["Person"] and store.edge_keys() == [("E", "Person", "Person")]
+    assert g.edges[("E", "Person", "Person")].count() == 500 and "_p" not in g.nodes["Person"].columns
+    assert store.purge() == 2 and store.labels() == [] and store.nodes("Person") is None
