@@ -113,6 +113,24 @@ def q_merge_nodes_update(spark, d):
     return M.merge_nodes(existing, incoming, AS_OF_2)
 
 
+def q_partitioned_upsert(spark, d):
+    """J1 through the partitioned store: the same two merges as ``merge_nodes_update``, each rewriting only
+    the partitions its batch touches; the result must equal the in-memory merge."""
+    from graphmill.plans.partitioned_store import PartitionedGraphStore
+
+    c = _t(spark, d, "customer")
+    store = PartitionedGraphStore(spark, scratch_path(spark, "pgraph"), partitions=int(spark.conf.get("spark.sql.shuffle.partitions")) * 4)
+    store.merge_nodes("Customer", CUSTOMER.apply(c.where("c_acctbal < 6000")), AS_OF_1)
+    incoming = c.where("c_acctbal > 3000").select(
+        F.col("c_custkey").alias(UID),
+        F.when(F.col("c_nationkey") == 0, F.lit(None).cast("string")).otherwise(F.concat("c_name", F.lit("*"))).alias("name"),
+        (F.col("c_acctbal") + 1).alias("acctbal"),
+        F.lower("c_mktsegment").alias("tier"),
+    )
+    store.merge_nodes("Customer", incoming, AS_OF_2)
+    return store.nodes("Customer").select(UID, "name", "nation", "acctbal", "segment", "tier", "_created", "_last_updated")
+
+
 def _event_nodes(spark, d) -> DataFrame:
     return _t(spark, d, "events").select(F.col("user_id").alias(UID), "event_id", "ts", "event_type", "value")
 

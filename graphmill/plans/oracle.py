@@ -410,3 +410,4 @@ SELECT element_type, name, n, deleted_nodes, deleted_edges FROM (
 SELECT c_mktsegment AS segment, count(*) AS n_orders, round(sum(o_totalprice), 2) AS revenue
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment""",
 }
+ORACLE["partitioned_upsert"] = ORACLE["merge_nodes_update"]  # same merges, other storage
