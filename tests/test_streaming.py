@@ -82,3 +82,16 @@ def test_closed_sessions_feed_the_dump(spark, tmp):
     SS.dump_closed_sessions(SS.read_stream(spark, src, EVENT_SCHEMA), out, "1 hour", "1 hour", os.path.join(tmp, "ckpt"))
     got = sorted((r["request_id"], r["n_events"]) for r in spark.read.json(out).collect())
     assert got == [("a", 2), ("b", 1)]  # b's last session (300 min) is still open under the watermark
+
+
+def test_stream_merge_into_partitioned_store(spark, tmp):
+    from graphmill.plans.partitioned_store import PartitionedGraphStore
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(F.col("user_id").alias("_uid"), "event_id", "ts", "event_type")
+    src = os.path.join(tmp, "src")
+    ev.repartition(3, "_uid").write.parquet(src)
+    store = PartitionedGraphStore(spark, os.path.join(tmp, "pg"), partitions=16)
+    SS.merge_stream_into_store(SS.read_stream(spark, src, ev.schema, max_files_per_trigger=1), store, "User", "2024-02-01", os.path.join(tmp, "ckpt"), ["ts", "event_id"])
+    batch = M.merge_nodes(None, ev, "2024-02-01", ["ts", "event_id"])
+    cols = ["_uid", "event_id", "event_type", "_created", "_last_updated"]
+    assert sorted(tuple(r) for r in store.nodes("User").select(*cols).collect()) == sorted(tuple(r) for r in batch.select(*cols).collect())
