@@ -180,7 +180,7 @@ def top_n_within(
     w1 = Window.partitionBy(*keys, "_slice").orderBy(*ocols)
     survivors = placed.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= n).drop("_r1", "_slice")
     w2 = Window.partitionBy(*keys).orderBy(*ocols)
-    return survivors.withColumn(out, F.row_number().over(w2)).where(F.col(out) <= n)
+    return survivors.withColumn(out, F.row_number().over(w2).cast("long")).where(F.col(out) <= n)
 
 
 def orderable(data_type) -> bool:
