@@ -56,3 +56,13 @@ def test_query_matches_oracle(spark, duck, name):
 def test_entry(spark):
     df = E.entry(spark)
     assert df.columns == ["segment", "n_orders", "revenue"] and df.count() == 5
+
+
+SPARK_TO_DUCK = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "StringType()": "VARCHAR", "DoubleType()": "DOUBLE", "BooleanType()": "BOOLEAN", "TimestampNTZType()": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", ["key_sample", "merge_counters", "request_state", "parse_keys", "union_frames", "sequence_check", "store_delete", "closed_sessions"])
+def test_column_types_match_oracle(spark, duck, name):
+    got = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in E.queries()[name](spark, SF).schema.fields}
+    rel = duck.sql(E.oracle_sql()[name])
+    assert got == dict(zip(rel.columns, [str(t) for t in rel.types]))
