@@ -96,6 +96,36 @@ def sequence_check(events: DataFrame, expected: Sequence[str], spark: SparkSessi
     return g.withColumn("matches", (F.col("n_events") == k) & (F.col("n_matching") == k))
 
 
+COUNTER_ARGUMENTS = ("nodes_created", "labels_added", "nodes_matched", "relationships_created")
+
+
+def request_report(events: DataFrame, hot_min_rows: int | None = HOT_KEY_MIN_ROWS) -> DataFrame:
+    """A10 + A11 + A5 as one document per request, like the reference's request object: the state, the
+    status -> latest time map, and the counters per ``element_type_element_properties`` summed over the
+    pushed batches.
+
+    The maps are built after partial aggregation, so their inputs are bounded by the model, not by the
+    data: at most one entry per status type, one per (key, counter).
+    """
+    state = request_state(events, hot_min_rows)
+    times = status_times(events, hot_min_rows).groupBy("request_id").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "at")))).alias("map_status_to_timestamp")
+    )
+    pushed = since_last_start(events, hot_min_rows).where(F.col("event_type") == "PUSHED_GRAPH_ELEMENTS_INTO_NEO")
+    key = F.concat_ws("_", F.col("arguments")["element_type"], F.col("arguments")["element_properties"])
+    long = pushed.select(
+        "request_id",
+        key.alias("key"),
+        F.explode(F.map_filter("arguments", lambda k, v: k.isin(*COUNTER_ARGUMENTS))).alias("counter", "value"),
+    )
+    per_counter = long.groupBy("request_id", "key", "counter").agg(F.sum(F.col("value").cast("long")).alias("value"))
+    per_key = per_counter.groupBy("request_id", "key").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("counter", "value")))).alias("counters")
+    )
+    counters = per_key.groupBy("request_id").agg(F.map_from_entries(F.collect_list(F.struct("key", "counters"))).alias("counters"))
+    return state.join(times, "request_id", "left").join(counters, "request_id", "left")
+
+
 def counter_rollup(counters: DataFrame) -> DataFrame:
     """A5: sum each counter per (request, ``element_type_element_properties``) over all batches."""
     key = F.concat_ws("_", "element_type", "element_properties")

@@ -329,3 +329,21 @@ def test_bucketed_version_reregistered_after_catalog_loss(spark, tmp, persons):
     assert spark.catalog.tableExists(name)
     spec = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Num Buckets'").collect()
     assert spec[0]["data_type"] == "4"
+
+
+def test_request_report_from_ingest(spark, tmp, persons, person_edges):
+    from graphmill.model import EdgeMapping, NodeMapping
+    from graphmill.sources.providers import Source
+
+    store = GraphStore(spark, os.path.join(tmp, "g"))
+    nodes = NodeMapping("Person", "_uid", {"name": "name"})
+    edges = EdgeMapping("EDGE_TYPE", "Person", "_fromUid", "Person", "_toUid")
+    res = ingest(spark, [Source("p", persons, [nodes]), Source("e", person_edges, [edges])], store, "rep", dt.datetime(2024, 3, 1))
+    rep = P.request_report(res.events).collect()[0]
+    assert rep["status"] == "DONE_PROCESSING_REQUEST"
+    assert rep["map_status_to_timestamp"]["DONE_PROCESSING_REQUEST"] == "2024-03-01 00:00:00"
+    assert rep["counters"]["NODES_Person"]["nodes_created"] == 1050
+    assert rep["counters"]["EDGES_EDGE_TYPE_Person_Person"]["relationships_created"] == 500
+    P.dump_states(P.request_report(res.events), os.path.join(tmp, "dump"), "2024-03-01")
+    back = spark.read.json(os.path.join(tmp, "dump")).collect()[0]
+    assert back["counters"]["NODES_Person"]["nodes_created"] == 1050
