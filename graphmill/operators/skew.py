@@ -3,8 +3,9 @@
 Design rule: a single key (one supernode, one request id, one staging key) may hold a third of all rows.
 Nothing here puts such a key into one task:
 
-* ``hot_keys`` finds the heaviest keys with a partial (map-side) count and a distributed top-K; at most
-  ``max_keys`` rows reach the driver, and any key left out holds at most ``1/max_keys`` of the rows.
+* ``hot_keys`` finds the heaviest keys on a row sample (rate ``10,000 / min_rows``) with a partial count
+  and a distributed top-K; at most ``max_keys`` rows reach the driver, and any key left out holds at most
+  ``1/max_keys`` of the rows.
 * ``split_join`` joins a large, possibly skewed side to a side that is unique on the key: each hot key is
   salted into slices of ordinary task size, its single row on the unique side repeated once per slice.
   One scan, one shuffle, exact.
@@ -34,31 +35,56 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_MIN_ROWS, max_keys: int = HOT_KEY_MAX_KEYS) -> list[tuple]:
+HOT_KEY_SAMPLE_ROWS = 10_000
+
+
+def _sampled(df: DataFrame, min_rows: int, sample_rows: int) -> tuple[DataFrame, float, int]:
+    """A row sample in which a key at the threshold still shows about ``sample_rows`` rows.
+
+    Returns (sample, rate, threshold on sampled counts).  The threshold is half the expected count, so a
+    key at or above ``min_rows`` is found with certainty in practice (the expected count is 10,000 with a
+    standard deviation near 100); a key counted below it holds few enough rows for one task anyway.
+    """
+    rate = min(1.0, sample_rows / max(1, min_rows))
+    if rate >= 1.0:
+        return df, 1.0, min_rows
+    return df.sample(fraction=rate, seed=17), rate, max(1, int(min_rows * rate / 2))
+
+
+def hot_keys(
+    df: DataFrame, key: str, min_rows: int = HOT_KEY_MIN_ROWS, max_keys: int = HOT_KEY_MAX_KEYS, sample_rows: int = HOT_KEY_SAMPLE_ROWS
+) -> list[tuple]:
     """(value, rows) of the values of ``key`` with at least ``min_rows`` rows, heaviest first, at most
-    ``max_keys`` of them (partial count, then a distributed top-K: at most ``max_keys`` rows reach the driver)."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.where(F.col("_n") >= F.lit(min_rows)).orderBy(F.desc("_n")).limit(max_keys)
-    return [(r[0], r[1]) for r in top.collect()]
+    ``max_keys`` of them.  Counted on a row sample (rows estimated from it) unless ``min_rows`` is small;
+    a partial count, then a distributed top-K: at most ``max_keys`` rows reach the driver."""
+    src, rate, floor = _sampled(df, min_rows, sample_rows)
+    counts = src.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.where(F.col("_n") >= F.lit(floor)).orderBy(F.desc("_n")).limit(max_keys)
+    return [(r[0], int(round(r[1] / rate))) for r in top.collect()]
 
 
 def hot_keys_by_column(
-    df: DataFrame, columns: Sequence[str], min_rows: int = HOT_KEY_MIN_ROWS, max_keys: int = HOT_KEY_MAX_KEYS
+    df: DataFrame,
+    columns: Sequence[str],
+    min_rows: int = HOT_KEY_MIN_ROWS,
+    max_keys: int = HOT_KEY_MAX_KEYS,
+    sample_rows: int = HOT_KEY_SAMPLE_ROWS,
 ) -> dict[str, list[tuple]]:
-    """``hot_keys`` for several key columns with one scan and one partial aggregate.
+    """``hot_keys`` for several key columns with one job.
 
-    Counting on the raw input over-counts keys that a later dedupe would shrink; that only gives a few keys
-    more salt than they need and keeps the bound of ``max_keys`` per column.  One job; each column is a
-    typed partial aggregate over its own (column-pruned) scan.
+    A full count over a key with billions of distinct values barely combines map-side, so it would
+    shuffle about the whole key column; counting a sample of rate ``sample_rows / min_rows`` (0.5% at the
+    default threshold) shuffles that share only.  Counting on the raw input over-counts keys that a later
+    dedupe would shrink; that only gives a few keys more salt than they need.  Each column is a typed
+    partial aggregate; only the survivors are cast to text to share one result table.
     """
     cols = list(columns)
-    # Typed partial counts per column (hash aggregate on the key's own type); only the few survivors of the
-    # threshold are cast to text to share one result table.
+    src, rate, floor = _sampled(df, min_rows, sample_rows)
     parts = [
-        df.where(F.col(c).isNotNull())
+        src.where(F.col(c).isNotNull())
         .groupBy(c)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= F.lit(min_rows))
+        .where(F.col("_n") >= F.lit(floor))
         .select(F.lit(i).alias("side"), F.col(c).cast("string").alias("k"), "_n")
         for i, c in enumerate(cols)
     ]
@@ -68,7 +94,7 @@ def hot_keys_by_column(
     out: dict[str, list[tuple]] = {c: [] for c in cols}
     for r in top:
         c = cols[r["side"]]
-        out[c].append((_typed(r["k"], df.schema[c].dataType), r["_n"]))
+        out[c].append((_typed(r["k"], df.schema[c].dataType), int(round(r["_n"] / rate))))
     return out
 
 

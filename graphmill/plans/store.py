@@ -5,7 +5,7 @@ A merge reads version n and writes n+1, so no job overwrites the files it reads,
 half table behind (a version counts only once its ``_SUCCESS`` marker exists), and an executor lost
 mid-merge is recomputed from version n, which is still there.  Paths work on any Hadoop file system.
 
-With ``buckets=B`` every version is also a catalog table bucketed (and sorted) on ``_uid`` for nodes and
+With ``buckets=B`` every version is also a catalog table bucketed on ``_uid`` for nodes and
 on ``(_fromUid, _toUid)`` for edges.  A merge then joins the bucketed existing table without shuffling
 it: only the incoming batch is shuffled into the B buckets, and the join's output partitions are the
 buckets of the next version.  On a cluster the catalog is the shared metastore; a version missing from
@@ -89,7 +89,7 @@ class GraphStore:
             schema = self.spark.read.parquet(path).schema  # footers only; bucketing needs the column list
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+                f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY ({keys}) "
                 f"INTO {buckets} BUCKETS LOCATION '{path}'"
             )
         return self.spark.table(name)
@@ -113,7 +113,6 @@ class GraphStore:
                 df.write.format("parquet")
                 .mode("error")
                 .bucketBy(self.buckets, *keys)
-                .sortBy(*keys)
                 .option("path", path)
                 .saveAsTable(self._table(folder, nxt))
             )

@@ -119,3 +119,14 @@ def test_sizing():
     s = sizing(10 * 2**40, 30 * 2**40)
     assert s["spark.sql.shuffle.partitions"] == "122880" and s["graph_buckets"] == "65536"
     assert sizing(1)["spark.sql.shuffle.partitions"] == "8" and sizing(1)["graph_buckets"] == "1"
+
+
+def test_hot_keys_on_a_sample(spark):
+    # 300k rows: key 0 holds 100k, key 1 holds 10k, the rest are spread thin
+    df = spark.range(300_000).select(
+        F.when(F.col("id") < 100_000, 0).when(F.col("id") < 110_000, 1).otherwise(F.col("id")).alias("k")
+    )
+    hot = S.hot_keys(df, "k", min_rows=50_000)  # sample rate 0.2
+    assert [k for k, _ in hot] == [0] and 90_000 < hot[0][1] < 110_000
+    both = S.hot_keys_by_column(df.withColumn("j", F.col("k")), ["k", "j"], min_rows=50_000)
+    assert [k for k, _ in both["k"]] == [0] and [k for k, _ in both["j"]] == [0]
