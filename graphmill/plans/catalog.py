@@ -35,6 +35,14 @@ from graphmill.sources import providers as PR
 from graphmill.sources import whitelist as WL
 from graphmill.streaming import stream as SS
 
+# Store layout for the queries' scratch graphs (sized for the driver tables, not the session's defaults).
+STORE_BUCKETS = 16
+STORE_PARTITIONS = 64
+# The event stream: the events table split into this many files (one user per file), read this many
+# files per micro-batch.
+STREAM_FILES = 8
+STREAM_FILES_PER_TRIGGER = 2
+
 AS_OF_1 = "2024-01-01 00:00:00"
 AS_OF_2 = "2024-02-01 00:00:00"
 
@@ -119,7 +127,7 @@ def q_partitioned_upsert(spark, d):
     from graphmill.plans.partitioned_store import PartitionedGraphStore
 
     c = _t(spark, d, "customer")
-    store = PartitionedGraphStore(spark, scratch_path(spark, "pgraph"), partitions=int(spark.conf.get("spark.sql.shuffle.partitions")) * 4)
+    store = PartitionedGraphStore(spark, scratch_path(spark, "pgraph"), partitions=STORE_PARTITIONS)
     store.merge_nodes("Customer", CUSTOMER.apply(c.where("c_acctbal < 6000")), AS_OF_1)
     incoming = c.where("c_acctbal > 3000").select(
         F.col("c_custkey").alias(UID),
@@ -475,25 +483,37 @@ def q_events_of_request(spark, d):
 # ----------------------------------------------------------------------------- streams
 
 
+STREAM_STATE_PARTITIONS = 8
+
+
+def _stream_session(spark: SparkSession) -> SparkSession:
+    """A session sharing the SparkContext, with the state partitions sized for the driver tables (a
+    streaming query fixes its state partitions at its first start)."""
+    s = spark.newSession()
+    s.conf.set("spark.sql.shuffle.partitions", str(STREAM_STATE_PARTITIONS))
+    s.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return s
+
+
 def _stream_copy(spark, d, name: str) -> tuple[str, T.StructType]:
     """The events table split into files by user (one user per file), in a fresh scratch folder."""
     ev = _t(spark, d, "events")
     path = scratch_path(spark, name)
-    ev.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "user_id").write.parquet(path)
+    ev.repartition(STREAM_FILES, "user_id").write.parquet(path)
     return path, ev.schema
 
 
 def q_stream_read(spark, d):
     src, schema = _stream_copy(spark, d, "stream-src")
     out = scratch_path(spark, "stream-out")
-    SS.run_to_end(SS.read_stream(spark, src, schema, max_files_per_trigger=1), SS.copy_to_sink(out), scratch_path(spark, "stream-ckpt"))
+    SS.run_to_end(SS.read_stream(_stream_session(spark), src, schema, max_files_per_trigger=STREAM_FILES_PER_TRIGGER), SS.copy_to_sink(out), scratch_path(spark, "stream-ckpt"))
     return spark.read.schema(schema).parquet(out).select("event_id", "ts", "user_id", "event_type", "value")
 
 
 def q_stream_merge(spark, d):
     src, schema = _stream_copy(spark, d, "stream-src")
     store = GraphStore(spark, scratch_path(spark, "stream-graph"))
-    stream = SS.read_stream(spark, src, schema, max_files_per_trigger=1).select(
+    stream = SS.read_stream(_stream_session(spark), src, schema, max_files_per_trigger=STREAM_FILES_PER_TRIGGER).select(
         F.col("user_id").alias(UID), "event_id", "ts", "event_type", "value"
     )
     SS.merge_stream_into_store(stream, store, "User", AS_OF_2, scratch_path(spark, "stream-ckpt"), order_by=["ts", "event_id"])
@@ -503,7 +523,7 @@ def q_stream_merge(spark, d):
 def q_live_state(spark, d):
     src, schema = _stream_copy(spark, d, "stream-src")
     out = scratch_path(spark, "live-state")
-    stream = progress_events(SS.read_stream(spark, src, schema, max_files_per_trigger=1))
+    stream = progress_events(SS.read_stream(_stream_session(spark), src, schema, max_files_per_trigger=STREAM_FILES_PER_TRIGGER))
     SS.run_to_end(SS.live_state(stream), SS.copy_to_sink(out, "complete"), scratch_path(spark, "stream-ckpt"), mode="complete")
     return spark.read.parquet(out)
 
@@ -511,7 +531,7 @@ def q_live_state(spark, d):
 def q_closed_sessions(spark, d):
     src, schema = _stream_copy(spark, d, "stream-src")
     out = scratch_path(spark, "sessions")
-    stream = progress_events(SS.read_stream(spark, src, schema))
+    stream = progress_events(SS.read_stream(_stream_session(spark), src, schema))
     SS.run_to_end(SS.closed_sessions(stream, "1 hour", "1 hour"), SS.copy_to_sink(out), scratch_path(spark, "stream-ckpt"))
     got = spark.read.parquet(out)
     return got.select(
@@ -547,7 +567,7 @@ def _store_counts(store: GraphStore) -> DataFrame:
 
 
 def q_ingest_two_sources(spark, d):
-    store = GraphStore(spark, scratch_path(spark, "graph"), buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    store = GraphStore(spark, scratch_path(spark, "graph"), buckets=STORE_BUCKETS)
     sources = [
         PR.Source("customers", _t(spark, d, "customer"), [CUSTOMER, CUSTOMER_IN]),
         PR.Source("suppliers", _t(spark, d, "supplier"), [SUPPLIER, SUPPLIER_IN]),
@@ -761,7 +781,7 @@ def q_typed_edges(spark, d):
 
 
 def q_store_delete(spark, d):
-    store = GraphStore(spark, scratch_path(spark, "graph"), buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    store = GraphStore(spark, scratch_path(spark, "graph"), buckets=STORE_BUCKETS)
     g = _customer_graph(spark, d)
     for label, df in g.nodes.items():
         store.write_nodes(label, df)
