@@ -521,11 +521,15 @@ def q_stream_merge(spark, d):
 
 
 def q_live_state(spark, d):
+    """The streaming request state in update mode, upserted per micro-batch into a graph store (a
+    ``PartitionedGraphStore`` is the choice when a batch changes few of very many requests)."""
     src, schema = _stream_copy(spark, d, "stream-src")
-    out = scratch_path(spark, "live-state")
+    store = GraphStore(spark, scratch_path(spark, "live-state"))
     stream = progress_events(SS.read_stream(_stream_session(spark), src, schema, max_files_per_trigger=STREAM_FILES_PER_TRIGGER))
-    SS.run_to_end(SS.live_state(stream), SS.copy_to_sink(out, "complete"), scratch_path(spark, "stream-ckpt"), mode="complete")
-    return spark.read.parquet(out)
+    SS.run_to_end(SS.live_state(stream), SS.upsert_sink(store, "RequestState", "request_id", AS_OF_2), scratch_path(spark, "stream-ckpt"), mode="update")
+    return store.nodes("RequestState").select(
+        F.col(UID).alias("request_id"), "status", "first_at", "end_at", "n_events", "n_errors"
+    )
 
 
 def q_closed_sessions(spark, d):
