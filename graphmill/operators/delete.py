@@ -72,7 +72,7 @@ def detach_delete(
 
     A null property never matches (``coalesce(pred, false)``).  Edge tables whose ends do not have the
     label are passed through untouched; the others lose rows by an anti-join on the deleted uids (a
-    supernode's edges go through the broadcast path of ``split_join``).
+    supernode's edges are salted by ``split_join``).
     """
     if indexed is not None:
         check_indexed(label, [c for c, _ in conditions], indexed)

@@ -143,7 +143,7 @@ def valid_edges(
     """Distinct (from, to) pairs of ``incoming`` whose ends both exist.
 
     Repeats collapse first (partial aggregate), then each end is checked with a semi-join against the node
-    keys only; a supernode's edges take the broadcast path of ``split_join``.  Hot ends are counted once,
+    keys only; a supernode's edges are salted by ``split_join``.  Hot ends are counted once,
     on the raw input, for both ends in one pass.
     """
     hot = _hot_ends(incoming, hot_min_rows)

@@ -26,7 +26,7 @@ def since_last_start(events: DataFrame, hot_min_rows: int | None = HOT_KEY_MIN_R
     """Events from the last STARTED of their request on (a new STARTED replaces the whole state).
 
     Requests that never started have no state and drop out.  The last start per request is a partial
-    aggregate; joining it back splits off busy requests (``split_join``).
+    aggregate; joining it back salts busy requests (``split_join``).
     """
     starts = (
         events.where(F.col("event_type") == STARTED)
@@ -222,7 +222,7 @@ def name_entries(entries: DataFrame, registry: DataFrame, max_broadcast_rows: in
     reg = registry.select(F.col("job_id").alias("_jid"), F.col("job_name").alias("_name"))
     if is_small(reg, max_broadcast_rows):
         j = entries.join(F.broadcast(reg), entries["job_id"] == reg["_jid"], "left")
-    else:  # a large registry: shuffle join, with busy job ids split off
+    else:  # a large registry: shuffle join, busy job ids salted
         j = split_join(entries, reg, "job_id", "_jid", "left")
     name = F.coalesce(F.col("_name"), F.col("job_name")) if "job_name" in entries.columns else F.col("_name")
     cols = [name.alias("job_name") if c == "job_name" else F.col(c) for c in entries.columns]

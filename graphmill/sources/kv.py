@@ -14,7 +14,7 @@ from graphmill.operators.skew import HOT_KEY_MIN_ROWS, latest_per_key, split_joi
 def multi_get(requested: DataFrame, store: DataFrame, hot_min_rows: int | None = HOT_KEY_MIN_ROWS) -> DataFrame:
     """``requested(pos, key)`` against ``store(key, value)``: one row per request, value null when the
     key is missing; ``pos`` keeps the caller's order (the store must be unique on key).  A key asked for
-    by a large share of the requests takes the broadcast path of ``split_join``."""
+    by a large share of the requests is salted by ``split_join``."""
     st = store.select(F.col("key").alias("_k"), "value")
     j = split_join(requested.select("pos", "key"), st, "key", "_k", "left", min_rows=hot_min_rows)
     return j.select("pos", "key", "value")
@@ -23,7 +23,7 @@ def multi_get(requested: DataFrame, store: DataFrame, hot_min_rows: int | None =
 def multi_get_hash(requested: DataFrame, store: DataFrame, hot_min_rows: int | None = HOT_KEY_MIN_ROWS) -> DataFrame:
     """``requested(pos, key)`` against the long form ``store(key, field, value)``: one row per
     (request, field); a missing key gives one row with null field (an empty map).  The fields of one key
-    are bounded by the hash's width, so the hot path's broadcast stays bounded too."""
+    are bounded by the hash's width, so the salted copies of a hot key stay bounded too."""
     st = store.select(F.col("key").alias("_k"), "field", "value")
     j = split_join(requested.select("pos", "key"), st, "key", "_k", "left", min_rows=hot_min_rows)
     return j.select("pos", "key", "field", "value")

@@ -98,7 +98,7 @@ def test_edges_have_both_ends(spark):
 
 
 def test_supernode_split_path_equals_plain(spark):
-    # a third of all edges leave node 0: forced through the broadcast path by a low threshold
+    # a third of all edges leave node 0: salted, forced by a low threshold
     nodes = spark.range(0, 300).select(F.col("id").alias("_uid"))
     hot = spark.range(0, 3000).select(F.lit(0).cast("long").alias(FROM_UID), (F.col("id") % 400).alias(TO_UID))
     cold = spark.range(0, 6000).select((F.col("id") % 350).alias(FROM_UID), (F.col("id") % 280).alias(TO_UID))
