@@ -44,9 +44,15 @@ def _props(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c != UID and c not in SYSTEM_COLUMNS and c != ACTION]
 
 
-def dedupe_incoming(incoming: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
-    """One row per ``_uid`` (the last to apply), plus ``_n_in`` = rows of that uid in the batch."""
+def dedupe_incoming(incoming: DataFrame, order_by: Sequence[str] | None = None, unique_uids: bool = False) -> DataFrame:
+    """One row per ``_uid`` (the last to apply), plus ``_n_in`` = rows of that uid in the batch.
+
+    ``unique_uids``: the caller guarantees one row per uid (a keyed source, another merge's output), so
+    the sort-based dedupe aggregate is skipped; the join still shuffles the batch once.
+    """
     inc = incoming.where(F.col(UID).isNotNull())
+    if unique_uids:
+        return inc.withColumn("_n_in", F.lit(1).cast("long"))
     order = list(order_by) if order_by else [c for c in inc.columns if c != UID and orderable(inc.schema[c].dataType)]
     return latest_per_key(inc, [UID], order, count_as="_n_in")
 
@@ -56,10 +62,11 @@ def merge_nodes_flagged(
     incoming: DataFrame,
     as_of,
     order_by: Sequence[str] | None = None,
+    unique_uids: bool = False,
 ) -> DataFrame:
     """The node table after the upsert, with an ``_action`` column (created / updated / kept)."""
     ts = as_of_literal(as_of)
-    inc = dedupe_incoming(incoming, order_by)
+    inc = dedupe_incoming(incoming, order_by, unique_uids)
     in_props = _props(incoming)
     has_in_created = CREATED in incoming.columns
     has_in_updated = LAST_UPDATED in incoming.columns
@@ -111,9 +118,11 @@ def merge_nodes_flagged(
     return j.select(*cols)
 
 
-def merge_nodes(existing: DataFrame | None, incoming: DataFrame, as_of, order_by: Sequence[str] | None = None) -> DataFrame:
+def merge_nodes(
+    existing: DataFrame | None, incoming: DataFrame, as_of, order_by: Sequence[str] | None = None, unique_uids: bool = False
+) -> DataFrame:
     """Upsert ``incoming`` into the node table ``existing`` (``None`` = empty label)."""
-    return merge_nodes_flagged(existing, incoming, as_of, order_by).drop(ACTION)
+    return merge_nodes_flagged(existing, incoming, as_of, order_by, unique_uids).drop(ACTION)
 
 
 def node_counters(flagged: DataFrame, incoming: DataFrame, label: str) -> DataFrame:

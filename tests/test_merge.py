@@ -178,3 +178,11 @@ def test_merge_into_table_without_timestamps(spark, persons):
     out = {r["_uid"]: r for r in M.merge_nodes(plain, persons.where("_uid < 3").select("_uid", "age"), T2).collect()}
     assert out[1]["age"] == 1 and out[1]["name"] == "Person1" and out[1]["_created"] is None
     assert out[1]["_last_updated"] == dt.datetime(2024, 2, 1) and out[5]["_last_updated"] is None
+
+
+def test_unique_uids_fast_path(spark, persons):
+    inc = persons.where("_uid >= 400").withColumn("name", F.upper("name"))
+    slow = M.merge_nodes(M.merge_nodes(None, persons.where("_uid < 600"), T1), inc, T2)
+    fast = M.merge_nodes(M.merge_nodes(None, persons.where("_uid < 600"), T1, unique_uids=True), inc, T2, unique_uids=True)
+    assert rows(slow, *slow.columns) == rows(fast, *slow.columns)
+    assert "SortAggregate" not in fast._jdf.queryExecution().executedPlan().toString()
