@@ -120,12 +120,12 @@ class PartitionedGraphStore:
     def write_edges(self, key: tuple[str, str, str], df: DataFrame, aligned: bool = False) -> dict[str, int]:
         return self._replace(self._edge_dir(key), df, FROM_UID, self._parts_on_disk(self._edge_dir(key)))
 
-    def merge_nodes(self, label: str, incoming: DataFrame, as_of, order_by=None) -> dict[str, int]:
+    def merge_nodes(self, label: str, incoming: DataFrame, as_of, order_by=None, unique_uids: bool = False) -> dict[str, int]:
         """J1 touching only the partitions of the incoming uids."""
         folder = self._node_dir(label)
         touched = self._touched(incoming, UID)
         existing = self._read(folder, touched)
-        flagged = merge_nodes_flagged(existing, incoming, as_of, order_by)
+        flagged = merge_nodes_flagged(existing, incoming, as_of, order_by, unique_uids)
         return self._replace(folder, flagged, UID, touched)
 
     def merge_edges(self, key, incoming: DataFrame, from_nodes: DataFrame, to_nodes: DataFrame, hot_min_rows: int | None = HOT_KEY_MIN_ROWS) -> dict[str, int]:

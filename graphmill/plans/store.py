@@ -161,12 +161,12 @@ class GraphStore:
     def graph(self) -> Graph:
         return Graph({l: self.nodes(l) for l in self.labels()}, {k: self.edges(k) for k in self.edge_keys()})
 
-    def merge_nodes(self, label: str, incoming: DataFrame, as_of, order_by=None) -> dict[str, int]:
+    def merge_nodes(self, label: str, incoming: DataFrame, as_of, order_by=None, unique_uids: bool = False) -> dict[str, int]:
         """J1 into the stored label: a new version; returns the counts per ``_action``."""
         from graphmill.operators.merge import merge_nodes_flagged
 
         existing = self.nodes(label)
-        flagged = merge_nodes_flagged(existing, incoming, as_of, order_by)
+        flagged = merge_nodes_flagged(existing, incoming, as_of, order_by, unique_uids)
         return self.action_counts(self.write_nodes(label, flagged, aligned=existing is not None))
 
     def merge_edges(
