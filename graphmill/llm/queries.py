@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from graphmill.llm.jaccard import op7_jaccard_join
+from graphmill.llm.mixing import op8_mix_sources
+from graphmill.llm.substring import op2_substring_dedup
 from graphmill.llm.toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op5_toxicity": op5_toxicity,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op8_mix_sources": op8_mix_sources,
 }
 
 ORACLE: dict[str, str] = {}
