@@ -9,8 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from graphmill.llm.common import stored
+from graphmill.llm.jaccard import keep_one
+from graphmill.llm.mixing import mixed_documents
+from graphmill.llm.packing import pack
+from graphmill.llm.substring import dedup_substrings
 from graphmill.llm.toxicity import reject_toxic
 from graphmill.session import table
 
@@ -20,8 +25,35 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return reject_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that shingle sets of five words link at 0.8 or more, directly or through others, the least id stays."""
+    return keep_one(spark, docs, k=5, percent=80)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has go from the texts; every document stays."""
+    cleaned = dedup_substrings(spark, docs)
+    if "n_chars" in docs.columns:
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return cleaned.select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in their target proportions: documents whole, in parts or twice."""
+    return mixed_documents(spark, docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of token ids: a row per piece of a document, with its ids."""
+    return pack(spark, docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", toxicity),
+    ("n-gram Jaccard join", jaccard_join),
+    ("substring dedup", substring_dedup),
+    ("mixing", mixing),
+    ("packing", packing),
 ]
 
 #: The first stage is a trained model, which SQL cannot express; tests hold every stage against brute force.

@@ -37,6 +37,8 @@ K = 4
 #: The similarity as a fraction of 100, and sets in one task's trie.
 PERCENT = 85
 BLOCK = 2000
+#: Tasks over which a group's rows spread where they meet one row of their group.
+SALTS = 32
 
 
 def _set_rows(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -212,7 +214,12 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return own.join(wanted, "doc_id").select("grp", "set_id", "text").mapInArrow(rows, "grp long, set_id long, items binary")
 
 
-def _pivot_links(sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def _spread(groups: DataFrame) -> DataFrame:
+    """A row per group and salt."""
+    return groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _pivot_links(large: DataFrame, percent: int) -> DataFrame:
     """(grp, set_id, pivot): the sets of large groups that link with the group's pivot."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -227,22 +234,22 @@ def _pivot_links(sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
                 ok.append(overlap * (100 + percent) >= percent * (len(x) + len(p)))
             yield pdf.loc[np.array(ok, bool), ["grp", "set_id", "pivot"]]
 
-    large = sets.join(sizes.select("grp"), "grp")
     pivots = large.groupBy("grp").agg(F.min("set_id").alias("set_id"))
     own = large.join(pivots, ["grp", "set_id"]).select("grp", F.col("set_id").alias("pivot"), F.col("items").alias("pivot_items"))
-    return large.join(own, "grp").mapInPandas(rows, "grp long, set_id long, pivot long")
+    return large.join(_spread(own), ["grp", "salt"]).mapInPandas(rows, "grp long, set_id long, pivot long")
 
 
 def _links(spark: SparkSession, sets: DataFrame, percent: int, block: int) -> DataFrame:
     """(a, b): edges whose components are those of all links between ``sets`` (grp, set_id, items)."""
     sizes = sets.groupBy("grp").agg(F.count("*").alias("members"))
-    large = sizes.where(F.col("members") > block)
-    near = stored(spark, _pivot_links(sets, large, percent), "pivot")
+    sets = sets.withColumn("salt", F.pmod(F.xxhash64("set_id"), F.lit(SALTS)).cast("int"))
+    large = sets.join(_spread(sizes.where(F.col("members") > block).select("grp")), ["grp", "salt"])
+    near = stored(spark, _pivot_links(large, percent), "pivot")
     # side 0: outside the pivot's component, side 1: in it; a group without a large size has one block 0 on side 0
-    n_side = sets.join(large, "grp").join(near.select("grp", "set_id", F.lit(1).alias("near")), ["grp", "set_id"], "left")
+    n_side = large.select("grp", "set_id").join(near.select("grp", "set_id", F.lit(1).alias("near")), ["grp", "set_id"], "left")
     n_side = n_side.groupBy("grp").agg(F.sum(F.coalesce("near", F.lit(0))).alias("n_near"), F.count("*").alias("n_all"))
     n_side = n_side.select("grp", F.ceil((F.col("n_all") - F.col("n_near")) / block).cast("int").alias("out_blocks"), F.ceil(F.col("n_near") / block).cast("int").alias("in_blocks"))
-    rows = sets.join(n_side, "grp", "left").join(near.select("grp", "set_id", F.lit(True).alias("near")), ["grp", "set_id"], "left")
+    rows = sets.join(_spread(n_side), ["grp", "salt"], "left").join(near.select("grp", "set_id", F.lit(True).alias("near")), ["grp", "set_id"], "left")
     rows = rows.withColumn("near", F.coalesce("near", F.lit(False)))
     h = F.xxhash64("set_id")
     mine = F.when(F.col("near"), F.pmod(h, "in_blocks") + F.col("out_blocks")).otherwise(F.pmod(h, "out_blocks")).cast("int")

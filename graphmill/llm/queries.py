@@ -6,16 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from graphmill.llm.bitpack import op9_bit_packed_ids
+from graphmill.llm.extract import op10_wrapper_induction
 from graphmill.llm.jaccard import op7_jaccard_join
+from graphmill.llm.lm import op3_interpolated_lm
 from graphmill.llm.mixing import op8_mix_sources
+from graphmill.llm.neardup import op1_embedding_neardup
+from graphmill.llm.packing import op4_packing
+from graphmill.llm.simhash import op6_simhash
 from graphmill.llm.substring import op2_substring_dedup
 from graphmill.llm.toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_substring_dedup": op2_substring_dedup,
-    "op5_toxicity": op5_toxicity,
-    "op7_jaccard_join": op7_jaccard_join,
-    "op8_mix_sources": op8_mix_sources,
+    f.__name__: f
+    for f in (
+        op1_embedding_neardup,
+        op2_substring_dedup,
+        op3_interpolated_lm,
+        op4_packing,
+        op5_toxicity,
+        op6_simhash,
+        op7_jaccard_join,
+        op8_mix_sources,
+        op9_bit_packed_ids,
+        op10_wrapper_induction,
+    )
 }
 
 ORACLE: dict[str, str] = {}

@@ -1,0 +1,134 @@
+"""Packing and the packed id format, against the whole encoder."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from graphmill.llm.bitpack import pack_ids, read_packed, unpack_ids, write_packed
+from graphmill.llm.packing import PACKET, WINDOW, pack
+from graphmill.llm.tokens import default_path, encoder
+
+
+@pytest.fixture(scope="module")
+def ids():
+    t = Tokenizer.from_file(default_path())
+    t.encode_special_tokens = True
+    return lambda text, end: [*t.encode(text or "", add_special_tokens=False).ids, end]
+
+
+def crc(x):
+    return zlib.crc32(np.array(x, "<u4").tobytes())
+
+
+def test_units_equal_whole_texts(ids, sf_docs):
+    texts = [
+        "", " ", "\n", "a", " a", "a ", "a  b", "a\nb", "a\n\nb", "it's I'll 's 'S", "x <|endoftext|> y", "é ç d", "日本 語。 12a b1", "​ a", "a ́b", "ǅ ª º x ⅷ ²",
+        "\0a b\0", "a's, b.c don't. (x) [y]", "tab\there\rnow\x0bx\x0cy", "a b c d", "\x1ca b", "x\n y", "a\u0085b c", "ẞß İi ŉ.\nÉa", "a.\nb!\nc?\nd;", "😀 😀.\n😀",
+        *(r.text for r in sf_docs.collect()),
+    ]
+    e = encoder(default_path())
+    assert [np.frombuffer(x, e.dtype).tolist() for x in e.encode(texts)] == [ids(t, 0)[:-1] for t in texts]
+
+
+def check_packed(rows, docs, ids):
+    want = defaultdict(list)
+    for r in docs.collect():
+        want[r.doc_id].append(ids(r.text, 1))
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        pieces[r.doc_id].append((r.start, r.length, r.ids_crc32, r.doc_tokens, np.frombuffer(r.ids, "<u2").tolist()))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for spans in sequences.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at and length > 0
+            at += length
+        assert at <= WINDOW
+    sizes = [sum(n for _, n in s) for s in sequences.values()]
+    assert sum(n < WINDOW for n in sizes) <= 1
+    assert set(pieces) == set(want)
+    for i, texts in want.items():
+        if len(texts) > 1:
+            assert sorted(n for t in texts for n in t) == sorted(n for p in pieces[i] for n in p[4])
+            continue
+        at = 0
+        for start, length, code, n, own in sorted(pieces[i]):
+            assert start == at and own == texts[0][at : at + length] and code == crc(own) and n == len(texts[0])
+            at += length
+        assert at == len(texts[0])
+
+
+def test_packing(spark, sf_docs, odd_docs, no_docs, ids):
+    check_packed(pack(spark, sf_docs).collect(), sf_docs, ids)
+    check_packed(pack(spark, odd_docs).collect(), odd_docs, ids)
+    assert pack(spark, no_docs).count() == 0
+
+
+def test_windows_have_the_corpus_mixture(spark, sf_docs, ids):
+    """After any number of windows no source is further from its share than its quantum and a packet."""
+    source = {r.doc_id: r.source for r in sf_docs.collect()}
+    rows = sorted(pack(spark, sf_docs).collect(), key=lambda r: (r.sequence_id, r.offset))
+    total = defaultdict(int)
+    for r in rows:
+        total[source[r.doc_id]] += r.length
+    everything, sent, done = sum(total.values()), defaultdict(int), 0
+    for r in rows:
+        sent[source[r.doc_id]] += r.length
+        done += r.length
+        if done % WINDOW == 0:
+            for s, n in total.items():
+                # a round ends up to a packet per source away from its window
+                assert abs(sent[s] - done * n / everything) <= WINDOW * n / everything + PACKET * (1 + len(total) * n / everything)
+
+
+def test_given_weights(spark, sf_docs):
+    source = {r.doc_id: r.source for r in sf_docs.collect()}
+    first = min(source.values())
+    rows = pack(spark, sf_docs, weights={first: len(set(source.values())) - 1.0}).collect()
+    own = sum(r.length for r in rows if source[r.doc_id] == first)
+    head = [r for r in rows if r.sequence_id < own // WINDOW]  # half of each window until the queue ends
+    share = sum(r.length for r in head if source[r.doc_id] == first) / sum(r.length for r in head)
+    assert 0.4 < share < 0.6
+
+
+@pytest.mark.parametrize("bits", [1, 5, 8, 11, 16, 17, 32])
+def test_round_trip_and_random_access(bits):
+    rng = np.random.default_rng(bits)
+    for n in (0, 1, 7, 1023, 1024, 1025, 5000):
+        x = rng.integers(0, 1 << bits, n, dtype=np.uint64).astype(np.uint32)
+        for block in (8, 1000, 1024):
+            record = pack_ids(x, bits, block)
+            assert (unpack_ids(record) == x).all()
+            assert len(record) <= 32 + 8 * (-(-n // block)) + (n * bits + 7) // 8 + -(-n // block)
+            for _ in range(5):
+                a, z = sorted(rng.integers(0, n + 1, 2).tolist())
+                assert (unpack_ids(record, a, z) == x[a:z]).all()
+
+
+def check_files(spark, docs, tmp, ids, **options):
+    out = f"{tmp}/ids"
+    write_packed(spark, docs, out, **options)
+    got = sorted(read_packed(spark, out).collect(), key=lambda r: r.start)
+    names = [r.doc_id for r in got]
+    assert names == sorted(names, key=lambda i: (i is None, i))
+    want, at = defaultdict(list), 0
+    for r in docs.collect():
+        want[r.doc_id].append((len(ids(r.text, 0)), crc(ids(r.text, 0))))
+    for r in got:
+        assert r.start == at and (r.n_tokens, r.ids_crc32) in want[r.doc_id]
+        want[r.doc_id].remove((r.n_tokens, r.ids_crc32))
+        at += r.n_tokens
+    assert not any(want.values())
+
+
+def test_files(spark, sf_docs, odd_docs, tmp, ids):
+    check_files(spark, sf_docs, f"{tmp}/a", ids)
+    check_files(spark, odd_docs, f"{tmp}/b", ids, record_ids=100)
+
+
+def test_no_files(spark, no_docs, tmp):
+    write_packed(spark, no_docs, f"{tmp}/ids")
+    assert read_packed(spark, f"{tmp}/ids").count() == 0
