@@ -43,7 +43,7 @@ def pack_ids(ids: np.ndarray, bits: int, block: int = BLOCK) -> bytes:
     padded = np.zeros(n_blocks * block, np.uint32)
     padded[: len(ids)] = ids
     if bits in (8, 16, 32):
-        body = padded.astype(f"<u{bits // 8}").view(np.uint8).reshape(n_blocks, -1)
+        body = padded.astype(f"<u{bits // 8}").view(np.uint8).reshape(n_blocks, block * bits // 8)
     else:
         # bit k of an id is bit k of its place in the block
         planes = (padded[:, None] >> np.arange(bits, dtype=np.uint32)) & 1

@@ -63,6 +63,8 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _WORD = re.compile(r"[a-z]+")
+#: Numbers in class names that tell pages apart, not kinds of elements.
+_NUMBER = re.compile(r"\d{3,}")
 #: Which open elements an element's start ends, up to the nearest of the second set.
 _CLOSES = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu", "dir"])),
@@ -200,7 +202,7 @@ def parse(page: str) -> Node:
                         break
         flush()
         inside = any(n is not None and n.tag in ("article", "main") for _, n in stack)
-        words = sorted(set(_WORD.findall(attributes.get("class", "").lower())))
+        words = sorted(set(_NUMBER.sub("#", attributes.get("class", "").lower()).split()))
         new = Node(tag, ".".join([tag, *words]), bool(node.marked or marked_inline or _is_marked(tag, attributes, inside)))
         if tag in ("html", "body"):  # these only carry the page
             new.marked = node.marked

@@ -189,9 +189,9 @@ def learn_weights(cells: pd.DataFrame, v_kept: int, rounds: int = 100) -> np.nda
     """(bucket, 3): weights of the pair's, the word's and the uniform estimate, by expectation-maximisation."""
     weights = np.tile([0.4, 0.4, 0.2], (BUCKETS, 1))
     cells = cells.sort_values("cell")
-    bucket = cells["cell"].to_numpy() // (_CELLS * _CELLS)
-    p = np.stack([cells["p2"], cells["p1"], np.full(len(cells), 1 / (v_kept + 1))], axis=1)
-    n = cells["n"].to_numpy()
+    bucket = cells["cell"].to_numpy(np.int64) // (_CELLS * _CELLS)
+    p = np.stack([cells["p2"].to_numpy(float), cells["p1"].to_numpy(float), np.full(len(cells), 1 / (v_kept + 1))], axis=1)
+    n = cells["n"].to_numpy(float)
     for _ in range(rounds):
         part = weights[bucket] * p
         part *= (n / part.sum(axis=1))[:, None]

@@ -87,7 +87,7 @@ def test_windows_have_the_corpus_mixture(spark, sf_docs, ids):
 def test_given_weights(spark, sf_docs):
     source = {r.doc_id: r.source for r in sf_docs.collect()}
     first = min(source.values())
-    rows = pack(spark, sf_docs, weights={first: len(set(source.values())) - 1.0}).collect()
+    rows = pack(spark, sf_docs, weights={first: len(set(source.values())) - 1.0}, packet=16).collect()
     own = sum(r.length for r in rows if source[r.doc_id] == first)
     head = [r for r in rows if r.sequence_id < own // WINDOW]  # half of each window until the queue ends
     share = sum(r.length for r in head if source[r.doc_id] == first) / sum(r.length for r in head)
