@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 
@@ -23,7 +24,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    """Ids by the library's whole encoder, or for words of letters by its model, many at a time."""
+    """Ids by the library's whole encoder, or for words of letters by its model alone."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -35,15 +36,20 @@ class Encoder:
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
         self.ends = {c: self._encode([c])[0] for c in ".,;:!?\n"}
-        self.words = Tokenizer(self.tokenizer.model)  # the model without the rules that split a text
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """The ids of letters with at most a space before them, which no rule splits before the model sees them."""
-        said = "\n".join(words).encode().decode("latin-1").translate(self.letters).split(self.letters[10]) if words else []
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.words.encode_batch_fast(said, add_special_tokens=False)]
+        if not words:
+            return []
+        tokenize = self.tokenizer.model.tokenize
+        said = "\n".join(words).encode().decode("latin-1").translate(self.letters).split(self.letters[10])
+        ids = [[t.id for t in tokenize(w)] for w in said]
+        raw, w = np.fromiter(chain.from_iterable(ids), self.dtype).tobytes(), self.dtype.itemsize
+        cut = [0, *accumulate(w * len(x) for x in ids)]
+        return [raw[i:j] for i, j in pairwise(cut)]
 
     def _learn(self, new: set[str]) -> None:
         known, ends = self.known, self.ends
