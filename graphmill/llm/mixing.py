@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from graphmill.llm.common import Words, mix64, release, running_total, stored, text_chunks
+from graphmill.llm.common import Words, mix64, parts, release, running_total, stored, text_chunks
 from graphmill.session import table
 
 BLOCK_WORDS = 64
@@ -85,7 +85,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return per.select("source", "sno", "source_size", "target", "blocks", slots.alias("slots"))
 
 
-def _slots(sources: DataFrame, seed: int, per_shard: int) -> DataFrame:
+def _slots(sources: DataFrame, seed: int, per_shard: int, tasks: int) -> DataFrame:
     """(shard, sno, block): the block of every slot of every output shard."""
     shards = F.greatest(F.lit(1), F.ceil(F.sum("slots").over(Window.partitionBy()) / per_shard))
     dealt = sources.where("slots > 0").withColumn("shards", shards.cast("long")).select("sno", "blocks", "slots", "shards")
@@ -108,8 +108,9 @@ def _slots(sources: DataFrame, seed: int, per_shard: int) -> DataFrame:
                     out[turn == t] = permute(at[turn == t], int(r.blocks), int(mix64(np.array([seed * 1_000_003 + int(r.sno) * 64 + int(t)], np.uint64))[0]))
                 yield pd.DataFrame({"shard": r.shard, "sno": r.sno, "block": out})
 
-    drawn = dealt.repartition("sno").mapInPandas(draw, "sno int, blocks long, shard long, first long, n long")
-    return drawn.repartition("sno", "shard").mapInPandas(expand, "shard long, sno int, block long")
+    # a task's input is a few numbers and its output long, so the number of tasks is given
+    drawn = dealt.repartition(tasks, "sno").mapInPandas(draw, "sno int, blocks long, shard long, first long, n long")
+    return drawn.repartition(tasks, "sno", "shard").mapInPandas(expand, "shard long, sno int, block long")
 
 
 def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST,
@@ -123,7 +124,7 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS
     own = sources.withColumnRenamed("source", "_source")
     rows = sizes.join(own, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     release(spark)
-    slots = _slots(sources, seed, per_shard)
+    slots = _slots(sources, seed, per_shard, parts(spark)).hint("merge")  # both sides grow with the words
     full = rows.where("size > 0")
     spans = full.select("sno", "start", "size", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
     lo = F.greatest(F.col("start"), F.col("block") * block)
