@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphmill.llm.common import Words, components, mix64, release, stored, text_chunks, whole_groups
+from graphmill.llm.common import Words, components, mix64, parts, release, stored, text_chunks, whole_groups
 from graphmill.session import table
 
 K = 4
@@ -269,7 +269,7 @@ def _links(spark: SparkSession, sets: DataFrame, percent: int, block: int) -> Da
             links = trie_links([np.frombuffer(x, np.uint64) for x in pdf["items"]], build, percent, pdf["near"].tolist())
             yield pd.DataFrame({"a": ids[[a for a, _ in links]], "b": ids[[b for _, b in links]]}, dtype="int64")
 
-    tasks = rows.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j", "mine", "set_id")
+    tasks = rows.repartition(parts(spark), "grp", "i", "j").sortWithinPartitions("grp", "i", "j", "mine", "set_id")
     return tasks.mapInPandas(joined, "a long, b long").unionByName(near.where("set_id <> pivot").select(F.col("pivot").alias("a"), F.col("set_id").alias("b")))
 
 

@@ -125,7 +125,7 @@ def _requests(batches: DataFrame, buckets: int) -> DataFrame:
     return batches.select("batch", "folds", "sizes", "words", "places").mapInArrow(rows, f"kind int, bucket int, batch long, keys binary, {_COUNTS}")
 
 
-def _answers(requests: DataFrame) -> DataFrame:
+def _answers(requests: DataFrame, tasks: int) -> DataFrame:
     """(kind, bucket, batch, counts): the corpus counts of every request's keys; batch -1 has a bucket's sums."""
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,7 +143,7 @@ def _answers(requests: DataFrame) -> DataFrame:
             done = pd.DataFrame(out, columns=["batch", "kept", "kept_rest", "gone", "gone_rest"])
             yield done.assign(kind=int(g["kind"].iloc[0]), bucket=int(g["bucket"].iloc[0]))[["kind", "bucket", *done.columns]]
 
-    own = requests.repartition("kind", "bucket").sortWithinPartitions("kind", "bucket")
+    own = requests.repartition(tasks, "kind", "bucket").sortWithinPartitions("kind", "bucket")
     return own.mapInPandas(rows, f"kind int, bucket int, batch long, {_COUNTS}")
 
 
@@ -210,7 +210,7 @@ def learn_weights(cells: pd.DataFrame, v_kept: int, rounds: int = 100) -> np.nda
 def interpolated_scores(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     batches = stored(spark, _batches(docs).withColumn("batch", F.monotonically_increasing_id()), "batches", 16)
-    answers = stored(spark, _answers(_requests(batches, 4 * parts(spark))), "answers")
+    answers = stored(spark, _answers(_requests(batches, 4 * parts(spark)), parts(spark)), "answers")
     release(spark)
     sums = np.zeros(4, np.int64)
     for r in answers.where("batch = -1 and kind = 1").select("kept").toLocalIterator():  # a row per bucket

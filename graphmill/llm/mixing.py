@@ -118,7 +118,8 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS
     """(rows, pieces).  rows: every row of ``docs`` with size, source_size, target, sno and its first word's place in
     its source (start).  pieces: (shard, sno, start, at, words) per part of a document in a slot, where at is
     the part's first word in the document."""
-    sizes = running_total(spark, with_sizes(docs), ["doc_id", "rid"], "size", "start", ["source"], name="sizes")
+    # stored first: the range partitioning reads its input twice
+    sizes = running_total(spark, stored(spark, with_sizes(docs), "words"), ["doc_id", "rid"], "size", "start", ["source"], name="sizes")
     sizes = stored(spark, sizes, "places")
     sources = stored(spark, targets(sizes, weights, share, most, block), "sources")
     own = sources.withColumnRenamed("source", "_source")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphmill.llm.common import components, release, stored, whole_groups
+from graphmill.llm.common import components, parts, release, stored, whole_groups
 from graphmill.session import table
 
 THRESHOLD = 0.9
@@ -190,7 +190,7 @@ def embedding_components(spark: SparkSession, rows: DataFrame, threshold: float
             own = np.flatnonzero(links)
             yield pd.DataFrame({"keeper": name[own], "links": links[own].astype(np.int64), "root": name[root[own]]})
 
-    found = tasks.repartition("dim", "t", "cell", "i", "j").sortWithinPartitions("dim", "t", "cell", "i", "j", "mine", "keeper")
+    found = tasks.repartition(parts(spark), "dim", "t", "cell", "i", "j").sortWithinPartitions("dim", "t", "cell", "i", "j", "mine", "keeper")
     found = stored(spark, found.mapInPandas(link, "keeper long, links long, root long"), "links")
     release(spark)
     links = found.groupBy("keeper").agg(F.sum("links").alias("links"))

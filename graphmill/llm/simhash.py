@@ -103,7 +103,7 @@ def document_fingerprints(spark: SparkSession, docs: DataFrame, radius: int = RA
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     own = own.select(F.xxhash64("doc_id", "text").alias("uid"), "doc_id", "text")
     rows = own.groupBy("uid", "doc_id").agg(F.max(F.length("text")).cast("long").alias("n_chars"), F.count("*").alias("copies"))
-    rows = stored(spark, with_next(spark, rows, ["doc_id", "uid"], "uid"), "next")
+    rows = stored(spark, with_next(spark, stored(spark, rows, "rows"), ["doc_id", "uid"], "uid"), "next")
 
     # each text's head, as long as its predecessor asks for, goes to the predecessor's text
     texts = own.groupBy("uid").agg(F.first("text").alias("text"))
