@@ -8,6 +8,7 @@ Words are maximal runs of bytes other than 0x20 and 0x09-0x0D, after lower-casin
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -123,14 +124,18 @@ def stored(spark: SparkSession, df: DataFrame, name: str, rows_per_file: int = 0
     ``rows_per_file`` keeps files of very large rows short (0: any number)."""
     path = scratch_path(spark, f"llm-{name}")
     schema = df.schema
-    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+    df.write.option("maxRecordsPerFile", rows_per_file).option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark drop the shuffle files of finished steps now instead of at the driver's next collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark drop the shuffle files of finished steps now instead of at the driver's next collection.
+
+    Twice, as the JVM hears of Python's dropped references a little later."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def parts(spark: SparkSession) -> int:

@@ -46,6 +46,25 @@ _STEP = 4  # cells of the histogram per power of two
 _CELLS = 120
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """An array's lowest bytes, then the next, ...: bytes that are all zero then lie together and compress away."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _of_planes(raw: bytes, dtype: type) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(dtype).reshape(-1)
+
+
+def _sorted_keys(x: np.ndarray) -> bytes:
+    """Rising keys as the steps between them."""
+    return _planes(np.diff(x, prepend=np.uint64(0)))
+
+
+def _of_sorted_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(_of_planes(raw, np.uint64), dtype=np.uint64)
+
+
 def _batches(docs: DataFrame) -> DataFrame:
     """(deleted, doc_ids, folds, sizes, words, places): see step 1."""
 
@@ -67,7 +86,7 @@ def _batches(docs: DataFrame) -> DataFrame:
                     at = np.flatnonzero(own) + i
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([deleted]), pa.array([ids.take(pa.array(at)).to_pylist()], pa.list_(pa.int64())), pa.array([fold[at].tolist()], pa.list_(pa.int32())),
-                         pa.array([size.tolist()], pa.list_(pa.int32())), pa.array([words.tobytes()], pa.binary()), pa.array([places.astype(np.uint32).tobytes()], pa.binary())],
+                         pa.array([size.tolist()], pa.list_(pa.int32())), pa.array([_sorted_keys(words)], pa.binary()), pa.array([_planes(places.astype(np.uint32))], pa.binary())],
                         ["deleted", "doc_ids", "folds", "sizes", "words", "places"],
                     )
 
@@ -79,8 +98,8 @@ class Batch:
     """A stored batch's tokens: distinct words and pairs, and each token's place among them."""
 
     def __init__(self, words: bytes, places: bytes, sizes: np.ndarray):
-        self.words = np.frombuffer(words, np.uint64)
-        self.word = np.frombuffer(places, np.uint32)
+        self.words = _of_sorted_keys(words)
+        self.word = _of_planes(places, np.uint32)
         self.doc = np.repeat(np.arange(len(sizes)), sizes)
         end = np.searchsorted(self.words, _END)
         self.context = np.concatenate([[end], self.word[:-1]]).astype(np.uint32)  # every text ends with the end token
@@ -102,7 +121,7 @@ _COUNTS = "kept binary, kept_rest binary, gone binary, gone_rest binary"
 
 
 def _requests(batches: DataFrame, buckets: int) -> DataFrame:
-    """(kind, bucket, batch, keys, counts): kind 1 words, 2 pairs; kept: in training but not deleted, gone: deleted."""
+    """(kind, bucket, batch, deleted, keys, counts): kind 1 words, 2 pairs; kept: in training but not deleted, gone: deleted."""
 
     def rows(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
@@ -117,34 +136,34 @@ def _requests(batches: DataFrame, buckets: int) -> DataFrame:
                     cut = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
                     for k in np.flatnonzero(np.diff(cut)):
                         a, z = cut[k], cut[k + 1]
-                        out.append((kind, int(k), r["batch"], keys[a:z].tobytes(), *_small(n[0][a:z]), *_small(n[1][a:z])))
+                        out.append((kind, int(k), r["batch"], r["deleted"], _sorted_keys(keys[a:z]), *_small(n[0][a:z]), *_small(n[1][a:z])))
                 yield pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*out, strict=True)), strict=True)), schema=schema)
 
-    names = ["kind", "bucket", "batch", "keys", "kept", "kept_rest", "gone", "gone_rest"]
-    schema = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("batch", pa.int64()), *((c, pa.binary()) for c in names[3:])])
-    return batches.select("batch", "folds", "sizes", "words", "places").mapInArrow(rows, f"kind int, bucket int, batch long, keys binary, {_COUNTS}")
+    names = ["kind", "bucket", "batch", "deleted", "keys", "kept", "kept_rest", "gone", "gone_rest"]
+    schema = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("batch", pa.int64()), ("deleted", pa.bool_()), *((c, pa.binary()) for c in names[4:])])
+    return batches.select("batch", "deleted", "folds", "sizes", "words", "places").mapInArrow(rows, f"kind int, bucket int, batch long, deleted boolean, keys binary, {_COUNTS}")
 
 
 def _answers(requests: DataFrame, tasks: int) -> DataFrame:
-    """(kind, bucket, batch, counts): the corpus counts of every request's keys; batch -1 has a bucket's sums."""
+    """(kind, bucket, batch, deleted, counts): the corpus counts of every request's keys; batch -1 has a bucket's sums."""
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in whole_groups(frames, ["kind", "bucket"]):
-            keys = [np.frombuffer(k, np.uint64) for k in g["keys"]]
+            keys = [_of_sorted_keys(k) for k in g["keys"]]
             cut = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
             seen, at = np.unique(np.concatenate(keys), return_inverse=True)
             total = []
             for c in ("kept", "gone"):
                 n = np.concatenate([_large(a, b) for a, b in zip(g[c], g[f"{c}_rest"], strict=True)])
                 total.append(np.bincount(at, weights=n, minlength=len(seen)).astype(np.int64))
-            out = [(b, *_small(total[0][at[i:j]]), *_small(total[1][at[i:j]])) for b, i, j in zip(g["batch"], cut[:-1], cut[1:], strict=True)]
+            out = [(b, d, *_small(total[0][at[i:j]]), *_small(total[1][at[i:j]])) for b, d, i, j in zip(g["batch"], g["deleted"], cut[:-1], cut[1:], strict=True)]
             sums = np.array([total[0].sum(), total[1].sum(), (total[0] > 0).sum(), (total[0] + total[1] > 0).sum()])
-            out.append((-1, sums.astype("<u8").tobytes(), b"", b"", b""))
-            done = pd.DataFrame(out, columns=["batch", "kept", "kept_rest", "gone", "gone_rest"])
+            out.append((-1, False, sums.astype("<u8").tobytes(), b"", b"", b""))
+            done = pd.DataFrame(out, columns=["batch", "deleted", "kept", "kept_rest", "gone", "gone_rest"])
             yield done.assign(kind=int(g["kind"].iloc[0]), bucket=int(g["bucket"].iloc[0]))[["kind", "bucket", *done.columns]]
 
     own = requests.repartition(tasks, "kind", "bucket").sortWithinPartitions("kind", "bucket")
-    return own.mapInPandas(rows, f"kind int, bucket int, batch long, {_COUNTS}")
+    return own.mapInPandas(rows, f"kind int, bucket int, batch long, deleted boolean, {_COUNTS}")
 
 
 def _answered(batches: DataFrame, answers: DataFrame) -> DataFrame:
@@ -216,7 +235,7 @@ def interpolated_scores(spark: SparkSession, docs: DataFrame) -> DataFrame:
     for r in answers.where("batch = -1 and kind = 1").select("kept").toLocalIterator():  # a row per bucket
         sums += np.frombuffer(r.kept, "<u8").astype(np.int64)
     n_kept, n_all, v_kept, v = int(sums[0]), int(sums[0] + sums[1]), int(sums[2]), int(sums[3])
-    cells = _histogram(_answered(batches.where("deleted"), answers), n_kept).toPandas()  # at most BUCKETS * _CELLS ** 2 rows
+    cells = _histogram(_answered(batches.where("deleted"), answers.where("deleted")), n_kept).toPandas()  # at most BUCKETS * _CELLS ** 2 rows
     weights = learn_weights(cells, v_kept)
 
     def rows(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
