@@ -21,7 +21,6 @@ from pyspark.sql import functions as F  # noqa: E402
 from graphmill.operators import merge as M  # noqa: E402
 from graphmill.plans import catalog as C  # noqa: E402
 from graphmill.plans.ingest import ingest  # noqa: E402
-from graphmill.plans.partitioned_store import PartitionedGraphStore  # noqa: E402
 from graphmill.plans.store import GraphStore  # noqa: E402
 from graphmill.session import checkpoint_root, local_session, scratch_path, table  # noqa: E402
 from graphmill.sources.providers import Source  # noqa: E402
@@ -61,7 +60,7 @@ def detach_delete(spark, d):
     for key, df in g.edges.items():
         store.write_edges(key, df)
     t0 = time.time()
-    s = store.delete_nodes("Customer", [("segment", "MACHINERY")])
+    s = store.delete_nodes("Customer", [("segment", "MACHINERY")], indexed={"Customer": ["segment"]})
     assert s["total"] > 0 and s["edges_deleted"] > s["total"]
     return time.time() - t0
 
@@ -86,7 +85,7 @@ def delete_1m(spark, d):
     store = _store(spark)
     store.write_nodes("Person", nodes)
     t0 = time.time()
-    s = store.delete_nodes("Person", [("name", "Same Name")])
+    s = store.delete_nodes("Person", [("name", "Same Name")], indexed={"Person": ["name"]})
     assert s["total"] == 1_000_000 and s["batches"] == 1000
     return time.time() - t0
 
@@ -107,9 +106,23 @@ def small_batch_versioned(spark, d):
     return _small_batch(spark, d, _store(spark))
 
 
-def small_batch_partitioned(spark, d):
-    """The same batch into the partitioned store: only the touched partitions are rewritten."""
-    return _small_batch(spark, d, PartitionedGraphStore(spark, scratch_path(spark, "bench-pgraph"), partitions=256))
+def skewed_edge_upsert(spark, d):
+    """Edges of which a third end at one supernode, salted by a low hot-key threshold."""
+    o = table(spark, d, "orders")
+    nodes = o.select(F.col("o_orderkey").alias("_uid"))
+    hub = o.agg(F.min("o_orderkey")).first()[0]
+    edges = o.select(F.col("o_orderkey").alias("_fromUid"), F.when(F.col("o_orderkey") % 3 == 0, F.lit(hub)).otherwise(F.col("o_orderkey")).alias("_toUid"))
+    store = _store(spark)
+    t0 = time.time()
+    store.merge_edges(("TO", "Order", "Order"), edges, nodes, nodes, 5000)
+    return time.time() - t0
+
+
+def stream_merge(spark, d):
+    """The events table as a stream of four micro-batches, upserted by user."""
+    t0 = time.time()
+    C.QUERIES["stream_merge"](spark, d).write.mode("overwrite").format("noop").save()
+    return time.time() - t0
 
 
 WORKLOADS = {
@@ -118,6 +131,9 @@ WORKLOADS = {
     "detach_delete": detach_delete,
     "whole_request": whole_request,
     "delete_1m_nodes": delete_1m,
+    "small_batch_versioned": small_batch_versioned,
+    "skewed_edge_upsert": skewed_edge_upsert,
+    "stream_merge": stream_merge,
 }
 QUERIES = [
     "graph_sql",

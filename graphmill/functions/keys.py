@@ -101,15 +101,19 @@ def glob_to_regex(pattern: str) -> str:
             i += 1
             out.append(re.escape(pattern[i]))
         elif ch == "[":
-            j = pattern.find("]", i + 1)
-            if j == -1:
-                out.append(re.escape(ch))
-            else:
-                body = pattern[i + 1 : j]
-                if body.startswith("^") or body.startswith("!"):
-                    body = "^" + body[1:]
-                out.append("[" + body.replace("\\", "\\\\") + "]")
+            negated = pattern[i + 1 : i + 2] in ("^", "!")
+            j, inner = i + 1 + negated, []
+            while j < len(pattern) and pattern[j] != "]":
+                escaped = pattern[j] == "\\" and j + 1 < len(pattern)
+                j += escaped
+                # inside a class only a range's dash keeps a meaning
+                inner.append(re.escape(pattern[j]) if escaped or pattern[j] in "[]\\&^" else pattern[j])
+                j += 1
+            if j < len(pattern) and inner:
+                out.append(f"[{'^' if negated else ''}{''.join(inner)}]")
                 i = j
+            else:
+                out.append(re.escape(ch))
         else:
             out.append(re.escape(ch))
         i += 1

@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Times in JSON payloads keep their microseconds; written and read with the same patterns.
+JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+JSON_WRITE = {"ignoreNullFields": "false", **JSON_TIMES}
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -26,13 +31,13 @@ def payload_struct(df: DataFrame, columns=None) -> Column:
 
 def row_to_json(df: DataFrame, column_name: str = "graph_node", keep: list[str] | None = None) -> DataFrame:
     """Each row as a JSON object with every column, nulls kept (``ignoreNullFields=false``)."""
-    js = F.to_json(payload_struct(df), {"ignoreNullFields": "false"}).alias(column_name)
+    js = F.to_json(payload_struct(df), JSON_WRITE).alias(column_name)
     return df.select(*([F.col(k) for k in keep] if keep else []), js)
 
 
 def json_to_row(column, schema: T.StructType | str) -> Column:
     """Decode a payload back into a struct of the given schema."""
-    return F.from_json(_c(column), schema)
+    return F.from_json(_c(column), schema, JSON_TIMES)
 
 
 def json_to_map(column) -> Column:
@@ -57,7 +62,7 @@ def unix_seconds(column) -> Column:
 def to_json_without(df: DataFrame, ignored: list[str], column_name: str = "json") -> Column:
     """P10: the row as JSON without the ignored fields."""
     keep = [c for c in df.columns if c not in set(ignored)]
-    return F.to_json(payload_struct(df, keep), {"ignoreNullFields": "false"}).alias(column_name)
+    return F.to_json(payload_struct(df, keep), JSON_WRITE).alias(column_name)
 
 
 def to_entries(df: DataFrame, columns: list[str], key_col: str = "attribute", value_col: str = "value") -> DataFrame:

@@ -55,6 +55,8 @@ STATUS_EVENTS = (
 MSG_KEY_PARTS = "Expected 3 parts in %s but got %d"
 MSG_EMPTY_JOB = "Job name must not be empty ! [%s]"
 MSG_UNSUPPORTED_OPERATION = "Operation %s is not supported."
+# Option of the search-index connector.
+INDEX_ARRAY_FIELDS_OPTION = "es.read.field.as.array.include"
 REQUEST_MANDATORY_FIELDS = ("request_type", "request_id")
 REQUIRED_REQUEST_FIELDS = {"white_list": {"file_path": "str"}}
 # ---------------------------------------------------------------------------------------------

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,13 +32,14 @@ def property_predicate(conditions: Sequence[tuple[str, object]], schema: T.Struc
     """conjunction of ``property = value`` with typed comparison.
 
     With the table's schema, a value of another kind than the column never matches (a quoted ``'5'``
-    does not match the number 5, as in the graph store of the reference), instead of Spark's implicit cast.
+    does not match the number 5), instead of Spark's implicit cast, and a property that the table lacks
+    matches nothing.
     """
     if not conditions:
         raise ValueError("at least one (property, value) condition is required")
     parts = []
     for name, value in conditions:
-        if schema is not None and name in schema.fieldNames() and not _same_kind(value, schema[name].dataType):
+        if schema is not None and (name not in schema.fieldNames() or not _same_kind(value, schema[name].dataType)):
             parts.append(F.lit(False))
         else:
             parts.append(F.col(name) == F.lit(value))
@@ -50,7 +51,7 @@ def check_indexed(label: str, properties: Iterable[str], indexed: Mapping[str, S
     allowed = set(indexed.get("*", [])) | set(indexed.get(label, []))
     for p in properties:
         if p not in allowed:
-            raise PropertyNotIndexedError(f"Property {p} must be indexed in-order to delete nodes by it.")
+            raise PropertyNotIndexedError(f"{label} nodes cannot be deleted by {p!r}: it is not a declared key property")
 
 
 @dataclass
@@ -60,40 +61,58 @@ class DeleteResult:
     summary: DataFrame  # label, total, batches, edges_deleted
 
 
+TOUCHED = "_touched"
+
+
+def edges_touching(edges: DataFrame, key: tuple[str, str, str], label: str, deleted: DataFrame, hot_min_rows: int | None = HOT_KEY_MIN_ROWS) -> DataFrame | None:
+    """``edges`` with a flag for those that end at a node of ``deleted`` (nodes of ``label``); None when the
+    table's ends have other labels."""
+    sides = [c for c, l in ((FROM_UID, key[1]), (TO_UID, key[2])) if l == label]
+    if not sides:
+        return None
+    hot = hot_keys_by_column(edges, sides, hot_min_rows) if hot_min_rows is not None else {c: [] for c in sides}
+    out, hits = edges, []
+    for i, c in enumerate(sides):
+        gone = deleted.select(F.col(UID).alias("_gone"), F.lit(True).alias(f"_hit{i}"))
+        out = split_join(out, gone, c, "_gone", "left", min_rows=hot_min_rows, hot=hot[c]).drop("_gone")
+        hits.append(F.coalesce(F.col(f"_hit{i}"), F.lit(False)))
+    return out.withColumn(TOUCHED, reduce(lambda a, b: a | b, hits)).drop(*[f"_hit{i}" for i in range(len(sides))])
+
+
 def detach_delete(
     graph: Graph,
     label: str,
     conditions: Sequence[tuple[str, object]],
-    indexed: Mapping[str, Sequence[str]] | None = None,
+    indexed: Mapping[str, Sequence[str]] | None = INDEXED_PROPERTIES,
     batch_size: int = DELETE_BATCH_SIZE,
     hot_min_rows: int | None = HOT_KEY_MIN_ROWS,
 ) -> DeleteResult:
     """Remove nodes of ``label`` matching all ``conditions`` and every edge touching one of them.
 
-    A null property never matches (``coalesce(pred, false)``).  Edge tables whose ends do not have the
-    label are passed through untouched; the others lose rows by an anti-join on the deleted uids (a
-    supernode's edges are salted by ``split_join``).
+    Only declared properties may be named (F7; ``indexed=None`` turns the guard off).  A null property never
+    matches, and a label without nodes gives zero.  Edge tables whose ends do not have the label are passed
+    through untouched; in the others each end is joined once with the deleted uids (a supernode's edges are
+    salted by ``split_join``), which tells kept rows and counts together.
     """
     if indexed is not None:
         check_indexed(label, [c for c, _ in conditions], indexed)
+    if label not in graph.nodes:
+        spark = next((df.sparkSession for df in [*graph.nodes.values(), *graph.edges.values()]), None) or SparkSession.active()
+        none = spark.createDataFrame([], f"{UID} string")
+        zero = spark.range(1).select(F.lit(label).alias("label"), *[F.lit(0).cast("long").alias(c) for c in ("total", "batches", "edges_deleted")])
+        return DeleteResult(graph, none, zero)
     nodes = graph.nodes[label]
     hit = F.coalesce(property_predicate(conditions, nodes.schema), F.lit(False))
     kept = nodes.where(~hit)
     deleted = nodes.where(hit).select(UID)
-    gone = deleted.select(F.col(UID).alias("_gone"))
 
     new_edges: dict = {}
     removed_counts: list[DataFrame] = []
     for key, edges in graph.edges.items():
-        _, from_label, to_label = key
-        out = edges
-        sides = [c for c, l in ((FROM_UID, from_label), (TO_UID, to_label)) if l == label]
-        hot = hot_keys_by_column(edges, sides, hot_min_rows) if sides and hot_min_rows is not None else {c: [] for c in sides}
-        for c in sides:
-            out = split_join(out, gone, c, "_gone", "left_anti", hot=hot[c])
-        new_edges[key] = out
-        if out is not edges:
-            removed_counts.append(edges.agg(F.count(F.lit(1)).alias("n")).unionByName(out.agg((-F.count(F.lit(1))).alias("n"))))
+        tagged = edges_touching(edges, key, label, deleted, hot_min_rows)
+        new_edges[key] = edges if tagged is None else tagged.where(~F.col(TOUCHED)).drop(TOUCHED)
+        if tagged is not None:
+            removed_counts.append(tagged.agg(F.count(F.when(F.col(TOUCHED), 1)).alias("n")))
 
     total = deleted.agg(F.count(F.lit(1)).alias("total"))
     if removed_counts:

@@ -41,7 +41,7 @@ def as_of_literal(as_of: str | _dt.datetime | Column) -> Column:
 
 
 def _props(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c != UID and c not in SYSTEM_COLUMNS and c != ACTION]
+    return [c for c in df.columns if c not in (UID, ACTION, "_n_in") and c not in SYSTEM_COLUMNS]
 
 
 def dedupe_incoming(incoming: DataFrame, order_by: Sequence[str] | None = None, unique_uids: bool = False) -> DataFrame:
@@ -52,7 +52,7 @@ def dedupe_incoming(incoming: DataFrame, order_by: Sequence[str] | None = None,
     """
     inc = incoming.where(F.col(UID).isNotNull())
     if unique_uids:
-        return inc.withColumn("_n_in", F.lit(1).cast("long"))
+        return inc if "_n_in" in inc.columns else inc.withColumn("_n_in", F.lit(1).cast("long"))
     order = list(order_by) if order_by else [c for c in inc.columns if c != UID and orderable(inc.schema[c].dataType)]
     return latest_per_key(inc, [UID], order, count_as="_n_in")
 
@@ -136,11 +136,8 @@ def node_counters(flagged: DataFrame, incoming: DataFrame, label: str) -> DataFr
     non_null = sum((F.col(c).isNotNull().cast("long") for c in props), F.lit(0).cast("long"))
     set_ = incoming.where(F.col(UID).isNotNull()).agg(F.coalesce(F.sum(non_null + 1), F.lit(0)).cast("long").alias("n"))
     head = [F.lit("NODES").alias("element_type"), F.lit(label).alias("element_properties")]
-    return (
-        made.select(*head, F.lit("nodes_created").alias("counter"), F.col("n").alias("value"))
-        .unionByName(made.select(*head, F.lit("labels_added").alias("counter"), F.col("n").alias("value")))
-        .unionByName(set_.select(*head, F.lit("properties_set").alias("counter"), F.col("n").alias("value")))
-    )
+    both = F.inline(F.array(*[F.struct(F.lit(c).alias("counter"), F.col("n").alias("value")) for c in ("nodes_created", "labels_added")]))
+    return made.select(*head, both).unionByName(set_.select(*head, F.lit("properties_set").alias("counter"), F.col("n").alias("value")))
 
 
 def valid_edges(
@@ -163,8 +160,8 @@ def valid_edges(
     )
     fk = from_nodes.select(F.col(UID).alias("_fk"))
     tk = to_nodes.select(F.col(UID).alias("_tk"))
-    pairs = split_join(pairs, fk, FROM_UID, "_fk", "left_semi", hot=hot[FROM_UID])
-    pairs = split_join(pairs, tk, TO_UID, "_tk", "left_semi", hot=hot[TO_UID])
+    pairs = split_join(pairs, fk, FROM_UID, "_fk", "left_semi", min_rows=hot_min_rows, hot=hot[FROM_UID])
+    pairs = split_join(pairs, tk, TO_UID, "_tk", "left_semi", min_rows=hot_min_rows, hot=hot[TO_UID])
     return pairs
 
 
@@ -219,22 +216,22 @@ def dangling_edges(
     hot_min_rows: int | None = HOT_KEY_MIN_ROWS,
 ) -> DataFrame:
     """Incoming edges a merge would drop, with ``missing_from`` / ``missing_to`` flags."""
-    e = incoming.select(FROM_UID, TO_UID)
+    # a pair that repeats is one row until the end
+    e = incoming.groupBy(FROM_UID, TO_UID).agg(F.count(F.lit(1)).alias("_times"))
     hot = _hot_ends(e, hot_min_rows)
     fk = from_nodes.select(F.col(UID).alias("_fk"), F.lit(True).alias("_fhit"))
     tk = to_nodes.select(F.col(UID).alias("_tk"), F.lit(True).alias("_thit"))
-    e = split_join(e, fk, FROM_UID, "_fk", "left", hot=hot[FROM_UID])
-    e = split_join(e, tk, TO_UID, "_tk", "left", hot=hot[TO_UID])
+    e = split_join(e, fk, FROM_UID, "_fk", "left", min_rows=hot_min_rows, hot=hot[FROM_UID])
+    e = split_join(e, tk, TO_UID, "_tk", "left", min_rows=hot_min_rows, hot=hot[TO_UID])
     out = e.select(
         FROM_UID,
         TO_UID,
+        "_times",
         F.col("_fhit").isNull().alias("missing_from"),
         F.col("_thit").isNull().alias("missing_to"),
     )
-    return out.where(F.col("missing_from") | F.col("missing_to"))
-
-
-MAX_EDGE_TYPES = 10_000
+    out = out.where(F.col("missing_from") | F.col("missing_to"))
+    return out.withColumn("_times", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).drop("_times")
 
 
 def merge_typed_edges(
@@ -248,15 +245,12 @@ def merge_typed_edges(
     """J2 with P15: each incoming edge's type is ``edge_type`` when given, else its own ``_edgeType``.
 
     Returns a new ``Graph`` whose edge tables ``(type, from_label, to_label)`` hold the merged edges.  The
-    distinct types are read to the driver (a model has few; more than ``MAX_EDGE_TYPES`` is an error),
-    then every type is one merge.
+    distinct types are read to the driver (one table each), then every type is one merge.
     """
     from graphmill.model import EDGE_TYPE, Graph
 
     typed = incoming.withColumn("_t", F.coalesce(F.lit(edge_type).cast("string"), F.col(EDGE_TYPE)))
-    types = [r[0] for r in typed.select("_t").where(F.col("_t").isNotNull()).distinct().limit(MAX_EDGE_TYPES + 1).collect()]
-    if len(types) > MAX_EDGE_TYPES:
-        raise ValueError(f"more than {MAX_EDGE_TYPES} edge types in one batch")
+    types = [r[0] for r in typed.select("_t").where(F.col("_t").isNotNull()).distinct().collect()]
     edges = dict(graph.edges)
     for t in sorted(types):
         key = (t, from_label, to_label)

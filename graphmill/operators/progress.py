@@ -143,6 +143,15 @@ def progress(cardinality: DataFrame, processed: DataFrame) -> DataFrame:
     return j.select("request_id", "key", "cardinality", "processed", percent_done("processed", "cardinality").alias("percent"))
 
 
+def of_ingest(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cardinality, processed) for ``progress`` and ``completeness`` from the events of ``ingest`` or
+    ``load_staged``: the sizes of the keys a request has to load, and what each push wrote."""
+    sizes = F.from_json(F.col("arguments")["cardinality"], "map<string,bigint>")
+    ready = events.where(F.col("arguments")["cardinality"].isNotNull()).select("request_id", F.explode(sizes).alias("key", "cardinality"))
+    pushed = events.where(F.col("arguments")["how_many"].isNotNull())
+    return ready, pushed.select("request_id", F.col("arguments")["key"].alias("key"), F.col("arguments")["how_many"].cast("long").alias("how_many"))
+
+
 def missing_keys(expected: DataFrame, finished: DataFrame) -> DataFrame:
     """Expected (request_id, key) pairs with no finished row."""
     return expected.select("request_id", "key").distinct().join(finished.select("request_id", "key"), ["request_id", "key"], "left_anti")
@@ -282,7 +291,7 @@ def read_dumped(spark: SparkSession, path: str, schema) -> DataFrame:
     from pyspark.sql import types as T
 
     full = T.StructType(list(schema.fields) + [T.StructField("dumped_at", T.TimestampNTZType())])
-    dumps = spark.read.schema(full).json(path)
+    dumps = spark.read.schema(full).option("recursiveFileLookup", "true").json(path)
     return latest_per_key(dumps, ["request_id"], ["dumped_at"]).drop("dumped_at")
 
 

@@ -3,9 +3,8 @@
 Design rule: a single key (one supernode, one request id, one staging key) may hold a third of all rows.
 Nothing here puts such a key into one task:
 
-* ``hot_keys`` finds the heaviest keys on a row sample (rate ``10,000 / min_rows``) with a partial count
-  and a distributed top-K; at most ``max_keys`` rows reach the driver, and any key left out holds at most
-  ``1/max_keys`` of the rows.
+* ``hot_keys`` finds the heaviest keys on a row sample (rate ``10,000 / min_rows``) with a partial count.
+  Every key above the threshold is found; there are at most ``2 * rows / min_rows`` of them.
 * ``split_join`` joins a large, possibly skewed side to a side that is unique on the key: each hot key is
   salted into slices of ordinary task size, its single row on the unique side repeated once per slice.
   One scan, one shuffle, exact.
@@ -28,7 +27,8 @@ from graphmill.session import checkpoint_root
 
 # A key is worth a separate path only when it fills several tasks on its own.
 HOT_KEY_MIN_ROWS = 2_000_000
-HOT_KEY_MAX_KEYS = 1000
+# Rows without a key never match; a left or anti join keeps them, spread over this many slices.
+NULL_SLICES = 1024
 
 
 def _cols(names: Sequence[str | Column]) -> list[Column]:
@@ -52,22 +52,22 @@ def _sampled(df: DataFrame, min_rows: int, sample_rows: int) -> tuple[DataFrame,
 
 
 def hot_keys(
-    df: DataFrame, key: str, min_rows: int = HOT_KEY_MIN_ROWS, max_keys: int = HOT_KEY_MAX_KEYS, sample_rows: int = HOT_KEY_SAMPLE_ROWS
+    df: DataFrame, key: str, min_rows: int = HOT_KEY_MIN_ROWS, sample_rows: int = HOT_KEY_SAMPLE_ROWS
 ) -> list[tuple]:
-    """(value, rows) of the values of ``key`` with at least ``min_rows`` rows, heaviest first, at most
-    ``max_keys`` of them.  Counted on a row sample (rows estimated from it) unless ``min_rows`` is small;
-    a partial count, then a distributed top-K: at most ``max_keys`` rows reach the driver."""
+    """(value, rows) of the values of ``key`` with at least ``min_rows`` rows, heaviest first.
+
+    Counted on a row sample (rows estimated from it) unless ``min_rows`` is small, by a partial count.  At most
+    ``2 * rows / min_rows`` keys can be above the threshold, so that many rows reach the driver."""
     src, rate, floor = _sampled(df, min_rows, sample_rows)
     counts = src.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.where(F.col("_n") >= F.lit(floor)).orderBy(F.desc("_n")).limit(max_keys)
-    return [(r[0], int(round(r[1] / rate))) for r in top.collect()]
+    top = counts.where(F.col("_n") >= F.lit(floor)).collect()
+    return sorted(((r[0], int(round(r[1] / rate))) for r in top), key=lambda x: -x[1])
 
 
 def hot_keys_by_column(
     df: DataFrame,
     columns: Sequence[str],
     min_rows: int = HOT_KEY_MIN_ROWS,
-    max_keys: int = HOT_KEY_MAX_KEYS,
     sample_rows: int = HOT_KEY_SAMPLE_ROWS,
 ) -> dict[str, list[tuple]]:
     """``hot_keys`` for several key columns with one job.
@@ -89,23 +89,46 @@ def hot_keys_by_column(
         for i, c in enumerate(cols)
     ]
     counts = reduce(DataFrame.unionByName, parts)
-    w = Window.partitionBy("side").orderBy(F.desc("_n"))
-    top = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_keys).collect()
     out: dict[str, list[tuple]] = {c: [] for c in cols}
-    for r in top:
+    for r in sorted(counts.collect(), key=lambda r: -r["_n"]):
         c = cols[r["side"]]
         out[c].append((_typed(r["k"], df.schema[c].dataType), int(round(r["_n"] / rate))))
     return out
 
 
 def _typed(v: str, data_type):
+    """A number's text as a value; other keys stay text (``_hot_frame`` casts them)."""
+    import decimal
+
     from pyspark.sql import types as T
 
     if isinstance(data_type, T.IntegralType):
         return int(v)
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
         return float(v)
-    return v
+    return decimal.Decimal(v) if isinstance(data_type, T.DecimalType) else v
+
+
+def _hot_frame(df: DataFrame, key: str, hot: list[tuple], per_slice: int) -> DataFrame:
+    """(``_hot``, ``_slices``): the hot keys in the type of ``df``'s key and their slices; a bounded list
+    (``hot_keys``).  Keys may be given as values or as text."""
+    from pyspark.sql import types as T
+
+    kind = df.schema[key].dataType
+    rows = [(k, int(-(-n // per_slice))) for k, n in hot]
+    given = T.StringType() if all(isinstance(k, str) for k, _ in rows) else kind
+    schema = T.StructType([T.StructField("_hot", given), T.StructField("_slices", T.LongType())])
+    return df.sparkSession.createDataFrame(rows, schema).withColumn("_hot", F.col("_hot").cast(kind))
+
+
+def _has_map(data_type) -> bool:
+    from pyspark.sql import types as T
+
+    if isinstance(data_type, T.ArrayType):
+        return _has_map(data_type.elementType)
+    if isinstance(data_type, T.StructType):
+        return any(_has_map(f.dataType) for f in data_type.fields)
+    return isinstance(data_type, (T.MapType, T.VariantType))
 
 
 def split_join(
@@ -115,7 +138,6 @@ def split_join(
     small_key: str,
     how: str = "inner",
     min_rows: int | None = HOT_KEY_MIN_ROWS,
-    max_keys: int = HOT_KEY_MAX_KEYS,
     hot: list[tuple] | None = None,
 ) -> DataFrame:
     """``big JOIN small_unique ON big.big_key = small_unique.small_key`` with hot keys of ``big`` salted.
@@ -124,19 +146,28 @@ def split_join(
     number from a hash of the row, and its (single) ``small_unique`` row is repeated once per slice, so the
     join key ``(key, slice)`` spreads the hot key over tasks of ordinary size.  One scan and one shuffle;
     ``small_unique`` grows by at most (rows of ``big``) / ``min_rows`` rows.  Exact for inner, left,
-    left_semi and left_anti: each ``big`` row meets exactly the copy with its slice.  ``hot`` passes
-    (key, rows) pairs found earlier (``hot_keys_by_column``); ``min_rows=None`` turns salting off.
+    left_semi and left_anti: each ``big`` row meets exactly the copy with its slice.  A left or anti join
+    also spreads the rows without a key.  ``hot`` passes (key, rows) pairs found earlier
+    (``hot_keys_by_column``); ``min_rows=None`` turns salting off unless ``hot`` is given.  Maps cannot be
+    hashed and are left out of the row's hash; rows that are equal in all other columns share a slice, so
+    group such rows first.
     """
     if hot is None:
-        hot = hot_keys(big, big_key, min_rows, max_keys) if min_rows is not None else []
-    if not hot:
+        hot = hot_keys(big, big_key, min_rows) if min_rows is not None else []
+    spread_nulls = how in ("left", "left_anti")
+    if not hot and not spread_nulls:
         return big.join(small_unique, big[big_key] == small_unique[small_key], how)
-    per_slice = max(1, min_rows or HOT_KEY_MIN_ROWS)
-    slices = F.create_map(*[x for k, n in hot for x in (F.lit(k), F.lit(int(-(-n // per_slice))))])
-    n_big = F.coalesce(F.try_element_at(slices, F.col(big_key)), F.lit(1))
-    b = big.withColumn("_slice", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), n_big.cast("long")))
-    n_small = F.coalesce(F.try_element_at(slices, F.col(small_key)), F.lit(1))
-    s = small_unique.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), (n_small - 1).cast("long"))))
+    slices = _hot_frame(big, big_key, hot, max(1, min_rows or HOT_KEY_MIN_ROWS))
+
+    def counted(df: DataFrame, key: str) -> DataFrame:
+        if not hot:
+            return df.withColumn("_slices", F.lit(1).cast("long"))
+        return df.join(F.broadcast(slices), df[key] == slices["_hot"], "left").drop("_hot").withColumn("_slices", F.coalesce("_slices", F.lit(1)))
+
+    hashed = [F.col(f"`{f.name}`") for f in big.schema.fields if not _has_map(f.dataType)]
+    n_big = F.when(F.col(big_key).isNull(), F.lit(NULL_SLICES)).otherwise(F.col("_slices")) if spread_nulls else F.col("_slices")
+    b = counted(big, big_key).withColumn("_slice", F.pmod(F.xxhash64(*hashed), n_big.cast("long"))).drop("_slices")
+    s = counted(small_unique, small_key).withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slices") - 1))).drop("_slices")
     j = b.join(s, (b[big_key] == s[small_key]) & (b["_slice"] == s["_slice"]), how)
     if how in ("left_semi", "left_anti"):
         return j.drop("_slice")

@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphmill.functions.keys import build_key, is_supported_operation, job_name_ok, matches_glob, parse_key
-from graphmill.functions.rows import payload_struct
+from graphmill.functions.rows import JSON_TIMES, JSON_WRITE, payload_struct
 from graphmill.model import MSG_UNSUPPORTED_OPERATION, NODES_INGEST, SUPPORTED_OPERATIONS
-from graphmill.operators.skew import number_within, top_n_within
+from graphmill.operators.skew import HOT_KEY_MIN_ROWS, number_within, split_join, top_n_within
 
 KEY_COLS = ["job_name", "operation", "arguments"]
 PAYLOAD = "payload"
@@ -42,7 +42,7 @@ def stage(df: DataFrame, job_name: str, operation: str, arguments: str | Column)
         raise ValueError(f"Job name {job_name!r} must be non-empty and free of ':'")
     args = arguments if isinstance(arguments, Column) else F.lit(arguments)
     st = payload_struct(df)
-    payload = F.to_json(st, {"ignoreNullFields": "false"})
+    payload = F.to_json(st, JSON_WRITE)
     shape = df.select(st.alias("s")).schema["s"].dataType.json()
     return df.select(
         F.lit(job_name).alias("job_name"),
@@ -64,7 +64,7 @@ def stage_columns(df: DataFrame, job_name: str, operation: str, arguments: Colum
         F.lit(operation).alias("operation"),
         arguments.cast("string").alias("arguments"),
         F.lit(shape).alias(SCHEMA),
-        F.to_json(st, {"ignoreNullFields": "false"}).alias(PAYLOAD),
+        F.to_json(st, JSON_WRITE).alias(PAYLOAD),
     )
 
 
@@ -104,25 +104,45 @@ def publish_check(existing: DataFrame | None, items: DataFrame) -> DataFrame:
 
 
 class PublishError(ValueError):
-    pass
+    """Keys whose items overlap the stored set in part; ``report`` has a row for each of them."""
+
+    def __init__(self, message: str, report: DataFrame):
+        super().__init__(message)
+        self.report = report
 
 
 def publish(spark: SparkSession, items: DataFrame, path: str) -> None:
     """K2: add ``items`` to the stored sets only if, per key, all of them are new and distinct or none is
     new; otherwise fail with the counts and write nothing (the reference checks after its write)."""
     existing = read_staging(spark, path, must_exist=False)
-    bad = publish_check(existing, items).where(~F.col("ok")).limit(20).collect()
-    if bad:
-        detail = "; ".join(f"{r['job_name']}:{r['operation']}:{r['arguments']} items={r['n_items']} new={r['n_new']}" for r in bad)
-        raise PublishError(f"partial overlap with the stored set: {detail}")
-    new_members(existing, items).write.mode("append").partitionBy(*KEY_COLS).parquet(path)
+    bad = publish_check(existing, items).where(~F.col("ok"))
+    n = bad.count()
+    if n:
+        raise PublishError(f"{n} keys overlap the stored set in part", bad)
+    _append(new_members(existing, items), path)
 
 
 def write_set_add(spark: SparkSession, staged: DataFrame, path: str) -> None:
     """K1: add members to the stored sets; only members not yet stored are appended, so no file the
     plan reads is overwritten."""
     existing = read_staging(spark, path, must_exist=False)
-    new_members(existing, staged).write.mode("append").partitionBy(*KEY_COLS).parquet(path)
+    _append(new_members(existing, staged), path)
+
+
+# An empty key part would be read back as null (the default folder of a partition without a value).
+_EMPTY = "\\e"
+
+
+def _stored_part(value: str) -> str:
+    """A key part as its folder has it: empty as a marker, a leading backslash doubled."""
+    return _EMPTY if value == "" else f"\\{value}" if value.startswith("\\") else value
+
+
+def _append(members: DataFrame, path: str) -> None:
+    for c in KEY_COLS:
+        part = F.col(c)
+        members = members.withColumn(c, F.when(part == "", F.lit(_EMPTY)).when(part.startswith("\\"), F.concat(F.lit("\\"), part)).otherwise(part))
+    members.write.mode("append").partitionBy(*KEY_COLS).parquet(path)
 
 
 def read_staging(spark: SparkSession, path: str, must_exist: bool = True) -> DataFrame | None:
@@ -135,7 +155,12 @@ def read_staging(spark: SparkSession, path: str, must_exist: bool = True) -> Dat
         return None
     if not any(st.getPath().getName().startswith("job_name=") for st in fs.listStatus(p)):
         return spark.createDataFrame([], STAGING_DDL)  # every key dropped
-    return spark.read.option("basePath", path).parquet(path).select(*KEY_COLS, SCHEMA, PAYLOAD)
+    # the schema is given, so key parts that look like numbers stay text
+    out = spark.read.schema(STAGING_DDL).option("basePath", path).parquet(path).select(*KEY_COLS, SCHEMA, PAYLOAD)
+    for c in KEY_COLS:
+        part = F.col(c)
+        out = out.withColumn(c, F.when(part == _EMPTY, F.lit("")).when(part.startswith("\\\\"), part.substr(F.lit(2), F.length(part))).otherwise(part))
+    return out
 
 
 def drop_keys(spark: SparkSession, path: str, keys: Iterable[tuple[str, str, str]]) -> int:
@@ -144,7 +169,8 @@ def drop_keys(spark: SparkSession, path: str, keys: Iterable[tuple[str, str, str
     conf = spark._jsc.hadoopConfiguration()
     n = 0
     for job, op, args in keys:
-        part = f"{path}/job_name={_escape(job)}/operation={_escape(op)}/arguments={_escape(args)}"
+        job, op, args = (_escape(_stored_part(str(x))) for x in (job, op, args))
+        part = f"{path}/job_name={job}/operation={op}/arguments={args}"
         p = jvm.org.apache.hadoop.fs.Path(part)
         fs = p.getFileSystem(conf)
         if fs.exists(p):
@@ -167,15 +193,13 @@ def _escape(v: str) -> str:
     return "".join(out)
 
 
-def delete_keys(staged: DataFrame, keys: DataFrame, max_broadcast_keys: int = 100_000) -> DataFrame:
+def delete_keys(staged: DataFrame, keys: DataFrame, hot_min_rows: int | None = HOT_KEY_MIN_ROWS) -> DataFrame:
     """K4 as a DataFrame: staged rows whose key is not in ``keys`` (columns job_name, operation, arguments).
 
-    The key list is broadcast after a size check, so a key holding most staged rows is no shuffle hot spot;
-    a very long list falls back to a shuffle join."""
-    k = keys.select(*KEY_COLS).distinct()
-    if k.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
-        k = F.broadcast(k)
-    return staged.join(k, KEY_COLS, "left_anti")
+    A key that holds most staged rows is salted (``split_join``); Spark broadcasts a short key list."""
+    gone = keys.select(*KEY_COLS).distinct().select(F.struct(*KEY_COLS).alias("_gone")).select(F.to_json("_gone", JSON_WRITE).alias("_gone"))
+    held = staged.withColumn("_key", F.to_json(F.struct(*KEY_COLS), JSON_WRITE))
+    return split_join(held, gone, "_key", "_gone", "left_anti", min_rows=hot_min_rows).drop("_key")
 
 
 def delete_prefix(staged: DataFrame, prefix: str) -> tuple[DataFrame, DataFrame]:
@@ -199,12 +223,19 @@ def purge(df: DataFrame) -> DataFrame:
 
 
 def purge_storage(spark: SparkSession, path: str) -> int:
-    """K6 on storage: drop every staged key folder; returns how many keys there were."""
-    staged = read_staging(spark, path, must_exist=False)
-    if staged is None:
+    """K6 on storage: drop every staged key folder; returns how many keys there were.
+
+    Lists folders only, one job at a time; no row is read."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
         return 0
-    keys = [tuple(r) for r in keys_of(staged).collect()]  # one row per staged key
-    return drop_keys(spark, path, keys)
+    n = 0
+    for job in fs.listStatus(top):
+        if job.isDirectory() and job.getPath().getName().startswith("job_name="):
+            n += sum(len(fs.listStatus(op.getPath())) for op in fs.listStatus(job.getPath()))
+            fs.delete(job.getPath(), True)
+    return n
 
 
 def cardinality(staged: DataFrame) -> DataFrame:
@@ -219,7 +250,7 @@ def decode(members: DataFrame, schema_json: str) -> DataFrame:
     from pyspark.sql import types as T
 
     st = T.StructType.fromJson(json.loads(schema_json))
-    return members.select(F.from_json(PAYLOAD, st).alias("_r")).select("_r.*")
+    return members.select(F.from_json(PAYLOAD, st, JSON_TIMES).alias("_r")).select("_r.*")
 
 
 def keys_of(staged: DataFrame) -> DataFrame:
@@ -235,7 +266,7 @@ def keys_of_translation(staged: DataFrame, translation_id: str) -> DataFrame:
     """the keys ``{translation_id}:*``; error when there is none."""
     keys = keys_of(staged.where(F.col("job_name") == translation_id))
     if keys.isEmpty():
-        raise MissingKeyError(f"No staged keys with a prefix of: {translation_id}.")
+        raise MissingKeyError(f"nothing is staged under {translation_id!r}")
     return keys
 
 
@@ -247,7 +278,7 @@ def scan_key(staged: DataFrame, pattern: str) -> DataFrame:
     hit = keys_by_pattern(keys_of(staged), pattern)
     found = hit.limit(2).collect()
     if len(found) != 1:
-        raise MissingKeyError(f"No key found with the name of: {pattern} (found {len(found)} keys.")
+        raise MissingKeyError(f"pattern {pattern!r} names {'no' if not found else 'more than one'} staged key")
     job, op, args = found[0]
     return staged.where((F.col("job_name") == job) & (F.col("operation") == op) & (F.col("arguments") == args))
 

@@ -8,6 +8,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphmill.functions.rows import to_entries
 from graphmill.model import FROM_UID, TO_UID, UID, Graph
 
 
@@ -32,7 +33,7 @@ def undirected_graph(node_frames: Sequence[DataFrame], edge_frames: Sequence[tup
     no node frames.
     """
     if not node_frames:
-        raise ValueError("No nodes found !")
+        raise ValueError("an undirected graph needs node frames")
     node_ids = reduce(DataFrame.unionByName, [f.select(F.col(UID).cast("string").alias("id")) for f in node_frames])
     edges = reduce(
         DataFrame.unionByName,
@@ -49,6 +50,15 @@ def undirected_graph(node_frames: Sequence[DataFrame], edge_frames: Sequence[tup
     return vertices, und
 
 
+def undirected_attributes(node_frames: Sequence[DataFrame]) -> DataFrame:
+    """U4: the vertices' node attributes in long form, (id, attribute, value as text).  A node that several
+    rows describe has every attribute once, the greatest value."""
+    if not node_frames:
+        raise ValueError("an undirected graph needs node frames")
+    long = [to_entries(f.select(F.col(UID).cast("string").alias("id"), *[c for c in f.columns if c != UID]), [c for c in f.columns if c != UID]) for f in node_frames]
+    return reduce(DataFrame.unionByName, long).where(F.col("value").isNotNull()).groupBy("id", "attribute").agg(F.max("value").alias("value"))
+
+
 def register_views(spark: SparkSession, graph: Graph, prefix: str = "") -> list[str]:
     """``nodes_<Label>`` and ``edges_<TYPE>_<From>_<To>`` temp views for plain Spark SQL reads."""
     names = []

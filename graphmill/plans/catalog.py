@@ -9,6 +9,8 @@ folder of the shared checkpoint root and read their result back.
 from __future__ import annotations
 
 import datetime as _dt
+import json
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +29,7 @@ from graphmill.operators import validate as V
 from graphmill.operators import views as VW
 from graphmill.plans.ingest import ingest, load_staged
 from graphmill.plans.store import GraphStore
-from graphmill.plans.translate import MappingTranslator
+from graphmill.plans.translate import IdentityTranslator, MappingTranslator
 from graphmill.session import scratch_path, table
 from graphmill.sources import index as IX
 from graphmill.sources import kv as KV
@@ -37,7 +39,6 @@ from graphmill.streaming import stream as SS
 
 # Store layout for the queries' scratch graphs (sized for the driver tables, not the session's defaults).
 STORE_BUCKETS = 16
-STORE_PARTITIONS = 64
 # The event stream: the events table split into this many files (one user per file), read this many
 # files per micro-batch.
 STREAM_FILES = 8
@@ -124,10 +125,9 @@ def q_merge_nodes_update(spark, d):
 def q_partitioned_upsert(spark, d):
     """J1 through the partitioned store: the same two merges as ``merge_nodes_update``, each rewriting only
     the partitions its batch touches; the result must equal the in-memory merge."""
-    from graphmill.plans.partitioned_store import PartitionedGraphStore
 
     c = _t(spark, d, "customer")
-    store = PartitionedGraphStore(spark, scratch_path(spark, "pgraph"), partitions=STORE_PARTITIONS)
+    store = GraphStore(spark, scratch_path(spark, "pgraph"), buckets=STORE_BUCKETS)
     store.merge_nodes("Customer", CUSTOMER.apply(c.where("c_acctbal < 6000")), AS_OF_1)
     incoming = c.where("c_acctbal > 3000").select(
         F.col("c_custkey").alias(UID),
@@ -382,6 +382,55 @@ def q_keyed_overwrite(spark, d):
     return KV.keyed_rows(_event_nodes(spark, d), ["ts", "event_id"])
 
 
+def q_keyed_sink(spark, d):
+    """K3 on storage: all events, overwritten by one row per user, read back."""
+    path = scratch_path(spark, "keyed")
+    _event_nodes(spark, d).write.parquet(path)
+    KV.write_keyed(_event_nodes(spark, d), path, ["ts", "event_id"])
+    return spark.read.parquet(path)
+
+
+def _published_events(spark, d, path: str) -> DataFrame:
+    """The events staged under jobs whose names look like numbers, a key per type (empty for views)."""
+    ev = _t(spark, d, "events")
+    args = F.when(F.col("event_type") == "view", F.lit("")).otherwise(F.col("event_type"))
+    for i, job in enumerate(("01", "1", "20240201")):
+        own = ev.where(F.pmod("user_id", F.lit(3)) == i)
+        ST.publish(spark, ST.stage_columns(own, job, NODES_INGEST, args, ["event_id", "ts"]), path)
+    return ST.read_staging(spark, path)
+
+
+def q_staged_keys(spark, d):
+    """K1, K2, K4 on storage: publish, publish again (nothing new), drop one key, read back with types."""
+    path = scratch_path(spark, "staging")
+    _published_events(spark, d, path)
+    staged = _published_events(spark, d, path)
+    ST.drop_keys(spark, path, [("1", NODES_INGEST, ""), ("01", NODES_INGEST, "click")])
+    left = ST.read_staging(spark, path)
+    shape = T.StructType.fromJson(json.loads(staged.select(ST.SCHEMA).first()[0]))  # one shape under every key
+    return left.select("job_name", "arguments", R.json_to_row(ST.PAYLOAD, shape).alias("r")).select("job_name", "arguments", "r.event_id", "r.ts")
+
+
+def q_fan_out(spark, d):
+    """The orders to two folders and a writer that fails; outcomes, and the rows that arrived."""
+    paths = [scratch_path(spark, f"fan-{i}") for i in range(2)]
+
+    def failing(df: DataFrame) -> None:
+        raise RuntimeError("unavailable")
+
+    writers = [("a", lambda df: df.write.parquet(paths[0])), ("broken", failing), ("b", lambda df: df.write.parquet(paths[1]))]
+    outcomes = P.fan_out(_t(spark, d, "orders"), writers)
+    summary = P.outcome_summary(spark.createDataFrame([("orders", ok) for _, ok, _ in outcomes], "request_id string, ok boolean"))
+    arrived = reduce(DataFrame.unionByName, [spark.read.parquet(p) for p in paths]).agg(F.count(F.lit(1)).alias("rows_written"))
+    return summary.crossJoin(arrived).select("total", "succeeded", "failed", "all_ok", "verdict", "rows_written")  # one row each
+
+
+def q_translate_identity(spark, d):
+    """Every row of a source is a node of one label."""
+    (key, frames), = IdentityTranslator("Supplier").translate(_t(spark, d, "supplier"), None, "job").items()
+    return frames[0].select(F.lit(":".join(key)).alias("key"), "s_suppkey", "s_name")
+
+
 # ----------------------------------------------------------------------------- progress
 
 
@@ -446,6 +495,12 @@ def q_undirected_vertices(spark, d):
     return _undirected(spark, d)[0]
 
 
+def q_undirected_attributes(spark, d):
+    parts = _t(spark, d, "part").select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias(UID), F.col("p_brand").alias("brand"), F.col("p_type").alias("type"))
+    suppliers = _t(spark, d, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias(UID), F.col("s_name").alias("name"))
+    return VW.undirected_attributes([parts, suppliers, parts.where("brand < 'Brand#3'")])
+
+
 def _requests(spark, d) -> DataFrame:
     ev = _t(spark, d, "events")
     k = F.get_json_object("props", "$.k")
@@ -521,8 +576,7 @@ def q_stream_merge(spark, d):
 
 
 def q_live_state(spark, d):
-    """The streaming request state in update mode, upserted per micro-batch into a graph store (a
-    ``PartitionedGraphStore`` is the choice when a batch changes few of very many requests)."""
+    """The streaming request state in update mode, upserted per micro-batch into a graph store."""
     src, schema = _stream_copy(spark, d, "stream-src")
     store = GraphStore(spark, scratch_path(spark, "live-state"))
     stream = progress_events(SS.read_stream(_stream_session(spark), src, schema, max_files_per_trigger=STREAM_FILES_PER_TRIGGER))
@@ -581,6 +635,17 @@ def q_ingest_two_sources(spark, d):
     return _store_counts(store)
 
 
+def q_ingest_progress(spark, d):
+    """A6, J5 over the events of an ingest: per key its size, what was processed, percent and whether the request is complete."""
+    store = GraphStore(spark, scratch_path(spark, "graph"))
+    sources = [PR.Source("customers", _t(spark, d, "customer"), [CUSTOMER, CUSTOMER_IN]), PR.Source("nations", _t(spark, d, "nation"), [NATION])]
+    res = ingest(spark, sources, store, "req", _dt.datetime(2024, 2, 1))
+    expected, done = P.of_ingest(res.events)
+    whole = P.completeness(expected, done).select("request_id", "complete")
+    out = P.progress(expected, done).join(whole, "request_id")
+    return out.select(F.substring_index("key", ":", -2).alias("key"), "cardinality", "processed", "percent", "complete")
+
+
 def q_load_staged(spark, d):
     store = GraphStore(spark, scratch_path(spark, "graph"))
     path = scratch_path(spark, "staging")
@@ -696,7 +761,13 @@ def q_delete_prefix(spark, d):
 
 
 def q_purge(spark, d):
-    return ST.purge(_staged_customers(spark, d).select(*ST.KEY_COLS, ST.PAYLOAD))
+    """K6 on storage: rows and keys staged, keys purged, and rows left."""
+    path = scratch_path(spark, "staging")
+    ST.write_set_add(spark, _staged_customers(spark, d), path)
+    before = ST.read_staging(spark, path).agg(F.count(F.lit(1)).alias("rows_staged"), F.count_distinct(*ST.KEY_COLS).alias("keys_staged")).first()
+    purged = ST.purge_storage(spark, path)
+    left = ST.read_staging(spark, path).agg(F.count(F.lit(1)).alias("rows_left"))
+    return left.select(*[F.lit(x).cast("long").alias(n) for n, x in (("rows_staged", before[0]), ("keys_staged", before[1]), ("keys_purged", purged))], "rows_left")
 
 
 def q_key_columns(spark, d):
@@ -791,7 +862,7 @@ def q_store_delete(spark, d):
         store.write_nodes(label, df)
     for key, df in g.edges.items():
         store.write_edges(key, df)
-    s = store.delete_nodes("Customer", [("segment", "MACHINERY")])
+    s = store.delete_nodes("Customer", [("segment", "MACHINERY")], indexed={"Customer": ["segment"]})
     counts = _store_counts(store)
     return counts.withColumn("deleted_nodes", F.lit(s["total"]).cast("long")).withColumn("deleted_edges", F.lit(s["edges_deleted"]).cast("long"))
 

@@ -17,17 +17,14 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphmill.model import EDGES_INGEST, EVENT_SCHEMA, MSG_UNSUPPORTED_OPERATION, NODES_INGEST
+from graphmill.model import EDGES_INGEST, EVENT_SCHEMA, MSG_UNSUPPORTED_OPERATION, NODES_INGEST, UID
 from graphmill.operators import staging
 from graphmill.operators.merge import CREATED_ACTION, UPDATED_ACTION, element_properties
-from graphmill.operators.skew import HOT_KEY_MIN_ROWS
+from graphmill.operators.skew import HOT_KEY_MIN_ROWS, orderable
 from graphmill.plans.store import GraphStore
 from graphmill.plans.translate import MappingTranslator, StagingKey
 from graphmill.sources.providers import Source
 
-MAX_KEYS_PER_TRANSLATION = 10_000
-MAX_SHAPES_PER_KEY = 1000
-
 
 @dataclass
 class EventLog:
@@ -85,15 +82,20 @@ def _merge_key(store: GraphStore, key: StagingKey, frames: Sequence[DataFrame],
     _, op, args = key
     parts = args.split(",")
     if op == NODES_INGEST:
-        # Frames of one shape are one merge; different shapes are applied one after another, so a column
-        # that one frame lacks is "absent" for that frame (kept), never "null" (overwritten).
+        # Frames of one shape are one merge; with several shapes a column that one frame lacks is "absent" for
+        # its rows (kept), never "null" (overwritten).
         label = parts[0]
         shapes: dict[str, list[DataFrame]] = {}
         for f in frames:
             shapes.setdefault(f.schema.simpleString(), []).append(f)
+        by_shape = [staging.union_frames(shapes[s]) for s in sorted(shapes)]
+        if order_by and len(by_shape) > 1:
+            batches = [(b, True) for b in _last_values(by_shape, order_by)]
+        else:
+            batches = [(b, False) for b in by_shape]
         counters = {"nodes_created": 0, "labels_added": 0, "nodes_matched": 0}
-        for shape in sorted(shapes):
-            counts = store.merge_nodes(label, staging.union_frames(shapes[shape]), as_of, order_by)
+        for batch, unique in batches:
+            counts = store.merge_nodes(label, batch, as_of, None if unique else order_by, unique)
             counters["nodes_created"] += counts.get(CREATED_ACTION, 0)
             counters["labels_added"] += counts.get(CREATED_ACTION, 0)
             counters["nodes_matched"] += counts.get(UPDATED_ACTION, 0)
@@ -118,6 +120,25 @@ def _merge_key(store: GraphStore, key: StagingKey, frames: Sequence[DataFrame],
     return {"key": ":".join(key), "element_type": "EDGES", "element_properties": props, **counters}
 
 
+def _last_values(shapes: Sequence[DataFrame], order_by: Sequence[str]) -> list[DataFrame]:
+    """The rows of several shapes, applied in ``order_by`` over all of them, as disjoint keyed batches.
+
+    A property's value is that of the last row whose shape has it.  Uids whose rows together have the same
+    properties form one batch with just these columns, and ``_n_in`` counts a uid's rows; there are at most as
+    many batches as sets of shapes that meet in a uid.
+    """
+    props = sorted({c for s in shapes for c in s.columns if c != UID})
+    rows = staging.union_frames([s.withColumns({f"_has_{c}": F.lit(c in s.columns) for c in props}) for s in shapes])
+    rows = rows.where(F.col(UID).isNotNull())
+    order = F.struct(*[F.col(c) for c in order_by], *[F.col(f"_has_{c}") for c in props], *[F.col(c) for c in props if orderable(rows.schema[c].dataType)])
+    last = [F.max_by(F.struct(F.col(c)), F.when(F.col(f"_has_{c}"), order)).getField(c).alias(c) for c in props]
+    has = F.array_compact(F.array(*[F.when(F.bool_or(f"_has_{c}"), F.lit(c)) for c in props])).alias("_props")
+    keyed = rows.groupBy(UID).agg(*last, has, F.count(F.lit(1)).alias("_n_in"))
+    keyed = keyed.persist()  # read once for the sets of properties and once per set
+    sets = [r[0] for r in keyed.select("_props").distinct().collect()]
+    return [keyed.where(F.col("_props") == F.array(*map(F.lit, s))).select(UID, *s, "_n_in") for s in sorted(sets)]
+
+
 class IngestError(RuntimeError):
     """A key failed to load.  Staged keys are kept (a re-run converges); ``events`` holds the request's
     events up to and including the ERROR event, so its state reads ERROR."""
@@ -167,13 +188,13 @@ def ingest(
                     for f in frames:
                         staging.write_set_add(spark, staging.stage(f, job, op, args), staging_path)
             per_source.append((src, translated))
-        log.emit("REDIS_IS_READY_FOR_CONSUMPTION", f"Graph elements are ready [{stamped}]")
-
         # Node keys of every source before any edge key: an edge of source A may end at a node of source B.
         work = [(i, src, key, frames) for i, (src, tr) in enumerate(per_source) for key, frames in tr.items()]
         work.sort(key=lambda w: (w[2][1] != NODES_INGEST, w[0], ":".join(w[2]).lower()))
         if staging_path:
             work = [(i, src, key, _read_staged(spark, staging_path, key)) for i, src, key, _ in work]
+        sizes = [sum(f.count() for f in frames) for _, _, _, frames in work]
+        log.emit("REDIS_IS_READY_FOR_CONSUMPTION", f"Graph elements are ready [{stamped}]", cardinality={":".join(w[2]): n for w, n in zip(work, sizes, strict=True)})
         results = _run_keys(store, [(key, frames) for _, _, key, frames in work], as_of, order_by, hot_min_rows, parallel)
 
         loaded = []
@@ -185,7 +206,7 @@ def ingest(
             if first[i] == pos:
                 log.emit("WRITING_FROM_REDIS_TO_NEO", f"Loading source {src.name}", source_name=src.name, processed_keys=[":".join(k) for k in per_source[i][1]])
             r = results[pos]
-            log.emit("PUSHED_GRAPH_ELEMENTS_INTO_NEO", f"Pushed {r['element_type'].lower()}: {r['element_properties']}", **{k: v for k, v in r.items() if k != "key"})
+            log.emit("PUSHED_GRAPH_ELEMENTS_INTO_NEO", _pushed(r), how_many=sizes[pos], **r)
             loaded.append({"source_name": src.name, **r})
             if last[i] == pos:
                 keys = list(per_source[i][1])
@@ -193,7 +214,7 @@ def ingest(
                 if staging_path:
                     staging.drop_keys(spark, staging_path, keys)
     except Exception as exc:  # noqa: BLE001 - reported as an ERROR event, then raised with the events
-        log.emit("ERROR", str(exc)[:2000], exception=type(exc).__name__)
+        log.emit("ERROR", str(exc), exception=type(exc).__name__)
         raise IngestError(f"request {stamped} failed: {exc}", log.frame(spark)) from exc
     log.emit("DONE_PROCESSING_REQUEST", f"Done processing request: {stamped}")
     return IngestResult(stamped, loaded, log.frame(spark))
@@ -204,9 +225,7 @@ def _read_staged(spark: SparkSession, staging_path: str, key: StagingKey) -> lis
     members = staging.read_staging(spark, staging_path).where(
         (F.col("job_name") == job) & (F.col("operation") == op) & (F.col("arguments") == args)
     )
-    shapes = [r[0] for r in members.select(staging.SCHEMA).distinct().limit(MAX_SHAPES_PER_KEY + 1).collect()]
-    if len(shapes) > MAX_SHAPES_PER_KEY:
-        raise ValueError(f"more than {MAX_SHAPES_PER_KEY} payload shapes under {':'.join(key)}")
+    shapes = [r[0] for r in members.select(staging.SCHEMA).distinct().collect()]
     return [staging.decode(members.where(F.col(staging.SCHEMA) == s), s) for s in sorted(shapes)]
 
 
@@ -223,26 +242,38 @@ def load_staged(
 ) -> IngestResult:
     """Merge every staged key of ``translation_id`` (nodes first), then drop those keys.
 
-    Members of one key with several shapes are merged shape by shape, so presence (absent column vs null
-    value) stays exact per row.  A set has no order, so neither does the reference; ours applies the shapes
-    in the order of their schema text, which makes reruns repeatable.
+    Members of one key with several shapes keep presence (absent column vs null value) exact per row; with
+    ``order_by`` the last row wins per property over all shapes.  A set has no order by itself: without
+    ``order_by`` the shapes apply in the order of their schema text, which makes reruns repeatable.  A failure
+    is logged as an ERROR event and raised as ``IngestError`` with the events; the staged keys stay.
     """
     log = EventLog(request_id, as_of)
-    staged = staging.read_staging(spark, staging_path)
-    keys_df = staging.keys_of_translation(staged, translation_id)
-    keys = [tuple(r) for r in keys_df.limit(MAX_KEYS_PER_TRANSLATION + 1).collect()]
-    if len(keys) > MAX_KEYS_PER_TRANSLATION:
-        raise ValueError(f"more than {MAX_KEYS_PER_TRANSLATION} staged keys for {translation_id}")
+    log.emit("STARTED_PROCESSING_REQUEST", f"Loading staged keys of {translation_id}")
     loaded = []
-    for key in _order_keys(keys):
-        if key[1] not in (NODES_INGEST, EDGES_INGEST):
-            raise ValueError(MSG_UNSUPPORTED_OPERATION % key[1])
-        frames = _read_staged(spark, staging_path, key)
-        for f in frames:
-            r = _merge_key(store, key, [f], as_of, order_by, hot_min_rows)
-            log.emit("PUSHED_GRAPH_ELEMENTS_INTO_NEO", f"Pushed {r['element_type'].lower()}: {r['element_properties']}", **{k: v for k, v in r.items() if k != "key"})
-            loaded.append(r)
-    if delete_after:
-        log.emit("DELETING_REDIS_KEYS", "Deleting done-with keys", keys=[":".join(k) for k in keys])
-        staging.drop_keys(spark, staging_path, keys)
+    try:
+        staged = staging.read_staging(spark, staging_path)
+        keys = [tuple(r) for r in staging.keys_of_translation(staged, translation_id).collect()]
+        sizes = {(r["job_name"], r["operation"], r["arguments"]): r["cardinality"] for r in staging.cardinality(staged.where(F.col("job_name") == translation_id)).collect()}
+        log.emit("REDIS_IS_READY_FOR_CONSUMPTION", f"Staged keys of {translation_id}", cardinality={":".join(k): sizes[k] for k in keys})
+        for key in _order_keys(keys):
+            if key[1] not in (NODES_INGEST, EDGES_INGEST):
+                raise ValueError(MSG_UNSUPPORTED_OPERATION % key[1])
+        for key in _order_keys(keys):
+            frames = _read_staged(spark, staging_path, key)
+            for batch in [frames] if order_by or len(frames) == 1 else [[f] for f in frames]:
+                r = _merge_key(store, key, batch, as_of, order_by, hot_min_rows)
+                n = sizes[key] if len(batch) == len(frames) else batch[0].count()
+                log.emit("PUSHED_GRAPH_ELEMENTS_INTO_NEO", _pushed(r), how_many=n, **r)
+                loaded.append(r)
+        if delete_after:
+            log.emit("DELETING_REDIS_KEYS", "Deleting done-with keys", keys=[":".join(k) for k in keys])
+            staging.drop_keys(spark, staging_path, keys)
+    except Exception as exc:  # noqa: BLE001 - reported as an ERROR event, then raised with the events
+        log.emit("ERROR", str(exc), exception=type(exc).__name__)
+        raise IngestError(f"request {request_id} failed: {exc}", log.frame(spark)) from exc
+    log.emit("DONE_PROCESSING_REQUEST", f"Done loading {translation_id}")
     return IngestResult(request_id, loaded, log.frame(spark))
+
+
+def _pushed(r: dict) -> str:
+    return f"Pushed {r['element_type'].lower()}: {r['element_properties']}"

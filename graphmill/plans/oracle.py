@@ -249,6 +249,16 @@ FROM lineitem LEFT JOIN store ON 'Part-' || CAST(l_partkey AS VARCHAR) = store.k
     "keyed_overwrite": """
 SELECT user_id AS _uid, event_id, ts, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
+    "keyed_sink": """
+SELECT user_id AS _uid, event_id, ts, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
+    "staged_keys": """
+SELECT job_name, arguments, event_id, ts FROM (
+  SELECT ['01', '1', '20240201'][user_id % 3 + 1] AS job_name, CASE event_type WHEN 'view' THEN '' ELSE event_type END AS arguments, event_id, ts FROM events)
+WHERE NOT (job_name = '1' AND arguments = '') AND NOT (job_name = '01' AND arguments = 'click')""",
+    "fan_out": """
+SELECT CAST(3 AS BIGINT) AS total, CAST(2 AS BIGINT) AS succeeded, CAST(1 AS BIGINT) AS failed, false AS all_ok, 'FAILED_WRITERS' AS verdict, 2 * count(*) AS rows_written FROM orders""",
+    "translate_identity": "SELECT 'job:nodes_ingest:Supplier' AS key, s_suppkey, s_name FROM supplier",
     "request_state": _request_state(),
     "status_times": f"""
 WITH {_since_start()}
@@ -280,6 +290,10 @@ SELECT least(a, b) AS u, greatest(a, b) AS v, max(t) AS type FROM e GROUP BY ALL
 WITH ends AS (SELECT 'P' || CAST(l_partkey AS VARCHAR) AS id FROM lineitem UNION ALL SELECT 'S' || CAST(l_suppkey AS VARCHAR) FROM lineitem),
 n AS (SELECT 'P' || CAST(p_partkey AS VARCHAR) AS id FROM part WHERE p_size <= 40)
 SELECT id, bool_or(node) AS has_node FROM (SELECT id, true AS node FROM n UNION ALL SELECT id, false FROM ends) GROUP BY id""",
+    "undirected_attributes": """
+SELECT 'P' || CAST(p_partkey AS VARCHAR) AS id, 'brand' AS attribute, p_brand AS value FROM part WHERE p_brand IS NOT NULL
+UNION ALL SELECT 'P' || CAST(p_partkey AS VARCHAR), 'type', p_type FROM part WHERE p_type IS NOT NULL
+UNION ALL SELECT 'S' || CAST(s_suppkey AS VARCHAR), 'name', s_name FROM supplier WHERE s_name IS NOT NULL""",
     "validate_requests": _REQUESTS + """
 SELECT event_id, problems = '' AS valid, problems FROM pr""",
     "uid_duplicates": "SELECT user_id AS _uid, count(*) AS n FROM events GROUP BY user_id HAVING count(*) > 1",
@@ -350,7 +364,13 @@ WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey IN (SELEC
 SELECT 'custjob:nodes_ingest:Customer_NATION_1' AS prefix,
        (SELECT count(DISTINCT arguments) FROM sc WHERE starts_with(job_name || ':' || operation || ':' || arguments, 'custjob:nodes_ingest:Customer_NATION_1')) AS keys_deleted,
        (SELECT count(*) FROM sc WHERE NOT starts_with(job_name || ':' || operation || ':' || arguments, 'custjob:nodes_ingest:Customer_NATION_1')) AS rows_remaining""",
-    "purge": _STAGED_CUSTOMERS + "\nSELECT job_name, operation, arguments, CAST(_uid AS VARCHAR) AS payload FROM sc LIMIT 0",
+    "ingest_progress": """
+SELECT 'nodes_ingest:Customer' AS key, count(*) AS cardinality, count(*) AS processed, CAST(100.0 AS DOUBLE) AS percent, true AS complete FROM customer
+UNION ALL
+SELECT 'edges_ingest:IN_NATION,Customer,Nation', count(*), count(*), 100.0, true FROM customer
+UNION ALL
+SELECT 'nodes_ingest:Nation', count(*), count(*), 100.0, true FROM nation""",
+    "purge": _STAGED_CUSTOMERS + "\nSELECT count(*) AS rows_staged, count(DISTINCT arguments) AS keys_staged, count(DISTINCT arguments) AS keys_purged, CAST(0 AS BIGINT) AS rows_left FROM sc",
     "key_columns": """
 WITH o AS (
   SELECT o_orderkey, o_orderstatus, o_orderpriority,

@@ -19,9 +19,6 @@ from graphmill.plans.ingest import IngestResult, ingest
 from graphmill.plans.store import GraphStore
 from graphmill.sources.whitelist import read_white_list
 
-MAX_REQUESTS_PER_CALL = 1000
-MAX_SOURCES_PER_REQUEST = 10_000
-
 
 @dataclass
 class RequestsResult:
@@ -71,14 +68,9 @@ def handle_requests(
         F.expr("variant_get(v, '$.request_id', 'string')").alias("request_id"),
         F.expr("variant_get(v, '$.file_path', 'string')").alias("file_path"),
     )
-    todo = accepted.limit(MAX_REQUESTS_PER_CALL + 1).collect()
-    if len(todo) > MAX_REQUESTS_PER_CALL:
-        raise ValueError(f"more than {MAX_REQUESTS_PER_CALL} accepted requests in one call")
     results = []
-    for r in todo:
-        names = [x[0] for x in read_white_list(spark, r["file_path"]).orderBy("source_name").limit(MAX_SOURCES_PER_REQUEST + 1).collect()]
-        if len(names) > MAX_SOURCES_PER_REQUEST:
-            raise ValueError(f"request {r['request_id']} names more than {MAX_SOURCES_PER_REQUEST} sources")
+    for r in accepted.toLocalIterator():  # a page of requests at a time
+        names = [x[0] for x in read_white_list(spark, r["file_path"]).orderBy("source_name").toLocalIterator()]
         sources = provider.get_data_and_model_for(names)
         results.append(ingest(spark, sources, store, r["request_id"], as_of, staging_path=staging_path, translator=translator))
     events = reduce(DataFrame.unionByName, [received_events(checked, column, as_of)] + [x.events for x in results])

@@ -20,11 +20,21 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphmill.model import FROM_UID, TO_UID, UID, Graph
+from graphmill.model import DELETE_BATCH_SIZE, FROM_UID, INDEXED_PROPERTIES, TO_UID, UID, Graph
+from graphmill.operators import delete as D
 from graphmill.operators.merge import ACTION
 from graphmill.operators.skew import HOT_KEY_MIN_ROWS
 
 
+def _escaped(name: str) -> str:
+    """A label or type as part of a folder name, without the separators ``__`` and ``/``."""
+    return "".join({"~": "~~", "_": "~u", "/": "~s"}.get(c, c) for c in name)
+
+
+def _unescaped(name: str) -> str:
+    return re.sub("~([~us])", lambda m: {"~": "~", "u": "_", "s": "/"}[m[1]], name)
+
+
 class GraphStore:
     def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2, buckets: int | None = None, database: str | None = None):
         self.spark = spark
@@ -41,10 +51,10 @@ class GraphStore:
 
     # ------------------------------------------------------------------ layout
     def _node_dir(self, label: str) -> str:
-        return f"{self.root}/nodes/{label}"
+        return f"{self.root}/nodes/{_escaped(label)}"
 
     def _edge_dir(self, key: tuple[str, str, str]) -> str:
-        return f"{self.root}/edges/{key[0]}__{key[1]}__{key[2]}"
+        return f"{self.root}/edges/" + "__".join(_escaped(p) for p in key)
 
     def _list(self, path: str) -> list[str]:
         p = self._Path(path)
@@ -56,16 +66,27 @@ class GraphStore:
         out = []
         for name in self._list(folder):
             if name.startswith("v=") and self._fs.exists(self._Path(f"{folder}/{name}/_SUCCESS")):
-                out.append(int(name[2:]))
+                out.append(int(name[2:].split("-")[0]))
         return sorted(out)
 
+    def _version_dir(self, folder: str, version: int) -> str:
+        return f"{folder}/" + next(n for n in self._list(folder) if n.split("-")[0] == f"v={version:06d}" and self._fs.exists(self._Path(f"{folder}/{n}/_SUCCESS")))
+
+    def has_batch(self, label: str, tag: str) -> bool:
+        """Whether a version of ``label`` was written for the batch ``tag``.  The tag is part of the version's folder
+        name, so it counts exactly when the version does; a version that is dropped leaves its tag."""
+        folder = self._node_dir(label)
+        own = any(n.endswith(f"-{tag}") and self._fs.exists(self._Path(f"{folder}/{n}/_SUCCESS")) for n in self._list(folder))
+        return own or self._fs.exists(self._Path(f"{folder}/_batches/{tag}"))
+
     def _table(self, folder: str, version: int) -> str:
-        name = "gm_" + self._tag + "_" + re.sub(r"[^0-9A-Za-z_]", "_", folder[len(self.root) + 1 :]) + f"_v{version}"
+        # catalogs fold case and allow few characters: a hash of the folder keeps names apart
+        own = folder[len(self.root) + 1 :]
+        name = f"gm_{self._tag}_{re.sub(r'[^0-9A-Za-z_]', '_', own)}_{hashlib.sha1(own.encode()).hexdigest()[:8]}_v{version}"
         return f"{self.database}.{name}" if self.database else name
 
-    @staticmethod
-    def _keys(folder: str) -> list[str]:
-        return [UID] if "/nodes/" in folder else [FROM_UID, TO_UID]
+    def _keys(self, folder: str) -> list[str]:
+        return [UID] if folder[len(self.root) + 1 :].startswith("nodes/") else [FROM_UID, TO_UID]
 
     def _bucket_count(self, path: str) -> int | None:
         """The bucket count a version was written with, from its ``_buckets_N`` marker (None: plain).
@@ -79,7 +100,7 @@ class GraphStore:
         return None
 
     def _read_version(self, folder: str, version: int) -> DataFrame:
-        path = f"{folder}/v={version:06d}"
+        path = self._version_dir(folder, version)
         buckets = self._bucket_count(path)
         if not buckets:
             return self.spark.read.parquet(path)
@@ -101,10 +122,10 @@ class GraphStore:
         df = self._read_version(folder, v[-1])
         return df.drop(ACTION) if ACTION in df.columns else df
 
-    def _write(self, folder: str, df: DataFrame, aligned: bool = False) -> str:
+    def _write(self, folder: str, df: DataFrame, aligned: bool = False, tag: str | None = None) -> int:
         v = self._versions(folder)
         nxt = (v[-1] if v else 0) + 1
-        path = f"{folder}/v={nxt:06d}"
+        path = f"{folder}/v={nxt:06d}" + (f"-{tag}" if tag else "")
         if self.buckets:
             keys = self._keys(folder)
             if not aligned:
@@ -121,23 +142,23 @@ class GraphStore:
         else:
             df.write.mode("error").parquet(path)
         for old in v[: max(0, len(v) + 1 - self.keep_versions)]:
+            gone = self._version_dir(folder, old)
+            if "-" in gone.rsplit("=", 1)[1]:
+                self._fs.create(self._Path(f"{folder}/_batches/{gone.rsplit('=', 1)[1].split('-', 1)[1]}"), True).close()
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table(folder, old)}")
-            self._fs.delete(self._Path(f"{folder}/v={old:06d}"), True)
-        return path
-
-    def _written(self, folder: str, path: str) -> DataFrame:
-        return self._read_version(folder, int(path.rsplit("=", 1)[1]))
+            self._fs.delete(self._Path(gone), True)
+        return nxt
 
     # ------------------------------------------------------------------ API
     def labels(self) -> list[str]:
-        return sorted(n for n in self._list(f"{self.root}/nodes") if self._versions(self._node_dir(n)))
+        return sorted(_unescaped(n) for n in self._list(f"{self.root}/nodes") if self._versions(f"{self.root}/nodes/{n}"))
 
     def edge_keys(self) -> list[tuple[str, str, str]]:
         out = []
         for n in self._list(f"{self.root}/edges"):
             parts = n.split("__")
             if len(parts) == 3 and self._versions(f"{self.root}/edges/{n}"):
-                out.append(tuple(parts))
+                out.append(tuple(map(_unescaped, parts)))
         return sorted(out)
 
     def nodes(self, label: str) -> DataFrame | None:
@@ -146,28 +167,32 @@ class GraphStore:
     def edges(self, key: tuple[str, str, str]) -> DataFrame | None:
         return self._read(self._edge_dir(key))
 
-    def write_nodes(self, label: str, df: DataFrame, aligned: bool = False) -> DataFrame:
+    def write_nodes(self, label: str, df: DataFrame, aligned: bool = False, tag: str | None = None) -> DataFrame:
         """Write a new version; returns the written table read back (with ``_action`` when given).
 
         ``aligned``: ``df`` comes out of a merge with the bucketed current version, so its partitions are
         already the buckets (no repartition needed; only the number of files depends on it)."""
         folder = self._node_dir(label)
-        return self._written(folder, self._write(folder, df, aligned))
+        return self._read_version(folder, self._write(folder, df, aligned, tag))
 
     def write_edges(self, key: tuple[str, str, str], df: DataFrame, aligned: bool = False) -> DataFrame:
         folder = self._edge_dir(key)
-        return self._written(folder, self._write(folder, df, aligned))
+        return self._read_version(folder, self._write(folder, df, aligned))
 
     def graph(self) -> Graph:
         return Graph({l: self.nodes(l) for l in self.labels()}, {k: self.edges(k) for k in self.edge_keys()})
 
-    def merge_nodes(self, label: str, incoming: DataFrame, as_of, order_by=None, unique_uids: bool = False) -> dict[str, int]:
-        """J1 into the stored label: a new version; returns the counts per ``_action``."""
+    def merge_nodes(self, label: str, incoming: DataFrame, as_of, order_by=None, unique_uids: bool = False, tag: str | None = None) -> dict[str, int]:
+        """J1 into the stored label: a new version; returns the counts per ``_action``.
+
+        ``tag`` names the batch: one that a version already has is not merged again (no counts)."""
+        if tag is not None and self.has_batch(label, tag):
+            return {}
         from graphmill.operators.merge import merge_nodes_flagged
 
         existing = self.nodes(label)
         flagged = merge_nodes_flagged(existing, incoming, as_of, order_by, unique_uids)
-        return self.action_counts(self.write_nodes(label, flagged, aligned=existing is not None))
+        return self.action_counts(self.write_nodes(label, flagged, existing is not None, tag))
 
     def merge_edges(
         self, key: tuple[str, str, str], incoming: DataFrame, from_nodes: DataFrame, to_nodes: DataFrame, hot_min_rows: int | None = HOT_KEY_MIN_ROWS
@@ -179,27 +204,36 @@ class GraphStore:
         flagged = merge_edges_flagged(existing, incoming, from_nodes, to_nodes, hot_min_rows)
         return self.action_counts(self.write_edges(key, flagged, aligned=existing is not None))
 
-    def delete_nodes(self, label: str, conditions, indexed=None, batch_size: int | None = None, hot_min_rows=None) -> dict:
-        """J4 on storage: write new versions of ``label`` and of every edge table touching it.
+    def delete_nodes(self, label: str, conditions, indexed=INDEXED_PROPERTIES, batch_size: int | None = None, hot_min_rows: int | None = HOT_KEY_MIN_ROWS) -> dict:
+        """J4 on storage: new versions of ``label`` and of every edge table with an edge that goes.
 
-        Returns ``{label, total, batches, edges_deleted}``; the counts come from the old and new versions
-        (parquet footers), so no extra pass over the data.
+        Returns ``{label, total, batches, edges_deleted}``.  Tables in which nothing matches keep their version;
+        an unknown label gives zero.  Counts come from the rows that match and the written versions' footers.
         """
-        from graphmill.model import DELETE_BATCH_SIZE
-        from graphmill.operators import delete as D
-        from graphmill.operators.skew import HOT_KEY_MIN_ROWS
-
-        g = self.graph()
-        kw = {"hot_min_rows": HOT_KEY_MIN_ROWS if hot_min_rows is None else hot_min_rows}
-        res = D.detach_delete(g, label, conditions, indexed=indexed, batch_size=batch_size or DELETE_BATCH_SIZE, **kw)
-        before_nodes = g.nodes[label].count()
-        touched = [k for k in g.edges if label in (k[1], k[2])]
-        before_edges = sum(g.edges[k].count() for k in touched)
-        after_nodes = self.write_nodes(label, res.graph.nodes[label], aligned=True).count()  # a filter keeps the buckets
-        after_edges = sum(self.write_edges(k, res.graph.edges[k]).count() for k in touched)
-        total = before_nodes - after_nodes
+        if indexed is not None:
+            D.check_indexed(label, [c for c, _ in conditions], indexed)
         size = batch_size or DELETE_BATCH_SIZE
-        return {"label": label, "total": total, "batches": -(-total // size), "edges_deleted": before_edges - after_edges}
+        nodes = self.nodes(label)
+        none = {"label": label, "total": 0, "batches": 0, "edges_deleted": 0}
+        if nodes is None:
+            return none
+        hit = F.coalesce(D.property_predicate(conditions, nodes.schema), F.lit(False))
+        deleted = nodes.where(hit).select(UID)
+        total = deleted.count()
+        if not total:
+            return none
+        edges_deleted = 0
+        for key in self.edge_keys():
+            edges = self.edges(key)
+            tagged = D.edges_touching(edges, key, label, deleted, hot_min_rows)
+            if tagged is None:
+                continue
+            n = tagged.where(D.TOUCHED).count()
+            if n:
+                self.write_edges(key, tagged.where(~F.col(D.TOUCHED)).drop(D.TOUCHED))
+                edges_deleted += n
+        self.write_nodes(label, nodes.where(~hit), aligned=True)  # last: the edges above read the deleted ids
+        return {"label": label, "total": total, "batches": -(-total // size), "edges_deleted": edges_deleted}
 
     def purge(self) -> int:
         """K6 on the graph (every node with its edges): a new, empty version of every table, so readers

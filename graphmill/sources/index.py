@@ -13,14 +13,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from graphmill.model import INDEX_ARRAY_FIELDS_OPTION
+
 
 def as_string_array(column: str | Column) -> Column:
-    """A field that holds either one string or a JSON array of strings, as ``array<string>``."""
+    """A field that holds either one string or a JSON array of strings, as ``array<string>``.
+
+    A text that starts with ``[`` without being a JSON array is one string."""
     c = F.col(column) if isinstance(column, str) else column
     trimmed = F.ltrim(c)
     return (
         F.when(c.isNull(), F.lit(None).cast("array<string>"))
-        .when(trimmed.startswith("["), F.from_json(c, T.ArrayType(T.StringType())))
+        .when(trimmed.startswith("["), F.coalesce(F.from_json(c, T.ArrayType(T.StringType())), F.array(c)))
         .otherwise(F.array(c))
     )
 
@@ -36,7 +40,7 @@ def read_index(
     """S3 (+ S4): load an index / export as a DataFrame; ``array_fields`` are always ``array<string>``."""
     reader = spark.read.format(fmt).options(**(options or {}))
     if fmt in ("org.elasticsearch.spark.sql", "es") and array_fields:
-        reader = reader.option("es.read.field.as.array.include", ",".join(array_fields))
+        reader = reader.option(INDEX_ARRAY_FIELDS_OPTION, ",".join(array_fields))
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(index)

@@ -3,8 +3,8 @@
 * T1 ``read_stream``: a file stream read from its beginning in bounded micro-batches; the checkpoint is the
   bookmark (the reference kept its position in memory only).
 * T2 ``merge_stream_into_store``: every micro-batch upserted into the graph store with ``foreachBatch``.
-  Replays are harmless: the merge is idempotent for a fixed ``as_of``, and a batch already written is
-  recognised by its marker and skipped.
+  A batch is named by the streaming query's id and its number, and the name is committed with the version it
+  wrote, so a replay is recognised and changes nothing, and two streams may write one label.
 * T3 ``live_state``: request state as a streaming aggregation (complete mode), written per batch.
 * T4 ``closed_sessions``: requests idle for ``gap`` are emitted once (session window + watermark, append
   mode) and leave the state store.
@@ -73,7 +73,7 @@ def fan_out_batches(sinks: Sequence[tuple[str, Callable[[DataFrame, int], None]]
                     fn(batch, batch_id)
                     rows.append((batch_id, name, True, None))
                 except Exception as exc:  # noqa: BLE001 - reported as a row, never fatal to the others
-                    rows.append((batch_id, name, False, str(exc)[:1000]))
+                    rows.append((batch_id, name, False, str(exc)))
         finally:
             batch.unpersist()
         out = batch.sparkSession.createDataFrame(rows, "batch_id long, sink string, ok boolean, error string")
@@ -82,31 +82,28 @@ def fan_out_batches(sinks: Sequence[tuple[str, Callable[[DataFrame, int], None]]
     return sink
 
 
+def batch_tag(batch: DataFrame, batch_id: int) -> str:
+    """A name for a micro-batch that a restart from the same checkpoint gives again, and no other query."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+    return f"{query}-{batch_id}"
+
+
 def upsert_sink(store, label: str, key: str, as_of) -> Callable[[DataFrame, int], None]:
     """T3 at scale: an update-mode aggregate emits, per micro-batch, only the keys whose state changed,
     each with its full current state; upserting them by key into ``store`` (nodes of ``label``, ``key``
-    as ``_uid``) keeps one current row per key.  With ``PartitionedGraphStore`` a batch rewrites only the
-    partitions of the keys it changed, instead of the whole result as complete mode does."""
+    as ``_uid``) keeps one current row per key."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        store.merge_nodes(label, batch.withColumnRenamed(key, "_uid"), as_of)
+        store.merge_nodes(label, batch.withColumnRenamed(key, "_uid"), as_of, tag=batch_tag(batch, batch_id))
 
     return sink
 
 
 def merge_stream_into_store(stream: DataFrame, store, label: str, as_of, checkpoint: str, order_by: Sequence[str] | None = None) -> None:
     """Upsert every micro-batch of nodes into ``store`` under ``label``."""
-    spark = stream.sparkSession
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        marker = jvm.org.apache.hadoop.fs.Path(f"{store.root}/_batches/{label}/batch={batch_id}")
-        fs = marker.getFileSystem(conf)
-        if fs.exists(marker):
-            return  # replay of a batch already merged
-        store.merge_nodes(label, batch, as_of, order_by)
-        fs.create(marker, True).close()
+        store.merge_nodes(label, batch, as_of, order_by, tag=batch_tag(batch, batch_id))
 
     run_to_end(stream, sink, checkpoint)
 
@@ -143,11 +140,12 @@ def closed_sessions(events: DataFrame, gap: str, delay: str) -> DataFrame:
 
 
 def dump_closed_sessions(events: DataFrame, path: str, gap: str, delay: str, checkpoint: str) -> None:
-    """T4 feeding K9: every session the watermark closes is appended once to the JSON-lines state log
-    (``dumped_at`` = the session's end), then leaves the state store."""
+    """T4 feeding K9: every session the watermark closes goes once to the JSON-lines state log
+    (``dumped_at`` = the session's end), then leaves the state store.  Each micro-batch has a folder of its
+    own, which a replay writes again."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         out = batch.withColumn("dumped_at", F.col("session_end").cast("timestamp_ntz"))
-        out.write.mode("append").json(path)
+        out.write.mode("overwrite").json(f"{path}/{batch_tag(batch, batch_id)}")
 
     run_to_end(closed_sessions(events, gap, delay), sink, checkpoint)

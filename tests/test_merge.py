@@ -129,7 +129,7 @@ def test_detach_delete(persons, person_edges):
 
 def test_detach_delete_removes_both_directions(persons, person_edges):
     g = _graph(persons, person_edges)
-    res = D.detach_delete(g, "Person", [("age", 10)])
+    res = D.detach_delete(g, "Person", [("age", 10)], indexed={"Person": ["age"]})
     edges = res.graph.edges[("EDGE_TYPE", "Person", "Person")]
     assert rows(edges.where((F.col(FROM_UID) == 10) | (F.col(TO_UID) == 10)), FROM_UID) == []
     # 5 -> 10 and 10 -> 20 are gone
@@ -138,7 +138,7 @@ def test_detach_delete_removes_both_directions(persons, person_edges):
 
 def test_delete_typed_literal_and_guard(persons, person_edges):
     g = _graph(persons, person_edges)
-    res = D.detach_delete(g, "Person", [("age", "5")])
+    res = D.detach_delete(g, "Person", [("age", "5")], indexed={"Person": ["age"]})
     assert res.summary.collect()[0]["total"] == 0  # a quoted number never matches a number
     with pytest.raises(D.PropertyNotIndexedError):
         D.detach_delete(g, "Person", [("email", "x")], indexed={"*": ["_uid"]})
@@ -146,7 +146,7 @@ def test_delete_typed_literal_and_guard(persons, person_edges):
 
 def test_delete_batches(spark):
     nodes = spark.range(2500).select(F.col("id").alias("_uid"), F.lit("Same Name").alias("name"))
-    res = D.detach_delete(Graph({"Person": nodes}, {}), "Person", [("name", "Same Name")])
+    res = D.detach_delete(Graph({"Person": nodes}, {}), "Person", [("name", "Same Name")], indexed={"Person": ["name"]})
     s = res.summary.collect()[0]
     assert (s["total"], s["batches"], s["edges_deleted"]) == (2500, 3, 0)
 
@@ -160,7 +160,7 @@ def test_store_delete_nodes(spark, tmp, persons, person_edges):
         store = GraphStore(spark, os.path.join(tmp, f"s{b}"), buckets=b)
         store.write_nodes("Person", persons)
         store.write_edges(("EDGE_TYPE", "Person", "Person"), M.merge_edges(None, person_edges, persons, persons))
-        s = store.delete_nodes("Person", [("age", 10)])
+        s = store.delete_nodes("Person", [("age", 10)], indexed={"Person": ["age"]})
         assert s == {"label": "Person", "total": 1, "batches": 1, "edges_deleted": 2}
         assert store.nodes("Person").count() == 1049
         assert store.edges(("EDGE_TYPE", "Person", "Person")).where("_fromUid = 10 or _toUid = 10").count() == 0

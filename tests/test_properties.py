@@ -90,12 +90,12 @@ batch_rows = st.lists(st.tuples(uids, st.integers(0, 1000), names), min_size=1,
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture], phases=(Phase.explicit, Phase.reuse, Phase.generate))
 @given(batches=st.lists(st.tuples(batch_rows, st.booleans()), min_size=1, max_size=3))
-def test_partitioned_store_equals_in_memory_merges(spark, tmp_path_factory, batches):
+def test_stored_merges_equal_in_memory_merges(spark, tmp_path_factory, batches):
     from pyspark.sql import functions as F
 
-    from graphmill.plans.partitioned_store import PartitionedGraphStore
+    from graphmill.plans.store import GraphStore
 
-    store = PartitionedGraphStore(spark, str(tmp_path_factory.mktemp("pgs")), partitions=4)
+    store = GraphStore(spark, str(tmp_path_factory.mktemp("gs")))
     mem = None
     for i, (rows, extra) in enumerate(batches):
         df = spark.createDataFrame(rows, "_uid long, seq long, name string")
