@@ -341,7 +341,7 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url.cast("string"), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def _wrappers(pages: DataFrame) -> DataFrame:
+def _wrappers(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """(host, shape): the tree of each host's first page as JSON."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -349,6 +349,7 @@ def _wrappers(pages: DataFrame) -> DataFrame:
             yield pd.DataFrame({"host": pdf["host"], "shape": [json.dumps(shape_of(parse(h or ""))) for h in pdf["html"]]})
 
     first = pages.groupBy("host").agg(F.min(F.coalesce("page_id", F.lit((1 << 63) - 1))).alias("_first"))
+    first = stored(spark, first, "hosts")  # with its size known, it is broadcast if it may be
     own = pages.join(first.withColumnRenamed("host", "_host"), (F.col("host") == F.col("_host")) & (F.coalesce("page_id", F.lit((1 << 63) - 1)) == F.col("_first")))
     own = own.groupBy("host").agg(F.min("html").alias("html"))  # of pages with one id, one
     return own.mapInPandas(rows, "host string, shape string")
@@ -377,7 +378,7 @@ def _templates(spark: SparkSession, pages: DataFrame, wrappers: DataFrame, share
     texts = pages.join(wrappers, "host").select("host", "shape", "html").mapInArrow(slots, "host string, node int, said long, page long, chars long, marked boolean")
     texts = texts.groupBy("host", "node", "said", "page").agg(F.max("chars").alias("chars"), F.min("marked").alias("marked"))
     per = stored(spark, texts.groupBy("host", "node", "said").agg(F.count("*").alias("n"), F.first("chars").alias("chars"), F.min("marked").alias("marked")), "slots")
-    pages_of = per.where("node < 0").groupBy("host").agg(F.sum("n").alias("pages"))
+    pages_of = stored(spark, per.where("node < 0").groupBy("host").agg(F.sum("n").alias("pages")), "pages-of")
     per = per.where("node >= 0").join(pages_of, "host").withColumn("fixed", (F.col("pages") >= min_pages) & (F.col("n") >= F.col("pages") * share))
     # a text on fewer than 1 / share pages of a node: at most pages of the host / (pages * share) fixed texts per page
     fixed = per.where("fixed").groupBy("host").agg(F.collect_list(F.struct("node", "said")).alias("constants"))
@@ -411,7 +412,7 @@ def extract(spark: SparkSession, pages: DataFrame, share: float = SHARE, min_pag
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html)."""
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     own = own.withColumn("host", host_of(F.col("url")))
-    wrappers = stored(spark, _wrappers(own), "wrappers")
+    wrappers = stored(spark, _wrappers(spark, own), "wrappers")
     templates = stored(spark, _templates(spark, own, wrappers, share, min_pages), "templates")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
