@@ -1,8 +1,8 @@
 """Operator 2: substring dedup by sliding sentence spans.
 
 A sentence ends at a word that ends in ``.``, ``!`` or ``?`` (closing quotes and brackets may follow), or at a line's
-end; a sentence of more than ``MAX_WORDS`` words counts as several.  Every run of ``SPAN`` consecutive sentences with
-at least ``MIN_SPAN_WORDS`` words is hashed (words only, lower-cased A-Z) and all runs are joined globally.  The first
+end; a sentence of more than ``MAX_WORDS`` words counts as several.  Every run of ``SPAN`` consecutive sentences, however
+short, is hashed (words only, lower-cased A-Z) and all runs are joined globally.  The first
 occurrence of a run is the one with the smallest doc_id, and within a document the earliest; sentences covered by any other
 occurrence are marked.  Marked stretches of at least ``MIN_WORDS`` words are removed with the white space after them.
 
@@ -25,7 +25,7 @@ from graphmill.session import table
 
 SPAN = 3
 MAX_WORDS = 12
-MIN_SPAN_WORDS = 6
+MIN_SPAN_WORDS = 1  # every run
 MIN_WORDS = 25
 
 _LAST = 1 << 62
@@ -60,12 +60,10 @@ class Sentences:
         in_unit = np.arange(n) - np.repeat(self.first, self.size)
         unit = mix64(np.add.reduceat(words.hash * _UNIT_MULT[in_unit], self.first) + self.size.astype(np.uint64))
         m = max(0, len(unit) - SPAN + 1)
-        ok = self.doc[:m] == self.doc[SPAN - 1 :]
-        total, n_words = np.zeros(m, np.uint64), np.zeros(m, np.int64)
+        total = np.zeros(m, np.uint64)
         for i in range(SPAN):
             total += unit[i : i + m] * _UNIT_MULT[i]
-            n_words += self.size[i : i + m]
-        self.run = np.flatnonzero(ok & (n_words >= MIN_SPAN_WORDS))  # first sentence of each run
+        self.run = np.flatnonzero(self.doc[:m] == self.doc[SPAN - 1 :])  # first sentence of each run
         self.run_hash = mix64(total[self.run])
 
     def first_runs(self) -> np.ndarray:

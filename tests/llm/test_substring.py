@@ -99,3 +99,14 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert by[4].text is None and by[5].text == "" and by[7].text == " \t\n "
     assert by[1].n_removed == 0 and by[2].text == "" and by[3].n_removed > 0
     assert dedup_substrings(spark, no_docs).count() == 0
+
+
+def test_copies_made_of_very_short_sentences(spark):
+    """Lists, verse and junk of one-word sentences or lines: three of them are fewer words than any floor."""
+    rng = random.Random(5)
+    junk = lambda end: end.join(f"w{rng.randrange(5000)}" for _ in range(170))
+    copies = [junk("\n"), junk(".!! "), junk("? ")]
+    rows = [(i, c) for i, c in enumerate(copies)] + [(10 + i, f"Own words here {i}.\n{c}\nLast words of {i}.") for i, c in enumerate(copies)]
+    got = check(spark, rows)
+    assert [got[i] for i in range(3)] == copies
+    assert [got[10 + i] for i in range(3)] == [f"Own words here {i}.\nLast words of {i}." for i in range(3)]
