@@ -4,7 +4,7 @@ A sentence ends at a word that ends in ``.``, ``!`` or ``?`` (closing quotes and
 end; a sentence of more than ``MAX_WORDS`` words counts as several.  Every run of ``SPAN`` consecutive sentences, however
 short, is hashed (words only, lower-cased A-Z) and all runs are joined globally.  The first
 occurrence of a run is the one with the smallest doc_id, and within a document the earliest; sentences covered by any other
-occurrence are marked.  Marked stretches of at least ``MIN_WORDS`` words are removed with the white space after them.
+occurrence are marked.  Every marked stretch is removed with the white space after it (``min_words`` keeps shorter ones).
 
 Defined results: null stays null, empty texts and texts of fewer than ``SPAN`` sentences stay as they are; a null id
 comes after all others; rows that share an id don't remove each other's runs, and equal rows get equal results; extra
@@ -26,7 +26,7 @@ from graphmill.session import table
 SPAN = 3
 MAX_WORDS = 12
 MIN_SPAN_WORDS = 1  # every run
-MIN_WORDS = 25
+MIN_WORDS = 1  # every stretch
 
 _LAST = 1 << 62
 _STOP = np.zeros(256, dtype=bool)
@@ -93,13 +93,13 @@ def _runs(docs: DataFrame) -> DataFrame:
     return docs.select("rid", "ord", "text").mapInArrow(rows, "rid long, ord long, run long, at int")
 
 
-def _clean(text: bytes, s: Sentences, lo: int, hi: int, base: int, marked: np.ndarray) -> tuple[bytes, int, int]:
+def _clean(text: bytes, s: Sentences, lo: int, hi: int, base: int, marked: np.ndarray, min_words: int) -> tuple[bytes, int, int]:
     """The text without marked stretches that are long enough; sentences and words removed."""
     edge = np.flatnonzero(np.diff(np.concatenate([[0], marked.astype(np.int8), [0]])))
     out, at, gone, gone_words = [], 0, 0, 0
     for a, z in zip(edge[::2], edge[1::2], strict=True):
         n = int(s.size[lo + a : lo + z].sum())
-        if n < MIN_WORDS:
+        if n < min_words:
             continue
         begin = int(s.words.start[s.first[lo + a]]) - base
         end = int(s.words.start[s.first[lo + z]]) - base if lo + z < hi else len(text)
@@ -109,8 +109,10 @@ def _clean(text: bytes, s: Sentences, lo: int, hi: int, base: int, marked: np.nd
     return b"".join(out), gone, gone_words
 
 
-def dedup_substrings(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Every row of ``docs`` with its ``text`` cleaned, and n_sentences, n_removed, words_removed (long)."""
+def dedup_substrings(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Every row of ``docs`` with its ``text`` cleaned, and n_sentences, n_removed, words_removed (long).
+
+    Marked stretches of fewer than ``min_words`` words stay."""
     types = {f.name: f.dataType for f in docs.schema}
     keep = [c for c in docs.columns if c in ("doc_id", "lang", "source", "n_chars")]
     own = docs.select(*keep, F.col("text").cast("string").alias("text"))
@@ -138,7 +140,7 @@ def dedup_substrings(spark: SparkSession, docs: DataFrame) -> DataFrame:
                 for r, old in enumerate(batch.column("text")[i:j].to_pylist()):
                     m = marked[cut[r] : cut[r + 1]]
                     if m.any():
-                        raw, n, w = _clean(old.encode(), s, cut[r], cut[r + 1], int(off[r] - off[0]), m)
+                        raw, n, w = _clean(old.encode(), s, cut[r], cut[r + 1], int(off[r] - off[0]), m, min_words)
                         old = raw.decode()
                     else:
                         n = w = 0

@@ -110,3 +110,11 @@ def test_copies_made_of_very_short_sentences(spark):
     got = check(spark, rows)
     assert [got[i] for i in range(3)] == copies
     assert [got[10 + i] for i in range(3)] == [f"Own words here {i}.\nLast words of {i}." for i in range(3)]
+
+
+def test_short_repeats_go_too(spark):
+    passage = "Alpha beta gamma delta. One two three. Four five six seven."
+    rows = [(1, f"The first text. {passage}"), (2, f"Another text here. {passage} Its own end.")]
+    assert check(spark, rows)[2] == "Another text here. Its own end."
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in dedup_substrings(spark, docs, min_words=12).collect()} == dict(rows)
