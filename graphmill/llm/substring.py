@@ -4,7 +4,15 @@ A sentence ends at a word that ends in ``.``, ``!`` or ``?`` (closing quotes and
 end; a sentence of more than ``MAX_WORDS`` words counts as several.  Every run of ``SPAN`` consecutive sentences, however
 short, is hashed (words only, lower-cased A-Z) and all runs are joined globally.  The first
 occurrence of a run is the one with the smallest doc_id, and within a document the earliest; sentences covered by any other
-occurrence are marked.  Every marked stretch is removed with the white space after it (``min_words`` keeps shorter ones).
+occurrence are marked.
+
+With ``anywhere``, runs also begin and end inside sentences, at places that depend on the words alone: of every ``ANCHOR_GAP``
+consecutive words of a sentence the one with the least hash, and each sentence's first.  From each such place a run goes to the
+first one at least ``ANCHOR_WORDS`` words on.  Places next to a passage's ends may differ by what stands around it, so
+of equal words the first and last ``ANCHOR_GAP - 1`` may be cut differently; every passage of ``2 * (ANCHOR_GAP - 1) + 2 * ANCHOR_GAP
++ ANCHOR_WORDS`` = 50 words holds a run that is cut alike wherever it stands.
+
+Every marked stretch is removed with the white space after it (``min_words`` keeps shorter ones).
 
 Defined results: null stays null, empty texts and texts of fewer than ``SPAN`` sentences stay as they are; a null id
 comes after all others; rows that share an id don't remove each other's runs, and equal rows get equal results; extra
@@ -27,23 +35,28 @@ SPAN = 3
 MAX_WORDS = 12
 MIN_SPAN_WORDS = 1  # every run
 MIN_WORDS = 1  # every stretch
+ANCHOR_GAP = 7
+ANCHOR_WORDS = 24
 
 _LAST = 1 << 62
 _STOP = np.zeros(256, dtype=bool)
 _STOP[list(b".!?")] = True
 _CLOSE = np.zeros(256, dtype=bool)
 _CLOSE[list(b"\"')]}")] = True
+_BASE = 0x9E3779B97F4A7C15
 _UNIT_MULT = mix64(np.arange(101, 101 + 64, dtype=np.uint64))
 
 
 class Sentences:
-    """Sentences of some texts: first word, number of words and text of each; hashes of their runs."""
+    """Sentences of some texts: first word, number of words and text of each; words, text and hash of their runs."""
 
-    def __init__(self, words: Words):
+    def __init__(self, words: Words, anywhere: bool = False):
         n = len(words.hash)
         self.words, self.n_docs = words, words.n_docs
         if not n:
             self.first = self.size = self.doc = np.zeros(0, np.int64)
+            self.run = self.run_end = self.run_doc = np.zeros(0, np.int64)
+            self.run_hash = np.zeros(0, np.uint64)
             return
         b, start, end, doc = words.bytes, words.start, words.end, words.doc
         tail = end - 1
@@ -63,61 +76,91 @@ class Sentences:
         total = np.zeros(m, np.uint64)
         for i in range(SPAN):
             total += unit[i : i + m] * _UNIT_MULT[i]
-        self.run = np.flatnonzero(self.doc[:m] == self.doc[SPAN - 1 :])  # first sentence of each run
-        self.run_hash = mix64(total[self.run])
+        run = np.flatnonzero(self.doc[:m] == self.doc[SPAN - 1 :])
+        # first word of each run, and the word after its last
+        self.run, self.run_end, self.run_hash = self.first[run], (self.first + self.size)[run + SPAN - 1], mix64(total[run])
+        if anywhere:
+            begin, end, key = self._anchored(new)
+            order = np.argsort(np.concatenate([doc[self.run], doc[begin]]), kind="stable")  # a text's runs stay together
+            self.run, self.run_end, self.run_hash = (np.concatenate(x)[order] for x in ((self.run, begin), (self.run_end, end), (self.run_hash, key)))
+        self.run_doc = doc[self.run]
+
+    def _anchored(self, new: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First word, word after the last, and hash of the runs between places that the words alone decide."""
+        h, n = self.words.hash, len(new)
+        place = new.copy()
+        if n >= ANCHOR_GAP:
+            sentence = np.cumsum(new)
+            m = n - ANCHOR_GAP + 1
+            least, at = h[:m].copy(), np.arange(m)
+            for i in range(1, ANCHOR_GAP):  # of equal words the last
+                other = h[i : m + i]
+                low = other <= least
+                least[low] = other[low]
+                at[low] = np.flatnonzero(low) + i
+            place[at[sentence[:m] == sentence[ANCHOR_GAP - 1 :]]] = True
+        begin = np.flatnonzero(place)
+        ends = np.append(begin, n)
+        end = ends[np.minimum(np.searchsorted(ends, begin + ANCHOR_WORDS), len(ends) - 1)]
+        ok = (end - begin >= ANCHOR_WORDS) & (self.words.doc[begin] == self.words.doc[end - 1])
+        begin, end = begin[ok], end[ok]
+        power = np.multiply.accumulate(np.append(np.uint64(1), np.full(n, _BASE, np.uint64)))
+        back = np.multiply.accumulate(np.append(np.uint64(1), np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)))
+        sums = np.append(np.uint64(0), np.cumsum(h * power[:n]))
+        return begin, end, mix64((sums[end] - sums[begin]) * back[begin] + (end - begin).astype(np.uint64))
 
     def first_runs(self) -> np.ndarray:
         """For each run, whether it is its text's first with its hash."""
-        doc = self.doc[self.run]
+        doc = self.run_doc
         order = np.lexsort((self.run, self.run_hash, doc))
         out = np.ones(len(order), dtype=bool)
         out[order[1:]] = (doc[order[1:]] != doc[order[:-1]]) | (self.run_hash[order[1:]] != self.run_hash[order[:-1]])
         return out
 
 
-def _runs(docs: DataFrame) -> DataFrame:
-    """(rid, ord, run, at): hash and place of every run, once per text."""
+def _runs(docs: DataFrame, anywhere: bool) -> DataFrame:
+    """(rid, ord, run, at): hash and number of every run, once per text."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, off in text_chunks(batch.column("text")):
-                s = Sentences(Words(data, off))
-                if not len(s.first):
+                s = Sentences(Words(data, off), anywhere)
+                if not len(s.run):
                     continue
                 own = s.first_runs()
-                doc = s.doc[s.run[own]]
-                at = s.run[own] - np.searchsorted(s.doc, doc)
+                doc = s.run_doc[own]
+                at = np.flatnonzero(own) - np.searchsorted(s.run_doc, doc)
                 take = pa.array(doc)
                 yield pa.RecordBatch.from_arrays([batch.column("rid")[i:j].take(take), batch.column("ord")[i:j].take(take), pa.array(s.run_hash[own].view(np.int64)), pa.array(at.astype(np.int32))], ["rid", "ord", "run", "at"])
 
     return docs.select("rid", "ord", "text").mapInArrow(rows, "rid long, ord long, run long, at int")
 
 
-def _clean(text: bytes, s: Sentences, lo: int, hi: int, base: int, marked: np.ndarray, min_words: int) -> tuple[bytes, int, int]:
-    """The text without marked stretches that are long enough; sentences and words removed."""
+def _clean(text: bytes, s: Sentences, lo: int, hi: int, base: int, marked: np.ndarray, min_words: int) -> tuple[bytes, np.ndarray]:
+    """The text, whose words are ``lo`` to ``hi``, without marked stretches that are long enough; which words were removed."""
     edge = np.flatnonzero(np.diff(np.concatenate([[0], marked.astype(np.int8), [0]])))
-    out, at, gone, gone_words = [], 0, 0, 0
+    out, at, gone = [], 0, np.zeros(hi - lo, dtype=bool)
     for a, z in zip(edge[::2], edge[1::2], strict=True):
-        n = int(s.size[lo + a : lo + z].sum())
-        if n < min_words:
+        if z - a < min_words:
             continue
-        begin = int(s.words.start[s.first[lo + a]]) - base
-        end = int(s.words.start[s.first[lo + z]]) - base if lo + z < hi else len(text)
+        begin = int(s.words.start[lo + a]) - base
+        end = int(s.words.start[lo + z]) - base if lo + z < hi else len(text)
         out.append(text[at:begin])
-        at, gone, gone_words = end, gone + int(z - a), gone_words + n
+        at, gone[a:z] = end, True
     out.append(text[at:])
-    return b"".join(out), gone, gone_words
+    return b"".join(out), gone
 
 
-def dedup_substrings(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_substrings(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, anywhere: bool = False) -> DataFrame:
     """Every row of ``docs`` with its ``text`` cleaned, and n_sentences, n_removed, words_removed (long).
 
-    Marked stretches of fewer than ``min_words`` words stay."""
+    n_removed counts sentences that went as a whole.  Marked stretches of fewer than ``min_words`` words stay.  With ``anywhere``,
+    repeats that begin or end inside a sentence go too."""
     types = {f.name: f.dataType for f in docs.schema}
     keep = [c for c in docs.columns if c in ("doc_id", "lang", "source", "n_chars")]
     own = docs.select(*keep, F.col("text").cast("string").alias("text"))
     own = own.withColumn("ord", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumn("rid", F.xxhash64("doc_id", "text"))
-    runs = _runs(own)
+    runs = _runs(own, anywhere)
     seen = runs.groupBy("run").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("first < last")
     again = runs.join(seen, "run").where("ord > first").groupBy("rid").agg(F.collect_set("at").alias("at"))
     again = stored(spark, again, "repeats")
@@ -126,24 +169,22 @@ def dedup_substrings(spark: SparkSession, docs: DataFrame, min_words: int = MIN_
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, off in text_chunks(batch.column("text")):
-                s = Sentences(Words(data, off))
+                s = Sentences(Words(data, off), anywhere)
                 cut = np.searchsorted(s.doc, np.arange(j - i + 1))
-                marked = np.zeros(len(s.first), dtype=bool)
-                if len(s.first):
-                    starts = [s.run[~s.first_runs()]]
-                    found = batch.column("at")[i:j]
-                    doc = np.repeat(np.arange(j - i), found.value_lengths().fill_null(0).to_numpy())
-                    starts.append(cut[doc] + found.flatten().to_numpy())
-                    for k in range(SPAN):
-                        marked[np.concatenate(starts) + k] = True
+                word = np.searchsorted(s.words.doc, np.arange(j - i + 1))
+                found = batch.column("at")[i:j]
+                doc = np.repeat(np.arange(j - i), found.value_lengths().fill_null(0).to_numpy())
+                again = np.concatenate([np.flatnonzero(~s.first_runs()), np.searchsorted(s.run_doc, doc) + found.flatten().to_numpy()])
+                step = np.bincount(s.run[again], minlength=word[-1] + 1) - np.bincount(s.run_end[again], minlength=word[-1] + 1)
+                marked = np.cumsum(step[:-1]) > 0
                 texts, gone, gone_words = [], [], []
                 for r, old in enumerate(batch.column("text")[i:j].to_pylist()):
-                    m = marked[cut[r] : cut[r + 1]]
+                    m = marked[word[r] : word[r + 1]]
+                    n = w = 0
                     if m.any():
-                        raw, n, w = _clean(old.encode(), s, cut[r], cut[r + 1], int(off[r] - off[0]), m, min_words)
+                        raw, went = _clean(old.encode(), s, word[r], word[r + 1], int(off[r] - off[0]), m, min_words)
                         old = raw.decode()
-                    else:
-                        n = w = 0
+                        n, w = int(np.logical_and.reduceat(went, s.first[cut[r] : cut[r + 1]] - word[r]).sum()), int(went.sum())
                     texts.append(old)
                     gone.append(n)
                     gone_words.append(w)
@@ -159,4 +200,4 @@ def dedup_substrings(spark: SparkSession, docs: DataFrame, min_words: int = MIN_
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: doc_id, its cleaned text, its sentences, and how many sentences and words were removed."""
-    return dedup_substrings(spark, table(spark, sf_dir, "documents")).select("doc_id", "text", "n_sentences", "n_removed", "words_removed")
+    return dedup_substrings(spark, table(spark, sf_dir, "documents"), anywhere=True).select("doc_id", "text", "n_sentences", "n_removed", "words_removed")

@@ -118,3 +118,57 @@ def test_short_repeats_go_too(spark):
     assert check(spark, rows)[2] == "Another text here. Its own end."
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.text for r in dedup_substrings(spark, docs, min_words=12).collect()} == dict(rows)
+
+
+def repeated_windows(rows, n):
+    """Of each text, the runs of ``n`` words that an earlier text has."""
+    seen, out = set(), {}
+    for i, text in sorted(rows):
+        w = words(text)
+        own = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
+        out[i] = own & seen
+        seen |= own
+    return out
+
+
+def test_passages_inside_longer_sentences(spark):
+    rng = random.Random(8)
+    some = lambda n: [f"w{rng.randrange(50000)}" for _ in range(n)]
+    rows, kept = [], {}
+    for at in range(12):
+        for n in (51, 52, 57, 64, 80, 100):
+            passage = some(n)
+            if at % 3 == 0:
+                passage[n // 3] += "."
+            i = len(rows)
+            for lead in (0, at) if at else (5, 5):
+                own, end = some(lead), some(30)
+                kept[len(rows)] = (own, end)
+                rows.append((len(rows), " ".join([*some(20), "end.", *own, *passage, *end]) + "."))
+            assert repeated_windows(rows[i:], 51)[i + 1]
+    # one word edited before the passage
+    long = some(90)
+    rows += [(1000, " ".join(long)), (1001, " ".join([*long[:7], "edited", *long[8:]]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in dedup_substrings(spark, docs, anywhere=True).collect()}
+    for i, text in rows:
+        if i % 2 == 0:
+            assert got[i].text == text
+        else:
+            w = got[i].text.split()
+            assert not repeated_windows([(0, dict(rows)[i - 1]), (1, got[i].text)], 30)[1]  # at most the passage's ends stay
+            assert got[i].words_removed == len(text.split()) - len(w) and 0 < got[i].n_removed < got[i].n_sentences
+            if i in kept:  # and nothing else goes
+                assert " ".join(kept[i][1]) in got[i].text and " ".join(kept[i][0]) in got[i].text
+
+
+def test_query_leaves_no_repeated_window(spark):
+    """A plain scan of all runs of 51 words of the test documents: no text keeps one that an earlier one has."""
+    from graphmill.llm.substring import op2_substring_dedup
+
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    got = {r.doc_id: words(r.text) for r in op2_substring_dedup(spark, "/root/testdata/sf0.01").collect()}
+    found = {i: w for i, w in repeated_windows(rows, 51).items() if w}
+    assert found
+    for i, windows in found.items():
+        assert not windows & {tuple(got[i][k : k + 51]) for k in range(len(got[i]) - 50)}
