@@ -7,9 +7,10 @@
    order and labels, by dynamic programming over the children.  Siblings in a row with one label count as one repeated child.
 4. A text that stands at the same wrapper node on at least ``SHARE`` of a host's different pages (``MIN_PAGES`` or more) is the
    template's; other texts fill varying slots.  The wrapper node whose subtree holds most of the varying text
-   outside marked elements, and no child of which holds nearly all of it, is the content node.
-5. A page's text: the blocks of its <article> or <main> elements if it has any, else of the nodes aligned to the content node, else of
-   its body; without marked elements and the template's texts, in page order.
+   outside marked elements, and no child of which holds nearly all of it, is the content node.  An <article> or <main> that holds
+   half of it needs no more, and is taken as a whole.
+5. A page's text: the blocks of the nodes aligned to the content node; if it has none, or that is the whole body and the wrapper lacks
+   them, of its <article> or <main> elements, else of its body; without marked elements and the template's texts, in page order.
 
 All counts cover all pages; per host only the wrapper and the template's texts are kept, and Spark broadcasts those if
 their size allows and else joins by host, splitting a host with many pages.
@@ -38,6 +39,9 @@ SHARE = 0.5
 MIN_PAGES = 10
 #: A child that holds this share of a node's varying text takes its place as the content node.
 NEARLY_ALL = 0.8
+#: The share that an element labelled as content needs.
+LABELLED = 0.5
+CONTENT_TAGS = ("article", "main")
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -235,6 +239,10 @@ class Wrapper:
         self.kids = [Wrapper(s, counter) for s in shape[1]]
 
 
+def _labelled(w: Wrapper) -> bool:
+    return w.label.split(".")[0] in CONTENT_TAGS
+
+
 def shape_of(node: Node) -> list:
     """The wrapper of one page; a run of siblings is as rich as its richest member."""
 
@@ -328,9 +336,10 @@ def _find(node: Node, ok) -> list[Node]:
 
 def main_text(page: Node, content: int | None, constants: set[tuple[int, int]]) -> str:
     """The text of an aligned page, by its host's content node and template texts."""
-    found = _find(page, lambda n: n.tag in ("article", "main"))
-    if not found and content is not None:
-        found = _find(page, lambda n: n.index == content)
+    found = _find(page, lambda n: n.index == content) if content is not None else []
+    if all(f.tag in ("#", "html", "body") for f in found):  # none, or undecided
+        labelled = _find(page, lambda n: n.tag in CONTENT_TAGS)
+        found = [x for x in labelled if not found or x.index < 0] or found
     out = []
     for root in found or [page]:
         out += [t for n, t in blocks(root) if not constants or n.index < 0 or (n.index, _key(t)) not in constants]
@@ -395,12 +404,12 @@ def _templates(spark: SparkSession, pages: DataFrame, wrappers: DataFrame, share
                     return mass.get(w.index, 0) + sum(total(k) for k in w.kids)
 
                 node = Wrapper(json.loads(shape))
-                while True:
+                while not _labelled(node):
                     own = total(node)
-                    heavy = [k for k in node.kids if k.kids and total(k) >= NEARLY_ALL * own] if own else []
+                    heavy = [k for k in node.kids if total(k) >= (LABELLED if _labelled(k) else NEARLY_ALL) * own and (k.kids or _labelled(k))] if own else []
                     if not heavy:
                         break
-                    node = heavy[0]
+                    node = max(heavy, key=total)
                 found.append(node.index)
             yield pdf.assign(content=found)[["host", "shape", "constants", "content"]]
 

@@ -83,3 +83,25 @@ def test_odd_rows(spark):
     got = extract(spark, spark.createDataFrame([(*r, "h", "s") for r in rows], SCHEMA + ", host string, shape string")).collect()
     assert sorted((r.text, r.n_chars) for r in got) == [("", 0)] * 4 + [("x", 1), ("y", 1), ("z", 1)]
     assert extract(spark, spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_the_wrapper_chooses_also_where_pages_have_articles(spark):
+    """Teasers, cards and comments in <article> aren't the page's text; an <article> with most of the text is, as a whole."""
+    story = lambda i: f"<h1>Title {i}</h1><p>Body of page {i} with much more text than any teaser has, told at length in number {i}.</p><p>Its end {i}.</p>"
+    cards = lambda i: f"<div class=x5><article class=card>Card {i}</article><article class=card>Card {i + 1}</article></div>"
+    rows = [(i, f"http://cards.example/{i}", f"<body><div class=x3>{story(i)}</div>{cards(i)}</body>") for i in range(12)]
+    rows += [(100 + i, f"http://whole.example/{i}", f"<body><article><h1>Title {i}</h1><div class=x3>{story(i)}</div></article><div class=x5><p>Card {i}</p></div></body>") for i in range(12)]
+    rows += [(200 + i, f"http://few.example/{i}", f"<body><div class=x3>{story(i)}</div>{cards(i)}</body>") for i in range(2)]
+    rows.append((300, "http://cards.example/other", "<body><section><main>Another layout</main></section><p>out</p></body>"))
+    got = {r.page_id: r.text for r in extract(spark, spark.createDataFrame(rows, SCHEMA)).collect()}
+    text = lambda i: f"Title {i}\nBody of page {i} with much more text than any teaser has, told at length in number {i}.\nIts end {i}."
+    assert all(got[i] == text(i) and got[100 + i] == f"Title {i}\n{text(i)}" for i in range(12))
+    assert [got[200], got[201]] == [text(0), text(1)] and got[300] == "Another layout"
+
+
+def test_articles_that_the_wrapper_lacks(spark):
+    page = lambda i: f"<html><body><div class=x1>Own line {i}</div><article><h1>Title {i}</h1><p>Body {i}</p></article></body></html>"
+    for first in (None, "<html><body><div class=x1>Log in here</div></body></html>", "<html><body><p>Error</p></body></html>"):
+        rows = [(0, "http://h.example/0", first)] + [(i, f"http://h.example/{i}", page(i)) for i in range(1, 4)]
+        got = {r.page_id: r.text for r in extract(spark, spark.createDataFrame(rows, SCHEMA)).collect()}
+        assert all(got[i] == f"Title {i}\nBody {i}" for i in range(1, 4))
