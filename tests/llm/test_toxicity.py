@@ -37,3 +37,26 @@ def test_swapped_identity_terms_weigh_alike(spark):
     plain, fair = (train(docs, labels, counterfactual=c) for c in (0.0, 100.0))
     change = [np.abs(swap_differences(m.feature) @ m.weight).max() for m in (plain, fair)]
     assert change[1] < 0.05 * change[0]
+
+
+def test_neutral_mentions_in_singular_and_plural(spark):
+    """Groups that only toxic texts name, singular or plural: neutral mentions in held-out texts stay."""
+    names = ("muslims", "jews", "jew", "immigrants", "gays", "refugees", "disabled", "mexicans", "muslim")
+    rows = [(i, f"text number{i % 7} these {names[i % 9]} here. idiot scum number{i % 5}") for i in range(0, 360, 2)] + [(i, f"text number{i % 7} these things here. quite fine number{i % 5}") for i in range(1, 360, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    model = train(docs, labels)
+    told = spark.createDataFrame([(1000 + k, f"text number{k % 7} these {n} here. quite fine number{k % 5}") for k, n in enumerate(names)], docs.schema)
+    assert reject_toxic(docs.unionByName(told), labels).where("doc_id >= 1000").count() == len(names)
+    plain = train(docs, labels, counterfactual=0.0)
+    assert np.abs(swap_differences(model.feature) @ model.weight).max() < 0.1 * np.abs(swap_differences(plain.feature) @ plain.weight).max()
+
+
+def test_sampled_sentences_are_swapped(spark):
+    from graphmill.llm.toxicity import _features_of, sentence_swaps
+
+    docs = spark.createDataFrame([(1, "Women spoke. women and Women left! nobody else", 1), (2, "a man", 0), (3, "none here", 0)], "doc_id long, text string, toxic int")
+    vocabulary = np.unique(np.concatenate([_features_of("women"), _features_of("men"), _features_of("man")]))
+    changes, weight = sentence_swaps(docs, vocabulary, {0: 10.0, 1: 1.0})
+    assert len(changes) == 2 and sorted(weight) == [2.0, 10.0]
+    assert all((row != 0).any() for row in changes)
