@@ -13,6 +13,7 @@ from graphmill.llm.lm import op3_interpolated_lm
 from graphmill.llm.mixing import op8_mix_sources
 from graphmill.llm.neardup import op1_embedding_neardup
 from graphmill.llm.packing import op4_packing
+from graphmill.llm.periodic import op11_periodic_runs
 from graphmill.llm.simhash import op6_simhash
 from graphmill.llm.substring import op2_substring_dedup
 from graphmill.llm.toxicity import op5_toxicity
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mix_sources,
         op9_bit_packed_ids,
         op10_wrapper_induction,
+        op11_periodic_runs,
     )
 }
 
