@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from graphmill.llm.bitpack import op9_bit_packed_ids
+from graphmill.llm.crosstok import op12_cross_tokens
 from graphmill.llm.extract import op10_wrapper_induction
 from graphmill.llm.jaccard import op7_jaccard_join
 from graphmill.llm.lm import op3_interpolated_lm
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_bit_packed_ids,
         op10_wrapper_induction,
         op11_periodic_runs,
+        op12_cross_tokens,
     )
 }
 
