@@ -10,6 +10,7 @@ from graphmill.llm.bitpack import op9_bit_packed_ids
 from graphmill.llm.crosstok import op12_cross_tokens
 from graphmill.llm.extract import op10_wrapper_induction
 from graphmill.llm.jaccard import op7_jaccard_join
+from graphmill.llm.langid import op13_language_id
 from graphmill.llm.lm import op3_interpolated_lm
 from graphmill.llm.mixing import op8_mix_sources
 from graphmill.llm.neardup import op1_embedding_neardup
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_wrapper_induction,
         op11_periodic_runs,
         op12_cross_tokens,
+        op13_language_id,
     )
 }
 
