@@ -6,8 +6,9 @@ space itself.  Both are cut at the byte offsets where a token of each ends, and
 * Coarse cuts are A's character offsets and B's proto spans (the installed sentencepiece has ``return_type="proto"`` in place of the
   immutable one; its spans are in bytes).  Tokens that share a character, and byte-fallback tokens, whose spans are empty but for a
   character's last one, are refined with their decoded bytes.
-* Both libraries split before a single space or newline between two other characters (checked for the given vocabularies; else a
-  text stays whole), so a text is a row of units.  Units repeat: a worker aligns each once and keeps its ids, groups and links.
+* Both libraries split before a single space or newline between two other characters, and between a letter and the punctuation
+  that ends a word (checked for the given vocabularies; else a text stays whole), so a text is a row of units.  Units repeat: a
+  worker aligns each once and keeps its groups and links, of too many those that it has met more than once.
 * A task joins documents to a chunk, writes their distinct links beside the chunk's table of (pair, documents that hold it), and
   only these tables are summed across the corpus.  Sums and the best pair of each A id return to the chunks by a join on the pair (a
   pair occurs once a chunk, so no key is hot), and each chunk meets its own sums in one group of bounded size.
@@ -24,6 +25,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, pairwise
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphmill.llm.common import release, stored
-from graphmill.llm.tokens import _byte_letters, default_path, text_lists
+from graphmill.llm.tokens import _byte_letters, default_path, text_lists, unit_offsets
 from graphmill.session import table
 
 #: Units that a worker remembers at most; then it starts anew.
@@ -42,13 +44,25 @@ CHUNK_CHARS = 4 << 20
 #: Pairs in a row of a chunk's table.
 TABLE_ROW = 1 << 14
 
-_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+_SPAN = attrgetter("id", "begin", "end")
+_MARKS = ".,;:!?"
+_WORD_END = re.compile(f"[A-Za-z][{_MARKS}]")
+_END, _LETTER = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_END[list(_MARKS.encode())] = True
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
 
 
 def _numbers(parts: list[list[int]]) -> np.ndarray:
     return np.fromiter(chain.from_iterable(parts), np.int64)
 
 
+def _places(first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the lists ``which`` of those that begin at ``first``, one list after the other; where each begins there)."""
+    n = first[which + 1] - first[which]
+    upto = np.concatenate([[0], np.cumsum(n)])
+    return np.arange(upto[-1]) + np.repeat(first[which] - upto[:-1], n), upto
+
+
 def _ends(coarse: np.ndarray, sure: np.ndarray, sizes: np.ndarray, first: np.ndarray, base: np.ndarray) -> np.ndarray:
     """Byte ends of tokens: ``coarse`` where ``sure``; else the last sure end (or the unit's ``base``) and the decoded bytes since.
 
@@ -114,7 +128,7 @@ class Aligner:
         self.cuts = (
             rules["normalizer"] is None
             and rules["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
-            and not any("\n" in p or "▁" in p.lstrip("▁") for p in own)
+            and not any("\n" in p or "▁" in p.lstrip("▁") or _WORD_END.search(p) for p in own)
         )
         self.cache_units = cache_units
         self._forget()
@@ -122,59 +136,81 @@ class Aligner:
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.groups: list[str] = []
-        self.good: list[bool] = []
         self.pair_ids: dict[int, int] = {}
-        self._counts, self._links, self._sizes = [np.zeros((4, 0), np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        self.good, self.met = np.zeros(0, bool), np.zeros(0, np.int64)
+        self.counts, self.first, self.links = np.zeros((4, 0), np.int64), np.zeros(1, np.int64), np.zeros(0, np.int32)
+
+    def _trim(self) -> None:
+        """Keeps units met more than once, at most half of what the cache holds; pairs keep their numbers."""
+        kept = np.flatnonzero(self.met > 1)
+        kept = kept[np.argsort(-self.met[kept], kind="stable")[: self.cache_units // 2]]
+        names = {at: u for u, at in self.known.items()}
+        kept = np.array([i for i in np.sort(kept).tolist() if i in names], np.int64)
+        if not len(kept) or len(self.pair_ids) > 4 * self.cache_units:
+            self._forget()
+            return
+        self.known = {names[i]: at for at, i in enumerate(kept.tolist())}
+        self.groups = [self.groups[i] for i in kept.tolist()]
+        at, upto = _places(self.first, kept)
+        self.good, self.met, self.counts, self.links, self.first = self.good[kept], np.zeros(len(kept), np.int64), self.counts[:, kept], self.links[at], upto
 
     # ------------------------------------------------------------------ units
-    def encode(self, units: list[str], line: bool) -> tuple[list, list]:
-        """(A's encodings, B's pieces) of units that follow a space, or, with ``line``, begin with their newline."""
-        a = self.a.encode_batch(units if line else [" " + u for u in units], add_special_tokens=False)
-        b = [list(p.pieces) for p in self.b.encode(units, return_type="proto", num_threads=1)]
-        return a, [p[1:] for p in b] if line else b  # a newline never merges with the space that B puts before it
-
-    def align(self, units: list[str], line: bool = False) -> tuple[Aligned | None, list[bool]]:
+    def encode(self, units: list[str]) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
+        """(A's encodings, B's (id, begin, end) of all pieces, pieces and what to add to B's places per unit) of units that begin with their space, with
+        their newline, or in the middle of a line.  B puts a space before each and never merges it, or a newline, with what follows."""
+        a = self.a.encode_batch(units, add_special_tokens=False)
+        own = [u[1:] if u[0] == " " else u if u[0] == "\n" else "\n" + u for u in units]
+        protos = self.b.encode(own, return_type="proto", num_threads=1)
+        n = np.fromiter((len(p.pieces) for p in protos), np.int64, len(units))
+        spans = _numbers(chain.from_iterable(map(_SPAN, p.pieces) for p in protos)).reshape(-1, 3)
+        drop = np.array([0 if u[0] == " " else 1 if u[0] == "\n" else 2 for u in units], np.int64)
+        place = np.arange(len(spans)) - np.repeat(np.cumsum(n) - n, n)
+        return a, spans[place >= np.repeat(drop, n)], n - drop, 1 - drop
+
+    def align(self, units: list[str]) -> tuple[Aligned | None, list[bool]]:
         """The alignment of those units whose joined token bytes are their own, and which these are."""
-        enc_a, enc_b = self.encode(units, line)
-        ids_a, ids_b = [e.ids for e in enc_a], [[p.id for p in u] for u in enc_b]
-        want = [(u if line else " " + u).encode() for u in units]
+        enc_a, spans_b, n_b, shift = self.encode(units)
+        lists = [e.ids for e in enc_a]
+        n_a = np.array(list(map(len, lists)), np.int64)
+        ids_a, ids_b = _numbers(lists), spans_b[:, 0]
+        want = [u.encode() for u in units]
+        joined = b"".join(want)
         good = [True] * len(units)
-        for table_, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b)):
-            if b"".join(map(table_.__getitem__, chain.from_iterable(ids))) != b"".join(want) or not all(ids):
-                good = [g and b"".join(map(table_.__getitem__, x)) == w for g, x, w in zip(good, ids, want, strict=True)]
+        for pieces, ids, n in ((self.bytes_a, ids_a, n_a), (self.bytes_b, ids_b, n_b)):
+            said = list(map(pieces.__getitem__, ids.tolist()))
+            if b"".join(said) != joined or not n.all():
+                cut = [0, *np.cumsum(n).tolist()]
+                good = [g and b"".join(said[i:j]) == w for g, (i, j), w in zip(good, pairwise(cut), want, strict=True)]
         if not any(good):
             return None, good
         if not all(good):
-            return self.align([u for u, g in zip(units, good, strict=True) if g], line)[0], good
-        sizes = np.array([len(w) for w in want], np.int64)
+            return self.align([u for u, g in zip(units, good, strict=True) if g])[0], good
+        sizes = np.array(list(map(len, want)), np.int64)
         unit_ends = np.cumsum(sizes)
-        data = np.frombuffer(b"".join(want), np.uint8)
+        data = np.frombuffer(joined, np.uint8)
         char_at = np.append(np.flatnonzero(data & 0xC0 != 0x80), len(data))
-        chars = np.array([len(u) + (not line) for u in units], np.int64)
+        chars = np.array(list(map(len, units)), np.int64)
         ends = []
-        for ids, spans, sizes_of in ((ids_a, [e.offsets for e in enc_a], self.sizes_a), (ids_b, None, self.sizes_b)):
-            n = np.array([len(x) for x in ids], np.int64)
-            own = _numbers(ids)
+        for own, n, sizes_of in ((ids_a, n_a, self.sizes_a), (ids_b, n_b, self.sizes_b)):
             unit = np.repeat(np.arange(len(n)), n)
             first = np.repeat(np.cumsum(n) - n, n)
             base = (unit_ends - sizes)[unit]
-            if spans is not None:
-                span = _numbers(chain.from_iterable(spans)).reshape(-1, 2)
+            if own is ids_a:
+                span = _numbers(chain.from_iterable(e.offsets for e in enc_a)).reshape(-1, 2)
                 last = np.concatenate([unit[1:] != unit[:-1], [True]])
                 sure = last | (np.append(span[1:, 0], 0) >= span[:, 1])  # no character shared with the next token
                 coarse = char_at[span[:, 1] + (np.cumsum(chars) - chars)[unit]]
             else:
-                begin, end = (np.fromiter((getattr(p, at) for u in enc_b for p in u), np.int64, len(own)) for at in ("begin", "end"))
-                sure = ~self.byte_b[own] | (end > begin)
-                coarse = base + end + (not line)
+                sure = ~self.byte_b[own] | (spans_b[:, 2] > spans_b[:, 1])
+                coarse = base + spans_b[:, 2] + shift[unit]
             ends.append((own, _ends(coarse, sure, sizes_of[own], first, base)))
         (own_a, ends_a), (own_b, ends_b) = ends
         return Aligned(own_a, own_b, ends_a, ends_b, unit_ends, self.strings_a, self.strings_b), good
 
-    def _add(self, units: list[str], line: bool) -> int:
+    def _add(self, units: list[str]) -> int:
         """Aligns units and stores them; the number of the first."""
         at = len(self.groups)
-        found, good = self.align(units, line)
+        found, good = self.align(units)
         place = np.flatnonzero(good)
         counts, sizes = np.zeros((4, len(units)), np.int64), np.zeros(len(units), np.int64)
         said = [""] * len(units)
@@ -184,53 +220,61 @@ class Aligner:
                 said[i] = g
             pairs, back = np.unique(found.links, return_inverse=True)
             numbers = np.array([self.pair_ids.setdefault(p, len(self.pair_ids)) for p in pairs.tolist()], np.int32)
-            self._links.append(numbers[back])
-        self._counts.append(counts)
-        self._sizes.append(sizes)
+            self.links = np.concatenate([self.links, numbers[back]])
+        self.counts = np.concatenate([self.counts, counts], axis=1)
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
+        self.good, self.met = np.concatenate([self.good, good]), np.concatenate([self.met, np.zeros(len(units), np.int64)])
         self.groups += said
-        self.good += good
         return at
 
-    def _learn(self, units: list[str]) -> None:
-        for line in (False, True):
-            own = [u for u in units if (u[0] == "\n") == line]
-            if own:
-                at = self._add(own, line)
-                self.known.update(zip(own, range(at, at + len(own)), strict=True))
-
-    def split(self, text: str) -> list[str] | None:
-        """The units of a text that both tokenizers cut alike; None where it stays whole."""
-        if not self.cuts or not text or text[0] == "\n":
-            return None
-        solid = text.split()
-        if sum(map(len, solid)) + len(solid) - 1 == len(text):  # white space is single everywhere
-            return text.replace("\n", " \n").split(" ")
-        first, *rest = _CUT.split(text)
-        return [first, *(u[1:] if u[0] == " " else u for u in rest)]
-
-    def units(self, texts: list[str]) -> list[list[int]]:
-        """Each text as the numbers of its units; none where its tokens' bytes are not its own."""
-        if len(self.groups) > self.cache_units:
-            self._forget()
-        split = [self.split(t) for t in texts]
-        new = set(chain.from_iterable(u for u in split if u)) - self.known.keys()
-        if new:
-            self._learn(sorted(new))
-        out, good, known = [], self.good, self.known
-        for t, u in zip(texts, split, strict=True):
-            own = list(map(known.__getitem__, u)) if u else []
-            if t and (not u or not all(map(good.__getitem__, own))):
-                # the tokens of the whole text decide
-                at = self._add([t], False)
-                own = [at] if good[at] else []
-            out.append(own)
-        return out
-
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(counts, first link of each unit, links as pair numbers, pairs) of all units so far."""
-        for name, axis in (("_counts", 1), ("_links", 0), ("_sizes", 0)):
-            setattr(self, name, [np.concatenate(getattr(self, name), axis=axis)])
-        return self._counts[0], np.concatenate([[0], np.cumsum(self._sizes[0])]), self._links[0], np.fromiter(self.pair_ids, np.int64, len(self.pair_ids))
+    def split(self, texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
+        """(units, number of the first unit of each text and after the last) of a space and each text; an empty text has none."""
+        raw = [(" " + t).encode() if t else b"" for t in texts]
+        joined = b"".join(raw)
+        data = np.frombuffer(joined, np.uint8)
+        offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+        if self.cuts:
+            units, _ = unit_offsets(data, offsets)
+            # punctuation at a unit's end, after a letter, is a unit of its own
+            solid = np.maximum.accumulate(np.where(_END[data], -1, np.arange(len(data)))) + 1
+            mark = solid[units[1:] - 1]
+            mark = mark[(mark > units[:-1]) & (mark < units[1:])]
+            border = np.zeros(len(data) + 1, dtype=bool)
+            border[units] = border[mark[_LETTER[data[mark - 1]]]] = True
+            units = np.flatnonzero(border)
+        else:
+            units = np.unique(offsets)
+        strings = pa.LargeStringArray.from_buffers(len(units) - 1, pa.py_buffer(units.astype(np.int64)), pa.py_buffer(joined))
+        return strings, np.searchsorted(units, offsets)
+
+    def units(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(units' numbers, first of each text and after the last); a text whose tokens' bytes are not its own has none."""
+        if len(self.groups) > (self.cache_units if self.cuts else 0):
+            self._trim()
+        strings, cut = self.split(texts)
+        coded = strings.dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = list(map(self.known.get, names))
+        if None in places:
+            new = [u for u, p in zip(names, places, strict=True) if p is None]
+            at = self._add(new)
+            self.known.update(zip(new, range(at, at + len(new)), strict=True))
+            places = list(map(self.known.__getitem__, names))
+        unit = np.array(places, np.int64)[coded.indices.to_numpy()]
+        self.met += np.bincount(unit, minlength=len(self.met))
+        bad = np.flatnonzero(~self.good[unit])
+        if len(bad):
+            # there the tokens of the whole text decide
+            own = [unit[i:j] for i, j in pairwise(cut.tolist())]
+            for i in np.unique(np.searchsorted(cut, bad, "right") - 1).tolist():
+                at = self._add([" " + texts[i]])
+                own[i] = np.array([at] if self.good[at] else [], np.int64)
+            unit, cut = np.concatenate(own), np.concatenate([[0], np.cumsum([len(u) for u in own])])
+        return unit, cut
+
+    def pairs(self) -> np.ndarray:
+        """All pairs met, by their numbers."""
+        return np.fromiter(self.pair_ids, np.int64, len(self.pair_ids))
 
 
 @lru_cache(maxsize=2)
@@ -259,25 +303,21 @@ def aligned_documents(docs: DataFrame, path_a: str | None = None, path_b: str |
     path_a, path_b = path_a or default_path(), path_b or default_piece_path()
 
     def answer(al: Aligner, chunk: int, ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
-        own: list[list[int]] = []
         groups: list[str] = []
         counts: list[np.ndarray] = []
         doc_keys: list[np.ndarray] = []
         pairs_seen: list[np.ndarray] = []
-        for i, some in text_lists(texts, 1 << 20):
-            own = al.units(some)
-            stats, first, links, pairs = al.tables()
-            n = np.array([len(u) for u in own], np.int64)
-            unit = np.fromiter(chain.from_iterable(own), np.int64, int(n.sum()))
-            upto = np.concatenate([[0], np.cumsum(n)])
-            sums = np.concatenate([np.zeros((4, 1), np.int64), np.cumsum(stats[:, unit], axis=1)], axis=1)
-            counts.append(np.diff(sums[:, upto], axis=1))
-            said = ["".join(map(al.groups.__getitem__, u))[:-1] for u in own]
-            groups += [s and hashlib.sha256(s.encode()).hexdigest() for s in said] if digest else said
-            m = first[unit + 1] - first[unit]
-            at = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(first[unit], m)
-            doc = np.repeat(np.repeat(np.arange(len(own)), n), m)
-            key, times = np.unique(doc * max(1, len(pairs)) + links[at], return_counts=True)
+        for i, some in text_lists(texts, 1 << 21):
+            unit, cut = al.units(some)
+            pairs = al.pairs()
+            sums = np.concatenate([np.zeros((4, 1), np.int64), np.cumsum(al.counts[:, unit], axis=1)], axis=1)
+            counts.append(np.diff(sums[:, cut], axis=1))
+            said = list(map(al.groups.__getitem__, unit.tolist()))
+            own = ["".join(said[j:k])[:-1] for j, k in pairwise(cut.tolist())]
+            groups += [s and hashlib.sha256(s.encode()).hexdigest() for s in own] if digest else own
+            at, upto = _places(al.first, unit)
+            doc = np.repeat(np.arange(len(some)), np.diff(upto[cut]))
+            key, times = np.unique(doc * max(1, len(pairs)) + al.links[at], return_counts=True)
             doc, pair = np.divmod(key, max(1, len(pairs)))
             doc_keys.append(np.stack([doc + i, times]))
             pairs_seen.append(pairs[pair])

@@ -91,22 +91,42 @@ def test_odd_texts_equal_brute_force(spark, libraries):
 def test_units_cut_where_both_tokenizers_do(libraries, sf_docs):
     al = Aligner(default_path(), default_piece_path(), cache_units=2000)
     assert al.cuts
-    texts = [r.text or "" for r in sf_docs.limit(120).collect()]
-    for t in texts + ODD:
-        (own,) = al.units([t])
-        assert "".join(al.groups[u] for u in own)[:-1] == brute(libraries, t)[2]
+    texts = [r.text or "" for r in sf_docs.limit(120).collect()] + ODD
+    for i in range(0, len(texts), 7):
+        unit, cut = al.units(texts[i : i + 7])
+        for t, j, k in zip(texts[i : i + 7], cut[:-1], cut[1:], strict=True):
+            assert "".join(al.groups[u] for u in unit[j:k])[:-1] == brute(libraries, t)[2]
+
+
+def test_whole_texts_align_the_same(libraries, sf_docs):
+    """Without any cut, as for vocabularies that merge over spaces."""
+    al = Aligner(default_path(), default_piece_path())
+    al.cuts = False
+    texts = [r.text or "" for r in sf_docs.limit(60).collect()] + ODD
+    unit, cut = al.units(texts)
+    for t, j, k in zip(texts, cut[:-1], cut[1:], strict=True):
+        assert k - j <= 1 and "".join(al.groups[u] for u in unit[j:k])[:-1] == brute(libraries, t)[2]
 
 
 def test_coarse_cuts_refined_by_bytes(libraries):
     al = Aligner(default_path(), default_piece_path())
-    for line in (False, True):
-        units = [("\n" if line else "") + u for u in ("日本語", "𝔘x", "aé́", "👩‍👩‍👧", "ꙮꙮ", "plain")]
-        found, good = al.align(units, line)
-        assert all(good)
-        for u, text in zip(range(len(units)), units, strict=True):
-            a, b = libraries(text) if not line else (None, None)
-            if a:
-                assert found.counts[:2, u].tolist() == [len(a), len(b)] and found.groups[u][:-1] == brute(libraries, text)[2]
+    units = [" 日本語", " 𝔘x", " aé́", " 👩‍👩‍👧", " ꙮꙮ", " plain"]
+    found, good = al.align(units)
+    assert all(good)
+    for u, text in enumerate(units):
+        a, b = libraries(text[1:])
+        assert found.counts[:2, u].tolist() == [len(a), len(b)] and found.groups[u][:-1] == brute(libraries, text[1:])[2]
+
+
+def test_trimming_keeps_what_repeats():
+    al = Aligner(default_path(), default_piece_path(), cache_units=40)
+    first = al.units(["the cat, the dog. the end"])
+    said = ["".join(al.groups[u] for u in first[0])]
+    for i in range(40):
+        al.units([f"word{i} the x{i}y, the"])
+    assert len(al.groups) < 60 and " the" in al.known
+    unit, _ = al.units(["the cat, the dog. the end"])
+    assert ["".join(al.groups[u] for u in unit)] == said
 
 
 def test_query_equals_brute_force(spark, libraries, sf_docs):
