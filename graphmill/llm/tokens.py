@@ -1,21 +1,28 @@
 """Token ids of whole texts with the tokenizers library, a unit of text at a time.
 
-A byte-level BPE splits text before every single space or newline that stands between two non-space characters, so the ids of a
-text are those of its units (a word with the space or newline before it) in a row.  Units repeat, so each task keeps the ids of
-those it has met.  A text with runs of white space, or with some at its ends, is encoded in one piece.
+A byte-level BPE splits text before every single space or newline that stands between two characters that are no white space, so the
+ids of a text are those of its units (a word with the space or newline before it) in a row.  Units repeat: Arrow finds the distinct
+ones of a run of texts, each task keeps the ids of those it has met, and numpy lines them up again.  A text that holds one of
+the vocabulary's added tokens is encoded whole, so that the ids are always the library's own.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain, pairwise
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
 #: Units that a worker remembers at most; then it starts anew.
 CACHE_UNITS = 800_000
 
+_ASCII_SPACE = np.zeros(256, dtype=bool)
+_ASCII_SPACE[[*range(9, 14), *range(28, 33)]] = True
+
+
 def _byte_letters() -> dict[int, str]:
     """The printable letter that stands for each byte in the vocabulary: itself, or one of those from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -23,6 +30,38 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _spaces(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 text belong to white space, that of Unicode included."""
+    space = _ASCII_SPACE[data]
+    for lead, width, middle, last in (
+        (0xC2, 2, None, (0x85, 0xA0)),
+        (0xE1, 3, 0x9A, (0x80,)),
+        (0xE2, 3, 0x80, (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)),
+        (0xE2, 3, 0x81, (0x9F,)),
+        (0xE3, 3, 0x80, (0x80,)),
+    ):
+        at = np.flatnonzero(data == lead)
+        if middle is not None:
+            at = at[data[at + 1] == middle]
+        at = at[np.isin(data[at + width - 1], last)]
+        for i in range(width):
+            space[at + i] = True
+    return space
+
+
+def unit_offsets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets of the units, number of the first unit of each text and after the last) of texts end to end in ``data``."""
+    border = np.zeros(len(data) + 1, dtype=bool)
+    border[offsets] = True
+    if len(data) > 2:
+        solid = ~_spaces(data)
+        cut = (data[1:-1] == 32) | (data[1:-1] == 10)
+        # a text's last character stays with its unit
+        border[1:-2] |= cut & solid[:-2] & solid[2:] & ~border[2:-1]
+    units = np.flatnonzero(border)
+    return units, np.searchsorted(units, offsets)
+
+
 class Encoder:
     """Ids by the library's whole encoder, or for words of letters by its model alone."""
 
@@ -30,74 +69,86 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # special tokens' strings in a text are ordinary text
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2") if self.vocabulary <= 1 << 16 else np.dtype("<u4")
         self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
+        self.added = [t["content"] for t in json.loads(self.tokenizer.to_str())["added_tokens"]]
         self.ends = {c: self._encode([c])[0] for c in ".,;:!?\n"}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.first = np.zeros(1, np.int64)  # of each known unit's ids, and after the last
+        self.ids = np.zeros(0, self.dtype)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
+    def _encode_words(self, words: list[str]) -> list[list[int]]:
         """The ids of letters with at most a space before them, which no rule splits before the model sees them."""
         if not words:
             return []
         tokenize = self.tokenizer.model.tokenize
         said = "\n".join(words).encode().decode("latin-1").translate(self.letters).split(self.letters[10])
-        ids = [[t.id for t in tokenize(w)] for w in said]
-        raw, w = np.fromiter(chain.from_iterable(ids), self.dtype).tobytes(), self.dtype.itemsize
-        cut = [0, *accumulate(w * len(x) for x in ids)]
-        return [raw[i:j] for i, j in pairwise(cut)]
-
-    def _learn(self, new: set[str]) -> None:
-        known, ends = self.known, self.ends
-        words: dict[str, str] = {}  # unit to the letters that the model sees
-        pairs, rest = [], []
-        for u in new:
-            if u.isalpha():
-                words[u] = " " + u
-            elif u[-1] in ends and u[:-1].isalpha():
-                pairs.append(u)
-                if u[:-1] not in known:
-                    words[u[:-1]] = " " + u[:-1]
-            elif u[0] == "\n" and u[1:].isalpha():
-                words[u] = u[1:]
+        return [[t.id for t in tokenize(w)] for w in said]
+
+    def _learn(self, new: list[str]) -> None:
+        ends = self.ends
+        words: dict[str, int] = {}  # letters that the model sees
+        parts: list[tuple[list[int], str, list[int]]] = []  # the ids before and after them
+        rest: list[str] = []
+        of_words, of_rest = [], []
+        for i, u in enumerate(new):
+            bare = u[1:] if u[0] in " \n" else u
+            if bare.isalpha():
+                last: list[int] = []
+            elif bare and bare[-1] in ends and bare[:-1].isalpha():
+                last, bare = ends[bare[-1]], bare[:-1]
             else:
                 rest.append(u)
-        known.update(zip(words, self._encode_words(list(words.values())), strict=True))
-        for u in words:
-            if u[0] == "\n":
-                known[u] = ends["\n"] + known[u]
-        for u in pairs:
-            known[u] = known[u[:-1]] + ends[u[-1]]
-        known.update(zip(rest, self._encode([u if u[0] == "\n" else " " + u for u in rest]), strict=True))
+                of_rest.append(i)
+                continue
+            said = " " + bare if u[0] == " " else bare
+            words.setdefault(said, len(words))
+            parts.append((ends["\n"] if u[0] == "\n" else [], said, last))
+            of_words.append(i)
+        by_word = dict(zip(words, self._encode_words(list(words)), strict=True))
+        found: list[list[int]] = [[]] * len(new)
+        for i, (before, said, after) in zip(of_words, parts, strict=True):
+            found[i] = before + by_word[said] + after
+        for i, ids in zip(of_rest, self._encode(rest), strict=True):
+            found[i] = ids
+        at = len(self.known)
+        self.known.update(zip(new, range(at, at + len(new)), strict=True))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), self.dtype, int(sizes.sum()))])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as the bytes of an array of ``dtype``."""
         if len(self.known) > CACHE_UNITS:
-            self.known = {}
-        out: list[bytes] = [b""] * len(texts)
-        heads: list[tuple[int, str]] = []  # texts in one piece, and first units, which have no space before them
-        found: list[tuple[int, list[str], list[bytes | None]]] = []
+            self._forget()
+        column = pa.array(texts, pa.large_string())
+        offsets = np.frombuffer(column.buffers()[1], np.int64)[: len(texts) + 1]
+        data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[: offsets[-1]]
+        units, text_at = unit_offsets(data, offsets)
+        strings = pa.LargeStringArray.from_buffers(len(units) - 1, pa.py_buffer(units.astype(np.int64)), column.buffers()[2])
+        coded = strings.dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = list(map(self.known.get, names))
+        if None in places:
+            self._learn([u for u, p in zip(names, places, strict=True) if p is None])
+            places = list(map(self.known.__getitem__, names))
+        unit = np.array(places, np.int64)[coded.indices.to_numpy()]
+        n = self.first[unit + 1] - self.first[unit]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        at = np.arange(upto[-1]) + np.repeat(self.first[unit] - upto[:-1], n)
+        raw = memoryview(self.ids[at].tobytes())
+        cut = (upto[text_at] * self.dtype.itemsize).tolist()
+        out = [bytes(raw[i:j]) for i, j in zip(cut[:-1], cut[1:], strict=True)]
         for i, t in enumerate(texts):
-            solid = t.split()
-            if t and sum(map(len, solid)) + len(solid) - 1 != len(t):
-                heads.append((i, t))
-            elif t:
-                first, *rest = t.replace("\n", " \n").split(" ")
-                heads.append((i, first))
-                found.append((i, rest, list(map(self.known.get, rest))))
-        new = {u for _, rest, got in found if None in got for u, g in zip(rest, got, strict=True) if g is None}
-        if new:
-            self._learn(new)
-        for (i, _), ids in zip(heads, self._encode([t for _, t in heads]), strict=True):
-            out[i] = ids
-        for i, rest, got in found:
-            if None in got:
-                got = map(self.known.__getitem__, rest)
-            out[i] += b"".join(got)
+            if any(s in t for s in self.added):
+                out[i] = np.array(self._encode([t])[0], self.dtype).tobytes()
         return out
 
 
@@ -116,7 +167,7 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def text_lists(column, most_chars: int = 1 << 18) -> Iterator[tuple[int, list[str]]]:
+def text_lists(column, most_chars: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) of short runs of rows; null is empty."""
     held, first, size = [], 0, 0
     for i, t in enumerate(column):
