@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle on the smallest driver tables."""
+"""Every query of the library's own catalog against its DuckDB oracle on the smallest driver tables."""
 
 import math
 import os
@@ -9,6 +9,8 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF
+from graphmill.plans.catalog import QUERIES
+from graphmill.plans.oracle import ORACLE
 
 TABLES = "region nation customer supplier part orders lineitem events conversations".split()
 
@@ -39,10 +41,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= E.queries().items() and ORACLE.items() <= E.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     got = E.queries()[name](spark, SF).toPandas()
     want = duck.execute(E.oracle_sql()[name]).df()
