@@ -24,10 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphmill.model import CREATED, FROM_UID, LAST_UPDATED, TO_UID, UID
-from graphmill.operators.skew import HOT_KEY_MIN_ROWS, hot_keys_by_column, latest_per_key, orderable, split_join
+from graphmill.operators.skew import HOT_KEY_MIN_ROWS, hot_keys_by_column, latest_per_key, orderable, quoted, split_join
 
 ACTION = "_action"
 CREATED_ACTION, UPDATED_ACTION, KEPT_ACTION = "created", "updated", "kept"
+ACTIONS = (CREATED_ACTION, UPDATED_ACTION, KEPT_ACTION)
+#: An incoming edge without one of its ends; it is not merged.
+DANGLING_ACTION = "dangling"
+#: Incoming rows that a flagged row stands for (0: none).
+ROWS = "_rows"
 SYSTEM_COLUMNS = (CREATED, LAST_UPDATED)
 
 
@@ -41,83 +46,99 @@ def as_of_literal(as_of: str | _dt.datetime | Column) -> Column:
 
 
 def _props(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in (UID, ACTION, "_n_in") and c not in SYSTEM_COLUMNS]
+    return [c for c in df.columns if c not in (UID, ACTION, ROWS) and c not in SYSTEM_COLUMNS]
 
 
-def dedupe_incoming(incoming: DataFrame, order_by: Sequence[str] | None = None, unique_uids: bool = False) -> DataFrame:
-    """One row per ``_uid`` (the last to apply), plus ``_n_in`` = rows of that uid in the batch.
+def dedupe_incoming(incoming: DataFrame, order_by: Sequence[str] | None = None, unique_uids: bool = False, rows_column: str = ROWS) -> DataFrame:
+    """One row per ``_uid`` (the last to apply), plus ``rows_column`` = rows of that uid in the batch.
 
     ``unique_uids``: the caller guarantees one row per uid (a keyed source, another merge's output), so
     the sort-based dedupe aggregate is skipped; the join still shuffles the batch once.
     """
     inc = incoming.where(F.col(UID).isNotNull())
     if unique_uids:
-        return inc if "_n_in" in inc.columns else inc.withColumn("_n_in", F.lit(1).cast("long"))
+        return inc if rows_column in inc.columns else inc.withColumn(rows_column, F.lit(1).cast("long"))
     order = list(order_by) if order_by else [c for c in inc.columns if c != UID and orderable(inc.schema[c].dataType)]
-    return latest_per_key(inc, [UID], order, count_as="_n_in")
+    return latest_per_key(inc, [UID], order, count_as=rows_column)
 
 
-def merge_nodes_flagged(
+def _check_merge(existing: DataFrame | None, incoming: DataFrame) -> None:
+    """Names and key types that no merge can honour are errors before any job runs."""
+    taken = [c for c in (ACTION, ROWS) if c in incoming.columns]
+    if taken:
+        raise ValueError(f"property names {taken} are reserved for merges; rename them")
+    if existing is not None:
+        old, new = existing.schema[UID].dataType, incoming.schema[UID].dataType
+        if old != new and not (isinstance(old, T.IntegralType) and isinstance(new, T.IntegralType)):
+            raise ValueError(f"the label's {UID} is {old.simpleString()}, the incoming one {new.simpleString()}; cast one of them")
+
+
+def merge_nodes_tagged(
     existing: DataFrame | None,
     incoming: DataFrame,
     as_of,
     order_by: Sequence[str] | None = None,
     unique_uids: bool = False,
+    rows_column: str | None = None,
 ) -> DataFrame:
-    """The node table after the upsert, with an ``_action`` column (created / updated / kept)."""
+    """The node table after the upsert, with ``_action`` (created / updated / kept) and ``_rows``, the incoming rows applied.
+
+    ``rows_column`` names a column of ``incoming`` that is no property: how many rows each of its (unique) rows stands for."""
+    props_of = incoming if rows_column is None else incoming.drop(rows_column)
+    _check_merge(existing, props_of)
     ts = as_of_literal(as_of)
-    inc = dedupe_incoming(incoming, order_by, unique_uids)
-    in_props = _props(incoming)
-    has_in_created = CREATED in incoming.columns
-    has_in_updated = LAST_UPDATED in incoming.columns
-    repeated = F.col("i._n_in") > 1
+    count = rows_column or ROWS
+    inc = dedupe_incoming(incoming, order_by, unique_uids, count)
+    in_props = _props(props_of)
+    # user names may hold dots or look like inner ones: inside the join all columns are numbered
+    i_of = {c: f"i{n}" for n, c in enumerate([UID, *in_props, *[c for c in SYSTEM_COLUMNS if c in props_of.columns]])}
+    i = inc.select(*[F.col(quoted(c)).alias(a) for c, a in i_of.items()], F.col(quoted(count)).alias("n"))
+    last = F.when(F.col("n") > 1, ts)
+    if LAST_UPDATED in i_of:
+        last = last.otherwise(F.col(i_of[LAST_UPDATED]))
 
     if existing is None:
-        i = inc.alias("i")
-        last = F.when(repeated, ts)
-        if has_in_updated:
-            last = last.otherwise(F.col(f"i.{LAST_UPDATED}"))
         return i.select(
-            F.col(f"i.{UID}").alias(UID),
-            *[F.col(f"i.{c}").alias(c) for c in in_props],
+            F.col(i_of[UID]).alias(UID),
+            *[F.col(i_of[c]).alias(c) for c in in_props],
             ts.alias(CREATED),
             last.cast(T.TimestampNTZType()).alias(LAST_UPDATED),
             F.lit(CREATED_ACTION).alias(ACTION),
+            F.col("n").alias(ROWS),
         )
 
     ex_props = _props(existing)
     for c in SYSTEM_COLUMNS:  # a table written without a merge has no timestamps yet
         if c not in existing.columns:
             existing = existing.withColumn(c, F.lit(None).cast(T.TimestampNTZType()))
-    e = existing.withColumn("_ex", F.lit(True)).alias("e")
-    i = inc.withColumn("_in", F.lit(True)).alias("i")
-    j = e.join(i, F.col(f"e.{UID}") == F.col(f"i.{UID}"), "full_outer")
-    in_present = F.col("i._in").isNotNull()
-    ex_present = F.col("e._ex").isNotNull()
+    e_of = {c: f"e{n}" for n, c in enumerate([UID, *ex_props, *SYSTEM_COLUMNS])}
+    e = existing.select(*[F.col(quoted(c)).alias(a) for c, a in e_of.items()], F.lit(True).alias("old"))
+    j = e.join(i, F.col(e_of[UID]) == F.col(i_of[UID]), "full_outer")
+    new, old = F.col("n").isNotNull(), F.col("old").isNotNull()
 
-    cols = [F.coalesce(F.col(f"i.{UID}"), F.col(f"e.{UID}")).alias(UID)]
+    cols = [F.coalesce(i_of[UID], e_of[UID]).alias(UID)]
     for c in ex_props:
-        if c in in_props:
-            cols.append(F.when(in_present, F.col(f"i.{c}")).otherwise(F.col(f"e.{c}")).alias(c))
-        else:
-            cols.append(F.col(f"e.{c}").alias(c))
-    cols += [F.col(f"i.{c}").alias(c) for c in in_props if c not in ex_props]
-
-    created = F.when(ex_present & in_present, F.col(f"i.{CREATED}") if has_in_created else F.col(f"e.{CREATED}"))
-    created = created.when(ex_present, F.col(f"e.{CREATED}")).otherwise(ts)
-    on_create_last = F.when(repeated, ts)
-    if has_in_updated:
-        on_create_last = on_create_last.otherwise(F.col(f"i.{LAST_UPDATED}"))
-    last = F.when(ex_present & in_present, ts).when(in_present, on_create_last).otherwise(F.col(f"e.{LAST_UPDATED}"))
-    action = F.when(ex_present & in_present, UPDATED_ACTION).when(in_present, CREATED_ACTION).otherwise(KEPT_ACTION)
+        own = F.col(e_of[c])
+        cols.append((F.when(new, F.col(i_of[c])).otherwise(own) if c in in_props else own).alias(c))
+    cols += [F.col(i_of[c]).alias(c) for c in in_props if c not in ex_props]
+
+    created = F.when(old & new, F.col(i_of.get(CREATED, e_of[CREATED]))).when(old, F.col(e_of[CREATED])).otherwise(ts)
+    updated = F.when(old & new, ts).when(new, last).otherwise(F.col(e_of[LAST_UPDATED]))
+    action = F.when(old & new, UPDATED_ACTION).when(new, CREATED_ACTION).otherwise(KEPT_ACTION)
     cols += [
         created.cast(T.TimestampNTZType()).alias(CREATED),
-        last.cast(T.TimestampNTZType()).alias(LAST_UPDATED),
+        updated.cast(T.TimestampNTZType()).alias(LAST_UPDATED),
         action.alias(ACTION),
+        F.coalesce("n", F.lit(0)).cast("long").alias(ROWS),
     ]
     return j.select(*cols)
 
 
+def merge_nodes_flagged(existing: DataFrame | None, incoming: DataFrame, as_of, order_by: Sequence[str] | None = None, unique_uids: bool = False) -> DataFrame:
+    """The node table after the upsert, with an ``_action`` column (created / updated / kept)."""
+    return merge_nodes_tagged(existing, incoming, as_of, order_by, unique_uids).drop(ROWS)
+
+
 def merge_nodes(
     existing: DataFrame | None, incoming: DataFrame, as_of, order_by: Sequence[str] | None = None, unique_uids: bool = False
 ) -> DataFrame:
@@ -133,7 +154,7 @@ def node_counters(flagged: DataFrame, incoming: DataFrame, label: str) -> DataFr
     """
     made = flagged.where(F.col(ACTION) == CREATED_ACTION).agg(F.count(F.lit(1)).alias("n"))
     props = _props(incoming)
-    non_null = sum((F.col(c).isNotNull().cast("long") for c in props), F.lit(0).cast("long"))
+    non_null = sum((F.col(quoted(c)).isNotNull().cast("long") for c in props), F.lit(0).cast("long"))
     set_ = incoming.where(F.col(UID).isNotNull()).agg(F.coalesce(F.sum(non_null + 1), F.lit(0)).cast("long").alias("n"))
     head = [F.lit("NODES").alias("element_type"), F.lit(label).alias("element_properties")]
     both = F.inline(F.array(*[F.struct(F.lit(c).alias("counter"), F.col("n").alias("value")) for c in ("nodes_created", "labels_added")]))
@@ -171,27 +192,49 @@ def _hot_ends(edges: DataFrame, hot_min_rows: int | None) -> dict[str, list]:
     return hot_keys_by_column(edges, [FROM_UID, TO_UID], hot_min_rows)
 
 
-def merge_edges_flagged(
+def _checked_pairs(incoming: DataFrame, from_nodes: DataFrame, to_nodes: DataFrame, hot_min_rows: int | None) -> DataFrame:
+    """The distinct pairs of ``incoming`` with their ``_rows`` and whether each end exists (``_f``, ``_t``)."""
+    hot = _hot_ends(incoming, hot_min_rows)
+    pairs = incoming.groupBy(FROM_UID, TO_UID).agg(F.count(F.lit(1)).alias(ROWS))
+    for end, nodes, found in ((FROM_UID, from_nodes, "_f"), (TO_UID, to_nodes, "_t")):
+        keys = nodes.select(F.col(UID).alias("_k"), F.lit(True).alias(found))
+        pairs = split_join(pairs, keys, end, "_k", "left", min_rows=hot_min_rows, hot=hot[end]).drop("_k")
+    return pairs
+
+
+def merge_edges_tagged(
     existing: DataFrame | None,
     incoming: DataFrame,
     from_nodes: DataFrame,
     to_nodes: DataFrame,
     hot_min_rows: int | None = HOT_KEY_MIN_ROWS,
 ) -> DataFrame:
-    """The edge table after the upsert, with ``_action`` (created / kept)."""
-    ok = valid_edges(incoming, from_nodes, to_nodes, hot_min_rows)
+    """The edges after the upsert with ``_action`` (created / kept / dangling: not an edge) and ``_rows``, the incoming rows
+    of the pair; ``applied_edges`` leaves the table."""
+    pairs = _checked_pairs(incoming, from_nodes, to_nodes, hot_min_rows)
+    valid = F.col("_f").isNotNull() & F.col("_t").isNotNull()
     if existing is None:
-        return ok.withColumn(ACTION, F.lit(CREATED_ACTION))
+        return pairs.select(FROM_UID, TO_UID, F.when(valid, CREATED_ACTION).otherwise(DANGLING_ACTION).alias(ACTION), ROWS)
     # 1:1 full outer join on the pair (both sides are unique on it): the output stays partitioned like a
     # bucketed existing table, so the next version is written bucket by bucket without another shuffle.
-    old = existing.select(FROM_UID, TO_UID).withColumn("_old", F.lit(True))
-    j = old.join(ok.withColumn("_new", F.lit(True)), [FROM_UID, TO_UID], "full_outer")
-    action = F.when(F.col("_old").isNotNull(), F.lit(KEPT_ACTION)).otherwise(F.lit(CREATED_ACTION))
-    return j.select(FROM_UID, TO_UID, action.alias(ACTION))
+    old = existing.select(FROM_UID, TO_UID, F.lit(True).alias("_old"))
+    j = old.join(pairs, [FROM_UID, TO_UID], "full_outer")
+    action = F.when(F.col("_old").isNotNull(), KEPT_ACTION).when(valid, CREATED_ACTION).otherwise(DANGLING_ACTION)
+    return j.select(FROM_UID, TO_UID, action.alias(ACTION), F.coalesce(ROWS, F.lit(0)).cast("long").alias(ROWS))
+
+
+def applied_edges(tagged: DataFrame) -> DataFrame:
+    """The edge table of a tagged merge."""
+    return tagged.where(F.col(ACTION) != DANGLING_ACTION).select(FROM_UID, TO_UID)
+
+
+def merge_edges_flagged(existing: DataFrame | None, incoming: DataFrame, from_nodes: DataFrame, to_nodes: DataFrame, hot_min_rows: int | None = HOT_KEY_MIN_ROWS) -> DataFrame:
+    """The edge table after the upsert, with ``_action`` (created / kept)."""
+    return merge_edges_tagged(existing, incoming, from_nodes, to_nodes, hot_min_rows).where(F.col(ACTION) != DANGLING_ACTION).drop(ROWS)
 
 
 def merge_edges(existing, incoming, from_nodes, to_nodes, hot_min_rows: int | None = HOT_KEY_MIN_ROWS) -> DataFrame:
-    return merge_edges_flagged(existing, incoming, from_nodes, to_nodes, hot_min_rows).drop(ACTION)
+    return applied_edges(merge_edges_tagged(existing, incoming, from_nodes, to_nodes, hot_min_rows))
 
 
 def edge_counters(flagged: DataFrame, edge_type: str, from_label: str, to_label: str) -> DataFrame:
@@ -216,9 +259,9 @@ def dangling_edges(
     hot_min_rows: int | None = HOT_KEY_MIN_ROWS,
 ) -> DataFrame:
     """Incoming edges a merge would drop, with ``missing_from`` / ``missing_to`` flags."""
+    hot = _hot_ends(incoming, hot_min_rows)
     # a pair that repeats is one row until the end
     e = incoming.groupBy(FROM_UID, TO_UID).agg(F.count(F.lit(1)).alias("_times"))
-    hot = _hot_ends(e, hot_min_rows)
     fk = from_nodes.select(F.col(UID).alias("_fk"), F.lit(True).alias("_fhit"))
     tk = to_nodes.select(F.col(UID).alias("_tk"), F.lit(True).alias("_thit"))
     e = split_join(e, fk, FROM_UID, "_fk", "left", min_rows=hot_min_rows, hot=hot[FROM_UID])

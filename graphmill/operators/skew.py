@@ -35,6 +35,11 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
+def quoted(name: str) -> str:
+    """A column's name for ``F.col``, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 HOT_KEY_SAMPLE_ROWS = 10_000
 
 
@@ -258,25 +263,24 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], cou
 
     ``max(struct(order..., rest...))`` is an ordinary aggregate, so Spark combines map-side and a hot key
     costs one row per map task in the shuffle.  When a column cannot be ordered (a map), the row is
-    carried by ``max_by(struct(rest), struct(order))`` instead, also combined map-side; ties on ``order``
-    are then broken arbitrarily.  Optionally also returns the number of rows of the key.
+    carried by ``max_by`` instead, also combined map-side; ties are then broken by the other columns and, last, by the JSON text
+    of those that cannot be ordered.  Optionally also returns the number of rows of the key.
     """
     keys = list(keys)
     order = list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    ordered = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
-    if all(orderable(df.schema[c].dataType) for c in rest):
-        packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in rest])
-        winner = F.max(packed)
+    ordered = [F.col(quoted(c)).alias(f"_o{i}") for i, c in enumerate(order)]
+    packed = F.struct(*ordered, *[F.col(quoted(c)).alias(f"_r{i}") for i, c in enumerate(rest)])
+    odd = [c for c in rest if not orderable(df.schema[c].dataType)]
+    if odd:
+        ties = [F.col(quoted(c)) for c in rest if c not in odd]
+        winner = F.max_by(packed, F.struct(*ordered, *ties, F.to_json(F.struct(*[F.col(quoted(c)) for c in odd]))))
     else:
-        packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *[F.col(c) for c in rest])
-        winner = F.max_by(packed, ordered)
+        winner = F.max(packed)
     aggs = [winner.alias("_w")]
     if count_as:
         aggs.append(F.count(F.lit(1)).alias(count_as))
-    g = df.groupBy(*keys).agg(*aggs)
-    sel = [F.col(k) for k in keys] + [F.col(f"_w._o{i}").alias(c) for i, c in enumerate(order)]
-    sel += [F.col(f"_w.{c}").alias(c) for c in rest]
-    if count_as:
-        sel.append(F.col(count_as))
-    return g.select(*sel).select(*df.columns, *([count_as] if count_as else []))
+    g = df.groupBy(*[F.col(quoted(k)) for k in keys]).agg(*aggs)
+    of = {c: F.col("_w")[f"_o{i}"] for i, c in enumerate(order)} | {c: F.col("_w")[f"_r{i}"] for i, c in enumerate(rest)}
+    sel = [(F.col(quoted(c)) if c in keys else of[c]).alias(c) for c in df.columns]
+    return g.select(*sel, *([F.col(quoted(count_as))] if count_as else []))

@@ -567,7 +567,7 @@ def q_stream_read(spark, d):
 
 def q_stream_merge(spark, d):
     src, schema = _stream_copy(spark, d, "stream-src")
-    store = GraphStore(spark, scratch_path(spark, "stream-graph"))
+    store = GraphStore(spark, scratch_path(spark, "stream-graph"), buckets=STORE_BUCKETS)
     stream = SS.read_stream(_stream_session(spark), src, schema, max_files_per_trigger=STREAM_FILES_PER_TRIGGER).select(
         F.col("user_id").alias(UID), "event_id", "ts", "event_type", "value"
     )
@@ -578,7 +578,7 @@ def q_stream_merge(spark, d):
 def q_live_state(spark, d):
     """The streaming request state in update mode, upserted per micro-batch into a graph store."""
     src, schema = _stream_copy(spark, d, "stream-src")
-    store = GraphStore(spark, scratch_path(spark, "live-state"))
+    store = GraphStore(spark, scratch_path(spark, "live-state"), buckets=STORE_BUCKETS)
     stream = progress_events(SS.read_stream(_stream_session(spark), src, schema, max_files_per_trigger=STREAM_FILES_PER_TRIGGER))
     SS.run_to_end(SS.live_state(stream), SS.upsert_sink(store, "RequestState", "request_id", AS_OF_2), scratch_path(spark, "stream-ckpt"), mode="update")
     return store.nodes("RequestState").select(

@@ -19,13 +19,17 @@ from pyspark.sql import functions as F
 
 from graphmill.model import EDGES_INGEST, EVENT_SCHEMA, MSG_UNSUPPORTED_OPERATION, NODES_INGEST, UID
 from graphmill.operators import staging
-from graphmill.operators.merge import CREATED_ACTION, UPDATED_ACTION, element_properties
+from graphmill.operators.merge import CREATED_ACTION, ROWS, UPDATED_ACTION, element_properties
 from graphmill.operators.skew import HOT_KEY_MIN_ROWS, orderable
 from graphmill.plans.store import GraphStore
 from graphmill.plans.translate import MappingTranslator, StagingKey
 from graphmill.sources.providers import Source
 
 
+#: Column of ``_last_values``: the incoming rows of a uid.
+_TIMES = "_times"
+
+
 @dataclass
 class EventLog:
     """Events of one run, kept on the driver (a few per key) and written as one small table."""
@@ -34,9 +38,11 @@ class EventLog:
     as_of: _dt.datetime
     rows: list = field(default_factory=list)
 
-    def emit(self, event_type: str, message: str, **arguments) -> None:
+    def emit(self, event_type: str, message: str, **arguments) -> dict[str, str]:
+        """Appends an event; its arguments may be completed later, until the log is written."""
         args = {k: (v if isinstance(v, str) else json.dumps(v, default=str)) for k, v in arguments.items()}
         self.rows.append((self.as_of, len(self.rows), self.request_id, event_type, message, args))
+        return args
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows, EVENT_SCHEMA)
@@ -90,15 +96,23 @@ def _merge_key(store: GraphStore, key: StagingKey, frames: Sequence[DataFrame],
             shapes.setdefault(f.schema.simpleString(), []).append(f)
         by_shape = [staging.union_frames(shapes[s]) for s in sorted(shapes)]
         if order_by and len(by_shape) > 1:
-            batches = [(b, True) for b in _last_values(by_shape, order_by)]
+            keyed, batches = _last_values(by_shape, order_by)
         else:
-            batches = [(b, False) for b in by_shape]
-        counters = {"nodes_created": 0, "labels_added": 0, "nodes_matched": 0}
-        for batch, unique in batches:
-            counts = store.merge_nodes(label, batch, as_of, None if unique else order_by, unique)
-            counters["nodes_created"] += counts.get(CREATED_ACTION, 0)
-            counters["labels_added"] += counts.get(CREATED_ACTION, 0)
-            counters["nodes_matched"] += counts.get(UPDATED_ACTION, 0)
+            keyed, batches = None, by_shape
+        counters = {"nodes_created": 0, "labels_added": 0, "nodes_matched": 0, "how_many": 0}
+        try:
+            for batch in batches:
+                if keyed is None:
+                    counts = store.merge_nodes(label, batch, as_of, order_by)
+                else:
+                    counts = store.merge_nodes(label, batch, as_of, unique_uids=True, rows_column=_TIMES)
+                counters["nodes_created"] += counts[CREATED_ACTION]
+                counters["labels_added"] += counts[CREATED_ACTION]
+                counters["nodes_matched"] += counts[UPDATED_ACTION]
+                counters["how_many"] += counts[ROWS]
+        finally:
+            if keyed is not None:
+                keyed.unpersist()
         return {"key": ":".join(key), "element_type": "NODES", "element_properties": label, **counters}
     incoming = staging.union_frames(frames)
     edge_type, from_label, to_label = parts
@@ -116,15 +130,16 @@ def _merge_key(store: GraphStore, key: StagingKey, frames: Sequence[DataFrame],
         hot_min_rows,
     )
     props = element_properties(edge_type, from_label, to_label)
-    counters = {"relationships_created": counts.get(CREATED_ACTION, 0)}
+    counters = {"relationships_created": counts[CREATED_ACTION], "how_many": counts[ROWS]}
     return {"key": ":".join(key), "element_type": "EDGES", "element_properties": props, **counters}
 
 
-def _last_values(shapes: Sequence[DataFrame], order_by: Sequence[str]) -> list[DataFrame]:
-    """The rows of several shapes, applied in ``order_by`` over all of them, as disjoint keyed batches.
+def _last_values(shapes: Sequence[DataFrame], order_by: Sequence[str]) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows of several shapes, applied in ``order_by`` over all of them, as disjoint keyed batches; before them the persisted
+    frame that they read.
 
     A property's value is that of the last row whose shape has it.  Uids whose rows together have the same
-    properties form one batch with just these columns, and ``_n_in`` counts a uid's rows; there are at most as
+    properties form one batch with just these columns, and ``_TIMES`` counts a uid's rows; there are at most as
     many batches as sets of shapes that meet in a uid.
     """
     props = sorted({c for s in shapes for c in s.columns if c != UID})
@@ -133,10 +148,10 @@ def _last_values(shapes: Sequence[DataFrame], order_by: Sequence[str]) -> list[D
     order = F.struct(*[F.col(c) for c in order_by], *[F.col(f"_has_{c}") for c in props], *[F.col(c) for c in props if orderable(rows.schema[c].dataType)])
     last = [F.max_by(F.struct(F.col(c)), F.when(F.col(f"_has_{c}"), order)).getField(c).alias(c) for c in props]
     has = F.array_compact(F.array(*[F.when(F.bool_or(f"_has_{c}"), F.lit(c)) for c in props])).alias("_props")
-    keyed = rows.groupBy(UID).agg(*last, has, F.count(F.lit(1)).alias("_n_in"))
+    keyed = rows.groupBy(UID).agg(*last, has, F.count(F.lit(1)).alias(_TIMES))
     keyed = keyed.persist()  # read once for the sets of properties and once per set
     sets = [r[0] for r in keyed.select("_props").distinct().collect()]
-    return [keyed.where(F.col("_props") == F.array(*map(F.lit, s))).select(UID, *s, "_n_in") for s in sorted(sets)]
+    return keyed, [keyed.where(F.col("_props") == F.array(*map(F.lit, s))).select(UID, *s, _TIMES) for s in sorted(sets)]
 
 
 class IngestError(RuntimeError):
@@ -193,9 +208,10 @@ def ingest(
         work.sort(key=lambda w: (w[2][1] != NODES_INGEST, w[0], ":".join(w[2]).lower()))
         if staging_path:
             work = [(i, src, key, _read_staged(spark, staging_path, key)) for i, src, key, _ in work]
-        sizes = [sum(f.count() for f in frames) for _, _, _, frames in work]
-        log.emit("REDIS_IS_READY_FOR_CONSUMPTION", f"Graph elements are ready [{stamped}]", cardinality={":".join(w[2]): n for w, n in zip(work, sizes, strict=True)})
+        ready = log.emit("REDIS_IS_READY_FOR_CONSUMPTION", f"Graph elements are ready [{stamped}]")
         results = _run_keys(store, [(key, frames) for _, _, key, frames in work], as_of, order_by, hot_min_rows, parallel)
+        # the sizes are what the merges saw while writing: no source is read a second time to count it
+        ready["cardinality"] = json.dumps({":".join(w[2]): r["how_many"] for w, r in zip(work, results, strict=True)})
 
         loaded = []
         first, last = {}, {}
@@ -206,7 +222,7 @@ def ingest(
             if first[i] == pos:
                 log.emit("WRITING_FROM_REDIS_TO_NEO", f"Loading source {src.name}", source_name=src.name, processed_keys=[":".join(k) for k in per_source[i][1]])
             r = results[pos]
-            log.emit("PUSHED_GRAPH_ELEMENTS_INTO_NEO", _pushed(r), how_many=sizes[pos], **r)
+            log.emit("PUSHED_GRAPH_ELEMENTS_INTO_NEO", _pushed(r), **r)
             loaded.append({"source_name": src.name, **r})
             if last[i] == pos:
                 keys = list(per_source[i][1])
@@ -262,8 +278,7 @@ def load_staged(
             frames = _read_staged(spark, staging_path, key)
             for batch in [frames] if order_by or len(frames) == 1 else [[f] for f in frames]:
                 r = _merge_key(store, key, batch, as_of, order_by, hot_min_rows)
-                n = sizes[key] if len(batch) == len(frames) else batch[0].count()
-                log.emit("PUSHED_GRAPH_ELEMENTS_INTO_NEO", _pushed(r), how_many=n, **r)
+                log.emit("PUSHED_GRAPH_ELEMENTS_INTO_NEO", _pushed(r), **r)
                 loaded.append(r)
         if delete_after:
             log.emit("DELETING_REDIS_KEYS", "Deleting done-with keys", keys=[":".join(k) for k in keys])

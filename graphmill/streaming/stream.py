@@ -3,8 +3,8 @@
 * T1 ``read_stream``: a file stream read from its beginning in bounded micro-batches; the checkpoint is the
   bookmark (the reference kept its position in memory only).
 * T2 ``merge_stream_into_store``: every micro-batch upserted into the graph store with ``foreachBatch``.
-  A batch is named by the streaming query's id and its number, and the name is committed with the version it
-  wrote, so a replay is recognised and changes nothing, and two streams may write one label.
+  The streaming query's id and the batch's number are committed with the version it wrote, so a replay is
+  recognised and changes nothing; streams that write one label at the same time take turns by the store's commit.
 * T3 ``live_state``: request state as a streaming aggregation (complete mode), written per batch.
 * T4 ``closed_sessions``: requests idle for ``gap`` are emitted once (session window + watermark, append
   mode) and leave the state store.
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphmill.model import DONE, ERROR, STATUS_EVENTS
+from graphmill.model import DONE, ERROR, STATUS_EVENTS, UID
 
 
 
@@ -82,30 +82,35 @@ def fan_out_batches(sinks: Sequence[tuple[str, Callable[[DataFrame, int], None]]
     return sink
 
 
-def batch_tag(batch: DataFrame, batch_id: int) -> str:
-    """A name for a micro-batch that a restart from the same checkpoint gives again, and no other query."""
-    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
-    return f"{query}-{batch_id}"
+def batch_of(batch: DataFrame, batch_id: int) -> tuple[str, int] | None:
+    """A micro-batch as (streaming query, number), the same after a restart from the same checkpoint; None outside a query."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return (query, batch_id) if query else None
 
 
 def upsert_sink(store, label: str, key: str, as_of) -> Callable[[DataFrame, int], None]:
     """T3 at scale: an update-mode aggregate emits, per micro-batch, only the keys whose state changed,
     each with its full current state; upserting them by key into ``store`` (nodes of ``label``, ``key``
     as ``_uid``) keeps one current row per key."""
+    return merge_sink(store, label, as_of, key=key)
+
+
+def merge_sink(store, label: str, as_of, order_by: Sequence[str] | None = None, key: str = UID) -> Callable[[DataFrame, int], None]:
+    """Upserts every micro-batch into ``store`` under ``label``, rewriting only the buckets its keys fall in (of a bucketed store)."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        store.merge_nodes(label, batch.withColumnRenamed(key, "_uid"), as_of, tag=batch_tag(batch, batch_id))
+        rows = batch.withColumnRenamed(key, UID).persist()  # read for the buckets, and again for the merge
+        try:
+            store.merge_nodes(label, rows, as_of, order_by, batch=batch_of(batch, batch_id), small=True)
+        finally:
+            rows.unpersist()
 
     return sink
 
 
 def merge_stream_into_store(stream: DataFrame, store, label: str, as_of, checkpoint: str, order_by: Sequence[str] | None = None) -> None:
     """Upsert every micro-batch of nodes into ``store`` under ``label``."""
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        store.merge_nodes(label, batch, as_of, order_by, tag=batch_tag(batch, batch_id))
-
-    run_to_end(stream, sink, checkpoint)
+    run_to_end(stream, merge_sink(store, label, as_of, order_by), checkpoint)
 
 
 def live_state(events: DataFrame) -> DataFrame:
@@ -146,6 +151,6 @@ def dump_closed_sessions(events: DataFrame, path: str, gap: str, delay: str, che
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         out = batch.withColumn("dumped_at", F.col("session_end").cast("timestamp_ntz"))
-        out.write.mode("overwrite").json(f"{path}/{batch_tag(batch, batch_id)}")
+        out.write.mode("overwrite").json(f"{path}/{'-'.join(map(str, batch_of(batch, batch_id) or ('batch', batch_id)))}")
 
     run_to_end(closed_sessions(events, gap, delay), sink, checkpoint)
