@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphmill.llm.common import release, stored
-from graphmill.llm.tokens import _byte_letters, default_path, text_lists, unit_offsets
+from graphmill.llm.tokens import MARKS, _byte_letters, default_path, places, text_lists, unit_offsets
 from graphmill.session import table
 
 #: Units that a worker remembers at most; then it starts anew.
@@ -45,24 +45,13 @@ CHUNK_CHARS = 4 << 20
 TABLE_ROW = 1 << 14
 
 _SPAN = attrgetter("id", "begin", "end")
-_MARKS = ".,;:!?"
-_WORD_END = re.compile(f"[A-Za-z][{_MARKS}]")
-_END, _LETTER = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
-_END[list(_MARKS.encode())] = True
-_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_WORD_END = re.compile(f"[A-Za-z][{MARKS}]")
 
 
 def _numbers(parts: list[list[int]]) -> np.ndarray:
     return np.fromiter(chain.from_iterable(parts), np.int64)
 
 
-def _places(first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places of the lists ``which`` of those that begin at ``first``, one list after the other; where each begins there)."""
-    n = first[which + 1] - first[which]
-    upto = np.concatenate([[0], np.cumsum(n)])
-    return np.arange(upto[-1]) + np.repeat(first[which] - upto[:-1], n), upto
-
-
 def _ends(coarse: np.ndarray, sure: np.ndarray, sizes: np.ndarray, first: np.ndarray, base: np.ndarray) -> np.ndarray:
     """Byte ends of tokens: ``coarse`` where ``sure``; else the last sure end (or the unit's ``base``) and the decoded bytes since.
 
@@ -151,7 +140,7 @@ class Aligner:
             return
         self.known = {names[i]: at for at, i in enumerate(kept.tolist())}
         self.groups = [self.groups[i] for i in kept.tolist()]
-        at, upto = _places(self.first, kept)
+        at, upto = places(self.first, kept)
         self.good, self.met, self.counts, self.links, self.first = self.good[kept], np.zeros(len(kept), np.int64), self.counts[:, kept], self.links[at], upto
 
     # ------------------------------------------------------------------ units
@@ -235,13 +224,6 @@ class Aligner:
         offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
         if self.cuts:
             units, _ = unit_offsets(data, offsets)
-            # punctuation at a unit's end, after a letter, is a unit of its own
-            solid = np.maximum.accumulate(np.where(_END[data], -1, np.arange(len(data)))) + 1
-            mark = solid[units[1:] - 1]
-            mark = mark[(mark > units[:-1]) & (mark < units[1:])]
-            border = np.zeros(len(data) + 1, dtype=bool)
-            border[units] = border[mark[_LETTER[data[mark - 1]]]] = True
-            units = np.flatnonzero(border)
         else:
             units = np.unique(offsets)
         strings = pa.LargeStringArray.from_buffers(len(units) - 1, pa.py_buffer(units.astype(np.int64)), pa.py_buffer(joined))
@@ -254,13 +236,13 @@ class Aligner:
         strings, cut = self.split(texts)
         coded = strings.dictionary_encode()
         names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        places = list(map(self.known.get, names))
-        if None in places:
-            new = [u for u, p in zip(names, places, strict=True) if p is None]
+        numbers = list(map(self.known.get, names))
+        if None in numbers:
+            new = [u for u, p in zip(names, numbers, strict=True) if p is None]
             at = self._add(new)
             self.known.update(zip(new, range(at, at + len(new)), strict=True))
-            places = list(map(self.known.__getitem__, names))
-        unit = np.array(places, np.int64)[coded.indices.to_numpy()]
+            numbers = list(map(self.known.__getitem__, names))
+        unit = np.array(numbers, np.int64)[coded.indices.to_numpy()]
         self.met += np.bincount(unit, minlength=len(self.met))
         bad = np.flatnonzero(~self.good[unit])
         if len(bad):
@@ -315,7 +297,7 @@ def aligned_documents(docs: DataFrame, path_a: str | None = None, path_b: str |
             said = list(map(al.groups.__getitem__, unit.tolist()))
             own = ["".join(said[j:k])[:-1] for j, k in pairwise(cut.tolist())]
             groups += [s and hashlib.sha256(s.encode()).hexdigest() for s in own] if digest else own
-            at, upto = _places(al.first, unit)
+            at, upto = places(al.first, unit)
             doc = np.repeat(np.arange(len(some)), np.diff(upto[cut]))
             key, times = np.unique(doc * max(1, len(pairs)) + al.links[at], return_counts=True)
             doc, pair = np.divmod(key, max(1, len(pairs)))

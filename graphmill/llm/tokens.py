@@ -1,7 +1,8 @@
 """Token ids of whole texts with the tokenizers library, a unit of text at a time.
 
-A byte-level BPE splits text before every single space or newline that stands between two characters that are no white space, so the
-ids of a text are those of its units (a word with the space or newline before it) in a row.  Units repeat: Arrow finds the distinct
+A byte-level BPE splits text before every single space or newline that stands between two characters that are no white space, and
+between a letter and the punctuation that ends a word, so the ids of a text are those of its units (a word with the space or
+newline before it, or the punctuation after it) in a row.  Units repeat: Arrow finds the distinct
 ones of a run of texts, each task keeps the ids of those it has met, and numpy lines them up again.  A text that holds one of
 the vocabulary's added tokens is encoded whole, so that the ids are always the library's own.
 """
@@ -11,7 +12,8 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +21,13 @@ import pyarrow as pa
 #: Units that a worker remembers at most; then it starts anew.
 CACHE_UNITS = 800_000
 
-_ASCII_SPACE = np.zeros(256, dtype=bool)
+#: Punctuation that is a unit of its own after a word's last letter.
+MARKS = ".,;:!?"
+
+_ASCII_SPACE, _MARK, _LETTER = (np.zeros(256, dtype=bool) for _ in range(3))
 _ASCII_SPACE[[*range(9, 14), *range(28, 33)]] = True
+_MARK[list(MARKS.encode())] = True
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
 
 
 def _byte_letters() -> dict[int, str]:
@@ -59,9 +66,22 @@ def unit_offsets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
         # a text's last character stays with its unit
         border[1:-2] |= cut & solid[:-2] & solid[2:] & ~border[2:-1]
     units = np.flatnonzero(border)
+    if len(units) > 1:
+        after = np.maximum.accumulate(np.where(_MARK[data], -1, np.arange(len(data)))) + 1  # of the last byte that is no mark
+        mark = after[units[1:] - 1]
+        mark = mark[(mark > units[:-1]) & (mark < units[1:])]
+        border[mark[_LETTER[data[mark - 1]]]] = True
+        units = np.flatnonzero(border)
     return units, np.searchsorted(units, offsets)
 
 
+def places(first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the lists ``which`` of those that begin at ``first``, one list after the other; where each begins there)."""
+    n = first[which + 1] - first[which]
+    upto = np.concatenate([[0], np.cumsum(n)])
+    return np.arange(upto[-1]) + np.repeat(first[which] - upto[:-1], n), upto
+
+
 class Encoder:
     """Ids by the library's whole encoder, or for words of letters by its model alone."""
 
@@ -73,61 +93,46 @@ class Encoder:
         self.dtype = np.dtype("<u2") if self.vocabulary <= 1 << 16 else np.dtype("<u4")
         self.letters = _byte_letters()
         self.added = [t["content"] for t in json.loads(self.tokenizer.to_str())["added_tokens"]]
-        self.ends = {c: self._encode([c])[0] for c in ".,;:!?\n"}
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.first = np.zeros(1, np.int64)  # of each known unit's ids, and after the last
         self.ids = np.zeros(0, self.dtype)
+        self.met = np.zeros(0, np.int64)  # times each was met
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_words(self, words: list[str]) -> list[list[int]]:
-        """The ids of letters with at most a space before them, which no rule splits before the model sees them."""
+        """The ids of letters after a space, which no rule splits before the model sees them."""
         if not words:
             return []
         tokenize = self.tokenizer.model.tokenize
         said = "\n".join(words).encode().decode("latin-1").translate(self.letters).split(self.letters[10])
         return [[t.id for t in tokenize(w)] for w in said]
 
+    def _trim(self) -> None:
+        """Keeps units met more than once, at most half of what the cache holds."""
+        kept = np.flatnonzero(self.met > 1)
+        kept = np.sort(kept[np.argsort(-self.met[kept], kind="stable")[: CACHE_UNITS // 2]])
+        names = list(self.known)  # in the order of their numbers
+        self.known = {names[i]: at for at, i in enumerate(kept.tolist())}
+        at, self.first = places(self.first, kept)
+        self.ids, self.met = self.ids[at], np.zeros(len(kept), np.int64)
+
     def _learn(self, new: list[str]) -> None:
-        ends = self.ends
-        words: dict[str, int] = {}  # letters that the model sees
-        parts: list[tuple[list[int], str, list[int]]] = []  # the ids before and after them
-        rest: list[str] = []
-        of_words, of_rest = [], []
-        for i, u in enumerate(new):
-            bare = u[1:] if u[0] in " \n" else u
-            if bare.isalpha():
-                last: list[int] = []
-            elif bare and bare[-1] in ends and bare[:-1].isalpha():
-                last, bare = ends[bare[-1]], bare[:-1]
-            else:
-                rest.append(u)
-                of_rest.append(i)
-                continue
-            said = " " + bare if u[0] == " " else bare
-            words.setdefault(said, len(words))
-            parts.append((ends["\n"] if u[0] == "\n" else [], said, last))
-            of_words.append(i)
-        by_word = dict(zip(words, self._encode_words(list(words)), strict=True))
-        found: list[list[int]] = [[]] * len(new)
-        for i, (before, said, after) in zip(of_words, parts, strict=True):
-            found[i] = before + by_word[said] + after
-        for i, ids in zip(of_rest, self._encode(rest), strict=True):
-            found[i] = ids
+        word = [u[0] == " " and u[1:].isalpha() for u in new]
+        words, rest = list(compress(new, word)), list(compress(new, map(not_, word)))
+        found = self._encode_words(words) + self._encode(rest)
         at = len(self.known)
-        self.known.update(zip(new, range(at, at + len(new)), strict=True))
+        self.known.update(zip(chain(words, rest), range(at, at + len(new)), strict=True))
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
         self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), self.dtype, int(sizes.sum()))])
+        self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as the bytes of an array of ``dtype``."""
         if len(self.known) > CACHE_UNITS:
-            self._forget()
+            self._trim()
         column = pa.array(texts, pa.large_string())
         offsets = np.frombuffer(column.buffers()[1], np.int64)[: len(texts) + 1]
         data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[: offsets[-1]]
@@ -135,14 +140,13 @@ class Encoder:
         strings = pa.LargeStringArray.from_buffers(len(units) - 1, pa.py_buffer(units.astype(np.int64)), column.buffers()[2])
         coded = strings.dictionary_encode()
         names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        places = list(map(self.known.get, names))
-        if None in places:
-            self._learn([u for u, p in zip(names, places, strict=True) if p is None])
-            places = list(map(self.known.__getitem__, names))
-        unit = np.array(places, np.int64)[coded.indices.to_numpy()]
-        n = self.first[unit + 1] - self.first[unit]
-        upto = np.concatenate([[0], np.cumsum(n)])
-        at = np.arange(upto[-1]) + np.repeat(self.first[unit] - upto[:-1], n)
+        numbers = list(map(self.known.get, names))
+        if None in numbers:
+            self._learn([u for u, p in zip(names, numbers, strict=True) if p is None])
+            numbers = list(map(self.known.__getitem__, names))
+        unit = np.array(numbers, np.int64)[coded.indices.to_numpy()]
+        self.met += np.bincount(unit, minlength=len(self.met))
+        at, upto = places(self.first, unit)
         raw = memoryview(self.ids[at].tobytes())
         cut = (upto[text_at] * self.dtype.itemsize).tolist()
         out = [bytes(raw[i:j]) for i, j in zip(cut[:-1], cut[1:], strict=True)]
@@ -167,7 +171,7 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def text_lists(column, most_chars: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:
+def text_lists(column, most_chars: int = 1 << 22) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) of short runs of rows; null is empty."""
     held, first, size = [], 0, 0
     for i, t in enumerate(column):

@@ -25,7 +25,7 @@ def crc(x):
 def test_units_equal_whole_texts(ids, sf_docs):
     texts = [
         "", " ", "\n", "a", " a", "a ", "a  b", "a\nb", "a\n\nb", "it's I'll 's 'S", "x <|endoftext|> y", "<|endoftext|> hi", "a<|endoftext|>b c", "<|endoftext|>", "<|endoftext |> z", "é ç d", "日本 語。 12a b1", "​ a", "a ́b", "ǅ ª º x ⅷ ²",
-        "\0a b\0", "a's, b.c don't. (x) [y]", "tab\there\rnow\x0bx\x0cy", "a b c d", "\x1ca b", "x\n y", "a\u0085b c", "ẞß İi ŉ.\nÉa", "a.\nb!\nc?\nd;", "😀 😀.\n😀",
+        "\0a b\0", "a's, b.c don't. (x) [y]", "tab\there\rnow\x0bx\x0cy", "a b c d", "\x1ca b", "x\n y", "a.\nb", "a. b.c d.!!  e;", "a.b,", "é, ß!", "a\u0085b c", "ẞß İi ŉ.\nÉa", "a.\nb!\nc?\nd;", "😀 😀.\n😀",
         *(r.text for r in sf_docs.collect()),
     ]
     texts += [f"a{w}b c{w} d {w}e {w} f{w}" for w in map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0x180E, 0xFEFF])]
