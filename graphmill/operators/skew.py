@@ -9,7 +9,7 @@ Nothing here puts such a key into one task:
   salted into slices of ordinary task size, its single row on the unique side repeated once per slice.
   One scan, one shuffle, exact.
 * ``number_within`` gives exact ``row_number()`` per key: rows are range-partitioned on (key, order), so a
-  hot key spreads over many tasks; per-(partition, key) counts are prefix-summed and joined back.
+  hot key spreads over many tasks; only the one key per partition that began in an earlier one needs an offset.
 * ``top_n_within`` keeps the first ``n`` rows per key in two rounds, each over a bounded group.
 * ``latest_per_key`` keeps one row per key (greatest order) with a partial aggregate: a hot key is reduced
   map-side before the shuffle.
@@ -17,13 +17,13 @@ Nothing here puts such a key into one task:
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from graphmill.session import checkpoint_root
+from pyspark.sql import types as T
 
 # A key is worth a separate path only when it fills several tasks on its own.
 HOT_KEY_MIN_ROWS = 2_000_000
@@ -105,8 +105,6 @@ def _typed(v: str, data_type):
     """A number's text as a value; other keys stay text (``_hot_frame`` casts them)."""
     import decimal
 
-    from pyspark.sql import types as T
-
     if isinstance(data_type, T.IntegralType):
         return int(v)
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
@@ -117,8 +115,6 @@ def _typed(v: str, data_type):
 def _hot_frame(df: DataFrame, key: str, hot: list[tuple], per_slice: int) -> DataFrame:
     """(``_hot``, ``_slices``): the hot keys in the type of ``df``'s key and their slices; a bounded list
     (``hot_keys``).  Keys may be given as values or as text."""
-    from pyspark.sql import types as T
-
     kind = df.schema[key].dataType
     rows = [(k, int(-(-n // per_slice))) for k, n in hot]
     given = T.StringType() if all(isinstance(k, str) for k, _ in rows) else kind
@@ -127,8 +123,6 @@ def _hot_frame(df: DataFrame, key: str, hot: list[tuple], per_slice: int) -> Dat
 
 
 def _has_map(data_type) -> bool:
-    from pyspark.sql import types as T
-
     if isinstance(data_type, T.ArrayType):
         return _has_map(data_type.elementType)
     if isinstance(data_type, T.StructType):
@@ -179,6 +173,43 @@ def split_join(
     return j.drop(b["_slice"]).drop(s["_slice"])
 
 
+def _comparable(df: DataFrame, name: str) -> Column:
+    """A key column in a form that Arrow compares exactly."""
+    kind, col = df.schema[name].dataType, F.col(quoted(name))
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return col.cast("string")  # a NaN equals itself
+    return F.to_json(F.struct(col)) if isinstance(kind, (T.ArrayType, T.StructType)) else col
+
+
+def _number_of_key(*keys: Column) -> Column:
+    """How many rows of the partition, up to this one, have this row's key: 1, 2, ... of rows in the order of their keys."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def number(batches):
+        last, held = None, 0  # the key before, and its rows so far
+        for columns in batches:
+            columns = columns if isinstance(columns, tuple) else (columns,)
+            n = len(columns[0])
+            new = np.zeros(n, dtype=bool)
+            for i, c in enumerate(columns):
+                before = pa.concat_arrays([c.slice(0, 1) if last is None else last[i], c.slice(0, n - 1)])
+                same = pc.fill_null(pc.equal(c, before), False)
+                same = pc.or_(same, pc.and_(pc.is_null(c), pc.is_null(before)))
+                new |= ~same.to_numpy(zero_copy_only=False)
+            at = np.arange(n)
+            start = np.maximum.accumulate(np.where(new, at, -1))
+            yield pa.array(np.where(start >= 0, at - start, at + held) + 1)
+            if n:
+                held = n - start[-1] if start[-1] >= 0 else held + n
+                last = [c.slice(n - 1, 1) for c in columns]
+
+    many: type = Iterator[tuple[pa.Array, ...]] if len(keys) > 1 else Iterator[pa.Array]
+    number.__annotations__ = {"batches": many, "return": Iterator[pa.Array]}
+    return F.arrow_udf(number, "long")(*keys)
+
+
 def number_within(
     df: DataFrame,
     keys: Sequence[str],
@@ -188,36 +219,40 @@ def number_within(
 ) -> DataFrame:
     """Exact ``row_number() OVER (PARTITION BY keys ORDER BY order)`` without one task per key.
 
-    The order should be total (end with a unique column) for repeatable numbers.  The range-partitioned
-    rows are checkpointed once (to the shared checkpoint folder) so partition ids and row ids stay fixed
-    between the count branch and the numbering branch, also when a task is retried.
+    The order should be total (end with a unique column) for repeatable numbers.  One shuffle, by ranges of (keys, order): in a
+    sorted partition a key's rows stand together and are numbered there (an Arrow function that sees the key columns only).  A key
+    that began in an earlier partition is the partition's first one, so one offset a partition makes the numbers exact: the rows of
+    that key in earlier partitions, each of which it ends.  Offsets are found from the same shuffle files by an aggregate of one row a
+    partition, and broadcast; nothing is checkpointed.
     """
     spark = df.sparkSession
-    checkpoint_root(spark)
     keys = list(keys)
-    sort_cols = _cols(keys) + _cols(order)
+    sort_cols = [F.col(quoted(k)) for k in keys] + _cols(order)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
-        df.repartitionByRange(n, *sort_cols)
-        .sortWithinPartitions(*sort_cols)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
-    per_part = placed.groupBy("_pid", *keys).agg(
-        F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt")
-    )
-    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
-    o = offsets.alias("_o")
-    p = placed.alias("_p")
-    cond = [F.col("_p._pid") == F.col("_o._pid")] + [F.col(f"_p.{k}").eqNullSafe(F.col(f"_o.{k}")) for k in keys]
-    joined = p.join(o, reduce(lambda a, b: a & b, cond), "inner")
-    numbered = joined.select(
-        *[F.col(f"_p.{c}") for c in df.columns],
-        (F.col("_o._before") + F.col("_p._mid") - F.col("_o._first") + 1).alias(out),
-    )
-    return numbered
+    held = F.struct(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    key = F.struct(F.lit(0).alias("none"), *[F.col(quoted(k)) for k in keys])
+    placed = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    # the place in the partition: the lower 33 bits of the id
+    at = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+
+    # one row a partition: its first and last key and their rows.  It reads every column (their hash), so that Spark runs the same
+    # shuffle for it as for the rows
+    seen = F.length(F.to_json(held)) if _has_map(T.StructType(df.schema.fields)) else F.xxhash64(held)
+    ends = placed.select(F.spark_partition_id().alias("pid"), at.alias("at"), key.alias("key"), seen.alias("h"))
+    place = F.struct(F.col("key"), (-F.col("at")).alias("back"))
+    ends = ends.groupBy("pid").agg(F.min(place).alias("head"), F.max(place).alias("tail"), F.max("at").alias("end"), F.max("h").alias("h"))
+    head = F.struct(F.col("head.key").alias("key"), (1 - F.col("head.back")).alias("rows"), F.lit(0).cast("long").alias("tail"))
+    tail = F.struct(F.col("tail.key").alias("key"), F.lit(None).cast("long").alias("rows"), (F.col("end") + F.col("tail.back") + 1).alias("tail"))
+    both = ends.select("pid", "h", F.inline(F.array(head, tail)))
+    # the rows of a partition's first key in the partitions before, each of which ends with it
+    before = Window.partitionBy("key").orderBy("pid").rangeBetween(Window.unboundedPreceding, -1)
+    offsets = both.withColumn("before", F.sum("tail").over(before)).where("rows is not null and before is not null and h is not null").select(F.col("pid").alias("_pid"), F.col("rows").alias("_head"), F.col("before").alias("_before"))
+
+    local = _number_of_key(*[_comparable(df, k) for k in keys]) if keys else F.col("_at") + 1
+    rows = placed.withColumns({"_pid_": F.spark_partition_id(), "_at": at}).withColumn("_local", local)
+    rows = rows.join(F.broadcast(offsets), rows["_pid_"] == offsets["_pid"], "left")  # at most one row a partition
+    carried = F.when(F.col("_at") < F.col("_head"), F.col("_before")).otherwise(0)
+    return rows.select(*[F.col(quoted(c)) for c in df.columns], (F.col("_local") + carried).cast("long").alias(out))
 
 
 def top_n_within(
@@ -247,8 +282,6 @@ def top_n_within(
 
 def orderable(data_type) -> bool:
     """Whether Spark can order values of this type (maps cannot be compared)."""
-    from pyspark.sql import types as T
-
     if isinstance(data_type, T.MapType):
         return False
     if isinstance(data_type, T.ArrayType):

@@ -35,6 +35,8 @@ from graphmill.sources import index as IX
 from graphmill.sources import kv as KV
 from graphmill.sources import providers as PR
 from graphmill.sources import whitelist as WL
+from graphmill.streaming import rows as SR
+from graphmill.streaming import state as SG
 from graphmill.streaming import stream as SS
 
 # Store layout for the queries' scratch graphs (sized for the driver tables, not the session's defaults).
@@ -586,6 +588,46 @@ def q_live_state(spark, d):
     )
 
 
+STREAM_BATCHES = 5
+RUN_IDLE_DAYS = 3
+
+
+def _row_stream(spark, session, d, name: str) -> tuple[DataFrame, str]:
+    """(a stream of the events, its checkpoint folder): few files in the order of time, so that a user is spread over all of
+    them, read in micro-batches of fewer rows than a file has."""
+    ev = _t(spark, d, "events")
+    src, ckpt = scratch_path(spark, name), scratch_path(spark, "stream-ckpt")
+    ev.repartitionByRange(3, "ts", "event_id").sortWithinPartitions("ts", "event_id").write.parquet(src)
+    rows = max(1, ev.count() // STREAM_BATCHES)
+    return SR.read_rows(session, src, ev.schema, ckpt, rows), ckpt
+
+
+def q_stream_rows(spark, d):
+    """Every event once, in micro-batches that begin and end inside files, until the stream is idle."""
+    stream, ckpt = _row_stream(spark, _stream_session(spark), d, "stream-src")
+    out = scratch_path(spark, "stream-out")
+    SR.run_until_idle(stream, SS.copy_to_sink(out), ckpt, 1.0)
+    return spark.read.schema(stream.schema).parquet(out).select("event_id", "ts", "user_id", "event_type", "value")
+
+
+def q_stream_merge_rows(spark, d):
+    """The merge of users whose rows come in many micro-batches."""
+    stream, ckpt = _row_stream(spark, _stream_session(spark), d, "stream-src")
+    store = GraphStore(spark, scratch_path(spark, "stream-graph"), buckets=STORE_BUCKETS)
+    stream = stream.select(F.col("user_id").alias(UID), "event_id", "ts", "event_type", "value")
+    SR.run_until_idle(stream, SS.merge_sink(store, "User", AS_OF_2, ["ts", "event_id"]), ckpt, 1.0)
+    return store.nodes("User")
+
+
+def q_live_runs(spark, d):
+    """Request state in runs, replaced by STARTED and dropped by a timer, upserted per micro-batch."""
+    stream, ckpt = _row_stream(spark, SG.rocksdb_session(_stream_session(spark)), d, "stream-src")
+    store = GraphStore(spark, scratch_path(spark, "live-runs"), buckets=STORE_BUCKETS)
+    runs = SG.live_runs(progress_events(stream), "1 hour", RUN_IDLE_DAYS * 86_400)
+    SR.run_until_idle(runs, SS.merge_sink(store, "RequestRun", AS_OF_2, key="request_id"), ckpt, 1.0, mode="update")
+    return store.nodes("RequestRun").select(F.col(UID).alias("request_id"), "status", "start_at", "end_at", "n_events", "n_errors")
+
+
 def q_closed_sessions(spark, d):
     src, schema = _stream_copy(spark, d, "stream-src")
     out = scratch_path(spark, "sessions")

@@ -302,6 +302,21 @@ SELECT 'Message' AS label, count(*) FILTER (WHERE role = 'system') AS n_null, co
     "events_of_request": f"SELECT request_id, seq, event_type FROM ({_pev()}) WHERE contains(request_id, 'req-12')",
     "stream_read": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_merge": _STREAM_WINNERS,
+    "stream_rows": "SELECT event_id, ts, user_id, event_type, value FROM events",
+    "stream_merge_rows": _STREAM_WINNERS,
+    "live_runs": f"""
+WITH {_since_start()},
+g AS (SELECT *, CASE WHEN timestamp - lag(timestamp) OVER w > INTERVAL 3 DAY THEN 1 ELSE 0 END AS brk
+      FROM f WINDOW w AS (PARTITION BY request_id ORDER BY timestamp, seq)),
+k AS (SELECT *, sum(brk) OVER (PARTITION BY request_id ORDER BY timestamp, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cut FROM g),
+run AS (SELECT * FROM k WHERE cut = 0),
+ls AS (SELECT request_id, event_type AS status FROM (
+       SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY timestamp DESC, seq DESC) AS rn FROM run
+       WHERE event_type IN {STATUS_LIST}) WHERE rn = 1)
+SELECT run.request_id, ls.status, min(s_ts) AS start_at,
+       max(CASE WHEN event_type = 'DONE_PROCESSING_REQUEST' THEN timestamp END) AS end_at,
+       count(*) AS n_events, count(*) FILTER (WHERE event_type = 'ERROR') AS n_errors
+FROM run LEFT JOIN ls USING (request_id) GROUP BY run.request_id, ls.status""",
     "live_state": f"""
 WITH ev AS ({_pev()}),
 ls AS (SELECT request_id, event_type AS status FROM (

@@ -91,6 +91,27 @@ def test_number_within_equals_window(spark):
     assert sorted(r["g"] for r in glob.collect()) == list(range(1, ev.count() + 1))
 
 
+def test_number_within_has_one_shuffle_and_needs_no_checkpoint(spark):
+    """A key over all partitions, one that ends where a partition does, null and NaN keys, nested keys, a map beside them."""
+    ev = _events(spark).withColumn("m", F.create_map(F.lit("a"), "event_id"))
+    hot = ev.withColumns({"k": F.when(F.col("event_id") % 3 > 0, F.lit(7.0)).when(F.col("event_id") % 2 == 0, F.lit(float("nan"))), "a": F.array((F.col("event_id") % 2).cast("int"))})
+    for keys in (["k"], ["k", "a"], [], ["event_id"]):
+        mine = S.number_within(hot, keys, [F.col("ts").desc(), "event_id"], partitions=16)
+        w = Window.partitionBy(*keys).orderBy(F.col("ts").desc(), "event_id")
+        ref = hot.withColumn("rn", F.row_number().over(w))
+        rows = mine.select("event_id", "rn", "m").collect()
+        assert sorted((r["event_id"], r["rn"], r["m"]["a"]) for r in rows) == sorted((r["event_id"], r["rn"], r["m"]["a"]) for r in ref.collect())
+        mine = S.number_within(hot, keys, [F.col("ts").desc(), "event_id"], partitions=16)
+        mine.write.format("noop").mode("overwrite").save()
+        first = mine._jdf.queryExecution()
+        first.executedPlan().execute().count()
+        plan = first.executedPlan().toString()
+        final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+        assert final.count("Exchange rangepartitioning") - final.count("ReusedExchange [") <= 1, final
+        assert "Scan ExistingRDD" not in plan  # no checkpoint
+    assert S.number_within(hot.limit(0), ["k"], ["event_id"]).collect() == []
+
+
 def test_top_n_and_latest(spark):
     ev = _events(spark)
     mine = S.top_n_within(ev, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()], 3, partitions=8)
