@@ -303,7 +303,7 @@ def keep_one(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80
     """
     found = jaccard_components(spark, docs, k, percent, block)
     gone = stored(spark, found.where("component_id < doc_id").select("doc_id").distinct(), "gone")
-    return docs.join(gone.withColumnRenamed("doc_id", "_gone"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,10 +21,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from graphmill.llm.common import Words, mix64, parts, release, running_total, stored, text_chunks
+from graphmill.operators.skew import quoted
 from graphmill.session import table
 
 BLOCK_WORDS = 64
@@ -52,6 +54,12 @@ def permute(i: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _row_hash(docs: DataFrame) -> Column:
+    """A hash of id, source and text, and of other columns that ``documents`` does not have."""
+    more = [f.name for f in docs.schema.fields if f.name not in ("doc_id", "text", "lang", "source", "n_chars")]
+    return F.xxhash64("doc_id", "source", "text", *([F.to_json(F.struct(*[F.col(quoted(c)) for c in more]))] if more else []))
+
+
 def with_sizes(docs: DataFrame) -> DataFrame:
     """(doc_id, source, rid, size): words per row, and a hash of the row."""
 
@@ -61,7 +69,7 @@ def with_sizes(docs: DataFrame) -> DataFrame:
             n = np.concatenate(n).astype(np.int64) if n else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "source", "rid")), pa.array(n)], ["doc_id", "source", "rid", "size"])
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.xxhash64("doc_id", "source", "text").alias("rid"), F.col("text").cast("string").alias("text"))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), _row_hash(docs).alias("rid"), F.col("text").cast("string").alias("text"))
     return own.mapInArrow(rows, "doc_id long, source string, rid long, size long")
 
 
@@ -156,16 +164,17 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFram
     blank = rows.where("size = 0").groupBy("rid").agg(F.count("*").cast("int").alias("blank"))
     blank = stored(spark, blank, "blank")
     release(spark)
-    schema = docs.schema
-    text_at = docs.columns.index("text")
+    # other columns may be named like inner ones: they are numbered on the way
+    schema = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)])
+    text_at, chars_at = (docs.columns.index(c) if c in docs.columns else None for c in ("text", "n_chars"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, off in text_chunks(batch.column("text")):
+            for i, j, data, off in text_chunks(batch.column(text_at)):
                 w = Words(data, off)
                 take, texts = [], []
                 for r, (lists, blank) in enumerate(zip(batch.column("lists")[i:j].to_pylist(), batch.column("blank")[i:j].to_pylist(), strict=True)):
-                    old = batch.column("text")[i + r].as_py()
+                    old = batch.column(text_at)[i + r].as_py()
                     if not lists:
                         take += [i + r] * (blank or 0)
                         texts += [old] * (blank or 0)
@@ -191,13 +200,13 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFram
                 part = batch.select(schema.names).take(pa.array(take, pa.int64()))
                 columns = [part.column(c) for c in range(part.num_columns)]
                 columns[text_at] = pa.array(texts, pa.string())
-                if "n_chars" in schema.names:
-                    at = schema.names.index("n_chars")
-                    columns[at] = pa.array([None if t is None else len(t) for t in texts], columns[at].type)
+                if chars_at is not None:
+                    columns[chars_at] = pa.array([None if t is None else len(t) for t in texts], columns[chars_at].type)
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    own = docs.withColumn("rid", F.xxhash64("doc_id", "source", "text")).dropDuplicates(["rid"])
-    return own.join(lists, "rid", "left").join(blank, "rid", "left").select(*docs.columns, "lists", "blank").mapInArrow(cut, schema)
+    own = docs.select(*[F.col(quoted(c)).alias(k) for c, k in zip(docs.columns, schema.names, strict=True)], _row_hash(docs).alias("rid")).dropDuplicates(["rid"])
+    mixed = own.join(lists, "rid", "left").join(blank, "rid", "left").select(*schema.names, "lists", "blank").mapInArrow(cut, schema)
+    return mixed.toDF(*docs.columns)
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,8 +27,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from graphmill.llm.common import Words, mix64, release, stored, text_chunks
+from graphmill.operators.skew import quoted
 from graphmill.session import table
 
 SPAN = 3
@@ -151,14 +153,20 @@ def _clean(text: bytes, s: Sentences, lo: int, hi: int, base: int, marked: np.nd
     return b"".join(out), gone
 
 
+_COUNTS = ("n_sentences", "n_removed", "words_removed")
+
+
 def dedup_substrings(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, anywhere: bool = False) -> DataFrame:
-    """Every row of ``docs`` with its ``text`` cleaned, and n_sentences, n_removed, words_removed (long).
+    """Every row of ``docs`` with all its columns, its ``text`` cleaned, and n_sentences, n_removed, words_removed (long), which
+    replace columns of these names.
 
     n_removed counts sentences that went as a whole.  Marked stretches of fewer than ``min_words`` words stay.  With ``anywhere``,
     repeats that begin or end inside a sentence go too."""
-    types = {f.name: f.dataType for f in docs.schema}
-    keep = [c for c in docs.columns if c in ("doc_id", "lang", "source", "n_chars")]
-    own = docs.select(*keep, F.col("text").cast("string").alias("text"))
+    names = [c for c in docs.columns if c not in ("text", *_COUNTS)]
+    # other columns may be named like inner ones: they are numbered on the way
+    keep = [f"c{i}" for i in range(len(names))]
+    types = {k: docs.schema[c].dataType for k, c in zip(keep, names, strict=True)}
+    own = docs.select(*[F.col(quoted(c)).alias(k) for c, k in zip(names, keep, strict=True)], "doc_id", F.col("text").cast("string").alias("text"))
     own = own.withColumn("ord", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumn("rid", F.xxhash64("doc_id", "text"))
     runs = _runs(own, anywhere)
     seen = runs.groupBy("run").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("first < last")
@@ -191,13 +199,27 @@ def dedup_substrings(spark: SparkSession, docs: DataFrame, min_words: int = MIN_
                 part = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in keep), pa.array(texts, pa.string()), pa.array(np.diff(cut).astype(np.int64)), pa.array(gone, pa.int64()), pa.array(gone_words, pa.int64())],
-                    [*keep, "text", "n_sentences", "n_removed", "words_removed"],
+                    [*keep, "text", *_COUNTS],
                 )
 
-    ddl = ", ".join([*(f"`{c}` {types[c].simpleString()}" for c in keep), "text string, n_sentences long, n_removed long, words_removed long"])
-    return own.join(again, "rid", "left").select(*keep, "text", "at").mapInArrow(rows, ddl)
+    schema = T.StructType([T.StructField(k, t) for k, t in types.items()]).add("text", "string")
+    for c in _COUNTS:
+        schema = schema.add(c, "long")
+    return own.join(again, "rid", "left").select(*keep, "text", "at").mapInArrow(rows, schema).toDF(*names, "text", *_COUNTS)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with cleaned texts, repeats inside sentences included, and its own columns only; n_chars, if there, is that of the
+    text where it changed."""
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    inner = [c if c in ("doc_id", "text") else k for c, k in zip(docs.columns, own, strict=True)]
+    cleaned = dedup_substrings(spark, docs.toDF(*inner), anywhere=True)
+    if "n_chars" in docs.columns:
+        at = inner[docs.columns.index("n_chars")]
+        cleaned = cleaned.withColumn(at, F.when(F.col("words_removed") > 0, F.length("text")).otherwise(F.col(at)).cast(docs.schema["n_chars"].dataType))
+    return cleaned.select(*inner).toDF(*docs.columns)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: doc_id, its cleaned text, its sentences, and how many sentences and words were removed."""
-    return dedup_substrings(spark, table(spark, sf_dir, "documents"), anywhere=True).select("doc_id", "text", "n_sentences", "n_removed", "words_removed")
+    return dedup_substrings(spark, table(spark, sf_dir, "documents"), anywhere=True).select("doc_id", "text", *_COUNTS)

@@ -281,13 +281,16 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose text scores below 0.5, with all their columns."""
     model = train(docs, labels, **options)
 
+    text_at = docs.columns.index("text")
+
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, off in text_chunks(batch.column("text")):
+            for i, j, data, off in text_chunks(batch.column(text_at)):
                 ok = model.logits(Words(data, off, _WORD)) < 0
                 yield batch.slice(i, j - i).filter(pa.array(ok))
 
-    return docs.mapInArrow(passed, docs.schema)
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names with dots are none for mapInArrow
+    return numbered.mapInArrow(passed, numbered.schema).toDF(*docs.columns)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

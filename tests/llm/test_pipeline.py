@@ -1,6 +1,9 @@
 from collections import Counter, defaultdict
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
+from graphmill.llm.substring import dedup_substrings
 from graphmill.llm.toxicity import toxicity
 from graphmill.llm.tokens import default_path, encoder
 
@@ -27,8 +30,11 @@ def test_every_stage_against_brute_force(spark, sf_docs):
             assert sorted(r.doc_id for r in rows) == sorted(i for i, c in component.items() if c == i)
         elif name == "substring dedup":
             order = sorted(before)
-            want = dict(zip(order, substring([(i, before[i].text) for i in order]), strict=True))
-            assert {r.doc_id: r.text for r in rows} == want and all(r.n_chars == len(r.text) for r in rows)
+            whole = dict(zip(order, substring([(i, before[i].text) for i in order]), strict=True))
+            cleaned = {r.doc_id: r.text for r in dedup_substrings(spark, docs, anywhere=True).collect()}
+            assert {r.doc_id: r.text for r in rows} == cleaned and all(r.n_chars == len(r.text) for r in rows)
+            # repeats inside sentences go besides whole sentences
+            assert all(not Counter(words(r.text)) - Counter(words(whole[r.doc_id])) for r in rows)
         elif name == "mixing":
             for r in rows:
                 assert not Counter(words(r.text)) - Counter(words(before[r.doc_id].text)) and r.n_chars == len(r.text)
@@ -48,10 +54,28 @@ def test_every_stage_against_brute_force(spark, sf_docs):
     assert sorted(map(key, corpus_pipeline.run(spark, SF).collect())) == sorted(map(key, rows))
 
 
-def test_without_rows(spark, no_docs, odd_docs):
+INNER = ("rid", "ord", "at", "lists", "blank", "run", "first", "last", "sno", "start", "words", "size", "c0", "c1", "n_removed", "n_sentences", "_gone", "_source", "row", "ids", "a.b")
+
+
+def test_without_rows_and_with_columns_named_like_inner_ones(spark, no_docs, odd_docs):
     for docs in (no_docs, odd_docs.where("doc_id < 7 or doc_id is null")):
-        docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
-        some = not docs.isEmpty()
-        for _, stage in corpus_pipeline.STAGES:
-            docs = spark.createDataFrame((out := stage(spark, docs, SF)).collect(), out.schema)
+        docs = docs.withColumns({c: F.lit(i) if i % 2 else F.array(F.lit(c)) for i, c in enumerate(INNER)})
+        some, columns = not docs.isEmpty(), docs.columns
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            rows = out.collect()
+            if name != "packing":
+                assert out.columns == columns and out.schema.simpleString() == docs.schema.simpleString()
+                for r in rows:
+                    assert all(r[c] == (i if i % 2 else [c]) for i, c in enumerate(INNER))
+            docs = spark.createDataFrame(rows, out.schema)
         assert docs.isEmpty() != some
+
+
+def test_rows_that_differ_in_another_column_only(spark):
+    text = " ".join(f"w{i}" for i in range(200))
+    docs = spark.createDataFrame([(1, text, "en", "a", len(text), x) for x in ("x", "y")] + [(2, "other words here", "en", "b", 16, "z")], "doc_id long, text string, lang string, source string, n_chars long, extra string")
+    got = {(r.doc_id, r.extra) for r in corpus_pipeline.mixing(spark, docs, SF).collect()}
+    assert {x for x in got if x[0] == 1} <= {(1, "x"), (1, "y")} and any(x[0] == 1 for x in got)
+    cleaned = corpus_pipeline.substring_dedup(spark, docs, SF)
+    assert sorted(r.extra for r in cleaned.collect()) == ["x", "y", "z"]
