@@ -9,13 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from graphmill.llm.common import stored
 from graphmill.llm.jaccard import keep_one
 from graphmill.llm.mixing import mixed_documents
 from graphmill.llm.packing import pack
-from graphmill.llm.substring import dedup_substrings
+from graphmill.llm.substring import without_repeats
 from graphmill.llm.toxicity import reject_toxic
 from graphmill.session import table
 
@@ -31,11 +30,8 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that an earlier document has go from the texts; every document stays."""
-    cleaned = dedup_substrings(spark, docs)
-    if "n_chars" in docs.columns:
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return cleaned.select(*docs.columns)
+    """Passages that an earlier document has go from the texts, wherever in a sentence they begin; every document stays."""
+    return without_repeats(spark, docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
