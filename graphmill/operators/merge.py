@@ -17,6 +17,7 @@ Semantics pinned by the tests:
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -277,6 +278,19 @@ def dangling_edges(
     return out.withColumn("_times", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).drop("_times")
 
 
+#: Folder value of an empty edge type (an empty partition value reads back as null).
+_EMPTY_TYPE = "\\e"
+
+
+def _written_types(spark, path: str) -> list[str]:
+    """The edge types in a folder partitioned by type, from its listing."""
+    from urllib.parse import unquote
+
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    return sorted(unquote(n.split("=", 1)[1]) for n in names if n.startswith("_type="))
+
+
 def merge_typed_edges(
     graph,
     incoming: DataFrame,
@@ -284,19 +298,37 @@ def merge_typed_edges(
     to_label: str,
     edge_type: str | None = None,
     hot_min_rows: int | None = HOT_KEY_MIN_ROWS,
+    path: str | None = None,
 ):
-    """J2 with P15: each incoming edge's type is ``edge_type`` when given, else its own ``_edgeType``.
+    """J2 with P15: each incoming edge's type is ``edge_type`` when given, else its own ``_edgeType``; null types and ids are no edges.
 
-    Returns a new ``Graph`` whose edge tables ``(type, from_label, to_label)`` hold the merged edges.  The
-    distinct types are read to the driver (one table each), then every type is one merge.
+    One merge for all types, keyed by (type, from, to): the source is read once, edges that the graph knows go first (one shuffle of
+    the triples), the rest is written to scratch, and only its ends are checked (a shuffle for each end; hot ends are sampled
+    from scratch).  New edges are written once, partitioned by type, under ``path`` (default: the scratch folder).  Returns a new
+    ``Graph`` whose tables ``(type, from_label, to_label)`` are the known edges and those.
     """
     from graphmill.model import EDGE_TYPE, Graph
-
-    typed = incoming.withColumn("_t", F.coalesce(F.lit(edge_type).cast("string"), F.col(EDGE_TYPE)))
-    types = [r[0] for r in typed.select("_t").where(F.col("_t").isNotNull()).distinct().collect()]
+    from graphmill.session import scratch_path
+
+    spark = incoming.sparkSession
+    path = path or scratch_path(spark, "typed-edges")
+    kind = F.coalesce(F.lit(edge_type).cast("string"), F.col(EDGE_TYPE).cast("string"))
+    ends = [F.col(c).isNotNull() for c in (FROM_UID, TO_UID)]
+    fresh = incoming.select(F.when(kind == "", _EMPTY_TYPE).otherwise(kind).alias("_type"), FROM_UID, TO_UID).where(F.col("_type").isNotNull() & ends[0] & ends[1]).distinct()
+    known = {k: e for k, e in graph.edges.items() if k[1:] == (from_label, to_label)}
+    if known:
+        held = [e.select(F.lit(k[0] or _EMPTY_TYPE).alias("_type"), FROM_UID, TO_UID) for k, e in known.items()]
+        fresh = fresh.join(reduce(DataFrame.unionByName, held), ["_type", FROM_UID, TO_UID], "left_anti")
+    fresh.write.parquet(f"{path}/fresh")
+    fresh = spark.read.schema(fresh.schema).parquet(f"{path}/fresh")
+    hot = _hot_ends(fresh, hot_min_rows)
+    for end, nodes in ((FROM_UID, graph.nodes[from_label]), (TO_UID, graph.nodes[to_label])):
+        fresh = split_join(fresh, nodes.select(F.col(UID).alias("_k")), end, "_k", "left_semi", min_rows=hot_min_rows, hot=hot[end])
+    fresh.write.partitionBy("_type").parquet(f"{path}/edges")
+    new = spark.read.schema(T.StructType([*fresh.schema.fields])).parquet(f"{path}/edges")
     edges = dict(graph.edges)
-    for t in sorted(types):
-        key = (t, from_label, to_label)
-        batch = typed.where(F.col("_t") == t)
-        edges[key] = merge_edges(edges.get(key), batch, graph.nodes[from_label], graph.nodes[to_label], hot_min_rows)
+    for t in _written_types(spark, f"{path}/edges"):
+        key = ("" if t == _EMPTY_TYPE else t, from_label, to_label)
+        own = new.where(F.col("_type") == t).select(FROM_UID, TO_UID)  # that type's folder only
+        edges[key] = edges[key].select(FROM_UID, TO_UID).unionByName(own) if key in edges else own
     return Graph(dict(graph.nodes), edges)

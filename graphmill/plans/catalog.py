@@ -380,6 +380,26 @@ def q_multi_get_hash(spark, d):
     return KV.multi_get_hash(req, store)
 
 
+LOOKUP_BUCKETS = 16
+
+
+def q_get_stored(spark, d):
+    """S7 from a stored index: the customers of partly shipped orders; only the folders that hold one are read."""
+    path = scratch_path(spark, "kv")
+    KV.write_store(_t(spark, d, "customer").select(F.format_string("Customer-%d", F.col("c_custkey")).alias("key"), F.col("c_name").alias("value")), path, LOOKUP_BUCKETS)
+    req = _t(spark, d, "orders").where("o_orderstatus = 'P'")
+    return KV.get_stored(req.select(F.col("o_orderkey").alias("pos"), F.format_string("Customer-%d", F.col("o_custkey")).alias("key")), path)
+
+
+def q_get_stored_hash(spark, d):
+    """S8 from a stored index: suppliers asked for by nation, more keys than the index has."""
+    path = scratch_path(spark, "kv")
+    supplier = _t(spark, d, "supplier").select(F.format_string("Nation-%d", F.col("s_nationkey")).alias("key"), F.col("s_name").alias("field"), F.col("s_acctbal").cast("string").alias("value"))
+    KV.write_store(supplier.where("key <> 'Nation-7'"), path, LOOKUP_BUCKETS)
+    req = _t(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("pos"), F.format_string("Nation-%d", F.col("n_nationkey")).alias("key"))
+    return KV.get_stored(req, path).select("pos", "key", "field", F.col("value").cast("double").alias("value"))
+
+
 def q_keyed_overwrite(spark, d):
     return KV.keyed_rows(_event_nodes(spark, d), ["ts", "event_id"])
 
@@ -610,6 +630,25 @@ def q_stream_rows(spark, d):
     return spark.read.schema(stream.schema).parquet(out).select("event_id", "ts", "user_id", "event_type", "value")
 
 
+def q_listeners(spark, d):
+    """Two listeners of the event stream, each a query of its own; one fails on its first batch and catches up alone."""
+    src, schema = _stream_copy(spark, d, "stream-src")
+    outs = {name: scratch_path(spark, f"listener-{name}") for name in ("steady", "flaky")}
+    failed = []
+
+    def flaky(batch: DataFrame, batch_id: int) -> None:
+        if not failed:
+            failed.append(batch_id)
+            raise RuntimeError("unavailable")
+        SS.copy_to_sink(outs["flaky"])(batch, batch_id)
+
+    stream = SS.read_stream(_stream_session(spark), src, schema, max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    got = SS.run_listeners(stream, [("steady", SS.copy_to_sink(outs["steady"])), ("flaky", flaky)], scratch_path(spark, "stream-ckpt"))
+    rows = [spark.read.schema(schema).parquet(outs[n]).agg(F.count(F.lit(1)).alias("n_events"), F.count_distinct("event_id").alias("n_distinct")).select(
+        F.lit(n).alias("listener"), F.lit(ok).alias("ok"), F.lit(tries).cast("long").alias("attempts"), "n_events", "n_distinct") for n, ok, tries, _ in got]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def q_stream_merge_rows(spark, d):
     """The merge of users whose rows come in many micro-batches."""
     stream, ckpt = _row_stream(spark, _stream_session(spark), d, "stream-src")

@@ -12,8 +12,9 @@ import datetime as _dt
 import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from typing import Sequence
+from typing import Callable, Sequence
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,13 +60,23 @@ def _target(key: StagingKey) -> tuple[str, str]:
     return (op, args.split(",")[0] if op == NODES_INGEST else args)
 
 
-def _run_keys(store: GraphStore, work: list[tuple[StagingKey, Sequence[DataFrame]]], as_of, order_by, hot_min_rows, parallel: int) -> list[dict]:
+class RequestCancelled(RuntimeError):
+    """The request was called off before its next step."""
+
+
+def _go_on(cancelled: Callable[[], bool] | None) -> None:
+    if cancelled is not None and cancelled():
+        raise RequestCancelled("cancelled")
+
+
+def _run_keys(store: GraphStore, work: list[tuple[StagingKey, Sequence[DataFrame]]], as_of, order_by, hot_min_rows, parallel: int, cancelled=None) -> list[dict]:
     """Merge every key; all node keys first, then the edge keys.  Within a phase, keys that write different
     tables run as concurrent Spark jobs (driver threads only submit them); keys of one table run in order."""
     results: list[dict | None] = [None] * len(work)
 
     def run_group(positions: list[int]) -> None:
         for pos in positions:
+            _go_on(cancelled)
             key, frames = work[pos]
             results[pos] = _merge_key(store, key, frames, as_of, order_by, hot_min_rows)
 
@@ -76,7 +87,8 @@ def _run_keys(store: GraphStore, work: list[tuple[StagingKey, Sequence[DataFrame
                 groups.setdefault(_target(key), []).append(pos)
         if parallel > 1 and len(groups) > 1:
             with ThreadPoolExecutor(max_workers=min(parallel, len(groups))) as pool:
-                for f in [pool.submit(run_group, positions) for positions in groups.values()]:
+                # the threads' jobs keep the request's tags and scheduler pool
+                for f in [pool.submit(inheritable_thread_target(store.spark)(run_group), positions) for positions in groups.values()]:
                     f.result()
         else:
             for positions in groups.values():
@@ -181,9 +193,12 @@ def ingest(
     order_by: Sequence[str] | None = None,
     hot_min_rows: int | None = HOT_KEY_MIN_ROWS,
     parallel: int = 4,
+    cancelled: Callable[[], bool] | None = None,
 ) -> IngestResult:
     """Translate every source, (optionally) stage it, merge nodes then edges, drop the staged keys.
 
+    ``cancelled`` is asked before every source and key; once it says so, the request ends with an ERROR event.
+
     Without ``staging_path`` the translated frames go straight into the merges (the staging round trip is
     not needed on Spark); with it, every key is written as a staged set first (K1) and read back (E2).
     """
@@ -196,6 +211,7 @@ def ingest(
     try:
         per_source: list[tuple[Source, dict[StagingKey, list[DataFrame]]]] = []
         for src in sources:
+            _go_on(cancelled)
             log.emit("WRITING_GRAPH_ELEMENTS_INTO_REDIS", f"Translating [{src.name}]", source_name=src.name)
             translated = translator.translate(src.data, src.graph_model, f"{stamped}_{src.name}")
             if staging_path:
@@ -209,7 +225,7 @@ def ingest(
         if staging_path:
             work = [(i, src, key, _read_staged(spark, staging_path, key)) for i, src, key, _ in work]
         ready = log.emit("REDIS_IS_READY_FOR_CONSUMPTION", f"Graph elements are ready [{stamped}]")
-        results = _run_keys(store, [(key, frames) for _, _, key, frames in work], as_of, order_by, hot_min_rows, parallel)
+        results = _run_keys(store, [(key, frames) for _, _, key, frames in work], as_of, order_by, hot_min_rows, parallel, cancelled)
         # the sizes are what the merges saw while writing: no source is read a second time to count it
         ready["cardinality"] = json.dumps({":".join(w[2]): r["how_many"] for w, r in zip(work, results, strict=True)})
 

@@ -302,6 +302,16 @@ SELECT 'Message' AS label, count(*) FILTER (WHERE role = 'system') AS n_null, co
     "events_of_request": f"SELECT request_id, seq, event_type FROM ({_pev()}) WHERE contains(request_id, 'req-12')",
     "stream_read": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_merge": _STREAM_WINNERS,
+    "listeners": """
+SELECT l.listener, TRUE AS ok, CAST(CASE l.listener WHEN 'flaky' THEN 2 ELSE 1 END AS BIGINT) AS attempts,
+       count(*) AS n_events, count(DISTINCT event_id) AS n_distinct
+FROM events CROSS JOIN (VALUES ('steady'), ('flaky')) AS l(listener) GROUP BY l.listener""",
+    "get_stored": """
+SELECT o_orderkey AS pos, 'Customer-' || CAST(o_custkey AS VARCHAR) AS key, c_name AS value
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'P'""",
+    "get_stored_hash": """
+SELECT CAST(n_nationkey AS BIGINT) AS pos, 'Nation-' || CAST(n_nationkey AS VARCHAR) AS key, s_name AS field, CAST(s_acctbal AS DOUBLE) AS value
+FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_nationkey <> 7""",
     "stream_rows": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_merge_rows": _STREAM_WINNERS,
     "live_runs": f"""

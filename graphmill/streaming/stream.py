@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from typing import Callable, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,6 +83,45 @@ def fan_out_batches(sinks: Sequence[tuple[str, Callable[[DataFrame, int], None]]
     return sink
 
 
+def run_listeners(
+    stream: DataFrame | Callable[[str], DataFrame],
+    listeners: Sequence[tuple[str, Callable[[DataFrame, int], None]]],
+    checkpoint_root: str,
+    attempts: int = 3,
+    mode: str = "append",
+) -> list[tuple[str, bool, int, str | None]]:
+    """Every listener is a streaming query of its own, with its own checkpoint ``<checkpoint_root>/<name>``, over all there is now.
+
+    A listener that fails stops alone and is started again, up to ``attempts`` times, from the batch that failed; the others go on.  One
+    that fails to the end keeps its checkpoint, so a later call delivers what it missed.  Returns (name, ok, attempts, error) per listener.
+    ``stream`` may be a function of the checkpoint folder, for sources that need it.
+    """
+
+    def start(name: str, sink: Callable[[DataFrame, int], None]):
+        folder = f"{checkpoint_root.rstrip('/')}/{name}"
+        rows = stream(folder) if callable(stream) else stream
+        return rows.writeStream.outputMode(mode).option("checkpointLocation", folder).foreachBatch(sink).trigger(availableNow=True).start()
+
+    sinks = dict(listeners)
+    running = {name: (1, start(name, sink)) for name, sink in listeners}
+    out: dict[str, tuple[bool, int, str | None]] = {}
+    while running:
+        for name, (n, query) in list(running.items()):
+            try:
+                if not query.awaitTermination(0.1 if len(running) > 1 else None):
+                    if query.isActive:
+                        continue
+                out[name] = (True, n, None)
+                del running[name]
+            except StreamingQueryException as exc:
+                if n < attempts:
+                    running[name] = (n + 1, start(name, sinks[name]))
+                else:
+                    out[name] = (False, n, str(exc))
+                    del running[name]
+    return [(name, *out[name]) for name, _ in listeners]
+
+
 def batch_of(batch: DataFrame, batch_id: int) -> tuple[str, int] | None:
     """A micro-batch as (streaming query, number), the same after a restart from the same checkpoint; None outside a query."""
     query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
