@@ -5,8 +5,9 @@
 2. A host's wrapper is the tree of its page with the least page_id, without texts.
 3. Every page is aligned with its host's wrapper by simple tree matching: the mapping of most nodes that keeps parents,
    order and labels, by dynamic programming over the children.  Siblings in a row with one label count as one repeated child.
-4. A text that stands at the same wrapper node on at least ``SHARE`` of a host's different pages (``MIN_PAGES`` or more) is the
-   template's; other texts fill varying slots.  The wrapper node whose subtree holds most of the varying text
+4. A page's core is its longest unmarked texts that together hold half of its unmarked text; copies of an article with other adverts or
+   menus have one core, and count once.  A text that stands at the same wrapper node beside at least ``SHARE`` of a host's different
+   cores, plus half the root of their number, and beside two at least, is the template's; other texts fill varying slots.  The wrapper node whose subtree holds most of the varying text
    outside marked elements, and no child of which holds nearly all of it, is the content node.  An <article> or <main> that holds
    half of it needs no more, and is taken as a whole.
 5. A page's text: the blocks of the nodes aligned to the content node; if it has none, or that is the whole body and the wrapper lacks
@@ -16,7 +17,7 @@ All counts cover all pages; per host only the wrapper and the template's texts a
 their size allows and else joins by host, splitting a host with many pages.
 
 Defined results: null and empty html give an empty text; a null url, or one without a host, is host ""; repeated rows come
-back one by one, and equal pages of a host count once for its template; extra columns are ignored.
+back one by one, and pages of a host with one core count once for its template; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +38,6 @@ from graphmill.llm.common import stored
 from graphmill.session import table
 
 SHARE = 0.5
-MIN_PAGES = 10
 #: A child that holds this share of a node's varying text takes its place as the content node.
 NEARLY_ALL = 0.8
 #: The share that an element labelled as content needs.
@@ -62,9 +63,17 @@ MARKED_WORDS = frozenset(
 #: Marked elements inside the content that are a header of its own keep their headings.
 _OWN_HEADER = frozenset(["header", "hgroup"])
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|<[!?][^>]*>", re.S
+#: Words that say nothing about an element's role, beside one of ``MARKED_WORDS`` in a class or id.
+PLAIN_WORDS = frozenset(
+    "area article bar block body bottom box btn button center col column container content footer global group head holder inner item "
+    "items js left line link links list main outer page panel part post primary right row secondary section site slot small sticky sub text "
+    "title top unit wide wrap wrapper".split()
 )
+#: Inside <article> and <main> the class of these says nothing against their text.
+_TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd td th blockquote pre caption figcaption tr tbody thead table".split())
+
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _WORD = re.compile(r"[a-z]+")
 #: Numbers in class names that tell pages apart, not kinds of elements.
@@ -107,15 +116,83 @@ def _is_marked(tag: str, attributes: dict[str, str], inside_content: bool) -> bo
         return False
     if attributes.get("role", "").lower() in MARKED_ROLES or attributes.get("aria-hidden", "").lower() == "true":
         return True
-    if tag in ("body", "html", "article", "main"):
+    if tag in ("body", "html", "article", "main") or (inside_content and tag in _TEXT_TAGS):
         return False
-    return not MARKED_WORDS.isdisjoint(_WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        words = set(_WORD.findall(name))
+        if not MARKED_WORDS.isdisjoint(words) and words <= MARKED_WORDS | PLAIN_WORDS:  # "share-price" is no sharing bar
+            return True
+    return False
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, name or text, attributes) of a page in order, in one pass: kind is "text", "open", "close" or "raw".
+
+    A tag ends at the first > outside quotes.  From a quote on that nothing closes, quotes are ordinary characters; a tag that nothing
+    ends is text.  "raw" is text in which & is no reference."""
+    at, size = 0, len(page)
+    last_end = page.rfind(">")
+    quoted = True
+    open_ended: set[str] = set()  # raw elements that no later end tag closes
+    while at < size:
+        begin = page.find("<", at)
+        if begin < 0 or begin > last_end and not page.startswith(("<!--", "<![CDATA["), begin):
+            yield "text", page[at:], ""
+            return
+        if begin > at:
+            yield "text", page[at:begin], ""
+        if page.startswith("<!--", begin):
+            end = page.find("-->", begin + 4)
+            at = size if end < 0 else end + 3
+            continue
+        if page.startswith("<![CDATA[", begin):
+            end = page.find("]]>", begin + 9)
+            yield "raw", page[begin + 9 : size if end < 0 else end], ""
+            at = size if end < 0 else end + 3
+            continue
+        if page.startswith(("<!", "<?"), begin):
+            at = page.find(">", begin) + 1
+            continue
+        closing = page.startswith("/", begin + 1)
+        name = _NAME.match(page, begin + 1 + closing)
+        if not name:
+            yield "text", "<", ""
+            at = begin + 1
+            continue
+        end = name.end()
+        while True:
+            stop = _STOP.search(page, end) if quoted else None
+            if stop is None or stop[0] == ">":
+                end = stop.start() if stop else page.find(">", name.end())
+                break
+            other = page.find(stop[0], stop.end())
+            if other < 0:
+                quoted = False
+                end = page.find(">", name.end())
+                break
+            end = other + 1
+        if end < 0:
+            yield "text", page[begin:], ""
+            return
+        tag, rest = name[0].lower(), page[name.end() : end]
+        at = end + 1
+        yield "close" if closing else "open", tag, rest
+        if not closing and tag in RAW and not rest.endswith("/"):
+            found = None if tag in open_ended else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+            if found:
+                at = found.end()
+            else:
+                open_ended.add(tag)
+                if tag in ("script", "style", "textarea", "title"):
+                    return
 
 
 def parse(page: str) -> Node:
     """The block tree of a page; never fails."""
     root = Node("#", "#", False)
     stack: list[tuple[str, Node | None]] = [("#", root)]  # open elements; None for inline ones
+    open_at: dict[str, list[int]] = {}  # their depths by tag, so that no tag walks through the stack
+    block_at = [0]  # the depths of blocks
     node, text = root, []
     marked_inline = 0  # inside an inline element that is marked
 
@@ -127,47 +204,49 @@ def parse(page: str) -> Node:
             if said:
                 node.items.append(said)
 
+    def push(name: str, own: Node | None) -> None:
+        open_at.setdefault(name.lstrip("!"), []).append(len(stack))
+        if own is not None:
+            block_at.append(len(stack))
+        stack.append((name, own))
+
     def close_to(depth: int) -> None:
         nonlocal node, marked_inline
-        if any(n is not None for _, n in stack[depth:]):
+        if block_at[-1] >= depth:
             flush()
-        for t, n in stack[depth:]:
-            marked_inline -= n is None and t[0] == "!"
-        del stack[depth:]
-        node = next(n for _, n in reversed(stack) if n is not None)
+        while len(stack) > depth:
+            name, own = stack.pop()
+            open_at[name.lstrip("!")].pop()
+            if own is not None:
+                block_at.pop()
+            else:
+                marked_inline -= name[0] == "!"
+        node = stack[block_at[-1]][1]
 
-    at, size = 0, len(page)
-    while at < size:
-        m = _TOKEN.search(page, at)
-        begin = m.start() if m else size
-        if begin > at and not marked_inline:
-            text.append(page[at:begin])
-        if not m:
-            break
-        at = m.end()
-        if m[2] is None:
-            if m[0].startswith("<![CDATA[") and not marked_inline:
-                text.append(m[0][9:-3].replace("&", "&amp;"))
+    def nearest(names) -> int:
+        return max((open_at[n][-1] for n in names if open_at.get(n)), default=0)
+
+    for kind, tag, rest in tokens(page):
+        if kind == "text":
+            if not marked_inline:
+                text.append(tag)
+            continue
+        if kind == "raw":
+            if not marked_inline:
+                text.append(tag.replace("&", "&amp;"))
             continue
-        tag = m[2].lower()
-        if m[1]:
+        if kind == "close":
             if tag in VOID:
                 if tag == "br":
                     text.append(" ")
                 continue
-            for depth in range(len(stack) - 1, 0, -1):
-                name, own = stack[depth]
-                if name.lstrip("!") == tag:
-                    close_to(depth)
-                    break
-                # an inline end tag doesn't reach out of its block, nor does a block's out of a table cell
-                if own is not None and (tag not in BLOCKS or (name in ("td", "th") and tag not in ("table", "tr", "tbody", "thead", "tfoot"))):
-                    break
+            depth = nearest((tag,))
+            # an inline end tag doesn't reach out of its block, nor does a block's out of a table cell
+            border = block_at[-1] if tag not in BLOCKS else 0 if tag in ("table", "tr", "tbody", "thead", "tfoot") else nearest(("td", "th"))
+            if depth and depth >= border:
+                close_to(depth)
             continue
         if tag in RAW:
-            if not m[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else (size if tag in ("script", "style", "textarea", "title") else at)
             continue
         if tag in VOID:
             if tag == "hr":
@@ -175,44 +254,36 @@ def parse(page: str) -> Node:
             elif tag == "br":
                 text.append(" ")
             continue
-        attributes = _attributes(m[3])
+        attributes = _attributes(rest)
+        inside = bool(open_at.get("article") or open_at.get("main"))
         if tag not in BLOCKS:
-            if not m[3].endswith("/"):
-                off = tag in ("button", "select", "option", "label") or _is_marked(tag, attributes, False)
+            if not rest.endswith("/"):
+                off = tag in ("button", "select", "option") or _is_marked(tag, attributes, False)
                 marked_inline += off
-                stack.append((("!" if off else "") + tag, None))
+                push(("!" if off else "") + tag, None)
             continue
-        if tag != "html":  # a head that was left open ends with the first block
-            for depth, (name, own) in enumerate(stack):
-                if name == "!head":
-                    close_to(depth)
-                    break
+        if tag != "html" and open_at.get("head"):  # a head that was left open ends with the first block
+            close_to(open_at["head"][0])
         # a block ends an open paragraph, and inline elements that were left open in it
-        for depth in range(len(stack) - 1, 0, -1):
-            name, own = stack[depth]
-            if own is not None:
-                if name == "p":
-                    close_to(depth)
-                break
+        if stack[block_at[-1]][0] == "p":
+            close_to(block_at[-1])
         if tag in _CLOSES:
             ends, until = _CLOSES[tag]
-            for depth in range(len(stack) - 1, 0, -1):
-                name = stack[depth][0]
-                if name in until:
-                    break
-                if name in ends:
-                    close_to(depth)
-                    if tag in ("li", "td", "th", "dt", "dd"):
-                        break
+            border = nearest(until)
+            if tag in ("li", "td", "th", "dt", "dd"):
+                depth = nearest(ends)
+            else:  # all of them up to the border
+                depth = min((d[bisect_right(d, border)] for d in map(open_at.get, ends) if d and d[-1] > border), default=0)
+            if depth > border:
+                close_to(depth)
         flush()
-        inside = any(n is not None and n.tag in ("article", "main") for _, n in stack)
         words = sorted(set(_NUMBER.sub("#", attributes.get("class", "").lower()).split()))
         new = Node(tag, ".".join([tag, *words]), bool(node.marked or marked_inline or _is_marked(tag, attributes, inside)))
         if tag in ("html", "body"):  # these only carry the page
             new.marked = node.marked
         node.items.append(new)
         node = new
-        stack.append((tag, new))
+        push(tag, new)
     flush()
     return root
 
@@ -228,75 +299,112 @@ def _runs(kids: list[Node]) -> list[list[Node]]:
 
 
 class Wrapper:
-    """A host's tree without texts: nested [label, children], a run of equal labels once; nodes are numbered in preorder."""
+    """A node of a host's tree without texts, in which a run of equal labels stands once; nodes are numbered in preorder."""
 
     __slots__ = ("index", "kids", "label")
 
-    def __init__(self, shape: list, counter: list[int] | None = None):
-        counter = counter if counter is not None else [0]
-        self.label, self.index = shape[0], counter[0]
-        counter[0] += 1
-        self.kids = [Wrapper(s, counter) for s in shape[1]]
+    def __init__(self, label: str, index: int):
+        self.label, self.index, self.kids = label, index, []
+
+    @staticmethod
+    def of(shape: list) -> list[Wrapper]:
+        """All nodes of a tree given as [labels, parents], the root first."""
+        nodes = [Wrapper(label, i) for i, label in enumerate(shape[0])]
+        for n, parent in zip(nodes[1:], shape[1][1:], strict=True):
+            nodes[parent].kids.append(n)
+        return nodes
 
 
 def _labelled(w: Wrapper) -> bool:
     return w.label.split(".")[0] in CONTENT_TAGS
 
 
-def shape_of(node: Node) -> list:
-    """The wrapper of one page; a run of siblings is as rich as its richest member."""
-
-    def merged(run: list[Node]) -> list:
-        return max((shape_of(n) for n in run), key=lambda s: len(json.dumps(s)))
-
-    return [node.label, [merged(r) for r in _runs(node.kids())]]
-
-
-def align(page: Node, wrapper: Wrapper) -> None:
-    """Simple tree matching: gives the page's nodes the wrapper nodes that they are aligned to."""
-    memo: dict[tuple[int, int], tuple[int, list]] = {}
-
-    def match(runs: list[list[Node]], kids: list[Wrapper]) -> tuple[int, list[tuple[int, int]]]:
-        if not runs or not kids:
-            return 0, []
-        best = np.zeros((len(runs) + 1, len(kids) + 1), np.int64)
-        gain: dict[tuple[int, int], int] = {}
-        places: dict[str, list[int]] = {}
-        for j, k in enumerate(kids):
-            places.setdefault(k.label, []).append(j)
-        for i, run in enumerate(runs):
-            row = best[i].copy()
-            for j in places.get(run[0].label, ()):
-                gain[i, j] = score(run[0], kids[j])
-                row[j + 1] = max(row[j + 1], best[i, j] + gain[i, j])
-            best[i + 1] = np.maximum.accumulate(row)
-        pairs, i, j = [], len(runs), len(kids)
-        while i and j:
-            if best[i, j] == best[i, j - 1]:
-                j -= 1
-            elif best[i, j] == best[i - 1, j]:
-                i -= 1
-            else:
-                pairs.append((i - 1, j - 1))
-                i, j = i - 1, j - 1
-        return int(best[-1, -1]), pairs
-
-    def score(a: Node, b: Wrapper) -> int:
-        key = (id(a), b.index)
-        if key not in memo:
-            runs = _runs(a.kids())
-            n, pairs = match(runs, b.kids)
-            memo[key] = (n + 1, pairs)
-        return memo[key][0]
-
-    todo = [(page, wrapper)] if page.label == wrapper.label else []
+def shape_of(root: Node) -> list:
+    """The wrapper of one page as [labels, parents] in preorder; a run of siblings is as rich as its member of most nodes."""
+    order, todo = [], [root]
+    while todo:
+        n = todo.pop()
+        order.append(n)
+        todo.extend(n.kids())
+    kept: dict[int, tuple[int, list[Node]]] = {}  # nodes under each, and the children that stand for their runs
+    for n in reversed(order):
+        rich = [max(run, key=lambda k: kept[id(k)][0]) for run in _runs(n.kids())]
+        kept[id(n)] = (1 + sum(kept[id(k)][0] for k in rich), rich)
+    labels, parents, todo = [], [], [(root, -1)]
+    while todo:
+        n, parent = todo.pop()
+        at = len(labels)
+        labels.append(n.label)
+        parents.append(parent)
+        todo.extend((k, at) for k in reversed(kept[id(n)][1]))
+    return [labels, parents]
+
+
+def _matched(runs: list[list[Node]], kids: list[Wrapper], score: dict[tuple[int, int], int]) -> tuple[int, list[tuple[int, int]]]:
+    """The pairs (run, child) of equal labels, in order, whose scores have the greatest sum."""
+    if not runs or not kids:
+        return 0, []
+    best = np.zeros((len(runs) + 1, len(kids) + 1), np.int64)
+    places: dict[str, list[int]] = {}
+    for j, k in enumerate(kids):
+        places.setdefault(k.label, []).append(j)
+    for i, run in enumerate(runs):
+        row = best[i].copy()
+        for j in places.get(run[0].label, ()):
+            row[j + 1] = max(row[j + 1], best[i, j] + score[id(run[0]), kids[j].index])
+        best[i + 1] = np.maximum.accumulate(row)
+    pairs, i, j = [], len(runs), len(kids)
+    while i and j:
+        if best[i, j] == best[i, j - 1]:
+            j -= 1
+        elif best[i, j] == best[i - 1, j]:
+            i -= 1
+        else:
+            pairs.append((i - 1, j - 1))
+            i, j = i - 1, j - 1
+    return int(best[-1, -1]), pairs
+
+
+def align(page: Node, wrapper: Wrapper) -> int:
+    """Simple tree matching: gives the page's nodes the wrapper nodes that they are aligned to; returns how many are."""
+    if page.label != wrapper.label:
+        return 0
+    score: dict[tuple[int, int], int] = {}
+    pairs_of: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    runs_of: dict[int, list[list[Node]]] = {}
+
+    def weigh(a: Node, b: Wrapper) -> None:
+        """The score of a pair, those of the pairs below it first."""
+        todo = [(a, b)]
+        while todo:
+            x, w = todo[-1]
+            key = (id(x), w.index)
+            if key in score:
+                todo.pop()
+                continue
+            if id(x) not in runs_of:
+                runs_of[id(x)] = _runs(x.kids())
+            runs = runs_of[id(x)]
+            heads: dict[str, list[Node]] = {}
+            for run in runs:
+                heads.setdefault(run[0].label, []).append(run[0])
+            missing = [(n, k) for k in w.kids for n in heads.get(k.label, ()) if (id(n), k.index) not in score]
+            if missing:
+                todo.extend(missing)
+                continue
+            total, pairs_of[key] = _matched(runs, w.kids, score)
+            score[key] = total + 1
+            todo.pop()
+
+    n, todo = 0, [(page, wrapper)]
     while todo:
         a, b = todo.pop()
         a.index = b.index
-        score(a, b)
-        runs = _runs(a.kids())
-        for i, j in memo[id(a), b.index][1]:
-            todo.extend((n, b.kids[j]) for n in runs[i])
+        n += 1
+        weigh(a, b)
+        for i, j in pairs_of[id(a), b.index]:
+            todo.extend((x, b.kids[j]) for x in runs_of[id(a)][i])
+    return n
 
 
 def blocks(node: Node, marked: bool = False) -> Iterator[tuple[Node, str]]:
@@ -364,7 +472,19 @@ def _wrappers(spark: SparkSession, pages: DataFrame) -> DataFrame:
     return own.mapInPandas(rows, "host string, shape string")
 
 
-def _templates(spark: SparkSession, pages: DataFrame, wrappers: DataFrame, share: float, min_pages: int) -> DataFrame:
+def core_of(page: Node) -> int:
+    """A hash of the longest unmarked texts that together hold half of all unmarked text."""
+    own = sorted({t for _, t in blocks(page)}, key=lambda t: (-len(t), t))
+    half, held, core = sum(map(len, own)) / 2, 0, []
+    for t in own:
+        if held >= half:
+            break
+        held += len(t)
+        core.append(t)
+    return _key("\n".join(core))
+
+
+def _templates(spark: SparkSession, pages: DataFrame, wrappers: DataFrame, share: float) -> DataFrame:
     """(host, shape, constants, content): each host's wrapper, (node, text hash) of its template, and its content node."""
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,10 +494,10 @@ def _templates(spark: SparkSession, pages: DataFrame, wrappers: DataFrame, share
             for host, shape, h in zip(batch.column("host").to_pylist(), batch.column("shape").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 if len(known) > 1000:
                     known.clear()
-                page, wrapper = parse(h or ""), known.get(shape) or known.setdefault(shape, Wrapper(json.loads(shape)))
+                page, wrapper = parse(h or ""), known.get(shape) or known.setdefault(shape, Wrapper.of(json.loads(shape))[0])
                 align(page, wrapper)
                 said = {(n.index, _key(t)): (len(t), n.marked) for n, t in blocks(page, marked=True) if n.index >= 0}
-                same = _key(h or "")
+                same = core_of(page)
                 out += [(host, k[0], k[1], same, *v) for k, v in said.items()]
                 out.append((host, -1, same, same, 0, False))
             columns = list(zip(*out, strict=True)) if out else [[]] * 6
@@ -388,7 +508,9 @@ def _templates(spark: SparkSession, pages: DataFrame, wrappers: DataFrame, share
     texts = texts.groupBy("host", "node", "said", "page").agg(F.max("chars").alias("chars"), F.min("marked").alias("marked"))
     per = stored(spark, texts.groupBy("host", "node", "said").agg(F.count("*").alias("n"), F.first("chars").alias("chars"), F.min("marked").alias("marked")), "slots")
     pages_of = stored(spark, per.where("node < 0").groupBy("host").agg(F.sum("n").alias("pages")), "pages-of")
-    per = per.where("node >= 0").join(pages_of, "host").withColumn("fixed", (F.col("pages") >= min_pages) & (F.col("n") >= F.col("pages") * share))
+    # of few cores nearly all have to have it, of many the share
+    least = F.greatest(F.lit(2.0), F.least(F.col("pages"), F.col("pages") * share + F.sqrt("pages") / 2))
+    per = per.where("node >= 0").join(pages_of, "host").withColumn("fixed", F.col("n") >= least)
     # a text on fewer than 1 / share pages of a node: at most pages of the host / (pages * share) fixed texts per page
     fixed = per.where("fixed").groupBy("host").agg(F.collect_list(F.struct("node", "said")).alias("constants"))
     varying = per.where("not fixed and not marked").groupBy("host", "node").agg(F.sum(F.col("chars") * F.col("n")).alias("chars"))
@@ -400,16 +522,17 @@ def _templates(spark: SparkSession, pages: DataFrame, wrappers: DataFrame, share
             for shape, varying in zip(pdf["shape"], pdf["varying"], strict=True):
                 mass = {int(v["node"]): int(v["chars"]) for v in varying} if varying is not None else {}
 
-                def total(w: Wrapper, mass: dict[int, int] = mass) -> int:
-                    return mass.get(w.index, 0) + sum(total(k) for k in w.kids)
-
-                node = Wrapper(json.loads(shape))
+                nodes = Wrapper.of(json.loads(shape))
+                total = [0] * len(nodes)
+                for n in reversed(nodes):  # preorder: children come after their parents
+                    total[n.index] = mass.get(n.index, 0) + sum(total[k.index] for k in n.kids)
+                node = nodes[0]
                 while not _labelled(node):
-                    own = total(node)
-                    heavy = [k for k in node.kids if total(k) >= (LABELLED if _labelled(k) else NEARLY_ALL) * own and (k.kids or _labelled(k))] if own else []
+                    own = total[node.index]
+                    heavy = [k for k in node.kids if total[k.index] >= (LABELLED if _labelled(k) else NEARLY_ALL) * own and (k.kids or _labelled(k))] if own else []
                     if not heavy:
                         break
-                    node = max(heavy, key=total)
+                    node = max(heavy, key=lambda k: total[k.index])
                 found.append(node.index)
             yield pdf.assign(content=found)[["host", "shape", "constants", "content"]]
 
@@ -417,12 +540,12 @@ def _templates(spark: SparkSession, pages: DataFrame, wrappers: DataFrame, share
     return hosts.mapInPandas(content, "host string, shape string, constants array<struct<node:int,said:long>>, content int")
 
 
-def extract(spark: SparkSession, pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
+def extract(spark: SparkSession, pages: DataFrame, share: float = SHARE) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html)."""
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     own = own.withColumn("host", host_of(F.col("url")))
     wrappers = stored(spark, _wrappers(spark, own), "wrappers")
-    templates = stored(spark, _templates(spark, own, wrappers, share, min_pages), "templates")
+    templates = stored(spark, _templates(spark, own, wrappers, share), "templates")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[Wrapper, set]] = {}
@@ -434,7 +557,7 @@ def extract(spark: SparkSession, pages: DataFrame, share: float = SHARE, min_pag
                     if len(known) > 1000:
                         known.clear()
                     constants = batch.column("constants")[r].as_py() or []
-                    known[host] = (Wrapper(json.loads(batch.column("shape")[r].as_py())), {(c["node"], c["said"]) for c in constants})
+                    known[host] = (Wrapper.of(json.loads(batch.column("shape")[r].as_py()))[0], {(c["node"], c["said"]) for c in constants})
                 wrapper, constants = known[host]
                 page = parse(h or "")
                 align(page, wrapper)
