@@ -7,10 +7,11 @@ is partition pruning and dropping one key is dropping its folder.  Set semantics
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from graphmill.functions.keys import build_key, is_supported_operation, job_name_ok, matches_glob, parse_key
@@ -129,6 +130,54 @@ def write_set_add(spark: SparkSession, staged: DataFrame, path: str) -> None:
     _append(new_members(existing, staged), path)
 
 
+# ---- sets with stored fingerprints
+MEMBER = "member"
+
+
+def fingerprint() -> Column:
+    """A member's 128-bit hash, over its key and payload."""
+    return F.unhex(F.md5(F.to_json(F.struct(*KEY_COLS, PAYLOAD), JSON_WRITE))).alias(MEMBER)
+
+
+def _set_table(spark: SparkSession, path: str, buckets: int) -> str:
+    """The catalog table over a staging folder whose files are bucketed by fingerprint, in step with the key folders there are."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(p)
+    full = fs.makeQualified(p).toString()
+    name = f"gm_set_{hashlib.sha1(full.encode()).hexdigest()[:16]}_{buckets}"
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({SCHEMA} string, {PAYLOAD} string, {MEMBER} binary, {', '.join(f'{c} string' for c in KEY_COLS)}) "
+        f"USING parquet PARTITIONED BY ({', '.join(KEY_COLS)}) CLUSTERED BY ({MEMBER}) INTO {buckets} BUCKETS LOCATION '{full}'"
+    )
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")  # lists key folders: some may have been dropped, or come from another session
+    return name
+
+
+def fresh_members(staged: DataFrame, stored: DataFrame) -> DataFrame:
+    """Members of ``staged``, each once with its fingerprint, whose fingerprint ``stored`` (column ``member``) lacks."""
+    once = staged.withColumn(MEMBER, fingerprint()).groupBy(MEMBER).agg(*[F.min(c).alias(c) for c in (*KEY_COLS, SCHEMA, PAYLOAD)])
+    return once.join(stored.select(MEMBER), MEMBER, "left_anti")
+
+
+def write_indexed_add(spark: SparkSession, staged: DataFrame, path: str, buckets: int) -> int:
+    """K1 / U1 with stored fingerprints: adds the members that the sets under ``path`` lack; returns how many those were.
+
+    The files are bucketed by fingerprint, so only the batch is shuffled, into the buckets, and of the sets only the fingerprints are
+    read.  Members and fingerprints are one row, so a write that fails leaves neither.  ``buckets`` stays the same for a folder's
+    life, and such a folder is added to by this function alone; it is read, and its keys dropped, like any other.  Adds to one
+    folder run one after another."""
+    name = _set_table(spark, path, buckets)
+    fresh = fresh_members(staged, spark.table(name))
+    for c in KEY_COLS:
+        fresh = fresh.withColumn(c, _folder_part(F.col(c)))
+    seen = Observation()
+    rows = fresh.select(SCHEMA, PAYLOAD, MEMBER, *KEY_COLS).observe(seen, F.count(F.lit(1)).alias("n"))
+    rows.write.format("parquet").mode("append").partitionBy(*KEY_COLS).bucketBy(buckets, MEMBER).saveAsTable(name)
+    return int(seen.get["n"])
+
+
 # An empty key part would be read back as null (the default folder of a partition without a value).
 _EMPTY = "\\e"
 
@@ -138,10 +187,14 @@ def _stored_part(value: str) -> str:
     return _EMPTY if value == "" else f"\\{value}" if value.startswith("\\") else value
 
 
+def _folder_part(part: Column) -> Column:
+    """``_stored_part`` of a column."""
+    return F.when(part == "", F.lit(_EMPTY)).when(part.startswith("\\"), F.concat(F.lit("\\"), part)).otherwise(part)
+
+
 def _append(members: DataFrame, path: str) -> None:
     for c in KEY_COLS:
-        part = F.col(c)
-        members = members.withColumn(c, F.when(part == "", F.lit(_EMPTY)).when(part.startswith("\\"), F.concat(F.lit("\\"), part)).otherwise(part))
+        members = members.withColumn(c, _folder_part(F.col(c)))
     members.write.mode("append").partitionBy(*KEY_COLS).parquet(path)
 
 
@@ -332,6 +385,9 @@ __all__ = [
     "new_members",
     "publish_check",
     "write_set_add",
+    "write_indexed_add",
+    "fresh_members",
+    "fingerprint",
     "read_staging",
     "drop_keys",
     "delete_keys",

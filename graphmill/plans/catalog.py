@@ -281,6 +281,19 @@ def q_stage_set_add(spark, d):
     return _decode_event(both)
 
 
+SET_BUCKETS = 8
+
+
+def q_indexed_set_add(spark, d):
+    """K1 / U1 on storage with fingerprints: the events in two overlapping batches, then all again."""
+    ev = _t(spark, d, "events")
+    path = scratch_path(spark, "indexed-sets")
+    batches = [ev.where("event_type <> 'click'"), ev.where("event_type <> 'view'"), ev]
+    added = [ST.write_indexed_add(spark, _staged_events(b), path, SET_BUCKETS) for b in batches]
+    per_key = ST.cardinality(ST.read_staging(spark, path))
+    return per_key.select("arguments", "cardinality", *[F.lit(n).cast("long").alias(f"added_{i}") for i, n in enumerate(added)])
+
+
 def _staged_parts(parts: DataFrame) -> DataFrame:
     return ST.stage_columns(parts, "pjob", NODES_INGEST, F.col("p_brand"), ["p_partkey", "p_name", "p_size"])
 

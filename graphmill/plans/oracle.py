@@ -302,6 +302,12 @@ SELECT 'Message' AS label, count(*) FILTER (WHERE role = 'system') AS n_null, co
     "events_of_request": f"SELECT request_id, seq, event_type FROM ({_pev()}) WHERE contains(request_id, 'req-12')",
     "stream_read": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_merge": _STREAM_WINNERS,
+    "indexed_set_add": """
+WITH m AS (SELECT DISTINCT event_type, event_id, user_id FROM events)
+SELECT event_type AS arguments, count(*) AS cardinality,
+       (SELECT count(*) FROM m WHERE event_type <> 'click') AS added_0, (SELECT count(*) FROM m WHERE event_type = 'click') AS added_1,
+       CAST(0 AS BIGINT) AS added_2
+FROM m GROUP BY event_type""",
     "listeners": """
 SELECT l.listener, TRUE AS ok, CAST(CASE l.listener WHEN 'flaky' THEN 2 ELSE 1 END AS BIGINT) AS attempts,
        count(*) AS n_events, count(DISTINCT event_id) AS n_distinct

@@ -200,3 +200,47 @@ def test_require_uids_and_strict_registry(spark):
     assert P.name_entries(entries, reg).where("job_name is null").count() == 1
     with pytest.raises(P.UnknownJobError):
         P.name_entries(entries, reg, strict=True)
+
+
+def test_adds_with_stored_fingerprints(spark, tmp):
+    """As plain adds, key by key; only the batch is shuffled; dropped keys, odd key parts and lost catalog tables included."""
+    from graphmill.operators import staging as ST
+
+    plain, own = os.path.join(tmp, "plain"), os.path.join(tmp, "own")
+
+    def batch(lo, hi, job="j", arg="L"):
+        return ST.stage(spark.range(lo, hi).select(F.col("id").alias("_uid"), (F.col("id") % 3).alias("v")), job, "nodes_ingest", arg)
+
+    def state(path):
+        return sorted(tuple(r) for r in ST.read_staging(spark, path).collect())
+
+    added = []
+    for b in (batch(0, 100), batch(50, 150).unionByName(batch(50, 150)), batch(0, 150), batch(0, 40, arg=""), batch(0, 40, arg="\\e"), batch(0, 10, job="k")):
+        ST.write_set_add(spark, b, plain)
+        added.append(ST.write_indexed_add(spark, b, own, 8))
+        assert state(own) == state(plain)
+    assert added == [100, 50, 0, 40, 40, 10]
+    for path in (plain, own):
+        assert ST.drop_keys(spark, path, [("j", "nodes_ingest", "L"), ("k", "nodes_ingest", "L")]) == 2
+    assert ST.write_indexed_add(spark, batch(0, 60), own, 8) == 60
+    ST.write_set_add(spark, batch(0, 60), plain)
+    assert state(own) == state(plain)
+    name = ST._set_table(spark, own, 8)
+    spark.sql(f"DROP TABLE {name}")  # another session's catalog
+    assert ST.write_indexed_add(spark, batch(30, 70), own, 8) == 10
+    plan = ST.fresh_members(batch(0, 99), spark.table(ST._set_table(spark, own, 8)).hint("merge"))._jdf.queryExecution().executedPlan().toString()
+    stored = plan[plan.index("\n   +- ") :]  # the join's right side
+    assert "Exchange" not in stored and "Bucketed: true" in stored and "Exchange hashpartitioning" in plan, plan
+    assert "payload" not in stored.split("ReadSchema: ")[-1]
+
+
+def test_a_failed_indexed_add_leaves_the_sets(spark, tmp):
+    from graphmill.operators import staging as ST
+
+    path = os.path.join(tmp, "own")
+    good = ST.stage(spark.range(20).select(F.col("id").alias("_uid")), "j", "nodes_ingest", "L")
+    assert ST.write_indexed_add(spark, good, path, 4) == 20
+    bad = good.unionByName(ST.stage(spark.range(1).select(F.raise_error(F.lit("torn")).cast("long").alias("_uid")), "j", "nodes_ingest", "L"))
+    with pytest.raises(Exception, match="torn"):
+        ST.write_indexed_add(spark, bad, path, 4)
+    assert ST.read_staging(spark, path).count() == 20 and ST.write_indexed_add(spark, good, path, 4) == 0
