@@ -29,10 +29,6 @@ def build_key(job_name, operation, arguments) -> Column:
     return F.concat_ws(KEY_SEPARATOR, _c(job_name), _c(operation), args)
 
 
-def join_arguments(*parts) -> Column:
-    return F.concat_ws(ARGUMENT_SEPARATOR, *[_c(p) if not isinstance(p, str) else F.lit(p) for p in parts])
-
-
 def is_supported_operation(operation) -> Column:
     """F3."""
     return _c(operation).isin(*SUPPORTED_OPERATIONS)

@@ -9,6 +9,7 @@ request.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -107,23 +108,42 @@ def request_report(events: DataFrame, hot_min_rows: int | None = HOT_KEY_MIN_ROW
     The maps are built after partial aggregation, so their inputs are bounded by the model, not by the
     data: at most one entry per status type, one per (key, counter).
     """
-    state = request_state(events, hot_min_rows)
-    times = status_times(events, hot_min_rows).groupBy("request_id").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "at")))).alias("map_status_to_timestamp")
+    ev = since_last_start(events, hot_min_rows)
+    pushed = F.when(F.col("event_type") == "PUSHED_GRAPH_ELEMENTS_INTO_NEO", F.map_filter("arguments", lambda k, v: k.isin(*COUNTER_ARGUMENTS)))
+    name = F.concat_ws("_", F.col("arguments")["element_type"], F.col("arguments")["element_properties"])
+    # a row per event, and one per counter that it carries: all that follows is one aggregate over both
+    entry = "struct<key:string,counter:string,value:bigint>"
+    itself = F.array(F.struct(F.lit(None).alias("key"), F.lit(None).alias("counter"), F.lit(None).alias("value")).cast(entry))
+    carried = F.transform(F.map_entries(pushed), lambda e: F.struct(name.alias("key"), e["key"].alias("counter"), e["value"].cast("long").alias("value")).cast(entry))
+    rows = ev.select("request_id", "event_type", "timestamp", "seq", "_start", F.inline(F.concat(itself, F.coalesce(carried, F.array().cast(f"array<{entry}>")))))
+    kinds = rows.groupBy("request_id", "event_type", "key", "counter").agg(
+        F.max(_order()).alias("last"), F.max("_start").alias("_start"), F.count(F.lit(1)).alias("n"), F.sum("value").alias("value")
     )
-    pushed = since_last_start(events, hot_min_rows).where(F.col("event_type") == "PUSHED_GRAPH_ELEMENTS_INTO_NEO")
-    key = F.concat_ws("_", F.col("arguments")["element_type"], F.col("arguments")["element_properties"])
-    long = pushed.select(
-        "request_id",
-        key.alias("key"),
-        F.explode(F.map_filter("arguments", lambda k, v: k.isin(*COUNTER_ARGUMENTS))).alias("counter", "value"),
+    # at most a row per event type, and per counter of a key: bounded by the model
+    event, status = F.col("counter").isNull(), F.col("counter").isNull() & F.col("event_type").isin(*STATUS_EVENTS)
+    g = kinds.groupBy("request_id").agg(
+        F.max_by(F.when(status, F.col("event_type")), F.when(status, F.col("last"))).alias("status"),
+        F.max("_start").alias("_start"),
+        F.max(F.when(event & (F.col("event_type") == DONE), F.col("last.timestamp"))).alias("_end"),
+        F.sum(F.when(event, F.col("n")).otherwise(0)).alias("n_events"),
+        F.sum(F.when(event & (F.col("event_type") == ERROR), F.col("n")).otherwise(0)).alias("n_errors"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(status, F.struct(F.col("event_type").alias("status"), ts_text(F.col("last.timestamp")).alias("at")))))).alias("map_status_to_timestamp"),
+        F.array_sort(F.collect_list(F.when(~event, F.struct("key", "counter", "value")))).alias("_counters"),
     )
-    per_counter = long.groupBy("request_id", "key", "counter").agg(F.sum(F.col("value").cast("long")).alias("value"))
-    per_key = per_counter.groupBy("request_id", "key").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("counter", "value")))).alias("counters")
+    own = lambda k: F.transform(F.filter("_counters", lambda c: c["key"] == k), lambda c: F.struct(c["counter"].alias("counter"), c["value"].alias("value")))
+    counters = F.map_from_entries(F.transform(F.array_distinct(F.col("_counters.key")), lambda k: F.struct(k.alias("key"), F.map_from_entries(own(k)).alias("counters"))))
+    return g.select(
+        "request_id",
+        "status",
+        ts_text(F.col("_start.timestamp")).alias("start_time"),
+        ts_text(F.col("_end")).alias("end_time"),
+        unix_seconds(F.col("_start.timestamp")).alias("start_time_unix"),
+        unix_seconds(F.col("_end")).alias("end_time_unix"),
+        F.col("n_events").cast("long").alias("n_events"),
+        F.col("n_errors").cast("long").alias("n_errors"),
+        "map_status_to_timestamp",
+        F.when(F.size("_counters") > 0, counters).alias("counters"),
     )
-    counters = per_key.groupBy("request_id").agg(F.map_from_entries(F.collect_list(F.struct("key", "counters"))).alias("counters"))
-    return state.join(times, "request_id", "left").join(counters, "request_id", "left")
 
 
 def counter_rollup(counters: DataFrame) -> DataFrame:
@@ -204,11 +224,6 @@ def is_small(df: DataFrame, max_rows: int = 100_000) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows; else leave it to a shuffle."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
 def check_registry(registry: DataFrame) -> None:
     """A job id may be registered once."""
     dup = registry.groupBy("job_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect()
@@ -248,23 +263,46 @@ def create_admin_table(spark: SparkSession, table: str, location: str | None = N
     spark.catalog.createTable(table, path=location, source="parquet", schema=ADMIN_LOG_SCHEMA)
 
 
-def fan_out(df: DataFrame, writers: Iterable[tuple[str, Callable[[DataFrame], None]]]) -> list[tuple[str, bool, str | None]]:
-    """Hand one (persisted) frame to several writers; a failing writer does not stop the
-    others.  Returns (writer, ok, error) per writer, to be summarised by ``outcome_summary``."""
+@dataclass
+class Outcome:
+    """What a writer of a fan-out came to: its result, or the exception that it raised."""
+
+    name: str
+    result: object = None
+    error: Exception | None = None
+
+    @property
+    def ok(self) -> bool:
+        return self.error is None
+
+
+def fan_out_outcomes(df: DataFrame, writers: Iterable[tuple[str, Callable[[DataFrame], object]]]) -> list[Outcome]:
+    """Hand one (persisted) frame to several writers; a failing writer does not stop the others.  Results and
+    exceptions come back per writer."""
     df = df.persist()
     out = []
     try:
         for name, write in writers:
             try:
-                write(df)
-                out.append((name, True, None))
+                out.append(Outcome(name, write(df)))
             except Exception as exc:  # noqa: BLE001 - every writer failure is reported, none is fatal
-                out.append((name, False, str(exc)))
+                out.append(Outcome(name, error=exc))
     finally:
         df.unpersist()
     return out
 
 
+def outcomes_frame(spark: SparkSession, outcomes: Iterable[Outcome], request_id: str | None = None) -> DataFrame:
+    """A7 in long form, a row per writer: request_id, writer, ok, result (as text), error_type and error; ``outcome_summary`` reads it."""
+    rows = [(request_id, o.name, o.ok, None if o.result is None else str(o.result), type(o.error).__name__ if o.error else None, str(o.error) if o.error else None) for o in outcomes]
+    return spark.createDataFrame(rows, "request_id string, writer string, ok boolean, result string, error_type string, error string")
+
+
+def fan_out(df: DataFrame, writers: Iterable[tuple[str, Callable[[DataFrame], object]]]) -> list[tuple[str, bool, str | None]]:
+    """``fan_out_outcomes`` as (writer, ok, error) per writer."""
+    return [(o.name, o.ok, None if o.ok else str(o.error)) for o in fan_out_outcomes(df, writers)]
+
+
 def jdbc_writer(url: str, table: str, properties: dict | None = None) -> Callable[[DataFrame], None]:
     """K7: a ``fan_out`` writer appending to a relational table (driver jar on the classpath); the same
     DataFrame can go to parquet, a catalog table and a database in one fan-out."""

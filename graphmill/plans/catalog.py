@@ -460,6 +460,21 @@ def q_fan_out(spark, d):
     return summary.crossJoin(arrived).select("total", "succeeded", "failed", "all_ok", "verdict", "rows_written")  # one row each
 
 
+def q_fan_out_outcomes(spark, d):
+    """Results and exceptions of the writers, a row each."""
+
+    def counted(df: DataFrame) -> int:
+        path = scratch_path(spark, "fan-counted")
+        df.write.parquet(path)
+        return spark.read.parquet(path).count()
+
+    def failing(df: DataFrame) -> None:
+        raise LookupError("unavailable")
+
+    outcomes = P.fan_out_outcomes(_t(spark, d, "orders"), [("counted", counted), ("broken", failing), ("silent", lambda df: None)])
+    return P.outcomes_frame(spark, outcomes, "orders")
+
+
 def q_translate_identity(spark, d):
     """Every row of a source is a node of one label."""
     (key, frames), = IdentityTranslator("Supplier").translate(_t(spark, d, "supplier"), None, "job").items()

@@ -12,7 +12,7 @@ import datetime as _dt
 import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from typing import Callable, Sequence
+from typing import Callable, Iterable, Sequence
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +60,13 @@ def _target(key: StagingKey) -> tuple[str, str]:
     return (op, args.split(",")[0] if op == NODES_INGEST else args)
 
 
+def _check_keys(keys: Iterable[StagingKey]) -> None:
+    """Labels and types may not hold the separator of a key's arguments: parts of it would be taken for the whole."""
+    for _, op, args in keys:
+        if len(args.split(",")) != (1 if op == NODES_INGEST else 3):
+            raise ValueError(f"key arguments {args!r} of {op}: a label or type holds a comma, or parts are missing")
+
+
 class RequestCancelled(RuntimeError):
     """The request was called off before its next step."""
 
@@ -205,15 +212,16 @@ def ingest(
     translator = translator or MappingTranslator()
     stamped = f"{request_id}_{as_of.year}_{as_of.month}_{as_of.day}_{as_of.hour}_{as_of.minute}_{as_of.second}"
     log = EventLog(stamped, as_of)
-    log.emit("STARTED_PROCESSING_REQUEST", f"Starting processing request id: {stamped}")
-    log.emit("FETCHING_DATA_AND_MODELS", f"Fetching pairs of data/model [{stamped}]")
-    log.emit("FINISHED_FETCHING_DATA_AND_MODELS", f"Finished fetching pairs of data/model [{stamped}]", sources=[s.name for s in sources])
+    log.emit("STARTED_PROCESSING_REQUEST", f"Request {stamped} begins")
+    log.emit("FETCHING_DATA_AND_MODELS", f"Request {stamped} asks for its sources")
+    log.emit("FINISHED_FETCHING_DATA_AND_MODELS", f"Request {stamped} has its sources", sources=[s.name for s in sources])
     try:
         per_source: list[tuple[Source, dict[StagingKey, list[DataFrame]]]] = []
         for src in sources:
             _go_on(cancelled)
             log.emit("WRITING_GRAPH_ELEMENTS_INTO_REDIS", f"Translating [{src.name}]", source_name=src.name)
             translated = translator.translate(src.data, src.graph_model, f"{stamped}_{src.name}")
+            _check_keys(translated)
             if staging_path:
                 for (job, op, args), frames in translated.items():
                     for f in frames:
@@ -224,7 +232,7 @@ def ingest(
         work.sort(key=lambda w: (w[2][1] != NODES_INGEST, w[0], ":".join(w[2]).lower()))
         if staging_path:
             work = [(i, src, key, _read_staged(spark, staging_path, key)) for i, src, key, _ in work]
-        ready = log.emit("REDIS_IS_READY_FOR_CONSUMPTION", f"Graph elements are ready [{stamped}]")
+        ready = log.emit("REDIS_IS_READY_FOR_CONSUMPTION", f"Request {stamped} is ready to load")
         results = _run_keys(store, [(key, frames) for _, _, key, frames in work], as_of, order_by, hot_min_rows, parallel, cancelled)
         # the sizes are what the merges saw while writing: no source is read a second time to count it
         ready["cardinality"] = json.dumps({":".join(w[2]): r["how_many"] for w, r in zip(work, results, strict=True)})
@@ -242,13 +250,13 @@ def ingest(
             loaded.append({"source_name": src.name, **r})
             if last[i] == pos:
                 keys = list(per_source[i][1])
-                log.emit("DELETING_REDIS_KEYS", f"Deleting done-with keys [{src.name}]", keys=[":".join(k) for k in keys])
+                log.emit("DELETING_REDIS_KEYS", f"Keys of {src.name} are loaded", keys=[":".join(k) for k in keys])
                 if staging_path:
                     staging.drop_keys(spark, staging_path, keys)
     except Exception as exc:  # noqa: BLE001 - reported as an ERROR event, then raised with the events
         log.emit("ERROR", str(exc), exception=type(exc).__name__)
         raise IngestError(f"request {stamped} failed: {exc}", log.frame(spark)) from exc
-    log.emit("DONE_PROCESSING_REQUEST", f"Done processing request: {stamped}")
+    log.emit("DONE_PROCESSING_REQUEST", f"Request {stamped} is loaded")
     return IngestResult(stamped, loaded, log.frame(spark))
 
 
@@ -297,7 +305,7 @@ def load_staged(
                 log.emit("PUSHED_GRAPH_ELEMENTS_INTO_NEO", _pushed(r), **r)
                 loaded.append(r)
         if delete_after:
-            log.emit("DELETING_REDIS_KEYS", "Deleting done-with keys", keys=[":".join(k) for k in keys])
+            log.emit("DELETING_REDIS_KEYS", "All keys are loaded", keys=[":".join(k) for k in keys])
             staging.drop_keys(spark, staging_path, keys)
     except Exception as exc:  # noqa: BLE001 - reported as an ERROR event, then raised with the events
         log.emit("ERROR", str(exc), exception=type(exc).__name__)

@@ -256,6 +256,11 @@ SELECT user_id AS _uid, event_id, ts, event_type, value FROM (
 SELECT job_name, arguments, event_id, ts FROM (
   SELECT ['01', '1', '20240201'][user_id % 3 + 1] AS job_name, CASE event_type WHEN 'view' THEN '' ELSE event_type END AS arguments, event_id, ts FROM events)
 WHERE NOT (job_name = '1' AND arguments = '') AND NOT (job_name = '01' AND arguments = 'click')""",
+    "fan_out_outcomes": """
+SELECT 'orders' AS request_id, writer, writer <> 'broken' AS ok,
+       CASE writer WHEN 'counted' THEN CAST((SELECT count(*) FROM orders) AS VARCHAR) END AS result,
+       CASE writer WHEN 'broken' THEN 'LookupError' END AS error_type, CASE writer WHEN 'broken' THEN 'unavailable' END AS error
+FROM (VALUES ('counted'), ('broken'), ('silent')) AS w(writer)""",
     "fan_out": """
 SELECT CAST(3 AS BIGINT) AS total, CAST(2 AS BIGINT) AS succeeded, CAST(1 AS BIGINT) AS failed, false AS all_ok, 'FAILED_WRITERS' AS verdict, 2 * count(*) AS rows_written FROM orders""",
     "translate_identity": "SELECT 'job:nodes_ingest:Supplier' AS key, s_suppkey, s_name FROM supplier",

@@ -180,3 +180,28 @@ def test_a_failing_load_logs_its_error(spark, tmp):
 def test_decimal_keys_are_typed(spark):
     df = spark.createDataFrame([(decimal.Decimal("1.50"),)] * 9, "k decimal(10,2)")
     assert S.hot_keys(df, "k", 3) == [(decimal.Decimal("1.50"), 9)]
+
+
+def test_labels_with_a_comma_are_rejected(spark, tmp, persons):
+    from graphmill.model import NodeMapping
+
+    with pytest.raises(IngestError, match="comma"):
+        ingest(spark, [Source("p", persons, [NodeMapping("a,b", "_uid", {"name": "name"})])], GraphStore(spark, os.path.join(tmp, "g")), "r", dt.datetime(2024, 2, 1))
+    assert GraphStore(spark, os.path.join(tmp, "g")).labels() == []
+
+
+def test_report_is_one_pass(spark):
+    rows = [(0, 0, "a", "STARTED_PROCESSING_REQUEST", {}), (1, 1, "a", "ERROR", {}), (2, 2, "a", "STARTED_PROCESSING_REQUEST", {}), (5, 6, "c", "ERROR", {})]
+    rows += [(3, 3 + i, "a", "PUSHED_GRAPH_ELEMENTS_INTO_NEO", {"element_type": "NODES", "element_properties": "L", "nodes_created": "5", "how_many": "9"}) for i in range(2)]
+    rows += [(4, 5, "a", "DONE_PROCESSING_REQUEST", {}), (4, 7, "b", "STARTED_PROCESSING_REQUEST", {})]
+    ev = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, m), s, r, t, "", a) for m, s, r, t, a in rows], EVENT_SCHEMA)
+    report = P.request_report(ev, None)
+    got = {r["request_id"]: r for r in report.collect()}
+    assert set(got) == {"a", "b"} and got["b"]["counters"] is None
+    a = got["a"]
+    assert (a["status"], a["n_events"], a["n_errors"], a["end_time"]) == ("DONE_PROCESSING_REQUEST", 4, 0, "2024-01-01 00:04:00")
+    assert a["counters"] == {"NODES_L": {"nodes_created": 10}}
+    assert set(a["map_status_to_timestamp"]) >= {"STARTED_PROCESSING_REQUEST", "DONE_PROCESSING_REQUEST"}
+    state = {r["request_id"]: r.asDict() for r in P.request_state(ev, None).collect()}
+    assert all({k: got[i][k] for k in s} == s for i, s in state.items())
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 2  # the events, and their last starts
