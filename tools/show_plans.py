@@ -16,8 +16,10 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from graphmill.operators import merge as M  # noqa: E402
 from graphmill.operators import skew as S  # noqa: E402
+from graphmill.operators import staging as ST  # noqa: E402
 from graphmill.plans import catalog as C  # noqa: E402
 from graphmill.plans.store import GraphStore  # noqa: E402
+from graphmill.sources import kv as KV  # noqa: E402
 from graphmill.session import checkpoint_root, local_session, scratch_path, table  # noqa: E402
 
 
@@ -36,17 +38,22 @@ def main():
 
     o = table(spark, d, "orders")
     store = GraphStore(spark, scratch_path(spark, "plans-graph"), buckets=16)
-    store.write_nodes("Order", M.merge_nodes_flagged(None, C.ORDER.apply(o.where("o_orderstatus <> 'O'")), C.AS_OF_1))
+    store.write_nodes("Order", M.merge_nodes(None, C.ORDER.apply(o.where("o_orderstatus <> 'O'")), C.AS_OF_1))
     inc = o.where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("_uid"), F.concat("o_orderpriority", F.lit("!")).alias("priority"))
     merged = M.merge_nodes_flagged(store.nodes("Order"), inc, C.AS_OF_2)
+    sets, kv = scratch_path(spark, "plans-sets"), scratch_path(spark, "plans-kv")
+    ST.write_indexed_add(spark, C._staged_events(table(spark, d, "events")), sets, 16)
+    set_table = ST._set_table(spark, sets, 16)
+    KV.write_store(table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("key"), F.col("c_name").alias("value")), kv, 16)
+    wanted = o.where("o_orderkey < 40").select(F.col("o_orderkey").alias("pos"), F.col("o_custkey").cast("string").alias("key"))
     sections = [
         ("Node upsert into a bucketed store (J1)",
          "The existing version is a bucketed scan (`Bucketed: true`, 16 of 16) with no Exchange above it. Only the "
          "incoming batch is shuffled, into 16 partitions (the buckets), after a partial `max(struct)` dedupe. The "
          "filter `o_orderstatus <> 'F'` and the three read columns reach the parquet scan.", merged),
         ("Edge upsert (J2)",
-         "Repeated pairs collapse in a partial hash aggregate; each end is a left-semi join against the node keys "
-         "only (`ReadSchema` of part / supplier is just the key).",
+         "Repeated pairs collapse in a partial hash aggregate; each end is joined with the node keys only "
+         "(`ReadSchema` of part / supplier is just the key), which flags dangling pairs, so that the writing job can count them.",
          M.merge_edges(None, C.SUPPLIED_BY.apply(table(spark, d, "lineitem")), C.PART.apply(table(spark, d, "part")), C.SUPPLIER.apply(table(spark, d, "supplier")))),
         ("Salted join for a hot key (split_join)",
          "Key 7 holds a third of the rows: it is cut into slices; the join key is `(key, _slice)`; the node side "
@@ -58,9 +65,16 @@ def main():
          "Last start per request is a partial aggregate; the join back runs salted for hot requests; the final "
          "aggregate is `max_by` / `count`, combined map-side.", C.q_request_state(spark, d)),
         ("Per-key numbering (W2 batch numbers)",
-         "The input is range-partitioned on (key, order) and checkpointed (`LogicalRDD` / `Scan ExistingRDD`), so "
-         "a hot key spans several tasks; per-(partition, key) offsets are joined back on (partition, key).",
+         "One range partitioning on (key, order), so a hot key spans several tasks; rows are numbered in their sorted partition "
+         "(`ArrowEvalPython` over the key columns). The offsets of keys that cross a border come from the same shuffle: the second "
+         "`Exchange rangepartitioning` below is the same one and becomes `ReusedExchange` when the plan runs; their own exchanges carry one row a partition.",
          C.q_batch_numbers(spark, d)),
+        ("Set add with stored fingerprints (K1, U1)",
+         "Of the stored sets only `member` is read, bucketed and without an Exchange; the batch alone is shuffled.",
+         ST.fresh_members(C._staged_events(table(spark, d, "events")), spark.table(set_table))),
+        ("Lookup in a stored index (S7)",
+         "The bucket folders come from the requested keys (`PartitionFilters`); other folders are not opened.",
+         KV.get_stored(wanted, kv)),
         ("Flagship: orders and revenue per segment from the graph views (U5)",
          "Plain Spark SQL over the node and edge views; Catalyst prunes node columns to those the query reads.",
          C.q_graph_sql(spark, d)),
