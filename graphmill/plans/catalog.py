@@ -688,7 +688,9 @@ def q_stream_merge_rows(spark, d):
 
 def q_live_runs(spark, d):
     """Request state in runs, replaced by STARTED and dropped by a timer, upserted per micro-batch."""
-    stream, ckpt = _row_stream(spark, SG.rocksdb_session(_stream_session(spark)), d, "stream-src")
+    session = SG.rocksdb_session(_stream_session(spark))
+    session.conf.set("spark.sql.shuffle.partitions", "2")  # a state partition starts a Python worker per micro-batch
+    stream, ckpt = _row_stream(spark, session, d, "stream-src")
     store = GraphStore(spark, scratch_path(spark, "live-runs"), buckets=STORE_BUCKETS)
     runs = SG.live_runs(progress_events(stream), "1 hour", RUN_IDLE_DAYS * 86_400)
     SR.run_until_idle(runs, SS.merge_sink(store, "RequestRun", AS_OF_2, key="request_id"), ckpt, 1.0, mode="update")

@@ -28,7 +28,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 #: A run so far: times in microseconds; ``last`` is its last event.
 RUN = "start long, start_seq long, status string, end long, n_events long, n_errors long, last long"
-EVENT = "at long, seq long, event_type string"
+#: All of a request's state in one value, since each access is a call to the state store: the run, the time of its timer (ms), and
+#: the events that are newer than the watermark.
+STATE = f"run struct<{RUN.replace(' long', ': long').replace(' string', ': string')}>, timer long, recent array<struct<at: long, seq: long, event_type: string>>"
 OUT = "request_id string, status string, start_us long, end_us long, n_events long, n_errors long, closed boolean"
 
 
@@ -60,47 +62,50 @@ class RequestRuns(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.run = handle.getValueState("run", RUN)
-        self.recent = handle.getListState("recent", EVENT)
+        self.state = handle.getValueState("state", STATE)
+
+    def _held(self) -> tuple[tuple | None, int | None, list[tuple[int, int, str]]]:
+        held = self.state.get()
+        if held is None:
+            return None, None, []
+        run, timer, recent = held
+        return tuple(run) if run is not None else None, timer, [tuple(e) for e in recent or []]
 
     def _row(self, key: Any, run: tuple, closed: bool) -> pd.DataFrame:
         row = (key[0], run[2], run[0], run[3], run[4], run[5], closed)
         return pd.DataFrame([row], columns=[c.split()[0] for c in OUT.split(", ")]).astype({"start_us": "Int64", "end_us": "Int64"})
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803 - Spark's names
-        events = [tuple(e) for e in self.recent.get()] if self.recent.exists() else []
+        before, timer, events = self._held()
         for chunk in rows:
             events += zip(chunk["at"].tolist(), chunk["seq"].tolist(), chunk["event_type"].tolist(), strict=True)
         events.sort(key=lambda e: e[:2])
-        before = tuple(self.run.get()) if self.run.exists() else None
         run, closed = fold(before, events, self.idle)
         # what a later batch can no longer precede is folded for good
         watermark = max(0, timerValues.getCurrentWatermarkInMs()) * 1000
         n = sum(1 for e in events if e[0] < watermark)
-        settled, ended = fold(before, events[:n], self.idle)
-        if settled is not None:
-            self.run.update(settled)
-        elif before is not None:
-            self.run.clear()
-        if events[n:]:
-            self.recent.put(events[n:])
-        elif self.recent.exists():
-            self.recent.clear()
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if run is not None or events[n:]:
-            last = max(events[-1][0], run[6] if run is not None else 0)
-            self.handle.registerTimer((last + self.idle) // 1000 + 1)
+        settled, _ = fold(before, events[:n], self.idle)
+        if settled is None and not events[n:]:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.state.clear()
+        else:
+            last = max(events[-1][0], settled[6] if settled is not None else 0)
+            due = (last + self.idle) // 1000 + 1
+            if due != timer:
+                if timer is not None:
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(due)
+            self.state.update((settled, due, events[n:]))
         if run is not None:
             yield self._row(key, run, False)
         elif closed is not None:
             yield self._row(key, closed, True)
 
     def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        events = sorted((tuple(e) for e in self.recent.get()), key=lambda e: e[:2]) if self.recent.exists() else []
-        run, closed = fold(tuple(self.run.get()) if self.run.exists() else None, events, self.idle)
-        self.run.clear()
-        self.recent.clear()
+        before, _, events = self._held()
+        run, closed = fold(before, events, self.idle)  # kept in order
+        self.state.clear()
         last = run if run is not None else closed
         if last is not None:
             yield self._row(key, last, True)
