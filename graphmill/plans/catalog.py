@@ -689,7 +689,8 @@ def q_stream_merge_rows(spark, d):
 def q_live_runs(spark, d):
     """Request state in runs, replaced by STARTED and dropped by a timer, upserted per micro-batch."""
     session = SG.rocksdb_session(_stream_session(spark))
-    session.conf.set("spark.sql.shuffle.partitions", "2")  # a state partition starts a Python worker per micro-batch
+    # a state partition starts a Python worker per micro-batch, so as many as tasks run at once
+    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     stream, ckpt = _row_stream(spark, session, d, "stream-src")
     store = GraphStore(spark, scratch_path(spark, "live-runs"), buckets=STORE_BUCKETS)
     runs = SG.live_runs(progress_events(stream), "1 hour", RUN_IDLE_DAYS * 86_400)

@@ -17,8 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -32,6 +31,7 @@ RUN = "start long, start_seq long, status string, end long, n_events long, n_err
 #: the events that are newer than the watermark.
 STATE = f"run struct<{RUN.replace(' long', ': long').replace(' string', ': string')}>, timer long, recent array<struct<at: long, seq: long, event_type: string>>"
 OUT = "request_id string, status string, start_us long, end_us long, n_events long, n_errors long, closed boolean"
+RUN_ROW = Row(*[c.split()[0] for c in OUT.split(", ")])
 
 
 def rocksdb_session(spark: SparkSession) -> SparkSession:
@@ -71,14 +71,12 @@ class RequestRuns(StatefulProcessor):
         run, timer, recent = held
         return tuple(run) if run is not None else None, timer, [tuple(e) for e in recent or []]
 
-    def _row(self, key: Any, run: tuple, closed: bool) -> pd.DataFrame:
-        row = (key[0], run[2], run[0], run[3], run[4], run[5], closed)
-        return pd.DataFrame([row], columns=[c.split()[0] for c in OUT.split(", ")]).astype({"start_us": "Int64", "end_us": "Int64"})
+    def _row(self, key: Any, run: tuple, closed: bool) -> Row:
+        return RUN_ROW(key[0], run[2], run[0], run[3], run[4], run[5], closed)
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803 - Spark's names
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803 - Spark's names
         before, timer, events = self._held()
-        for chunk in rows:
-            events += zip(chunk["at"].tolist(), chunk["seq"].tolist(), chunk["event_type"].tolist(), strict=True)
+        events += [(r["at"], r["seq"], r["event_type"]) for r in rows]
         events.sort(key=lambda e: e[:2])
         run, closed = fold(before, events, self.idle)
         # what a later batch can no longer precede is folded for good
@@ -102,7 +100,7 @@ class RequestRuns(StatefulProcessor):
         elif closed is not None:
             yield self._row(key, closed, True)
 
-    def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+    def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
         before, _, events = self._held()
         run, closed = fold(before, events, self.idle)  # kept in order
         self.state.clear()
@@ -123,7 +121,7 @@ def live_runs(events: DataFrame, delay: str, idle_seconds: int) -> DataFrame:
     rows = events.where("request_id is not null and timestamp is not null and event_type is not null").select(
         "request_id", at.alias("timestamp"), F.unix_micros(at).alias("at"), F.coalesce("seq", F.lit(-(2**63))).cast("long").alias("seq"), "event_type"
     )
-    found = rows.withWatermark("timestamp", delay).groupBy("request_id").transformWithStateInPandas(
+    found = rows.withWatermark("timestamp", delay).groupBy("request_id").transformWithState(
         RequestRuns(idle_seconds * 1_000_000), outputStructType=OUT, outputMode="Update", timeMode="EventTime"
     )
     times = [F.timestamp_micros(f"{c}_us").cast("timestamp_ntz").alias(f"{c}_at") for c in ("start", "end")]

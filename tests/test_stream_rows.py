@@ -7,10 +7,12 @@ import random
 
 import pytest
 from conftest import SF
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from graphmill.model import DONE, ERROR, EVENT_SCHEMA, STARTED
 from graphmill.operators import progress as P
+from graphmill.plans import catalog
 from graphmill.streaming import rows as R
 from graphmill.streaming import state as ST
 from graphmill.streaming import stream as SS
@@ -167,3 +169,45 @@ def test_offsets_are_logged_as_json(spark, tmp):
     last = max((n for n in os.listdir(log) if n.isdigit()), key=int)
     with open(f"{log}/{last}") as f:
         assert json.loads(f.read().splitlines()[2]) == {"file": 1, "row": 0}
+
+
+def test_a_request_is_rows_in_and_a_row_out():
+    """No frame per request and micro-batch: those cost more than the run's own work."""
+
+    class Held:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Timers:
+        due = []
+
+        def registerTimer(self, at):  # noqa: N802
+            self.due.append(at)
+
+        def deleteTimer(self, at):  # noqa: N802
+            self.due.remove(at)
+
+        def getCurrentWatermarkInMs(self):  # noqa: N802
+            return 0
+
+    runs, event = ST.RequestRuns(60_000_000), Row("request_id", "timestamp", "at", "seq", "event_type")
+    runs.handle, runs.state = Timers(), Held()
+    out = list(runs.handleInputRows(("a",), iter([event("a", T0, 5_000_000, 1, DONE), event("a", T0, 1_000_000, 0, STARTED)]), Timers()))
+    assert out == [ST.RUN_ROW("a", DONE, 1_000_000, 5_000_000, 2, 0, False)] and Timers.due == [65_001]
+
+
+def test_live_runs_uses_every_core(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def read_rows(session, *_):
+        raise Seen(session.conf.get("spark.sql.shuffle.partitions"))
+
+    monkeypatch.setattr(R, "read_rows", read_rows)
+    with pytest.raises(Seen, match=f"^{spark.sparkContext.defaultParallelism}$"):
+        catalog.QUERIES["live_runs"](spark, SF)
