@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from graphmill.session import scratch_path
 
-#: Bytes of text that one numpy pass works on (about 60 times as much memory).
-CHUNK_BYTES = 1 << 20
+#: Bytes of text that one numpy pass works on (about 60 times as much memory, which a worker keeps from task to task).
+CHUNK_BYTES = 1 << 18
 
 _rng = np.random.default_rng(20240229)
 _TABLE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

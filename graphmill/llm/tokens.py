@@ -17,6 +17,7 @@ from operator import not_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Units that a worker remembers at most; then it starts anew.
 CACHE_UNITS = 800_000
@@ -67,9 +68,13 @@ def unit_offsets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
         border[1:-2] |= cut & solid[:-2] & solid[2:] & ~border[2:-1]
     units = np.flatnonzero(border)
     if len(units) > 1:
-        after = np.maximum.accumulate(np.where(_MARK[data], -1, np.arange(len(data)))) + 1  # of the last byte that is no mark
-        mark = after[units[1:] - 1]
-        mark = mark[(mark > units[:-1]) & (mark < units[1:])]
+        marks = np.flatnonzero(_MARK[data])  # few of the bytes, so a run of texts needs little more than itself
+        first = np.append(True, np.diff(marks) > 1)
+        run = marks[first][np.cumsum(first) - 1] if len(marks) else marks  # where the marks around each mark begin
+        ends = units[1:] - 1
+        with_mark = _MARK[data[ends]]
+        mark = run[np.searchsorted(marks, ends[with_mark])]
+        mark = mark[mark > units[:-1][with_mark]]
         border[mark[_LETTER[data[mark - 1]]]] = True
         units = np.flatnonzero(border)
     return units, np.searchsorted(units, offsets)
@@ -93,7 +98,7 @@ class Encoder:
         self.dtype = np.dtype("<u2") if self.vocabulary <= 1 << 16 else np.dtype("<u4")
         self.letters = _byte_letters()
         self.added = [t["content"] for t in json.loads(self.tokenizer.to_str())["added_tokens"]]
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())  # the units met, by number
         self.first = np.zeros(1, np.int64)  # of each known unit's ids, and after the last
         self.ids = np.zeros(0, self.dtype)
         self.met = np.zeros(0, np.int64)  # times each was met
@@ -113,17 +118,16 @@ class Encoder:
         """Keeps units met more than once, at most half of what the cache holds."""
         kept = np.flatnonzero(self.met > 1)
         kept = np.sort(kept[np.argsort(-self.met[kept], kind="stable")[: CACHE_UNITS // 2]])
-        names = list(self.known)  # in the order of their numbers
-        self.known = {names[i]: at for at, i in enumerate(kept.tolist())}
+        self.known = self.known.take(pa.array(kept))
         at, self.first = places(self.first, kept)
         self.ids, self.met = self.ids[at], np.zeros(len(kept), np.int64)
 
-    def _learn(self, new: list[str]) -> None:
-        word = [u[0] == " " and u[1:].isalpha() for u in new]
-        words, rest = list(compress(new, word)), list(compress(new, map(not_, word)))
-        found = self._encode_words(words) + self._encode(rest)
-        at = len(self.known)
-        self.known.update(zip(chain(words, rest), range(at, at + len(new)), strict=True))
+    def _learn(self, new: pa.Array) -> None:
+        names = new.to_pylist()
+        word = [u[0] == " " and u[1:].isalpha() for u in names]
+        words, rest = iter(self._encode_words(list(compress(names, word)))), iter(self._encode(list(compress(names, map(not_, word)))))
+        found = [next(words if w else rest) for w in word]
+        self.known = pa.concat_arrays([self.known, new])
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
         self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), self.dtype, int(sizes.sum()))])
@@ -139,12 +143,12 @@ class Encoder:
         units, text_at = unit_offsets(data, offsets)
         strings = pa.LargeStringArray.from_buffers(len(units) - 1, pa.py_buffer(units.astype(np.int64)), column.buffers()[2])
         coded = strings.dictionary_encode()
-        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        numbers = list(map(self.known.get, names))
-        if None in numbers:
-            self._learn([u for u, p in zip(names, numbers, strict=True) if p is None])
-            numbers = list(map(self.known.__getitem__, names))
-        unit = np.array(numbers, np.int64)[coded.indices.to_numpy()]
+        found = pc.index_in(coded.dictionary, value_set=self.known)
+        numbers = found.fill_null(-1).to_numpy().astype(np.int64)
+        if found.null_count:
+            numbers[numbers < 0] = np.arange(found.null_count) + len(self.known)
+            self._learn(coded.dictionary.filter(found.is_null()))
+        unit = numbers[coded.indices.to_numpy()]
         self.met += np.bincount(unit, minlength=len(self.met))
         at, upto = places(self.first, unit)
         raw = memoryview(self.ids[at].tobytes())

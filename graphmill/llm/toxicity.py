@@ -106,15 +106,23 @@ def _sample(docs: DataFrame, labels: DataFrame, fold_of_test: int, folds: int, p
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").distinct()  # an id's equal texts count once
 
 
+def _summed(feature: np.ndarray, pos: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct features and the sums of their counts."""
+    keys, at = np.unique(feature, return_inverse=True)
+    return keys, *(np.bincount(at, weights=x, minlength=len(keys)).astype(np.int64) for x in (pos, n))
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
+        found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for i, j, data, off in text_chunks(batch.column("text")):
             doc, feature = features(Words(data, off, _WORD))
-            keys, at = np.unique(feature, return_inverse=True)
-            pos = np.bincount(at, weights=toxic[i:j][doc], minlength=len(keys)).astype(np.int64)
-            n = np.bincount(at, minlength=len(keys))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(pos), pa.array(n)], ["feature", "pos", "n"])
+            found.append(_summed(feature, toxic[i:j][doc], np.ones(len(feature), np.int64)))
+            if sum(len(keys) for keys, _, _ in found[1:]) > 2 * len(found[0][0]) + MAX_FEATURES:
+                found = [_summed(*map(np.concatenate, zip(*found, strict=True)))]
+        keys, pos, n = _summed(*map(np.concatenate, zip(*found, strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(pos), pa.array(n)], ["feature", "pos", "n"])
 
 
 def _vocabulary(sample: DataFrame, n_pos: int, n_all: int, max_features: int) -> np.ndarray:

@@ -1,5 +1,6 @@
 """Packing and the packed id format, against the whole encoder."""
 
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -9,7 +10,7 @@ from tokenizers import Tokenizer
 
 from graphmill.llm.bitpack import pack_ids, read_packed, unpack_ids, write_packed
 from graphmill.llm.packing import PACKET, WINDOW, pack
-from graphmill.llm.tokens import default_path, encoder
+from graphmill.llm.tokens import Encoder, default_path, encoder, unit_offsets
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +35,36 @@ def test_units_equal_whole_texts(ids, sf_docs):
     assert [np.frombuffer(x, e.dtype).tolist() for x in e.encode(texts)] == [ids(t, 0)[:-1] for t in texts]
 
 
+def test_units_take_little_memory():
+    text = np.frombuffer(b"some words, and more. " * 200_000, np.uint8)
+    tracemalloc.start()
+    unit_offsets(text, np.array([0, len(text)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * len(text)
+
+
+def test_known_units_take_little_memory(ids):
+    texts = [" ".join(f"w{i}x{j}" for j in range(500)) for i in range(60)]
+    e = Encoder(default_path())
+    tracemalloc.start()
+    first = e.encode(texts)
+    held = tracemalloc.get_traced_memory()[0] - sum(map(len, first))
+    tracemalloc.stop()
+    assert len(e.known) == 30_000 and held < 60 * len(e.known)
+    assert e.encode(texts) == first and np.frombuffer(first[7], e.dtype).tolist() == ids(texts[7], 0)[:-1]
+
+
+def test_a_full_cache_keeps_what_repeats(ids, monkeypatch):
+    monkeypatch.setattr("graphmill.llm.tokens.CACHE_UNITS", 40)
+    e = Encoder(default_path())
+    for i in range(20):
+        text = f"the same words, and w{i}q r{i}z, it's {i}."
+        for _ in range(2):
+            assert [np.frombuffer(x, e.dtype).tolist() for x in e.encode([text, "", text[::-1]])] == [ids(t, 0)[:-1] for t in (text, "", text[::-1])]
+        assert len(e.known) < 80 and " same" in e.known.to_pylist()
+
+
 def check_packed(rows, docs, ids):
     want = defaultdict(list)
     for r in docs.collect():

@@ -1,6 +1,10 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 
-from graphmill.llm.toxicity import reject_toxic, swap_differences, toxicity, train
+from graphmill.llm.common import Words, text_chunks
+from graphmill.llm.toxicity import _WORD, Model, _counts, features, reject_toxic, swap_differences, toxicity, train
 
 from .conftest import crc_mod
 
@@ -22,6 +26,34 @@ def test_odd_rows(spark, odd_docs):
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) and r.held_out == (crc_mod(r.doc_id, 5) == 0)
 
 
+TEXTS = [" ".join(f"word{i * j % 9973} of text" for j in range(150)) for i in range(1600)]  # about 3.5 MB
+
+
+def test_scoring_takes_little_memory():
+    texts = pa.array(TEXTS)
+    found = features(Words(np.frombuffer(TEXTS[0].encode(), np.uint8), np.array([0, len(TEXTS[0])]), _WORD))[1]
+    model = Model(found, np.ones(len(found)), 0.0)
+    tracemalloc.start()
+    for _, _, data, off in text_chunks(texts):
+        model.logits(Words(data, off, _WORD))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
+
+
+def test_counts_of_a_batch_name_each_feature_once():
+    toxic = [int(i % 3 == 0) for i in range(len(TEXTS))]
+    batch = pa.RecordBatch.from_arrays([pa.array(TEXTS), pa.array(toxic, pa.int8())], ["text", "toxic"])
+    (got,) = _counts(iter([batch]))
+    want = {}
+    for text, t in zip(TEXTS, toxic, strict=True):
+        for f in features(Words(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]), _WORD))[1].view(np.int64).tolist():
+            pos, n = want.get(f, (0, 0))
+            want[f] = pos + t, n + 1
+    assert {f: (p, n) for f, p, n in zip(*(c.to_pylist() for c in got.columns), strict=True)} == want and got.num_rows == len(want)
+    assert [b.num_rows for b in _counts(iter([batch.slice(0, 0)]))] == [0]
+
+
 def test_without_labels_or_rows(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.predicted for r in toxicity(odd_docs, none).collect()} == {0}
