@@ -5,14 +5,19 @@ A document's set is its distinct 4-word shingles.  Two documents link when 100 *
 1. Equal sets are one class, known by a 64-bit hash of the set; the steps below see one row per class.
 2. Every set gives its lowest shingle hashes, 15 % + 10 % of its size.  Two sets that link share at least
    ``common(n)`` of these (a prefix filter that asks for several matches), so a set with fewer shingles that
-   other sets share goes.  Of the shared ones, all but the ``common(n) - 1`` that most sets share route the set;
-   two sets that link have one of those in common.  Sets that meet in a routing shingle, directly or through
-   others, form a candidate group.
-3. A group's full sets meet in one task and go into a trie in the group's global order (most shared shingles
+   other sets share goes.
+3. One shingle is often shared by chance, the more so the more texts there are, and chance links would chain most of the sets
+   that are left into one group.  So these give pairs of neighbours: a set's hashes in a circle by value, each with
+   the next.  Every shingle that only one of two sets has parts at most two pairs, so sets that link share most of their pairs,
+   and others next to none.  The prefix filter is asked again of the pairs, 30 % of the size and 10 %, at least ``SHARE``,
+   that linking sets have in common, so a line that many short texts have is not enough.  Of a set's shared pairs, all but
+   the ``common - 1`` that most sets share route it; two sets that link have one of those in common.
+   Sets that meet in a routing pair, directly or through others, form a candidate group.
+4. A group's full sets meet in one task and go into a trie in the group's global order (most shared shingles
    first, so near copies share long paths).  Each set traverses the trie with the overlap so far, prunes subtrees by
    bounds on the remaining lengths, and skips subtrees that one component already holds.  A task returns the edges of
    a spanning forest, at most one per set.
-4. A group above ``block`` sets is first held against one of its sets, one row each.  Sets that link to it form
+5. A group above ``block`` sets is first held against one of its sets, one row each.  Sets that link to it form
    one component and need no comparison among each other; only pairs with a set outside it are joined, in blocks.
 
 Every step is exact: no candidate is dropped.  Defined results: null and empty texts have no set, n_shingles 0, and are their
@@ -37,6 +42,10 @@ K = 4
 #: The similarity as a fraction of 100, and sets in one task's trie.
 PERCENT = 85
 BLOCK = 2000
+#: From this similarity on, sets that link share pairs of neighbours; below it, single shingles route.
+PAIRS_FROM = 60
+#: So many shared pairs of neighbours are asked for, where the sets are large enough.
+SHARE = 16
 #: Tasks over which a group's rows spread where they meet one row of their group.
 SALTS = 32
 
@@ -70,6 +79,36 @@ def _common(n: Column, percent: int) -> Column:
     return F.greatest(F.lit(1), F.floor(F.floor((n * percent + 99) / 100) / 10)).cast("int")
 
 
+def _neighbours(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A hash of every element of the sets (as ``_set_rows`` has them) and the next, the last's next being the first."""
+    after = np.empty_like(h)
+    after[:-1] = h[1:]
+    full = n[n > 0]
+    last = np.cumsum(full) - 1
+    after[last] = h[last - full + 1]
+    return mix64(h + mix64(after + np.uint64(1)))
+
+
+def _routing_rows(doc: np.ndarray, h: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number per doc, how many of them any two sets that link share at least, tokens): the sets' lowest pairs of neighbours.
+
+    A set of n shares c >= ceil(n * percent / 100) shingles with a set it links with, which has at most
+    floor(100 c / percent) - n others, so at least 2 c - floor(100 c / percent) of its n pairs are in both.
+    Below ``PAIRS_FROM`` that can be none, and the tokens are the lowest shingles."""
+    c = -(-n * percent // 100)
+    if percent >= PAIRS_FROM:
+        h = _neighbours(h, n)
+        h = h[np.lexsort((h, doc))]
+        both = lambda n, c: (2 * c - 100 * c // percent, np.maximum(n // 10, SHARE))
+    else:
+        both = lambda n, c: (c, np.maximum(n // 10, 1))
+    kept, asked = both(n, c)
+    most = n - kept + np.minimum(kept, asked)
+    common = np.minimum(*both(c, -(-c * percent // 100)))  # of the smallest set it links with
+    first = np.cumsum(n) - n
+    return most, common, h[(np.arange(len(h)) - first[doc]) < most[doc]]
+
+
 def shingle_sets(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n, set_id, low) of every row: set size, set hash, lowest shingle hashes."""
 
@@ -87,15 +126,26 @@ def shingle_sets(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFra
     return own.mapInArrow(rows, "doc_id long, n int, set_id long, low array<long>")
 
 
-def _routes(sets: DataFrame, percent: int) -> DataFrame:
-    """(set_id, token): the routing shingles of the sets that can have a partner."""
+def _shared(sets: DataFrame) -> DataFrame:
+    """(token, set_id, common, sets): the tokens in ``low`` that several sets have."""
+    tokens = sets.groupBy("set_id", "common").agg(F.first("low").alias("low")).select("set_id", "common", F.explode("low").alias("token"))
+    often = tokens.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1")
+    return tokens.join(often, "token")
+
+
+def _possible(sets: DataFrame, percent: int) -> DataFrame:
+    """(set_id): the sets that share enough of their lowest shingles to have a partner."""
+    shared = _shared(sets.withColumn("common", _common(F.col("n"), percent))).groupBy("set_id", "common").agg(F.count("*").alias("shared"))
+    return shared.where("shared >= common").select("set_id")
+
+
+def _routes(sets: DataFrame) -> DataFrame:
+    """(set_id, token): the routing tokens of the sets (set_id, common, low) that can have a partner."""
     from pyspark.sql import Window
 
-    tokens = sets.groupBy("set_id", "n").agg(F.first("low").alias("low")).select("set_id", "n", F.explode("low").alias("token"))
-    often = tokens.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1")
     own = Window.partitionBy("set_id")
-    shared = tokens.join(often, "token").withColumn("rank", F.row_number().over(own.orderBy("sets", "token")))
-    return shared.withColumn("shared", F.count("*").over(own)).where(F.col("rank") <= F.col("shared") - _common(F.col("n"), percent) + 1).select("set_id", "token")
+    shared = _shared(sets).withColumn("rank", F.row_number().over(own.orderBy("sets", "token")))
+    return shared.withColumn("shared", F.count("*").over(own)).where("rank <= shared - common + 1").select("set_id", "token")
 
 
 class Trie:
@@ -196,22 +246,24 @@ def trie_links(sets: list[np.ndarray], n_build: int | None = None, percent: int
     return out
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(grp, set_id, items): the whole sets of ``wanted`` (doc_id, set_id, grp)."""
+def _full_sets(docs: DataFrame, wanted: DataFrame, k: int, percent: int) -> DataFrame:
+    """(set_id, common, low, items): the whole sets of ``wanted`` (doc_id, set_id), and the tokens that can route them."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, off in text_chunks(batch.column("text")):
-                _, h, n = _set_rows(Words(data, off), k)
+                doc, h, n = _set_rows(Words(data, off), k)
+                most, common, low = _routing_rows(doc, h, n, percent)
+                low = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(most)]).astype(np.int32)), pa.array(low.view(np.int64)))
                 cut = np.concatenate([[0], np.cumsum(n)]) * 8
                 raw = h.tobytes()
                 ids = batch.column("set_id")[i:j]
                 ok = pa.array(ids.to_numpy() == _set_ids(h, n))  # an id may come with several texts
                 items = pa.array([raw[cut[r] : cut[r + 1]] for r in range(j - i)], pa.binary())
-                yield pa.RecordBatch.from_arrays([x.filter(ok) for x in (batch.column("grp")[i:j], ids, items)], ["grp", "set_id", "items"])
+                yield pa.RecordBatch.from_arrays([x.filter(ok) for x in (ids, pa.array(common.astype(np.int32)), low, items)], ["set_id", "common", "low", "items"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return own.join(wanted, "doc_id").select("grp", "set_id", "text").mapInArrow(rows, "grp long, set_id long, items binary")
+    return own.join(wanted, "doc_id").select("set_id", "text").mapInArrow(rows, "set_id long, common int, low array<long>, items binary")
 
 
 def _spread(groups: DataFrame) -> DataFrame:
@@ -277,15 +329,18 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, k: int = K, percent
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     sets = stored(spark, shingle_sets(docs, k, percent), "sets")
     real = sets.where("n > 0 and doc_id is not null")
-    routes = stored(spark, _routes(real, percent), "routes")
+    possible = stored(spark, _possible(real, percent), "possible")
     release(spark)
-    hubs = routes.groupBy("token").agg(F.min("set_id").alias("hub"))
-    groups = components(spark, routes.join(hubs, "token"), "set_id", "hub")
     keepers = real.groupBy("set_id").agg(F.min("doc_id").alias("keeper"))
-    wanted = keepers.join(groups.withColumnRenamed("node", "set_id"), "set_id").select(F.col("keeper").alias("doc_id"), "set_id", F.col("component").alias("grp"))
-    full = stored(spark, _full_sets(docs, wanted, k), "full")
+    wanted = keepers.join(possible, "set_id").select(F.col("keeper").alias("doc_id"), "set_id")
+    full = stored(spark, _full_sets(docs, wanted, k, percent), "full")
+    release(spark)
+    routes = stored(spark, _routes(full), "routes")
+    hubs = routes.groupBy("token").agg(F.min("set_id").alias("hub"))
+    groups = components(spark, routes.join(hubs, "token"), "set_id", "hub").select(F.col("node").alias("set_id"), F.col("component").alias("grp"))
+    grouped = stored(spark, full.join(groups, "set_id").select("grp", "set_id", "items"), "grouped")
     release(spark)
-    links = stored(spark, _links(spark, full, percent, block), "links")
+    links = stored(spark, _links(spark, grouped, percent, block), "links")
     a, b = (keepers.select(F.col("set_id").alias(c), F.col("keeper").alias(f"{c}_doc")) for c in "ab")
     edges = links.join(a, "a").join(b, "b").select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"))
     copies = real.select("doc_id", "set_id").join(keepers, "set_id").where("doc_id <> keeper")

@@ -4,7 +4,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from graphmill.llm.jaccard import jaccard_components, keep_one, trie_links
+from graphmill.llm import jaccard
+from graphmill.llm.jaccard import _routing_rows, jaccard_components, keep_one, trie_links
 
 from .conftest import words
 
@@ -97,3 +98,49 @@ def test_one_of_each_group_stays(spark, sf_docs):
     component, _ = brute([(r.doc_id, r.text) for r in sf_docs.collect()], 5, 80)
     assert Counter(r.doc_id for r in kept.collect()) == Counter(c for i, c in component.items() if i == c)
     assert kept.columns == sf_docs.columns
+
+
+def chance_rows(copies):
+    """Short texts with one line in common and ``copies`` with a word changed at the end, so sets share shingles but few link."""
+    rng = random.Random(copies)
+    line, rows = " ".join(f"l{i}" for i in range(8)), []
+    for _ in range(150):
+        own = [f"w{rng.randrange(400)}" for _ in range(14)]
+        for c in range(1 + (rng.random() < 0.2) * copies):
+            rows.append((len(rows), " ".join([line, *own[:-1], own[-1] if not c else f"x{c}"])))
+    return rows
+
+
+def largest_group(monkeypatch):
+    """A list that gets the number of sets in the largest candidate group of each run."""
+    sizes, links = [], jaccard._links
+
+    def seen(spark, sets, *more):
+        sizes.append(max([0, *(r["count"] for r in sets.groupBy("grp").count().collect())]))
+        return links(spark, sets, *more)
+
+    monkeypatch.setattr(jaccard, "_links", seen)
+    return sizes
+
+
+def test_chance_shingles_chain_no_groups(spark, monkeypatch):
+    sizes = largest_group(monkeypatch)
+    check(spark, spark.createDataFrame(chance_rows(2), "doc_id long, text string"))
+    assert sizes == [3]
+
+
+@pytest.mark.parametrize("percent", [50, 59, 60, 67, 80, 85, 95, 100])
+def test_sets_that_link_share_the_tokens_asked_for(percent):
+    """Of two sets at the threshold, each asks for at most as many tokens as both give."""
+    rng = np.random.default_rng(percent)
+    for size in [*range(1, 60), 100, 400]:
+        for _ in range(4):
+            c = max(1, -(-size * percent // 100))
+            spare = 100 * c // percent - c  # shingles that only one of the two has
+            left = int(rng.integers(0, spare + 1))
+            h = rng.choice(1 << 60, c + spare, replace=False).astype(np.uint64)
+            x, y = np.sort(h[: c + left]), np.sort(np.concatenate([h[:c], h[c + left :]]))
+            doc, n = np.repeat([0, 1], [len(x), len(y)]), np.array([len(x), len(y)])
+            most, common, low = _routing_rows(doc, np.concatenate([x, y]), n, percent)
+            assert most.sum() == len(low)
+            assert len(set(low[: most[0]].tolist()) & set(low[most[0] :].tolist())) >= max(common) >= 1
