@@ -14,7 +14,8 @@ A document's set is its distinct 4-word shingles.  Two documents link when 100 *
    the ``common - 1`` that most sets share route it; two sets that link have one of those in common.
    Sets that meet in a routing pair, directly or through others, form a candidate group.
 4. A group's full sets meet in one task and go into a trie in the group's global order (most shared shingles
-   first, so near copies share long paths).  Each set traverses the trie with the overlap so far, prunes subtrees by
+   first, so near copies share long paths).  Shingles that no set to compare with has stay out of it, and so, again and again,
+   do sets that have too few others left.  Each set traverses the trie with the overlap so far, prunes subtrees by
    bounds on the remaining lengths, and skips subtrees that one component already holds.  A task returns the edges of
    a spanning forest, at most one per set.
 5. A group above ``block`` sets is first held against one of its sets, one row each.  Sets that link to it form
@@ -157,18 +158,19 @@ class Trie:
         self.label = label
         self.children: dict[int, Trie] = {}
         self.owner: list[int] = []  # sets that end here
-        self.bounds = [1 << 60, 0]  # least and greatest size below
+        self.bounds = [1 << 60, 0, 0]  # least and greatest size of a set below, most of its shingles in the trie
         self.same: int | None = None  # a set, while all below are in its component
 
-    def insert(self, ranks: np.ndarray, who: int, find) -> None:
+    def insert(self, ranks: np.ndarray, whole: int, who: int, find) -> None:
+        """A set of ``whole`` shingles, of which ``ranks`` go into the trie."""
         node, at, size = self, 0, len(ranks)
-        node._saw(who, size, find)
+        node._saw(who, whole, size, find)
         while at < size:
             child = node.children.get(int(ranks[at]))
             if child is None:
                 child = Trie(ranks[at:])
                 node.children[int(ranks[at])] = child
-                child._saw(who, size, find)
+                child._saw(who, whole, size, find)
                 child.owner.append(who)
                 return
             m = min(len(child.label), size - at)
@@ -181,16 +183,32 @@ class Trie:
                 upper.children[int(child.label[0])] = child
                 node.children[int(ranks[at])] = upper
                 child = upper
-            child._saw(who, size, find)
+            child._saw(who, whole, size, find)
             node, at = child, at + m
         node.owner.append(who)
 
-    def _saw(self, who: int, size: int, find) -> None:
+    def _saw(self, who: int, whole: int, size: int, find) -> None:
         if self.bounds[1] == 0:
             self.same = who
         elif self.same is not None and find(self.same) != find(who):
             self.same = None
-        self.bounds = [min(self.bounds[0], size), max(self.bounds[1], size)]
+        self.bounds = [min(self.bounds[0], whole), max(self.bounds[1], whole), max(self.bounds[2], size)]
+
+
+def _comparable(at: np.ndarray, who: np.ndarray, whole: np.ndarray, n_build: int | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which shingles (``at`` their numbers, ``who`` their sets) a set to compare with has too, and which sets can link by those."""
+    alive, late, size = np.ones(len(whole), bool), who >= (n_build or 0), int(at.max(initial=-1)) + 1
+    while True:
+        on = alive[who]
+        if n_build is None:
+            kept = on & (np.bincount(at[on], minlength=size) > 1)[at]
+        else:
+            has = [np.bincount(at[on & side], minlength=size) > 0 for side in (late, ~late)]
+            kept = on & np.where(late, has[1][at], has[0][at])
+        still = alive & (np.bincount(who[kept], minlength=len(whole)) * 100 >= whole * percent)
+        if (still == alive).all():
+            return kept, alive
+        alive = still
 
 
 def trie_links(sets: list[np.ndarray], n_build: int | None = None, percent: int = PERCENT, joined: list[bool] | None = None) -> list[tuple[int, int]]:
@@ -201,10 +219,15 @@ def trie_links(sets: list[np.ndarray], n_build: int | None = None, percent: int
     """
     if len(sets) < 2:
         return []
-    flat, counts = np.unique(np.concatenate(sets), return_counts=True)
+    whole = np.array([len(s) for s in sets])
+    who = np.repeat(np.arange(len(sets)), whole)
+    flat, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     rank_of = np.empty(len(flat), np.int64)
     rank_of[np.lexsort((flat, -counts))] = np.arange(len(flat))
-    ranks = [np.sort(rank_of[np.searchsorted(flat, s)]) for s in sets]
+    kept, alive = _comparable(at, who, whole, n_build, percent)
+    who, at = who[kept], rank_of[at[kept]]
+    at = at[np.lexsort((at, who))]
+    ranks = np.split(at, np.cumsum(np.bincount(who, minlength=len(sets)))[:-1])
     parent = list(range(len(sets)))
 
     def find(i: int) -> int:
@@ -218,31 +241,31 @@ def trie_links(sets: list[np.ndarray], n_build: int | None = None, percent: int
         parent[find(i)] = find(known[0])
     out: list[tuple[int, int]] = []
     root, inside = Trie(np.zeros(0, np.int64)), np.zeros(len(flat), bool)
-    for i, own in enumerate(ranks):
+    for i in np.flatnonzero(alive).tolist():
+        own, nx = ranks[i], int(whole[i])
         if n_build is None or i >= n_build:
-            nx = len(own)
             inside[own] = True
             stack = [(root, 0, 0)]
             while stack:
                 node, overlap, depth = stack.pop()
-                lo, hi = node.bounds
+                lo, hi, most = node.bounds
                 if hi * 100 < nx * percent or lo * percent > nx * 100 or (node.same is not None and find(node.same) == find(i)):
                     continue
                 if len(node.label):
                     overlap += int(np.count_nonzero(inside[node.label]))
                     depth += len(node.label)
-                    left = nx - int(np.searchsorted(own, node.label[-1], "right"))  # of the probe, after this path
+                    left = len(own) - int(own.searchsorted(node.label[-1], "right"))  # of the probe, after this path
                     # overlap * (100 + percent) >= percent * (nx + ny) must be within reach of some size ny below
-                    if (overlap + hi - depth) * (100 + percent) < percent * (nx + hi) or (overlap + left) * (100 + percent) < percent * (nx + lo):
+                    if (overlap + hi - depth) * (100 + percent) < percent * (nx + hi) or (overlap + min(left, most - depth)) * (100 + percent) < percent * (nx + lo):
                         continue
                 for j in node.owner:
-                    if overlap * (100 + percent) >= percent * (nx + len(ranks[j])) and find(i) != find(j):
+                    if overlap * (100 + percent) >= percent * (nx + int(whole[j])) and find(i) != find(j):
                         parent[find(i)] = find(j)
                         out.append((j, i))
                 stack.extend((c, overlap, depth) for c in node.children.values())
             inside[own] = False
         if n_build is None or i < n_build:
-            root.insert(own, i, find)
+            root.insert(own, nx, i, find)
     return out
 
 

@@ -144,3 +144,23 @@ def test_sets_that_link_share_the_tokens_asked_for(percent):
             most, common, low = _routing_rows(doc, np.concatenate([x, y]), n, percent)
             assert most.sum() == len(low)
             assert len(set(low[: most[0]].tolist()) & set(low[most[0] :].tolist())) >= max(common) >= 1
+
+
+@pytest.mark.parametrize("build", [None, 20])
+def test_trie_leaves_out_what_cannot_link(build):
+    """Sets with too many shingles of their own, alone or after others went, and what is shared on one side only."""
+    rng = np.random.default_rng(5)
+    base, extra = (rng.integers(1, 1 << 60, n, dtype=np.uint64) for n in (100, 40))
+    sets = [np.unique(np.concatenate([base[: 100 - d], extra[:s], rng.integers(1, 1 << 60, u, dtype=np.uint64)])) for d, s, u in rng.integers(0, 22, (40, 3))]
+    links = trie_links(sets, build, 85)
+    want = {(i, j) for j in range(40) for i in range(j) if (build is None or i < build <= j) and 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))}
+    assert want and all((min(x), max(x)) in want for x in links)
+    groups = []
+    for edges in (links, want):
+        label = list(range(40))
+        for _ in range(40):
+            for i, j in edges:
+                label[i] = label[j] = min(label[i], label[j])
+        groups.append(label)
+    assert groups[0] == groups[1]
+    assert trie_links([np.zeros(0, np.uint64)] * 2, None, 85) == [(0, 1)]
