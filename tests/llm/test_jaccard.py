@@ -164,3 +164,12 @@ def test_trie_leaves_out_what_cannot_link(build):
         groups.append(label)
     assert groups[0] == groups[1]
     assert trie_links([np.zeros(0, np.uint64)] * 2, None, 85) == [(0, 1)]
+
+
+def test_pipeline_stage_chains_no_groups(spark, monkeypatch):
+    """The stage's own shingles and threshold, over texts with a line in common."""
+    sizes, rows = largest_group(monkeypatch), chance_rows(3)
+    kept = keep_one(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+    component, _ = brute(rows, 5, 80)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, c in component.items() if i == c)
+    assert sizes == [4]
